@@ -54,9 +54,9 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for r in rules:
         if r.kind == "unique":
             # rows whose key value occurs more than once
-            dup = (df.where(F.col(r.column).isNotNull()).groupBy(r.column).agg(F.count(F.lit(1)).alias("k"))
-                   .agg(F.coalesce(F.sum("k"), F.lit(0)).alias("checked"),
-                        F.coalesce(F.sum(F.when(F.col("k") > 1, F.col("k"))), F.lit(0)).alias("failed")))
+            dup = (df.where(F.col(r.column).isNotNull()).groupBy(r.column).agg(F.count(F.lit(1)).alias("_n"))
+                   .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("checked"),
+                        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("failed")))
             parts.append(dup.select(F.lit(r.name).alias("rule"), F.col("checked").cast("bigint"),
                                     F.col("failed").cast("bigint")))
     out = parts[0]

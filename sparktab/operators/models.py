@@ -216,34 +216,45 @@ def sample_params(n_trials: int, seed: int, space: dict | None = None) -> list[d
 
 def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str],
                   categorical: Sequence[str], target: str, n_trials: int = 10,
-                  executions: int = 3, seed: int = 42) -> tuple[DataFrame, dict]:
+                  executions: int = 3, seed: int = 42, parallelism: int = 4) -> tuple[DataFrame, dict]:
     """M4/M5: sampled trials x executions, scored on the validation rows (MSE).
 
-    The encoder is fitted once; each trial fits a GBT per execution seed through
-    ``Estimator.fitMultiple``.  Returns the trial table ordered by mean validation
-    MSE and the best parameter set.
+    The encoder is fitted once and the encoded fit/validation rows are persisted;
+    the ``trials x executions`` GBT fits then run ``parallelism`` at a time as
+    concurrent Spark jobs (as ``TrainValidationSplit`` does).  Returns the trial
+    table ordered by mean validation MSE and the best parameter set.
     """
+    from multiprocessing.pool import ThreadPool
+
     from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.util import inheritable_thread_target
 
     spark = fit_df.sparkSession
     fit_df = fit_df.withColumn(target, F.col(target).cast("double"))
     valid_df = valid_df.withColumn(target, F.col(target).cast("double"))
     enc = vector_pipeline(numeric, categorical).fit(fit_df)
-    fit_v = enc.transform(fit_df).select("features", target)
-    val_v = enc.transform(valid_df).select("features", target)
+    fit_v = enc.transform(fit_df).select("features", target).persist()
+    val_v = enc.transform(valid_df).select("features", target).persist()
     est = gbt_regressor(target)
     trials = sample_params(n_trials, seed)
-    maps, owners = [], []
+    jobs = []
     for t, p in enumerate(trials):
         for e in range(executions):
             pm = {getattr(est, k): v for k, v in p.items()}
             pm[est.seed] = seed + e
-            maps.append(pm)
-            owners.append(t)
+            jobs.append((t, pm))
     ev = RegressionEvaluator(labelCol=target, predictionCol=PRED, metricName="mse")
+
+    def run(job):
+        t, pm = job
+        return t, ev.evaluate(est.fit(fit_v, pm).transform(val_v))
+
     scores = [[] for _ in trials]
-    for i, model in est.fitMultiple(fit_v, maps):
-        scores[owners[i]].append(ev.evaluate(model.transform(val_v)))
+    with ThreadPool(max(1, parallelism)) as pool:
+        for t, score in pool.imap_unordered(inheritable_thread_target(run), jobs):
+            scores[t].append(score)
+    fit_v.unpersist()
+    val_v.unpersist()
     rows = [(t, json.dumps(p, sort_keys=True), float(np.mean(scores[t])), len(scores[t]))
             for t, p in enumerate(trials)]
     table = spark.createDataFrame(rows, "trial int, params string, val_mse double, executions int")
