@@ -104,18 +104,16 @@ def fit_features(train: DataFrame, roles: Roles, target: str | None = None,
     """Learn means/stds and level counts from the training rows (two aggregates)."""
     num_cols = list(roles.numeric) + ([target] if target else [])
     ns = {r["feature"]: r for r in numeric_stats(train, num_cols).collect()}
-    guard = level_counts(train, roles.categorical).persist()
-    try:
-        # check the number of levels per feature (tiny result) before collecting any level
-        wide = [r["feature"] for r in
-                guard.groupBy("feature").count().filter(F.col("count") > max_levels).collect()]
-        if wide:
-            raise ValueError(f"Categorical column(s) {wide} exceed {max_levels} levels; refusing to one-hot")
-        levels: dict[str, dict[str, int]] = {c: {} for c in roles.categorical}
-        for r in guard.collect():
-            levels[r["feature"]][r["level"]] = int(r["n"])
-    finally:
-        guard.unpersist()
+    # One job: at most (features x max_levels) rows may come back; the limit bounds
+    # driver memory before the per-feature guard is checked.
+    bound = max(1, len(roles.categorical)) * max_levels
+    rows = level_counts(train, roles.categorical).limit(bound + 1).collect()
+    levels: dict[str, dict[str, int]] = {c: {} for c in roles.categorical}
+    for r in rows:
+        levels[r["feature"]][r["level"]] = int(r["n"])
+    wide = [c for c, lv in levels.items() if len(lv) > max_levels]
+    if wide or len(rows) > bound:
+        raise ValueError(f"Categorical column(s) {wide} exceed {max_levels} levels; refusing to one-hot")
     if ns:
         n_rows = int(next(iter(ns.values()))["rows"])
     elif levels:

@@ -22,6 +22,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import local_table
+
 RUNS_SCHEMA = ("run_id string, parent_id string, name string, stage string, status string, "
                "start_ts timestamp, end_ts timestamp, model_type string, feature_run_id string, "
                "split_seed bigint, test_size double, version bigint")
@@ -84,7 +86,7 @@ class Ledger:
         return os.path.join(self.root, name)
 
     def _append(self, name: str, rows, schema: str, partition_by=()) -> None:
-        df = self.spark.createDataFrame(rows, schema)
+        df = local_table(self.spark, rows, schema)
         w = df.coalesce(1).write.mode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)

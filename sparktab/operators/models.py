@@ -8,9 +8,10 @@ block sums to one), and the reference's solver returns the minimum-norm
 solution.  We reproduce it exactly:
 
 1. One distributed pass accumulates the *centred* Gram matrix ``U'U`` and
-   ``U'y`` (``U`` = design minus its training means, ``y`` minus its mean).
-   Each Spark task sums its rows with numpy BLAS; Spark adds the per-task
-   partials in a final aggregate.  Only a ``(d+1)^2`` array reaches the driver.
+   ``U'y`` (``U`` = design minus its training means, ``y`` minus its mean):
+   a JVM aggregate of pairwise sums for narrow designs, per-task numpy BLAS
+   partials summed by Spark for wide ones.  Only a ``(d+1)^2`` array reaches
+   the driver.
 2. The driver solves the ``d x d`` system with an eigen pseudo-inverse: the
    minimum-norm solution, whatever the rank.
 3. The fit is kept as a coefficient table and scored with one column
@@ -30,6 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import local_table
 from .features import FeatureModel
 from .stats import NULL_LEVEL, level_key
 
@@ -62,7 +64,7 @@ class LinearModel:
         rows = [("__intercept__", None, self.intercept)]
         rows += [(c, None, w) for c, _, _, w in self.numeric]
         rows += [(c, lv, w) for c, lw in self.categorical for lv, w in lw]
-        return spark.createDataFrame(rows, "feature string, level string, w double")
+        return local_table(spark, rows, "feature string, level string, w double")
 
     def to_json(self) -> str:
         return json.dumps({"intercept": self.intercept, "numeric": self.numeric,
@@ -87,18 +89,33 @@ def centred_design(fm: FeatureModel, df: DataFrame) -> list[Column]:
     return cols
 
 
+JVM_GRAM_MAX_TERMS = 2_000  # up to ~60 columns: one codegen'd aggregate of pairwise sums
+
+
 def gram(df: DataFrame, cols: Sequence[Column]) -> np.ndarray:
     """Sum of outer products of the given double columns, computed on the cluster.
 
-    Each task folds its Arrow batches into one ``k x k`` array (numpy BLAS);
-    the partials are summed by a Spark aggregate keyed on the array slot, so
-    the final reduction is spread over tasks too.  Result: ``k x k`` numpy array.
+    Narrow designs use one JVM aggregate of the ``k(k+1)/2`` pairwise sums
+    (partial aggregation per task, whole-stage codegen, no Python).  Wider
+    designs fold each task's Arrow batches into one ``k x k`` array with numpy
+    BLAS, and the partials are summed by a Spark aggregate keyed on the array
+    slot, so the final reduction is spread over tasks too.
     """
-    import pandas as pd
-
     k = len(cols)
     names = [f"u{i}" for i in range(k)]
     x = df.select(*[c.cast("double").alias(n) for c, n in zip(cols, names)])
+    out = np.zeros((k, k))
+    if k * (k + 1) // 2 <= JVM_GRAM_MAX_TERMS:
+        pairs = [(i, j) for i in range(k) for j in range(i, k)]
+        row = x.agg(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs]).first()
+        for v, (i, j) in zip(row, pairs):
+            out[i, j] = out[j, i] = v if v is not None else 0.0
+        return out
+    return _gram_arrow(x, k)
+
+
+def _gram_arrow(x: DataFrame, k: int) -> np.ndarray:
+    import pandas as pd
 
     def partial(batches):
         acc = np.zeros((k, k))
@@ -257,6 +274,6 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
     val_v.unpersist()
     rows = [(t, json.dumps(p, sort_keys=True), float(np.mean(scores[t])), len(scores[t]))
             for t, p in enumerate(trials)]
-    table = spark.createDataFrame(rows, "trial int, params string, val_mse double, executions int")
+    table = local_table(spark, rows, "trial int, params string, val_mse double, executions int")
     best = trials[min(range(len(trials)), key=lambda t: np.mean(scores[t]))]
     return table.orderBy("val_mse", "trial"), best

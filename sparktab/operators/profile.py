@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import local_table
 from .quantiles import quantiles
 
 MAX_GROUPS = 100_000  # per-group statistics are broadcast back; bound them
@@ -50,7 +51,7 @@ def info(df: DataFrame) -> DataFrame:
     """``(position, column_name, dtype, non_null)``."""
     wide = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
     long = wide.unpivot([], df.columns, "column_name", "non_null")
-    meta = df.sparkSession.createDataFrame(
+    meta = local_table(df.sparkSession, 
         [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
         "position int, column_name string, dtype string")
     return F.broadcast(meta).join(long, "column_name").select("position", "column_name", "dtype", "non_null")

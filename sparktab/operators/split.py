@@ -13,8 +13,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import hash_u32, threshold
+from ..session import local_table
 
 SIDE = "split"
 TRAIN, TEST, VALID = "train", "test", "validation"
@@ -47,32 +49,37 @@ def stratified_split(df: DataFrame, keys: Sequence[str], stratum: str, test_frac
     Work: two aggregations over the data (map-side combined) plus joins against
     per-stratum cut tables of at most ``2^16`` rows per stratum.
     """
+    spark = df.sparkSession
+    s_type = df.schema[stratum].dataType
     hashed = df.withColumn("_h", hash_u32(keys, seed))
     hi = F.shiftright(F.col("_h"), _RADIX_BITS)
-    # level 1: counts per (stratum, high 16 bits); at most 2^16 rows per stratum
-    lvl1 = (hashed.groupBy(stratum, hi.alias("_hi")).agg(F.count(F.lit(1)).alias("_c"))
-            .persist())
-    n_strata = lvl1.select(stratum).distinct().count()
-    if n_strata > MAX_STRATA:
-        lvl1.unpersist()
-        raise ValueError(f"{n_strata} strata exceed the broadcast bound {MAX_STRATA}; "
-                         "use hash_split instead")
-    cut1 = _first_reaching(lvl1, stratum, "_hi",
-                           F.ceil(F.sum("_c").over(Window.partitionBy(stratum))
-                                  * F.lit(test_fraction)).cast("bigint"))
-    cut1 = cut1.select(F.col(stratum).alias("_s1"), F.col("_hi").alias("_cut_hi"), F.col("_need"))
-    # level 2: exact hash values inside each stratum's cut bucket only
-    in_bucket = hashed.join(F.broadcast(cut1), hashed[stratum].eqNullSafe(cut1["_s1"])
-                            & (hi == cut1["_cut_hi"]))
-    lvl2 = in_bucket.groupBy(stratum, "_h").agg(F.count(F.lit(1)).alias("_c"), F.first("_need").alias("_k"))
-    cut2 = (_first_reaching(lvl2, stratum, "_h", F.col("_k"))
-            .select(F.col(stratum).alias("_s"), F.col("_h").alias("_cut")))
-    out = hashed.join(F.broadcast(cut2), hashed[stratum].eqNullSafe(cut2["_s"]), "left")
+    # level 1: counts per (stratum, high 16 bits) -> the bucket holding each stratum's cut
+    lvl1 = hashed.groupBy(stratum, hi.alias("_hi")).agg(F.count(F.lit(1)).alias("_c"))
+    need = F.ceil(F.sum("_c").over(Window.partitionBy(stratum)) * F.lit(test_fraction)).cast("bigint")
+    cut1 = _collect_bounded(_first_reaching(lvl1, stratum, "_hi", need).select(stratum, "_hi", "_need"))
+    cut1_df = local_table(spark, cut1, T.StructType([
+        T.StructField("_s1", s_type), T.StructField("_cut_hi", T.LongType()), T.StructField("_k", T.LongType())]))
+    # level 2: exact hash values, only for rows inside each stratum's cut bucket
+    in_bucket = hashed.join(F.broadcast(cut1_df), hashed[stratum].eqNullSafe(cut1_df["_s1"])
+                            & (hi == cut1_df["_cut_hi"]))
+    lvl2 = in_bucket.groupBy(stratum, "_h", "_k").agg(F.count(F.lit(1)).alias("_c"))
+    cut2 = _collect_bounded(_first_reaching(lvl2, stratum, "_h", F.col("_k")).select(stratum, "_h"))
+    cut2_df = local_table(spark, cut2, T.StructType([
+        T.StructField("_s", s_type), T.StructField("_cut", T.LongType())]))
+    out = hashed.join(F.broadcast(cut2_df), hashed[stratum].eqNullSafe(cut2_df["_s"]), "left")
     side = F.when(F.col("_cut").isNotNull() & (F.col("_h") <= F.col("_cut")),
                   F.lit(TEST)).otherwise(F.lit(TRAIN))
     return out.withColumn(side_col, side).drop("_h", "_s", "_cut")
 
 
+def _collect_bounded(cut: DataFrame) -> list:
+    """One row per stratum; collected under a hard bound before it is broadcast."""
+    rows = cut.limit(MAX_STRATA + 1).collect()
+    if len(rows) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} strata; use hash_split instead")
+    return [tuple(r) for r in rows]
+
+
 def _first_reaching(counts: DataFrame, stratum: str, order_col: str, k) -> DataFrame:
     """Row per stratum where the running count over ``order_col`` first reaches ``k``.
 

@@ -24,6 +24,7 @@ from ..operators.models import LinearModel, fit_gbt, fit_linear, random_search
 from ..operators.roles import Roles, infer_roles
 from ..operators.scoring import score_pinned
 from ..operators.split import TEST, TRAIN, hash_split, stratified_split
+from ..session import local_table
 from . import ledger_views
 
 SEED, TEST_SHARE = 42, 0.2
@@ -275,7 +276,7 @@ def feature_names(spark, d):
     roles = infer_roles(li.drop("split"), exclude=_L_ROLES_EXCLUDE)
     fm = fit_features(li.where(F.col("split") == TRAIN), roles)
     names = fm.feature_names
-    return spark.createDataFrame(list(enumerate(names)), "pos bigint, name string")
+    return local_table(spark, list(enumerate(names)), "pos bigint, name string")
 
 
 # --- T1, T2, T5, T7, T8 ------------------------------------------------------------
@@ -434,7 +435,7 @@ def ols_one_feature(spark, d):
     fm = fit_features(tr, Roles(["l_quantity"], []), target="l_extendedprice")
     m = fit_linear(tr, fm, "l_extendedprice")
     (_, mean, scale, w), = m.numeric
-    return spark.createDataFrame([(w / scale, m.intercept - w * mean / scale, fm.n_rows)],
+    return local_table(spark, [(w / scale, m.intercept - w * mean / scale, fm.n_rows)],
                                  "slope double, intercept double, n_train bigint") \
         .select(r("slope").alias("slope"), r("intercept").alias("intercept"), "n_train")
 
@@ -446,7 +447,7 @@ def ols_group_slope(spark, d):
     _, m = _group_slope_model(spark, d)
     slope, a = _group_intercepts(m)
     rows = [("slope", slope)] + [(f"intercept_{g}", v) for g, v in a.items()]
-    return spark.createDataFrame(rows, "term string, value double").select("term", r("value").alias("value"))
+    return local_table(spark, rows, "term string, value double").select("term", r("value").alias("value"))
 
 
 _METRIC_SQL = f"""count(*) AS n, {sr('avg(abs(y_true - y_pred))')} AS mae, {sr('avg((y_true - y_pred) * (y_true - y_pred))')} AS mse,

@@ -53,3 +53,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (stream sinks, manifests)."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def local_table(spark: SparkSession, rows, schema):
+    """A small driver-side table as a JVM ``LocalTableScan`` (Arrow path, no Python workers).
+
+    Only for bounded inputs (fitted statistics, cut tables, ledger rows).
+    """
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    names = [f.name for f in st.fields]
+    pdf = pd.DataFrame([tuple(r) for r in rows], columns=names, dtype=object)
+    if len(pdf) == 0:
+        return spark.createDataFrame([], st)
+    return spark.createDataFrame(pdf, st)

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from ..session import local_table
+
 # The text tokens the reference's CSV reader treats as missing
 # (pandas read_csv defaults).
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -137,7 +139,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 def write_small_json(spark: SparkSession, payload: str, path: str) -> None:
     """One small JSON document (statistics, metadata, metrics) as a one-row table."""
-    spark.createDataFrame([(payload,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    local_table(spark, [(payload,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def read_small_json(spark: SparkSession, path: str) -> str:
