@@ -277,3 +277,9 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
     table = local_table(spark, rows, "trial int, params string, val_mse double, executions int")
     best = trials[min(range(len(trials)), key=lambda t: np.mean(scores[t]))]
     return table.orderBy("val_mse", "trial"), best
+
+
+def refit_best(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
+               best: dict, seed: int = 42):
+    """M5: refit the winning parameter set on all training rows (fit + validation)."""
+    return fit_gbt(train, numeric, categorical, target, seed=seed, **best)

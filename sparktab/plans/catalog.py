@@ -24,7 +24,7 @@ from ..operators.models import LinearModel, fit_gbt, fit_linear, random_search
 from ..operators.roles import Roles, infer_roles
 from ..operators.scoring import score_pinned
 from ..operators.split import TEST, TRAIN, hash_split, stratified_split
-from ..session import local_table
+from ..session import local_table, spread
 from . import ledger_views
 
 SEED, TEST_SHARE = 42, 0.2
@@ -49,7 +49,7 @@ def register(name: str, sql: str | None = None):
 
 
 def t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(spark.read.parquet(f"{d}/{name}.parquet"))
 
 
 def r(c: Column | str) -> Column:

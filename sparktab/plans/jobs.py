@@ -159,7 +159,15 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
         write_table(scored, os.path.join(art, "predictions"))
         ledger.log_artifact(run_id, os.path.join(art, "predictions"), "predictions")
         m = regression_metrics(scored).first().asDict()
-        ledger.log_metrics(run_id, {k: m[k] for k in ("mae", "mse", "rmse", "r2")})
+        # M6: final training-side loss and error, under the reference's metric names
+        if isinstance(model, LinearModel):
+            fitted = train.select(F.col(spec.target).cast("double").alias("y_true"),
+                                  model.predict_col(train).alias("y_pred"))
+        else:
+            fitted = model.transform(train).select(F.col(spec.target).cast("double").alias("y_true"), "y_pred")
+        tm = regression_metrics(fitted).first()
+        ledger.log_metrics(run_id, {**{k: m[k] for k in ("mae", "mse", "rmse", "r2")},
+                                    "train_loss_final": tm["mse"], "train_mae_final": tm["mae"]})
         ledger.log_params(run_id, {"model_type": spec.model_type, "test_size": test_size,
                                    "random_state": seed,
                                    **{f"model_{k}": v for k, v in spec.hyperparameters.items()}})

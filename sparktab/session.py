@@ -69,3 +69,19 @@ def local_table(spark: SparkSession, rows, schema):
     if len(pdf) == 0:
         return spark.createDataFrame([], st)
     return spark.createDataFrame(pdf, st)
+
+
+def spread(df):
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A small single-row-group file is read by one task, so CPU-heavy stages
+    (hashing, partial aggregation, Gram sums) would use one core.  Below the
+    core count we hash-repartition once (deterministic under retries); at
+    scale the scan already has thousands of splits and this is a no-op.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    from pyspark.sql import functions as F
+
+    return df.repartition(cores, *[F.col(c) for c in df.columns])
