@@ -20,8 +20,9 @@ from ..session import local_table
 
 SIDE = "split"
 TRAIN, TEST, VALID = "train", "test", "validation"
-# Radix select: high 16 bits, then the exact 32-bit value inside one bucket.
-_RADIX_BITS = 16
+# Radix select: high 12 bits (<= 4096 groups per stratum), then the exact hash
+# inside the one cut bucket (<= 2^20 distinct values per stratum).
+_RADIX_BITS = 12
 MAX_STRATA = 100_000  # per-stratum cut tables are broadcast; keep them bounded
 
 
@@ -47,7 +48,7 @@ def stratified_split(df: DataFrame, keys: Sequence[str], stratum: str, test_frac
 
     Rows whose hash ties the cut value (duplicate keys) all go to ``test``.
     Work: two aggregations over the data (map-side combined) plus joins against
-    per-stratum cut tables of at most ``2^16`` rows per stratum.
+    per-stratum cut tables of one row per stratum.
     """
     spark = df.sparkSession
     s_type = df.schema[stratum].dataType

@@ -76,12 +76,11 @@ def spread(df):
 
     A small single-row-group file is read by one task, so CPU-heavy stages
     (hashing, partial aggregation, Gram sums) would use one core.  Below the
-    core count we hash-repartition once (deterministic under retries); at
-    scale the scan already has thousands of splits and this is a no-op.
+    core count we round-robin repartition once: no key (so a hot value cannot
+    skew it), and Catalyst still prunes columns and pushes filters below it.
+    At scale the scan already has thousands of splits and this is a no-op.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    from pyspark.sql import functions as F
-
-    return df.repartition(cores, *[F.col(c) for c in df.columns])
+    return df.repartition(cores)
