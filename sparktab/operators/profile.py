@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import local_table
-from .quantiles import quantiles
+from .quantiles import MAX_EXACT_DISTINCT, quantiles
 
 MAX_GROUPS = 100_000  # per-group statistics are broadcast back; bound them
 
@@ -62,13 +62,24 @@ def head(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
-def describe(df: DataFrame, cols: Sequence[str], exact: bool | str = "auto") -> DataFrame:
-    """Count, mean, sample std, min, quartiles, max per numeric column (long form)."""
+def describe(df: DataFrame, cols: Sequence[str], exact: bool | str = "auto",
+             max_distinct: int = MAX_EXACT_DISTINCT) -> DataFrame:
+    """Count, mean, sample std, min, quartiles, max per numeric column (long form).
+
+    Two passes: one wide aggregate (moments, min/max and a distinct-count sketch
+    that decides exact vs approximate quartiles), then the quartiles.
+    """
+    stats = df.agg(F.array(*[F.struct(
+        F.lit(c).alias("feature"), F.count(F.col(c)).alias("count"), F.avg(F.col(c).cast("double")).alias("mean"),
+        F.stddev_samp(F.col(c).cast("double")).alias("std"), F.min(F.col(c).cast("double")).alias("min"),
+        F.max(F.col(c).cast("double")).alias("max"), F.approx_count_distinct(F.col(c)).alias("d"))
+        for c in cols]).alias("s")).select(F.inline("s")).collect()
+    if exact == "auto":
+        exact = max((r["d"] for r in stats), default=0) <= max_distinct
+    base = local_table(df.sparkSession, [tuple(r)[:6] for r in stats],
+                       "feature string, count bigint, mean double, std double, min double, max double")
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], list(cols), "feature", "value")
-    base = long.groupBy("feature").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
     q = quantiles(long, "value", [0.25, 0.5, 0.75], by=["feature"], exact=exact)
     q = q.select("feature", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"))
     return base.join(q, "feature")
@@ -142,11 +153,12 @@ def box_stats(df: DataFrame, value: str, by: str, exact: bool | str = "auto") ->
     checked) are broadcast back to the rows; no group is gathered in one task.
     """
     q = quantiles(df, value, [0.25, 0.5, 0.75], by=[by], exact=exact)
-    n_groups = q.count()
-    if n_groups > MAX_GROUPS:
-        raise ValueError(f"{n_groups} groups exceed the broadcast bound {MAX_GROUPS}")
-    fences = q.select(F.col(by).alias("_g"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                      F.col("q")[2].alias("q3"))
+    rows = q.limit(MAX_GROUPS + 1).collect()  # one row per group, bounded before broadcast
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups exceed the broadcast bound")
+    fences = local_table(df.sparkSession, [(r[by], *r["q"]) for r in rows], T.StructType([
+        T.StructField("_g", df.schema[by].dataType), T.StructField("q1", T.DoubleType()),
+        T.StructField("median", T.DoubleType()), T.StructField("q3", T.DoubleType())]))
     fences = (fences.withColumn("lo_fence", F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1")))
               .withColumn("hi_fence", F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))))
     v = F.col(value).cast("double")
