@@ -146,26 +146,42 @@ def min_norm_solve(a: np.ndarray, b: np.ndarray, rcond: float = 1e-10) -> tuple[
 
 
 def fit_linear(train: DataFrame, fm: FeatureModel, target: str) -> LinearModel:
-    """M1: OLS with intercept on the full encoding, minimum-norm (see module doc)."""
+    """M1: OLS with intercept on the full encoding, minimum-norm (see module doc).
+
+    Rows with a null target or a null numeric feature are left out (complete
+    cases).  A constant column in the Gram pass gives the row count and column
+    sums of the rows actually used, so the centring is exact for them even
+    though the design was pre-centred with the training statistics.
+    """
     if fm.target_mean is None:
         raise ValueError("FeatureModel was fitted without the target; pass target= to fit_features")
+    complete = F.col(target).isNotNull()
+    for c in fm.numeric:
+        complete = complete & F.col(c).isNotNull()
+    used = train.where(complete)
     y = F.col(target).cast("double") - F.lit(fm.target_mean)
-    design = centred_design(fm, train)
-    g = gram(train, design + [y])
+    design = centred_design(fm, used)
     d = len(design)
-    w, rank = min_norm_solve(g[:d, :d], g[:d, d])
-    n = float(fm.n_rows)
+    g = gram(used, [F.lit(1.0)] + design + [y])
+    n_used = g[0, 0]
+    if n_used == 0:
+        raise ValueError("no complete training rows to fit")
+    sums = g[0, 1:]
+    cov = g[1:, 1:] - np.outer(sums, sums) / n_used
+    w, rank = min_norm_solve(cov[:d, :d], cov[:d, d])
+    mean_u, mean_y = sums[:d] / n_used, sums[d] / n_used
+    intercept = fm.target_mean + mean_y - float(mean_u @ w)
     numeric, i = [], 0
     for c in fm.numeric:
         numeric.append((c, fm.means[c], fm.scale(c), float(w[i])))
         i += 1
-    intercept = fm.target_mean
+    n = float(fm.n_rows)
     categorical = []
     for c in fm.categorical:
         lw = []
         for lv in fm.level_list(c):
             lw.append((lv, float(w[i])))
-            intercept -= float(w[i]) * fm.levels[c][lv] / n
+            intercept -= float(w[i]) * fm.levels[c][lv] / n  # undo the pre-centring of the 0/1 column
             i += 1
         categorical.append((c, lw))
     return LinearModel(float(intercept), numeric, categorical, rank)

@@ -374,6 +374,25 @@ def imputed_map_q(spark, d):
     return o.select("o_orderkey", F.size(m).cast("bigint").alias("n_imputed"), text.alias("imputed"))
 
 
+@register("score_partial", _GAPS_SQL + f"""
+, gm AS (SELECT coalesce(o_orderpriority, 'nan') AS level, avg(o_totalprice) AS mu_g
+         FROM tr WHERE o_totalprice IS NOT NULL GROUP BY 1)
+SELECT o_orderkey, CASE WHEN o_orderpriority IS NULL THEN 'o_orderpriority=' || mode ELSE '' END AS imputed,
+       {sr('mu_g')} AS y_pred
+FROM o CROSS JOIN md JOIN gm ON gm.level = coalesce(o.o_orderpriority, md.mode)""")
+def score_partial_q(spark, d):
+    """Price from priority, fitted on complete training rows; missing priority imputed first."""
+    from ..operators.scoring import score_partial
+    o = _orders_with_gaps(spark, d)
+    tr = o.where(F.col("split") == TRAIN)
+    fm = fit_features(tr, Roles([], ["o_orderpriority"]), target="o_totalprice")
+    lm = fit_linear(tr, fm, "o_totalprice")
+    out = score_partial(o.select("o_orderkey", "o_orderpriority"), fm, lm, keep=["o_orderkey"])
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("imputed")),
+                                    lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return out.select("o_orderkey", text.alias("imputed"), r("y_pred").alias("y_pred"))
+
+
 # --- P5 / C2 ---------------------------------------------------------------------------
 
 @register("strict_rejects", """
@@ -484,6 +503,24 @@ def rmsle_q(spark, d):
     return out.select("n", "n_negative", r("rmsle").alias("rmsle"))
 
 
+@register("compare_runs", _GS_SQL + f"""
+, one AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a
+          FROM lineitem WHERE {L_TRAIN}),
+both_runs AS (SELECT 'group_slope' AS run_id, y_true, y_pred FROM pr
+              UNION ALL SELECT 'one_feature', y_true, a + b * x FROM te, one)
+SELECT run_id, {_METRIC_SQL} FROM both_runs GROUP BY 1""")
+def compare_runs_q(spark, d):
+    """Two fitted runs evaluated on the same hold-out in one scan."""
+    from ..operators.scoring import compare_runs
+    li, gs = _group_slope_model(spark, d)
+    tr = li.where(F.col("split") == TRAIN)
+    fm1 = fit_features(tr, Roles(["l_quantity"], []), target="l_extendedprice")
+    one = fit_linear(tr, fm1, "l_extendedprice")
+    out = compare_runs(li.where(F.col("split") == TEST), "l_extendedprice",
+                       {"group_slope": gs, "one_feature": one})
+    return _round_metrics(out, ["run_id"])
+
+
 # --- G1 / G7 / G8: events read as a run ledger ----------------------------------------------
 
 @register("latest_by_stage", """
