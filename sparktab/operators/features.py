@@ -150,12 +150,14 @@ def dummies(df: DataFrame, cols: Sequence[str], levels: Mapping[str, Sequence[st
 def dummy_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
     """Distinct non-null levels per column via one aggregate (bounded by the guard)."""
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "feature", "level")
-    rows = long.filter(F.col("level").isNotNull()).groupBy("feature", "level").count().collect()
+    bound = max(1, len(cols)) * max_levels
+    rows = (long.filter(F.col("level").isNotNull()).groupBy("feature", "level").count()
+            .limit(bound + 1).collect())
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         out[r["feature"]].append(r["level"])
     wide = [c for c, v in out.items() if len(v) > max_levels]
-    if wide:
+    if wide or len(rows) > bound:
         raise ValueError(f"Column(s) {wide} exceed {max_levels} levels")
     return out
 

@@ -104,3 +104,16 @@ def manifest_split(df: DataFrame, manifest: DataFrame, key: str, side_col: str =
     if m.count() <= max_broadcast_rows:
         m = F.broadcast(m)
     return df.join(m, key, "inner")
+
+
+def materialize_split(df: DataFrame, path: str, side_col: str = SIDE) -> DataFrame:
+    """Write a split table partitioned by side and read it back.
+
+    For large inputs: the md5 predicate is not pushed into the scan, so later
+    stages read only ``split=train`` / ``split=test`` folders (partition
+    pruning), and the written table cuts lineage (a lost executor re-reads it
+    instead of recomputing the scan and hash).  ``path`` belongs in the shared
+    folder named by ``spark.checkpoint.dir``.
+    """
+    df.write.mode("overwrite").partitionBy(side_col).parquet(path)
+    return df.sparkSession.read.parquet(path)

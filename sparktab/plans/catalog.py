@@ -113,7 +113,13 @@ def null_counts(spark, d):
     return profile.null_counts(t(spark, d, "orders"))
 
 
-@register("info")
+# The Spark type names of the orders columns, as the schema reports them.
+_ORDERS_TYPES = [('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'), ('o_totalprice', 'double'), ('o_orderdate', 'timestamp_ntz'), ('o_orderpriority', 'string')]
+
+
+@register("info", "\nUNION ALL\n".join(
+    f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, '{t}' AS dtype, count({c}) AS non_null FROM orders"
+    for i, (c, t) in enumerate(_ORDERS_TYPES)))
 def info(spark, d):
     return profile.info(t(spark, d, "orders"))
 

@@ -2,7 +2,7 @@
 
 Design decisions that differ from the reference (see README):
 
-* one cached, hash-split scan serves all stages of a workflow;
+* one written, side-partitioned split table serves all stages of a workflow;
 * each stage is its own run (``parent_id`` links them), so lookups by stage work;
 * lookups consider ``FINISHED`` runs only;
 * the split seed and share are stored on the run and reused by evaluation;
@@ -26,7 +26,8 @@ from ..operators.metrics import regression_metrics
 from ..operators.models import LinearModel, fit_gbt, fit_linear
 from ..operators.roles import infer_roles
 from ..operators.scoring import prediction_log, score_holdout, score_strict
-from ..operators.split import TEST, TRAIN, hash_split
+from ..operators.split import TEST, TRAIN, hash_split, materialize_split
+from ..session import scratch_path
 from ..sources.tables import read_small_json, read_table, write_small_json, write_table
 
 MODEL_TYPES = ("linear_regression", "gbt")
@@ -256,7 +257,8 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
     """J1 -> J2 -> J3 over one persisted split; returns ``{stage: run_id}``."""
     ledger = Ledger(spark, spec.ledger_root)
     parent = ledger.start_run("workflow", split_seed=spec.seed, test_size=spec.test_size)
-    df = split(load(spark, spec), spec).persist()
+    # one written, side-partitioned split serves all three stages (pruned reads, cut lineage)
+    df = materialize_split(split(load(spark, spec), spec), scratch_path(spark, f"split-{parent}"))
     try:
         fe = run_feature_engineering(spark, spec, parent, df)
         tr = run_training(spark, spec, parent, fe, df)
@@ -266,6 +268,4 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
     except Exception:
         ledger.end_run(parent, FAILED)
         raise
-    finally:
-        df.unpersist()
     return {"workflow": parent, "feature_engineering": fe, "training": tr, "evaluation": ev}
