@@ -187,6 +187,52 @@ def fit_linear(train: DataFrame, fm: FeatureModel, target: str) -> LinearModel:
     return LinearModel(float(intercept), numeric, categorical, rank)
 
 
+def fit_linear_ml(train: DataFrame, fm: FeatureModel, target: str) -> LinearModel:
+    """M1 through Spark ML: ``LinearRegression(solver="normal")`` on a reference-coded design.
+
+    The last level of each categorical is dropped (full rank when no other
+    collinearity exists), then each categorical's level weights are centred to
+    mean zero, which is the minimum-norm solution of the full one-hot design.
+    Use ``fit_linear`` when the design may be rank deficient for other reasons.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    names, cols = [], []
+    for c in fm.numeric:
+        names.append(f"n{len(names)}")
+        cols.append(fm.standardized(c).alias(names[-1]))
+    kept = {}
+    for c in fm.categorical:
+        key = level_key(train, c)
+        kept[c] = fm.level_list(c)[:-1]
+        for lv in kept[c]:
+            names.append(f"n{len(names)}")
+            cols.append(F.when(key == F.lit(lv), F.lit(1.0)).otherwise(F.lit(0.0)).alias(names[-1]))
+    complete = F.col(target).isNotNull()
+    for c in fm.numeric:
+        complete = complete & F.col(c).isNotNull()
+    data = train.where(complete).select(F.col(target).cast("double").alias("_y"), *cols)
+    data = VectorAssembler(inputCols=names, outputCol="_x").transform(data)
+    m = LinearRegression(featuresCol="_x", labelCol="_y", solver="normal", regParam=0.0,
+                         standardization=False, fitIntercept=True).fit(data)
+    w = m.coefficients.toArray()
+    intercept, i = float(m.intercept), 0
+    numeric = []
+    for c in fm.numeric:
+        numeric.append((c, fm.means[c], fm.scale(c), float(w[i])))
+        i += 1
+    categorical = []
+    for c in fm.categorical:
+        levels = fm.level_list(c)
+        block = [float(w[i + j]) for j in range(len(kept[c]))] + [0.0]
+        i += len(kept[c])
+        shift = sum(block) / len(block)
+        intercept += shift
+        categorical.append((c, [(lv, b - shift) for lv, b in zip(levels, block)]))
+    return LinearModel(intercept, numeric, categorical, len(names))
+
+
 # --- M2 / M4 / M5: Spark ML models over the vector encoding -----------------
 
 def vector_pipeline(numeric: Sequence[str], categorical: Sequence[str], estimator=None):

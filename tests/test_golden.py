@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sparktab.operators.features import fit_features, imputed_map, impute
 from sparktab.operators.metrics import regression_metrics, rmsle
-from sparktab.operators.models import fit_linear
+from sparktab.operators.models import fit_linear, fit_linear_ml
 from sparktab.operators.roles import infer_roles
 from sparktab.operators.split import manifest_split
 from sparktab.sources.tables import read_csv
@@ -106,3 +106,14 @@ def test_partial_record_imputation(golden, spark):
     assert set(out["imputed"]) == {"bathrooms", "parking", "mainroad", "guestroom", "basement",
                                    "hotwaterheating", "airconditioning", "prefarea", "furnishingstatus"}
     assert not math.isnan(out["area"])
+
+
+def test_spark_ml_normal_solver_agrees(golden):
+    _, train, test, fm, lm = golden
+    ml = fit_linear_ml(train, fm, "price")
+    both = test.select(lm.predict_col(test).alias("a"), ml.predict_col(test).alias("b")).collect()
+    for r in both:
+        assert r.b == pytest.approx(r.a, rel=1e-9)
+    first = test.where("ord = 0").withColumn("furnishingstatus", F.lit("castle"))
+    p = first.select(ml.predict_col(first).alias("p")).first()["p"]
+    assert p == pytest.approx(5398123.33596345, rel=1e-9)
