@@ -1,7 +1,7 @@
 """Feature transforms (T1-T8) and record checks.
 
-``fit_features`` runs two aggregates over the training rows (numeric statistics
-and level counts) and keeps the result as a small ``FeatureModel`` (size grows
+``fit_features`` runs one aggregate over the training rows (numeric statistics
+and level counts together) and keeps the result as a small ``FeatureModel`` (size grows
 with columns x levels, never with rows).  Every transform is then a plain
 column expression, so scoring stays inside whole-stage codegen.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .roles import Roles, feature_names
-from .stats import NULL_LEVEL, level_counts, level_key, numeric_stats
+from .stats import NULL_LEVEL, level_key, training_stats
 
 MAX_LEVELS = 1000  # high-cardinality guard for one-hot encoding
 
@@ -101,25 +101,17 @@ class FeatureModel:
 
 def fit_features(train: DataFrame, roles: Roles, target: str | None = None,
                  max_levels: int = MAX_LEVELS) -> FeatureModel:
-    """Learn means/stds and level counts from the training rows (two aggregates)."""
+    """Learn means/stds and level counts from the training rows (one aggregate)."""
     num_cols = list(roles.numeric) + ([target] if target else [])
-    ns = {r["feature"]: r for r in numeric_stats(train, num_cols).collect()}
-    # One job: at most (features x max_levels) rows may come back; the limit bounds
-    # driver memory before the per-feature guard is checked.
+    # one pass: numeric moments + all level counts; at most (features x max_levels) groups return
     bound = max(1, len(roles.categorical)) * max_levels
-    rows = level_counts(train, roles.categorical).limit(bound + 1).collect()
+    ns, rows, n_rows = training_stats(train, num_cols, roles.categorical, bound)
     levels: dict[str, dict[str, int]] = {c: {} for c in roles.categorical}
-    for r in rows:
-        levels[r["feature"]][r["level"]] = int(r["n"])
+    for feature, level, n in rows:
+        levels[feature][level] = n
     wide = [c for c, lv in levels.items() if len(lv) > max_levels]
-    if wide or len(rows) > bound:
+    if wide:
         raise ValueError(f"Categorical column(s) {wide} exceed {max_levels} levels; refusing to one-hot")
-    if ns:
-        n_rows = int(next(iter(ns.values()))["rows"])
-    elif levels:
-        n_rows = sum(next(iter(levels.values())).values())
-    else:
-        n_rows = train.count()
     return FeatureModel(
         numeric=list(roles.numeric), categorical=list(roles.categorical), n_rows=n_rows,
         means={c: float(ns[c]["mean"]) for c in roles.numeric},
