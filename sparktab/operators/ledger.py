@@ -1,6 +1,6 @@
 """Run ledger (G1-G3, G5, G7, G8): runs recorded in ordinary append-only tables.
 
-Tables (Parquet folders under one root):
+Views over one append-only record table (Parquet, partitioned by kind):
 
 * ``runs(run_id, parent_id, name, stage, status, start_ts, end_ts, model_type,
   feature_run_id, split_seed, test_size, version)`` — a run is re-appended when
@@ -76,82 +76,103 @@ def compare_runs(metrics: DataFrame) -> DataFrame:
             .agg(F.max_by("value", F.struct("ts", "step"))))
 
 
+RECORD_SCHEMA = ("kind string, run_id string, parent_id string, name string, stage string, status string, "
+                 "start_ts timestamp, end_ts timestamp, model_type string, feature_run_id string, "
+                 "split_seed bigint, test_size double, version bigint, key string, value string, "
+                 "num double, ts timestamp, step bigint, path string")
+_RUN_COLS = ["run_id", "parent_id", "name", "stage", "status", "start_ts", "end_ts", "model_type",
+             "feature_run_id", "split_seed", "test_size", "version"]
+
+
 class Ledger:
-    """Append-only run tables under ``root`` (a shared folder on a cluster)."""
+    """Append-only run records under ``root`` (a shared folder on a cluster).
+
+    One Parquet table partitioned by ``kind`` (run / param / metric / artifact)
+    backs the four ledger views.  Params, metrics and artifacts are buffered and
+    written with the run's final row, so a run costs two small writes (start and
+    end) and a crashed run stays visible as ``RUNNING``.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        self._buf: list[tuple] = []
+        self._open: dict[str, dict] = {}
 
     def _path(self, name: str) -> str:
         return os.path.join(self.root, name)
 
-    def _append(self, name: str, rows, schema: str, partition_by=()) -> None:
-        df = local_table(self.spark, rows, schema)
-        w = df.coalesce(1).write.mode("append")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self._path(name))
+    @staticmethod
+    def _record(kind, run_id, **f):
+        return (kind, run_id, f.get("parent_id"), f.get("name"), f.get("stage"), f.get("status"),
+                f.get("start_ts"), f.get("end_ts"), f.get("model_type"), f.get("feature_run_id"),
+                f.get("split_seed"), f.get("test_size"), f.get("version"), f.get("key"), f.get("value"),
+                f.get("num"), f.get("ts"), f.get("step"), f.get("path"))
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self._path(name))
+    def flush(self) -> None:
+        if not self._buf:
+            return
+        rows, self._buf = self._buf, []
+        (local_table(self.spark, rows, RECORD_SCHEMA).coalesce(1).write.mode("append")
+         .partitionBy("kind").parquet(self._path("records")))
 
-    def exists(self, name: str) -> bool:
-        return os.path.isdir(self._path(name)) if "://" not in self.root else True
+    def _records(self, kind: str) -> DataFrame:
+        self.flush()
+        return self.spark.read.parquet(self._path("records")).where(F.col("kind") == kind)
 
     # Writers ------------------------------------------------------------
     def start_run(self, stage: str, name: str | None = None, parent_id: str | None = None,
                   **fields) -> str:
         run_id = uuid.uuid4().hex
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        name = name or f"run_{now:%Y%m%d_%H%M%S}"
-        self._write_run(run_id, parent_id, name, stage, RUNNING, now, None, fields, 0)
+        run = {"run_id": run_id, "parent_id": parent_id, "name": name or f"run_{now:%Y%m%d_%H%M%S}",
+               "stage": stage, "status": RUNNING, "start_ts": now, "end_ts": None, "version": 0,
+               "model_type": fields.get("model_type"), "feature_run_id": fields.get("feature_run_id"),
+               "split_seed": fields.get("split_seed"),
+               "test_size": float(fields["test_size"]) if fields.get("test_size") is not None else None}
+        self._open[run_id] = run
+        self._buf.append(self._record("run", **run))
+        self.flush()
         return run_id
 
     def end_run(self, run_id: str, status: str = FINISHED, **fields) -> None:
-        r = get_run(self.runs(), run_id).first()
-        if r is None:
-            raise KeyError(f"unknown run {run_id}")
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        merged = {k: r[k] for k in ("model_type", "feature_run_id", "split_seed", "test_size")}
-        merged.update(fields)
-        self._write_run(run_id, r["parent_id"], r["name"], r["stage"], status, r["start_ts"], now,
-                        merged, r["version"] + 1)
-
-    def _write_run(self, run_id, parent_id, name, stage, status, start, end, fields, version):
-        row = (run_id, parent_id, name, stage, status, start, end, fields.get("model_type"),
-               fields.get("feature_run_id"), fields.get("split_seed"),
-               float(fields["test_size"]) if fields.get("test_size") is not None else None, version)
-        self._append("runs", [row], RUNS_SCHEMA, partition_by=["stage"])
+        run = self._open.pop(run_id, None)
+        if run is None:
+            r = get_run(self.runs(), run_id).first()
+            if r is None:
+                raise KeyError(f"unknown run {run_id}")
+            run = r.asDict()
+        run = {**run, **{k: v for k, v in fields.items() if k in _RUN_COLS}}
+        run.update(status=status, end_ts=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+                   version=run["version"] + 1)
+        self._buf.append(self._record("run", **run))
+        self.flush()
 
     def log_params(self, run_id: str, params: Mapping[str, object]) -> None:
-        rows = [(run_id, str(k), str(v)) for k, v in params.items()]
-        if rows:
-            self._append("params", rows, "run_id string, key string, value string")
+        self._buf += [self._record("param", run_id, key=str(k), value=str(v)) for k, v in params.items()]
 
     def log_metrics(self, run_id: str, metrics: Mapping[str, float], step: int = 0) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        rows = [(run_id, str(k), float(v) if v is not None else None, now, step) for k, v in metrics.items()]
-        if rows:
-            self._append("metrics", rows, "run_id string, key string, value double, ts timestamp, step bigint")
+        self._buf += [self._record("metric", run_id, key=str(k), num=float(v) if v is not None else None,
+                                   ts=now, step=step) for k, v in metrics.items()]
 
     def log_artifact(self, run_id: str, path: str, kind: str) -> None:
-        self._append("artifacts", [(run_id, path, kind)], "run_id string, path string, kind string")
+        self._buf.append(self._record("artifact", run_id, path=path, key=kind))
 
     def artifact_dir(self, run_id: str) -> str:
         return self._path(os.path.join("artifact_store", run_id))
 
-    # readers ------------------------------------------------------------------
+    # views --------------------------------------------------------------------
     def runs(self) -> DataFrame:
-        return self.spark.read.parquet(self._path("runs"))
+        return self._records("run").select(*_RUN_COLS)
 
     def params(self) -> DataFrame:
-        return self.table("params")
+        return self._records("param").select("run_id", "key", "value")
 
     def metrics(self) -> DataFrame:
-        return self.table("metrics")
+        return self._records("metric").select("run_id", "key", F.col("num").alias("value"), "ts", "step")
 
     def artifacts(self) -> DataFrame:
-        return self.table("artifacts")
+        return self._records("artifact").select("run_id", "path", F.col("key").alias("kind"))
 
     def latest_run(self, stage: str):
         """Newest finished run of a stage as a Row, or None (G1)."""
@@ -163,6 +184,9 @@ class Ledger:
             raise
 
     def artifact_path(self, run_id: str, kind: str) -> str | None:
+        for rec in self._buf:
+            if rec[0] == "artifact" and rec[1] == run_id and rec[13] == kind:
+                return rec[18]
         rows = (self.artifacts().where((F.col("run_id") == run_id) & (F.col("kind") == kind))
                 .select("path").limit(1).collect())
         return rows[0]["path"] if rows else None

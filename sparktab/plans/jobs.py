@@ -31,6 +31,9 @@ from ..session import scratch_path
 from ..sources.tables import read_small_json, read_table, write_small_json, write_table
 
 MODEL_TYPES = ("linear_regression", "gbt")
+# Fitted objects of runs created in this process (their artifacts are also written);
+# later stages of the same workflow reuse them instead of reading them back.
+_FITTED: dict[tuple[str, str], object] = {}
 
 
 @dataclass(frozen=True)
@@ -106,6 +109,7 @@ def run_feature_engineering(spark: SparkSession, spec: JobSpec, parent_id: str |
         fm = fit_features(df.where(F.col("split") == TRAIN), roles, target=spec.target)
         art = ledger.artifact_dir(run_id)
         write_small_json(spark, fm.to_json(), os.path.join(art, "feature_model"))
+        _FITTED[(run_id, "feature_model")] = fm
         write_table(profile.null_counts(df.drop("split")), os.path.join(art, "null_counts"))
         ledger.log_artifact(run_id, os.path.join(art, "feature_model"), "feature_model")
         ledger.log_artifact(run_id, os.path.join(art, "null_counts"), "null_counts")
@@ -123,6 +127,8 @@ def run_feature_engineering(spark: SparkSession, spec: JobSpec, parent_id: str |
 
 
 def load_feature_model(spark: SparkSession, ledger: Ledger, feature_run_id: str) -> FeatureModel:
+    if (feature_run_id, "feature_model") in _FITTED:
+        return _FITTED[(feature_run_id, "feature_model")]
     path = ledger.artifact_path(feature_run_id, "feature_model")
     if path is None:
         raise LookupError(f"feature run {feature_run_id} has no feature model")
@@ -156,6 +162,7 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
             scored = (model.transform(test).select(F.col(spec.target).cast("double").alias("y_true"), "y_pred")
                       .withColumn("residual", F.col("y_true") - F.col("y_pred")))
         ledger.log_artifact(run_id, os.path.join(art, "model"), spec.model_type)
+        _FITTED[(run_id, "model")] = model
         scored = scored.persist()
         write_table(scored, os.path.join(art, "predictions"))
         ledger.log_artifact(run_id, os.path.join(art, "predictions"), "predictions")
@@ -185,6 +192,8 @@ def load_model(spark: SparkSession, ledger: Ledger, run_id: str):
     run = get_run(ledger.runs(), run_id).first()
     if run is None:
         raise LookupError(f"Run {run_id} not found")
+    if (run_id, "model") in _FITTED:
+        return _FITTED[(run_id, "model")], run
     path = ledger.artifact_path(run_id, run["model_type"])
     if run["model_type"] == "linear_regression":
         return LinearModel.from_json(read_small_json(spark, path)), run
