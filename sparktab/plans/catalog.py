@@ -659,7 +659,7 @@ PART_RULES = [
 @register("rule_report", """
 SELECT 'orders.o_orderkey.not_null' AS rule, count(*) AS checked, count(*) - count(o_orderkey) AS failed FROM orders
 UNION ALL SELECT 'orders.o_orderkey.unique', count(o_orderkey),
-  (SELECT coalesce(sum(k), 0) FROM (SELECT count(*) AS k FROM orders WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING count(*) > 1)) FROM orders
+  CAST((SELECT coalesce(sum(k), 0) FROM (SELECT count(*) AS k FROM orders WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING count(*) > 1)) AS BIGINT) FROM orders
 UNION ALL SELECT 'orders.o_totalprice.range', count(o_totalprice), count(*) FILTER (WHERE o_totalprice < 1000.0 OR o_totalprice > 400000.0) FROM orders
 UNION ALL SELECT 'orders.o_orderstatus.allowed', count(o_orderstatus), count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O', 'P')) FROM orders
 UNION ALL SELECT 'orders.o_orderpriority.regex', count(o_orderpriority), count(*) FILTER (WHERE NOT regexp_matches(o_orderpriority, '^[1-5]-[A-Z]+$')) FROM orders
@@ -694,6 +694,8 @@ FROM w WHERE ws + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HO
 GROUP BY 1, 2""")
 def stream_latency(spark, d):
     from ..streaming.latency import windowed_stream_to_table
+    # events.ts is a UTC wall clock; event time and window labels are read in UTC
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema = t(spark, d, "events").schema
     out = windowed_stream_to_table(spark, f"{d}/events*.parquet", schema, "1 day", "1 hour")
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type",

@@ -68,7 +68,13 @@ def local_table(spark: SparkSession, rows, schema):
     pdf = pd.DataFrame([tuple(r) for r in rows], columns=names, dtype=object)
     if len(pdf) == 0:
         return spark.createDataFrame([], st)
-    return spark.createDataFrame(pdf, st)
+    key = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")  # Arrow path -> LocalRelation; restored right after
+    try:
+        return spark.createDataFrame(pdf, st)
+    finally:
+        spark.conf.set(key, before)
 
 
 def spread(df):
