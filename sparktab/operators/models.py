@@ -265,8 +265,11 @@ def fit_gbt(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
             **params):
     """M2: gradient-boosted trees; returns a fitted ``PipelineModel``."""
     est = gbt_regressor(target, **params)
-    return vector_pipeline(numeric, categorical, est).fit(
-        train.withColumn(target, F.col(target).cast("double")))
+    data = _sized(train.select(*numeric, *categorical, F.col(target).cast("double").alias(target)))
+    try:
+        return vector_pipeline(numeric, categorical, est).fit(data)
+    finally:
+        data.unpersist()
 
 
 # Search space for M4 (fixed values of the tuning grid).
@@ -312,8 +315,8 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
     fit_df = fit_df.withColumn(target, F.col(target).cast("double"))
     valid_df = valid_df.withColumn(target, F.col(target).cast("double"))
     enc = vector_pipeline(numeric, categorical).fit(fit_df)
-    fit_v = enc.transform(fit_df).select("features", target).persist()
-    val_v = enc.transform(valid_df).select("features", target).persist()
+    fit_v = _sized(enc.transform(fit_df).select("features", target))
+    val_v = _sized(enc.transform(valid_df).select("features", target))
     est = gbt_regressor(target)
     trials = sample_params(n_trials, seed)
     jobs = []
@@ -341,6 +344,27 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
     return table.orderBy("val_mse", "trial"), best
 
 
+ROWS_PER_PARTITION = 250_000
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """Persist model-fit input with partitions sized by row count (not by input files).
+
+    Boosting runs several jobs per round over this data; tiny partitions only add
+    scheduling cost, so the partition count follows ``rows / ROWS_PER_PARTITION``
+    (never more than the input has, never fewer than one).
+    """
+    df = df.persist()
+    n = df.count()
+    want = max(1, -(-n // ROWS_PER_PARTITION))
+    if want < df.rdd.getNumPartitions():
+        sized = df.coalesce(want).persist()
+        sized.count()
+        df.unpersist()
+        return sized
+    return df
+
+
 def refit_best(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
                best: dict, seed: int = 42):
     """M5: refit the winning parameter set on all training rows (fit + validation)."""
