@@ -14,25 +14,36 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.features import FeatureModel
 from ..operators.models import PRED, LinearModel
+from ..operators.scoring import score_partial
 from ..session import scratch_path
 
 
-def score_stream(stream: DataFrame, model: LinearModel, keep: Sequence[str] = ()) -> DataFrame:
+def score_stream(stream: DataFrame, model: LinearModel, keep: Sequence[str] = (),
+                 features: FeatureModel | None = None) -> DataFrame:
+    """Score a (streaming or batch) DataFrame.
+
+    With ``features`` the partial-record path runs (C3): missing fields are
+    imputed from the training statistics and reported in ``imputed``.
+    """
+    if features is not None:
+        return score_partial(stream, features, model, keep=keep)
     return stream.select(*keep, model.predict_col(stream).alias(PRED))
 
 
 def score_stream_to_table(spark: SparkSession, source: str, schema: T.StructType, model: LinearModel,
                           keep: Sequence[str] = (), sink: str | None = None,
-                          checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                          checkpoint: str | None = None, max_files_per_trigger: int | None = None,
+                          features: FeatureModel | None = None, fmt: str = "parquet") -> DataFrame:
     """Drain every available file through the model (``availableNow``) and return the sink table."""
     sink = sink or scratch_path(spark, "stream-score-out")
     checkpoint = checkpoint or scratch_path(spark, "stream-score-ckpt")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(source)
-    q = (score_stream(src, model, keep).writeStream.format("parquet")
+    src = reader.format(fmt).load(source)
+    q = (score_stream(src, model, keep, features).writeStream.format("parquet")
          .option("path", sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

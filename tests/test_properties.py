@@ -105,3 +105,24 @@ def test_missing_target_and_bad_numeric(spark, scratch):
     assert fm.stds["x"] == 0.0 and fm.std_pop["x"] == 0.0  # single row: std 0
     lm = fit_linear(one, fm, "y")
     assert one.select(lm.predict_col(one)).first()[0] == pytest.approx(1.0)
+
+
+def test_stream_partial_records_are_imputed(spark, scratch):
+    import json
+
+    src = os.path.join(scratch, "requests")
+    os.makedirs(src)
+    with open(os.path.join(src, "part-0.json"), "w") as f:
+        for rec in [{"id": 1, "x": 2.0, "g": "a"}, {"id": 2, "g": "b"}, {"id": 3, "x": 4.0}]:
+            f.write(json.dumps(rec) + "\n")
+    train = spark.createDataFrame([(1.0, "a", 10.0), (2.0, "b", 20.0), (3.0, "a", 30.0), (4.0, "b", 41.0)],
+                                  "x double, g string, y double")
+    fm = fit_features(train, Roles(["x"], ["g"]), target="y")
+    lm = fit_linear(train, fm, "y")
+    out = score_stream_to_table(spark, src, "id long, x double, g string", lm, keep=["id"], features=fm,
+                                sink=os.path.join(scratch, "o"), checkpoint=os.path.join(scratch, "c"), fmt="json")
+    got = {r.id: r for r in out.collect()}
+    assert got[1].imputed == {} and got[2].imputed == {"x": "2.500000"} and got[3].imputed == {"g": "b"}
+    batch = train.select(lm.predict_col(train).alias("p")).collect()
+    assert got[1].y_pred == pytest.approx(lm.predict(spark.createDataFrame([(2.0, "a")], "x double, g string")).first().y_pred)
+    assert len(batch) == 4
