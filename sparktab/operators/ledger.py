@@ -19,7 +19,7 @@ import os
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import local_table
@@ -193,4 +193,4 @@ class Ledger:
 
 
 __all__ = ["Ledger", "latest_by_stage", "get_run", "lineage", "workflow_summary", "compare_runs",
-           "current_runs", "Window"]
+           "current_runs"]
