@@ -161,7 +161,8 @@ def impute(df: DataFrame, model: FeatureModel, cols: Sequence[str] | None = None
     for c in cols:
         v = model.impute_value(c)
         if c in model.means:
-            repl[c] = F.when(is_missing(F.col(c)), F.lit(float(v))).otherwise(F.col(c).cast("double"))
+            # try_cast: text that is not a number becomes null here; callers flag it (bad_request)
+            repl[c] = F.when(is_missing(F.col(c)), F.lit(float(v))).otherwise(F.col(c).try_cast("double"))
         else:
             repl[c] = F.when(is_missing(F.col(c)), F.lit(v)).otherwise(F.col(c).cast("string"))
     return df.withColumns(repl)
@@ -203,3 +204,10 @@ def align_records(records: DataFrame, features_col: str, numeric: Sequence[str],
     rejects = tagged.filter((F.size("missing") > 0) | (F.size("bad_cast") > 0)).select(
         *others, "missing", "bad_cast")
     return ok, rejects
+
+
+def bad_numbers(model: FeatureModel, cols: Sequence[str] | None = None) -> Column:
+    """Array of numeric features whose present value is not a number (ANSI-safe)."""
+    cols = [c for c in (cols if cols is not None else model.numeric) if c in model.means]
+    return F.array_compact(F.array(*[
+        F.when(~is_missing(F.col(c)) & F.col(c).try_cast("double").isNull(), F.lit(c)) for c in cols]))

@@ -278,3 +278,67 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
         ledger.end_run(parent, FAILED)
         raise
     return {"workflow": parent, "feature_engineering": fe, "training": tr, "evaluation": ev}
+
+
+# --- C3/C4 as a job: the scoring service's data work over a request table ---------------
+
+MAX_REQUEST_RUNS = 100
+
+
+def run_inference(spark: SparkSession, spec: JobSpec, requests: DataFrame, run_col: str | None = None,
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """Impute-then-score a table of (partial) requests, routed by run id.
+
+    Each request row may name a training run in ``run_col``; rows without one
+    use the newest finished training run.  Every distinct run is loaded once and
+    scores its own rows; the parts are unioned.  Errors become data:
+    ``status = 'not_found'`` for an unknown run, ``'bad_request'`` when a numeric
+    field holds text that is not a number (with the fields in ``reason``).
+    Output: ``keep..., model_run_id, model_type, status, reason, used_features, imputed, y_pred``.
+    """
+    from ..operators.features import bad_numbers
+    from ..operators.scoring import score_partial
+
+    ledger = Ledger(spark, spec.ledger_root)
+    latest = ledger.latest_run("training")
+    default = latest["run_id"] if latest is not None else None
+    rid = F.coalesce(F.col(run_col), F.lit(default)) if run_col else F.lit(default)
+    req = requests.withColumn("_run", rid.cast("string"))
+    ids = [r[0] for r in req.select("_run").distinct().limit(MAX_REQUEST_RUNS + 1).collect()]
+    if len(ids) > MAX_REQUEST_RUNS:
+        raise ValueError(f"more than {MAX_REQUEST_RUNS} distinct runs in one request table")
+    parts = []
+    for run_id in ids:
+        rows = req.where(F.col("_run").eqNullSafe(F.lit(run_id)))
+        try:
+            if run_id is None:
+                raise LookupError("no finished training run")
+            model, mrun = load_model(spark, ledger, run_id)
+            if not isinstance(model, LinearModel):
+                raise LookupError(f"run {run_id} is not a linear model")
+            fm = load_feature_model(spark, ledger, mrun["feature_run_id"])
+        except LookupError as e:
+            parts.append(rows.select(*keep, F.col("_run").alias("model_run_id"),
+                                     F.lit(None).cast("string").alias("model_type"),
+                                     F.lit("not_found").alias("status"), F.lit(str(e)).alias("reason"),
+                                     F.lit(None).cast("string").alias("used_features"),
+                                     F.lit(None).cast("map<string,string>").alias("imputed"),
+                                     F.lit(None).cast("double").alias("y_pred")))
+            continue
+        for c in fm.numeric + fm.categorical:
+            if c not in rows.columns:
+                rows = rows.withColumn(c, F.lit(None).cast("string"))
+        rows = rows.withColumn("_bad", bad_numbers(fm))
+        scored = score_partial(rows, fm, model, keep=[*keep, "_run", "_bad"])
+        ok = F.size("_bad") == 0
+        parts.append(scored.select(
+            *keep, F.col("_run").alias("model_run_id"), F.lit(mrun["model_type"]).alias("model_type"),
+            F.when(ok, F.lit("ok")).otherwise(F.lit("bad_request")).alias("status"),
+            F.when(ok, F.lit(None)).otherwise(F.concat(F.lit("not a number: "), F.array_join("_bad", ",")))
+            .cast("string").alias("reason"),
+            F.to_json("used_features").alias("used_features"), "imputed",
+            F.when(ok, F.col("y_pred")).alias("y_pred")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

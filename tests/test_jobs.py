@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparktab.operators.ledger import Ledger, compare_runs, latest_by_stage, lineage, workflow_summary
-from sparktab.plans.jobs import (JobSpec, run_evaluation, run_feature_engineering, run_offline_workflow,
-                                 run_prediction, run_training)
+from sparktab.plans.jobs import (JobSpec, run_evaluation, run_feature_engineering, run_inference,
+                                 run_offline_workflow, run_prediction, run_training)
 from sparktab.sources.runstore import read_run_store
 
 
@@ -110,3 +110,18 @@ def test_read_recorded_run_store(spark):
     assert "training" not in latest  # the only training-tagged run never finished
     p = {(r.run_id[:6], r.key): r.value for r in t["params"].collect()}
     assert p[("15639d", "data_rows")] == "545"
+
+
+def test_inference_requests_route_impute_and_report(spark, scratch):
+    data = os.path.join(scratch, "housing.csv")
+    _eight_rows(data)
+    spec = JobSpec(data, "price", os.path.join(scratch, "ledger"), test_size=0.25, seed=3)
+    ids = run_offline_workflow(spark, spec)
+    req = spark.createDataFrame(
+        [(1, None, "1500", "3", None), (2, ids["training"], "abc", "2", "yes"), (3, "nope", "1500", "3", "no")],
+        "id int, run string, area string, bedrooms string, mainroad string")
+    out = {r.id: r for r in run_inference(spark, spec, req, run_col="run", keep=["id"]).collect()}
+    assert out[1].status == "ok" and out[1].model_run_id == ids["training"] and out[1].y_pred is not None
+    assert "mainroad" in out[1].imputed and "bathrooms" in out[1].imputed and "area" not in out[1].imputed
+    assert out[2].status == "bad_request" and out[2].reason == "not a number: area" and out[2].y_pred is None
+    assert out[3].status == "not_found" and out[3].y_pred is None
