@@ -67,15 +67,15 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool | str = "auto",
     """Count, mean, sample std, min, quartiles, max per numeric column (long form).
 
     Two passes: one wide aggregate (moments, min/max and a distinct-count sketch
-    that decides exact vs approximate quartiles), then the quartiles.
+    that picks the frequency or the bracket path; both are exact), then the quartiles.
     """
     stats = df.agg(F.array(*[F.struct(
         F.lit(c).alias("feature"), F.count(F.col(c)).alias("count"), F.avg(F.col(c).cast("double")).alias("mean"),
         F.stddev_samp(F.col(c).cast("double")).alias("std"), F.min(F.col(c).cast("double")).alias("min"),
         F.max(F.col(c).cast("double")).alias("max"), F.approx_count_distinct(F.col(c)).alias("d"))
         for c in cols]).alias("s")).select(F.inline("s")).collect()
-    if exact == "auto":
-        exact = max((r["d"] for r in stats), default=0) <= max_distinct
+    if exact == "auto":  # both choices are exact; the sketch only picks the cheaper path
+        exact = True if max((r["d"] for r in stats), default=0) <= max_distinct else "bracket"
     base = local_table(df.sparkSession, [tuple(r)[:6] for r in stats],
                        "feature string, count bigint, mean double, std double, min double, max double")
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(

@@ -1,41 +1,124 @@
-"""Order statistics with a checked memory bound.
-
-Exact quantiles (linear interpolation, the reference's default) are computed
-from ``(group, value, count)`` pre-aggregates with ``percentile(v, p, freq)``:
-a hot value collapses to one row per task before the shuffle, and the final
-buffer per group holds one entry per *distinct* value.  Before taking the
-exact path we check the distinct count per group with
-``approx_count_distinct``; above the bound the plan switches to
-``percentile_approx`` (bounded sketch), never to a sample or a prefix.
+"""Exact order statistics at any scale, with bounded memory per task.
+
+Quantiles use linear interpolation between the values at ranks
+``floor(p (n-1))`` and ``ceil(p (n-1))`` (the reference's default, Spark's
+``percentile`` and DuckDB's ``quantile_cont``).  Two exact strategies:
+
+* **frequency path** (few distinct values per group): ``(group, value, count)``
+  pre-aggregates feed ``percentile(v, p, freq)``.  A hot value collapses to one
+  row per task before the shuffle; the final buffer holds one entry per
+  distinct value, so this path is taken only below a checked distinct count.
+* **bracket path** (many distinct values): a ``percentile_approx`` sketch
+  brackets each target rank (rank error at most ``n / accuracy``), one pass
+  counts the rows below each bracket and pre-aggregates the ``(value, count)``
+  pairs inside it, and a window over those bounded pairs picks the exact ranks.
+  A bracket that misses (possible only through ties or sketch error) is
+  widened and retried.  No task ever holds a whole group.
+
+``exact="auto"`` picks the path from an ``approx_count_distinct`` check;
+``True`` forces the frequency path, ``"bracket"`` the bracket path, and
+``False`` returns the sketch values directly (approximate).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import local_table
 
 MAX_EXACT_DISTINCT = 2_000_000
 APPROX_ACCURACY = 100_000
+MAX_GROUPS = 100_000
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
               exact: bool | str = "auto", out: str = "q",
-              max_distinct: int = MAX_EXACT_DISTINCT) -> DataFrame:
+              max_distinct: int = MAX_EXACT_DISTINCT, accuracy: int = APPROX_ACCURACY) -> DataFrame:
     """``(by..., q array<double>)`` with ``q[i]`` the ``probs[i]`` quantile of ``value``."""
     v = F.col(value).cast("double")
+    probs_col = F.array(*[F.lit(float(p)) for p in probs])
+    if exact is False:
+        agg = F.percentile_approx(v, probs_col, accuracy)
+        return df.groupBy(*by).agg(agg.alias(out)) if by else df.agg(agg.alias(out))
+    if exact == "bracket":
+        return bracket_quantiles(df, value, probs, by, out=out, accuracy=accuracy)
     if exact == "auto":
         if by:
             widest = df.groupBy(*by).agg(F.approx_count_distinct(v).alias("d")).agg(F.max("d")).first()[0]
         else:
             widest = df.agg(F.approx_count_distinct(v)).first()[0]
-        exact = (widest or 0) <= max_distinct
-    probs_col = F.array(*[F.lit(float(p)) for p in probs])
-    if exact:
+        few = (widest or 0) <= max_distinct
+    else:
+        few = True
+    if few:
         freq = (df.where(v.isNotNull()).groupBy(*by, v.alias("_v"))
                 .agg(F.count(F.lit(1)).alias("_f")))
         agg = F.percentile(F.col("_v"), probs_col, F.col("_f"))
         return freq.groupBy(*by).agg(agg.alias(out)) if by else freq.agg(agg.alias(out))
-    agg = F.percentile_approx(v, probs_col, APPROX_ACCURACY)
-    return df.groupBy(*by).agg(agg.alias(out)) if by else df.agg(agg.alias(out))
+    return bracket_quantiles(df, value, probs, by, out=out, accuracy=accuracy)
+
+
+def bracket_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
+                      out: str = "q", accuracy: int = APPROX_ACCURACY, max_tries: int = 4) -> DataFrame:
+    """Exact quantiles by sketch brackets (see module doc); ``by`` groups are bounded."""
+    spark = df.sparkSession
+    base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    by_fields = [df.schema[c] for c in by]
+    margin = 2.0 / accuracy
+    for _ in range(max_tries):
+        lo_p = [max(0.0, p - margin) for p in probs]
+        hi_p = [min(1.0, p + margin) for p in probs]
+        sketch = base.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.percentile_approx("_v", F.array(*[F.lit(x) for x in lo_p + hi_p]), accuracy).alias("_b"))
+        rows = sketch.limit(MAX_GROUPS + 1).collect()
+        if len(rows) > MAX_GROUPS:
+            raise ValueError(f"more than {MAX_GROUPS} groups")
+        targets = []
+        for r in rows:
+            n = int(r["_n"])
+            for j, p in enumerate(probs):
+                pos = p * (n - 1)
+                k_lo, k_hi = int(math.floor(pos)), int(math.ceil(pos))
+                targets.append((*[r[c] for c in by], j, float(r["_b"][j]), float(r["_b"][len(probs) + j]),
+                                k_lo, k_hi, pos))
+        brk = local_table(spark, targets, T.StructType([
+            *[T.StructField(f.name, f.dataType) for f in by_fields], T.StructField("_j", T.IntegerType()),
+            T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType()),
+            T.StructField("_klo", T.LongType()), T.StructField("_khi", T.LongType()),
+            T.StructField("_pos", T.DoubleType())]))
+        if by:
+            joined = base.join(F.broadcast(brk), list(by))
+        else:  # one group: equi-join on a constant key against the bounded bracket table
+            joined = base.withColumn("_g", F.lit(0)).join(F.broadcast(brk.withColumn("_g", F.lit(0))), "_g")
+        keys = [*by, "_j"]
+        below = joined.groupBy(*keys).agg(F.count(F.when(F.col("_v") < F.col("_lo"), 1)).alias("_below"))
+        inside = (joined.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+                  .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+        w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        cum = (inside.join(below, keys).join(F.broadcast(brk.select(*keys, "_klo", "_khi", "_pos")), keys)
+               .withColumn("_end", F.col("_below") + F.sum("_c").over(w))
+               .withColumn("_start", F.col("_end") - F.col("_c")))
+        # value at 0-based rank k: the row whose [start, end) covers k
+        at = lambda k: F.min(F.when((F.col("_start") <= F.col(k)) & (F.col(k) < F.col("_end")),
+                                    F.col("_v")))
+        picked = cum.groupBy(*keys).agg(at("_klo").alias("_vlo"), at("_khi").alias("_vhi"),
+                                        F.first("_klo").alias("_klo"), F.first("_khi").alias("_khi"),
+                                        F.first("_pos").alias("_pos"))
+        got = picked.collect()  # one row per (group, probability): bounded
+        if all(g["_vlo"] is not None and g["_vhi"] is not None for g in got) and len(got) == len(targets):
+            result: dict[tuple, list] = {}
+            for g in got:
+                q = g["_vlo"] if g["_klo"] == g["_khi"] else \
+                    (g["_khi"] - g["_pos"]) * g["_vlo"] + (g["_pos"] - g["_klo"]) * g["_vhi"]
+                result.setdefault(tuple(g[c] for c in by), [None] * len(probs))[g["_j"]] = float(q)
+            return local_table(spark, [(*k, v) for k, v in result.items()], T.StructType([
+                *[T.StructField(f.name, f.dataType) for f in by_fields],
+                T.StructField(out, T.ArrayType(T.DoubleType()))]))
+        margin *= 16
+    raise RuntimeError("quantile brackets did not converge")

@@ -229,3 +229,22 @@ def test_profile_shapes(spark):
     s, out = profile.box_stats(o, "o_totalprice", "o_orderpriority")
     assert s.count() == 5
     assert profile.density(o, "o_totalprice", 20, 50).count() == 50
+
+
+def test_bracket_quantiles_equal_exact(spark):
+    import numpy as np
+    from sparktab.operators.quantiles import bracket_quantiles, quantiles
+
+    rng = np.random.default_rng(7)
+    vals = np.concatenate([rng.normal(size=3000).round(2), np.full(2000, 0.5), rng.integers(0, 5, 500)])
+    groups = rng.choice(["a", "b", "c"], size=len(vals), p=[0.6, 0.3, 0.1])
+    df = spark.createDataFrame([(str(g), float(v)) for g, v in zip(groups, vals)], "g string, v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    exact = {r.g: r.q for r in quantiles(df, "v", probs, by=["g"], exact=True).collect()}
+    for acc in (20, 1000):  # coarse sketch -> wide brackets / retries; fine sketch -> tight ones
+        br = {r.g: r.q for r in bracket_quantiles(df, "v", probs, by=["g"], accuracy=acc).collect()}
+        assert br.keys() == exact.keys()
+        for g in exact:
+            assert br[g] == pytest.approx(exact[g], rel=1e-12, abs=1e-12)
+    one = bracket_quantiles(df, "v", [0.5], accuracy=50).first().q
+    assert one == pytest.approx(quantiles(df, "v", [0.5], exact=True).first().q)
