@@ -145,46 +145,79 @@ def min_norm_solve(a: np.ndarray, b: np.ndarray, rcond: float = 1e-10) -> tuple[
     return vecs @ (inv * (vecs.T @ b)), int(keep.sum())
 
 
-def fit_linear(train: DataFrame, fm: FeatureModel, target: str) -> LinearModel:
-    """M1: OLS with intercept on the full encoding, minimum-norm (see module doc).
-
-    Rows with a null target or a null numeric feature are left out (complete
-    cases).  A constant column in the Gram pass gives the row count and column
-    sums of the rows actually used, so the centring is exact for them even
-    though the design was pre-centred with the training statistics.
-    """
-    if fm.target_mean is None:
-        raise ValueError("FeatureModel was fitted without the target; pass target= to fit_features")
+def _complete_rows(train: DataFrame, fm: FeatureModel, target: str) -> DataFrame:
     complete = F.col(target).isNotNull()
     for c in fm.numeric:
         complete = complete & F.col(c).isNotNull()
-    used = train.where(complete)
+    return train.where(complete)
+
+
+def _design_gram(train: DataFrame, fm: FeatureModel, target: str) -> np.ndarray:
+    """One pass: Gram of ``[1, pre-centred design..., y - mean]`` over complete training rows."""
+    if fm.target_mean is None:
+        raise ValueError("FeatureModel was fitted without the target; pass target= to fit_features")
+    used = _complete_rows(train, fm, target)
     y = F.col(target).cast("double") - F.lit(fm.target_mean)
-    design = centred_design(fm, used)
-    d = len(design)
-    g = gram(used, [F.lit(1.0)] + design + [y])
-    n_used = g[0, 0]
-    if n_used == 0:
+    g = gram(used, [F.lit(1.0)] + centred_design(fm, used) + [y])
+    if g[0, 0] == 0:
         raise ValueError("no complete training rows to fit")
-    sums = g[0, 1:]
-    cov = g[1:, 1:] - np.outer(sums, sums) / n_used
-    w, rank = min_norm_solve(cov[:d, :d], cov[:d, d])
-    mean_u, mean_y = sums[:d] / n_used, sums[d] / n_used
-    intercept = fm.target_mean + mean_y - float(mean_u @ w)
-    numeric, i = [], 0
+    return g
+
+
+def _solve(g: np.ndarray, fm: FeatureModel, numeric: Sequence[str], categorical: Sequence[str]) -> LinearModel:
+    """Minimum-norm OLS for the sub-design (``numeric`` + one-hot ``categorical``) of ``g``."""
+    slots, pos = {}, 1
     for c in fm.numeric:
-        numeric.append((c, fm.means[c], fm.scale(c), float(w[i])))
+        slots[c] = [pos]
+        pos += 1
+    for c in fm.categorical:
+        slots[c] = list(range(pos, pos + len(fm.level_list(c))))
+        pos += len(fm.level_list(c))
+    y_slot = pos
+    idx = [i for c in list(numeric) + list(categorical) for i in slots[c]]
+    sub = g[np.ix_([0] + idx + [y_slot], [0] + idx + [y_slot])]
+    n_used, sums = sub[0, 0], sub[0, 1:]
+    cov = sub[1:, 1:] - np.outer(sums, sums) / n_used
+    d = len(idx)
+    w, rank = min_norm_solve(cov[:d, :d], cov[:d, d])
+    intercept = fm.target_mean + sums[d] / n_used - float(sums[:d] / n_used @ w)
+    out_num, i = [], 0
+    for c in numeric:
+        out_num.append((c, fm.means[c], fm.scale(c), float(w[i])))
         i += 1
     n = float(fm.n_rows)
-    categorical = []
-    for c in fm.categorical:
+    out_cat = []
+    for c in categorical:
         lw = []
         for lv in fm.level_list(c):
             lw.append((lv, float(w[i])))
             intercept -= float(w[i]) * fm.levels[c][lv] / n  # undo the pre-centring of the 0/1 column
             i += 1
-        categorical.append((c, lw))
-    return LinearModel(float(intercept), numeric, categorical, rank)
+        out_cat.append((c, lw))
+    return LinearModel(float(intercept), out_num, out_cat, rank)
+
+
+def fit_linear(train: DataFrame, fm: FeatureModel, target: str) -> LinearModel:
+    """M1: OLS with intercept on the full encoding, minimum-norm (see module doc).
+
+    Rows with a null target or a null numeric feature are left out (complete
+    cases).  A constant column in the Gram pass gives the row count and column
+    sums of the rows actually used, so the centring is exact for them even
+    though the design was pre-centred with the training statistics.
+    """
+    return _solve(_design_gram(train, fm, target), fm, fm.numeric, fm.categorical)
+
+
+def fit_linear_nested(train: DataFrame, fm: FeatureModel, target: str,
+                      designs: dict[str, tuple[Sequence[str], Sequence[str]]]) -> dict[str, LinearModel]:
+    """Several candidate models (feature subsets of ``fm``) from ONE pass over the data.
+
+    Each candidate's centred Gram is a sub-block of the full design's, so model
+    selection over nested feature sets costs one aggregate, not one per model.
+    All candidates use the rows complete for the full design.
+    """
+    g = _design_gram(train, fm, target)
+    return {name: _solve(g, fm, num, cat) for name, (num, cat) in designs.items()}
 
 
 def fit_linear_ml(train: DataFrame, fm: FeatureModel, target: str) -> LinearModel:

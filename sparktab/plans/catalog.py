@@ -516,14 +516,15 @@ both_runs AS (SELECT 'group_slope' AS run_id, y_true, y_pred FROM pr
               UNION ALL SELECT 'one_feature', y_true, a + b * x FROM te, one)
 SELECT run_id, {_METRIC_SQL} FROM both_runs GROUP BY 1""")
 def compare_runs_q(spark, d):
-    """Two fitted runs evaluated on the same hold-out in one scan."""
+    """Two candidate runs (nested feature sets) fitted from one Gram pass, scored in one scan."""
+    from ..operators.models import fit_linear_nested
     from ..operators.scoring import compare_runs
-    li, gs = _group_slope_model(spark, d)
+    li = _lineitem_split(spark, d)
     tr = li.where(F.col("split") == TRAIN)
-    fm1 = fit_features(tr, Roles(["l_quantity"], []), target="l_extendedprice")
-    one = fit_linear(tr, fm1, "l_extendedprice")
-    out = compare_runs(li.where(F.col("split") == TEST), "l_extendedprice",
-                       {"group_slope": gs, "one_feature": one})
+    fm = fit_features(tr, Roles(["l_quantity"], ["l_returnflag"]), target="l_extendedprice")
+    runs = fit_linear_nested(tr, fm, "l_extendedprice", {"group_slope": (["l_quantity"], ["l_returnflag"]),
+                                                          "one_feature": (["l_quantity"], [])})
+    out = compare_runs(li.where(F.col("split") == TEST), "l_extendedprice", runs)
     return _round_metrics(out, ["run_id"])
 
 

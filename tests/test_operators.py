@@ -248,3 +248,20 @@ def test_bracket_quantiles_equal_exact(spark):
             assert br[g] == pytest.approx(exact[g], rel=1e-12, abs=1e-12)
     one = bracket_quantiles(df, "v", [0.5], accuracy=50).first().q
     assert one == pytest.approx(quantiles(df, "v", [0.5], exact=True).first().q)
+
+
+def test_nested_models_from_one_pass_equal_separate_fits(spark):
+    from sparktab.operators.models import fit_linear_nested
+
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    fm = fit_features(li, Roles(["l_quantity", "l_discount"], ["l_returnflag", "l_linestatus"]),
+                      target="l_extendedprice")
+    runs = fit_linear_nested(li, fm, "l_extendedprice", {"full": (fm.numeric, fm.categorical),
+                                                          "small": (["l_quantity"], ["l_linestatus"])})
+    sep_full = fit_linear(li, fm, "l_extendedprice")
+    fm_small = fit_features(li, Roles(["l_quantity"], ["l_linestatus"]), target="l_extendedprice")
+    sep_small = fit_linear(li, fm_small, "l_extendedprice")
+    got = li.select(runs["full"].predict_col(li).alias("a"), sep_full.predict_col(li).alias("b"),
+                    runs["small"].predict_col(li).alias("c"), sep_small.predict_col(li).alias("d")).collect()
+    for r in got:
+        assert r.a == pytest.approx(r.b, rel=1e-9) and r.c == pytest.approx(r.d, rel=1e-9)
