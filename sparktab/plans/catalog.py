@@ -725,13 +725,44 @@ def random_search_q(spark, d):
     return table
 
 
-@register("workflow_metrics")
+def _ols_oracle() -> str:
+    """Hold-out metrics of the flagship model, fitted in SQL.
+
+    Least-squares fitted values do not depend on the parametrisation, so the
+    oracle fits the full-rank reference-coded design (intercept, the three
+    numerics, one 0/1 column per non-first level) and solves its normal
+    equations by Gauss-Jordan elimination in a recursive CTE.
+    """
+    xs = ["1.0", "l_quantity", "l_discount", "l_tax", "CAST(l_returnflag = 'N' AS DOUBLE)",
+          "CAST(l_returnflag = 'R' AS DOUBLE)", "CAST(l_linestatus = 'O' AS DOUBLE)"]
+    k = len(xs)
+    names = [f"x{i}" for i in range(k)]
+    gram_rows = ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in names + ["y"]) + "]" for a in names)
+    return f"""
+WITH RECURSIVE
+d AS (SELECT {', '.join(f'{e} AS x{i}' for i, e in enumerate(xs))}, l_extendedprice AS y, {L_TEST} AS is_test
+      FROM lineitem),
+g AS (SELECT [{gram_rows}] AS m FROM d WHERE NOT is_test),
+gj(k, m) AS (
+  SELECT 0, m FROM g
+  UNION ALL
+  SELECT k + 1, list_transform(range(1, {k} + 1), lambda i:
+           CASE WHEN i = k + 1 THEN list_transform(m[k + 1], lambda v: v / m[k + 1][k + 1])
+                ELSE list_transform(range(1, {k} + 2), lambda j: m[i][j] - m[i][k + 1] / m[k + 1][k + 1] * m[k + 1][j])
+           END)
+  FROM gj WHERE k < {k}),
+b AS (SELECT list_transform(m, lambda r: r[{k} + 1]) AS beta FROM gj WHERE k = {k}),
+pr AS (SELECT y AS y_true, {' + '.join(f'beta[{i + 1}] * x{i}' for i in range(k))} AS y_pred FROM d, b WHERE is_test)
+SELECT {_METRIC_SQL} FROM pr"""
+
+
+@register("workflow_metrics", _ols_oracle())
 def workflow_metrics(spark, d):
     """The flagship: full linear workflow on lineitem (all numerics + one-hot), hold-out metrics."""
     from .jobs import fit_and_score
     scored, _, _ = fit_and_score(t(spark, d, "lineitem"), LKEYS, "l_extendedprice",
                                  exclude=_L_ROLES_EXCLUDE, test_size=TEST_SHARE, seed=SEED)
-    return regression_metrics(scored)
+    return _round_metrics(regression_metrics(scored))
 
 
 def queries() -> dict[str, Query]:
