@@ -27,7 +27,7 @@ from ..operators.models import LinearModel, fit_gbt, fit_linear
 from ..operators.roles import infer_roles
 from ..operators.scoring import prediction_log, score_holdout, score_strict
 from ..operators.split import TEST, TRAIN, hash_split, materialize_split
-from ..session import scratch_path
+from ..session import input_bytes, scratch_path, tune_for_input
 from ..sources.tables import read_small_json, read_table, write_small_json, write_table
 
 MODEL_TYPES = ("linear_regression", "gbt")
@@ -49,6 +49,7 @@ class JobSpec:
     model_type: str = "linear_regression"
     hyperparameters: dict = field(default_factory=dict)
     data_format: str | None = None
+    auto_tune: bool = False               # size shuffle partitions from the input bytes
 
     def __post_init__(self):
         if self.model_type not in MODEL_TYPES:
@@ -56,6 +57,8 @@ class JobSpec:
 
 
 def load(spark: SparkSession, spec: JobSpec) -> DataFrame:
+    if spec.auto_tune:
+        tune_for_input(spark, input_bytes(spark, spec.data_path))
     df = read_table(spark, spec.data_path, spec.data_format)
     if spec.target not in df.columns:
         raise KeyError(f"Target column '{spec.target}' missing from dataset")

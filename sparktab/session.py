@@ -83,10 +83,38 @@ def spread(df):
     A small single-row-group file is read by one task, so CPU-heavy stages
     (hashing, partial aggregation, Gram sums) would use one core.  Below the
     core count we round-robin repartition once: no key (so a hot value cannot
-    skew it), and Catalyst still prunes columns and pushes filters below it.
+    skew it), and Catalyst still prunes columns and pushes filters below it
+    into the scan (a non-deterministic hash key, e.g. on a row id, would block
+    the filter pushdown).  Spark sorts before a round-robin exchange, so the
+    assignment is deterministic under task retries.
     At scale the scan already has thousands of splits and this is a no-op.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (glob allowed), from file-system metadata only."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    statuses = fs.globStatus(p) or []
+    return int(sum(fs.getContentSummary(st.getPath()).getLength() for st in statuses))
+
+
+def tune_for_input(spark: SparkSession, total_bytes: int, partition_bytes: int = 256 << 20,
+                   max_partitions: int = 200_000) -> int:
+    """Spill-aware shuffle sizing: one shuffle partition per ``partition_bytes`` of input.
+
+    Sets ``spark.sql.shuffle.partitions`` (never below the core count) and AQE's
+    advisory partition size, so AQE can coalesce small partitions and split
+    skewed ones around the same target.  Opt-in: call it before building a job.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = max(cores, min(max_partitions, -(-total_bytes // partition_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    return n

@@ -125,3 +125,16 @@ def test_inference_requests_route_impute_and_report(spark, scratch):
     assert "mainroad" in out[1].imputed and "bathrooms" in out[1].imputed and "area" not in out[1].imputed
     assert out[2].status == "bad_request" and out[2].reason == "not a number: area" and out[2].y_pred is None
     assert out[3].status == "not_found" and out[3].y_pred is None
+
+
+def test_auto_tune_sizes_shuffle_from_input(spark, scratch):
+    from sparktab.session import input_bytes, tune_for_input
+
+    size = input_bytes(spark, "/root/testdata/sf0.01/lineitem.parquet")
+    assert size > 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert tune_for_input(spark, size, partition_bytes=max(1, size // 50)) >= 50
+        assert tune_for_input(spark, size) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
