@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .roles import Roles, feature_names
 from .stats import NULL_LEVEL, level_key, training_stats
@@ -164,7 +165,10 @@ def impute(df: DataFrame, model: FeatureModel, cols: Sequence[str] | None = None
             # try_cast: text that is not a number becomes null here; callers flag it (bad_request)
             repl[c] = F.when(is_missing(F.col(c)), F.lit(float(v))).otherwise(F.col(c).try_cast("double"))
         else:
-            repl[c] = F.when(is_missing(F.col(c)), F.lit(v)).otherwise(F.col(c).cast("string"))
+            text = F.col(c).cast("string")
+            if isinstance(df.schema[c].dataType, T.BooleanType):
+                text = F.initcap(text)  # same key as the training levels: True / False
+            repl[c] = F.when(is_missing(F.col(c)), F.lit(v)).otherwise(text)
     return df.withColumns(repl)
 
 

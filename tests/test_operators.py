@@ -265,3 +265,15 @@ def test_nested_models_from_one_pass_equal_separate_fits(spark):
                     runs["small"].predict_col(li).alias("c"), sep_small.predict_col(li).alias("d")).collect()
     for r in got:
         assert r.a == pytest.approx(r.b, rel=1e-9) and r.c == pytest.approx(r.d, rel=1e-9)
+
+
+def test_boolean_categorical_impute_and_score(spark):
+    df = spark.createDataFrame([(1.0, True, 10.0), (2.0, False, 20.0), (3.0, True, 31.0), (4.0, None, 40.0)],
+                               "x double, flag boolean, y double")
+    fm = fit_features(df, infer_roles(df, exclude=["y"]), target="y")
+    assert set(fm.levels["flag"]) == {"True", "False", "nan"} and fm.mode("flag") == "True"
+    lm = fit_linear(df, fm, "y")
+    req = spark.createDataFrame([(1.0, True), (1.0, None)], "x double, flag boolean")
+    out = score_partial(req, fm, lm).collect()
+    assert out[1].imputed == {"flag": "True"}
+    assert out[0].y_pred == pytest.approx(out[1].y_pred)  # imputed True scores like an explicit True
