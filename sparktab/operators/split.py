@@ -1,6 +1,7 @@
 """Train/test splitting.
 
 * ``hash_split`` (L1, L3, L4): stateless threshold on a seeded key hash.
+* ``exact_split`` (L1, exact size): ``ceil(n * f)`` test rows, no global sort.
 * ``stratified_split`` (L2): per-stratum exact cut.  The k-th smallest hash of a
   stratum is found with a two-level radix select over small aggregates, so no
   stratum is ever sorted or gathered in one task, however large it is.
@@ -81,6 +82,17 @@ def _collect_bounded(cut: DataFrame) -> list:
     return [tuple(r) for r in rows]
 
 
+def exact_split(df: DataFrame, keys: Sequence[str], test_fraction: float, seed: int,
+                side_col: str = SIDE) -> DataFrame:
+    """L1 with the reference's exact test size: the ``ceil(n * f)`` smallest hashes are ``test``.
+
+    The stratified radix select over one constant stratum: two small
+    aggregates, no global sort (ties with the cut hash also go to ``test``).
+    """
+    out = stratified_split(df.withColumn("_all", F.lit(0)), keys, "_all", test_fraction, seed, side_col)
+    return out.drop("_all")
+
+
 def _first_reaching(counts: DataFrame, stratum: str, order_col: str, k) -> DataFrame:
     """Row per stratum where the running count over ``order_col`` first reaches ``k``.
 

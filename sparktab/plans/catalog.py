@@ -93,6 +93,18 @@ def split_stratified(spark, d):
     return s.groupBy("l_returnflag", "split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("split_exact", f"""
+WITH h AS (SELECT {L_HASH} AS h FROM lineitem),
+r AS (SELECT h, row_number() OVER (ORDER BY h) AS rn, count(*) OVER () AS n FROM h),
+cut AS (SELECT h AS cut FROM r WHERE rn = CAST(ceil(n * CAST({TEST_SHARE} AS DOUBLE)) AS BIGINT))
+SELECT CASE WHEN h.h <= cut.cut THEN 'test' ELSE 'train' END AS split, count(*) AS n_rows
+FROM h, cut GROUP BY 1""")
+def split_exact(spark, d):
+    from ..operators.split import exact_split
+    s = exact_split(t(spark, d, "lineitem"), LKEYS, TEST_SHARE, SEED)
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # --- R3-R14 --------------------------------------------------------------------
 
 @register("dataset_summary", """
