@@ -15,7 +15,6 @@ from .quantiles import quantiles
 
 PSI_EPS = 1e-6
 MAX_KS_DISTINCT = 5_000_000
-KS_FALLBACK_BINS = 1 << 16
 
 
 def _long(df: DataFrame, cols: Sequence[str], is_ref: Column) -> DataFrame:
@@ -55,20 +54,17 @@ def ks(df: DataFrame, cols: Sequence[str], is_ref: Column,
        max_distinct: int = MAX_KS_DISTINCT) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic ``max |F_ref - F_cur|`` per feature.
 
-    Rows are first reduced to ``(feature, value)`` counts, so the per-feature
-    running sum runs over distinct values, not rows.  If a feature has more
-    distinct values than ``max_distinct``, values are snapped to ``2^16``
-    equal-width cells first (an explicit, documented approximation).
+    Rows are first reduced to ``(feature, value)`` counts.  Below
+    ``max_distinct`` distinct values per feature a running-sum window over those
+    counts does the rest; above it the exact range-partitioned path runs
+    (``_ks_ranged``), so no feature is ever gathered in one task.
     """
     long = _long(df, cols, is_ref)
-    widest = long.groupBy("feature").agg(F.approx_count_distinct("value").alias("d")).agg(F.max("d")).first()[0]
-    if widest and widest > max_distinct:
-        rng = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-        long = long.join(F.broadcast(rng), "feature").withColumn(
-            "value", F.col("lo") + F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-                                           * KS_FALLBACK_BINS) * (F.col("hi") - F.col("lo")) / KS_FALLBACK_BINS)
     counts = (long.groupBy("feature", "value")
               .agg(F.count(F.when(F.col("_ref"), 1)).alias("a"), F.count(F.when(~F.col("_ref"), 1)).alias("b")))
+    widest = long.groupBy("feature").agg(F.approx_count_distinct("value").alias("d")).agg(F.max("d")).first()[0]
+    if widest and widest > max_distinct:
+        return _ks_ranged(counts)
     w = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     tot = Window.partitionBy("feature")
     cdf = (counts.withColumn("fa", F.sum("a").over(w) / F.sum("a").over(tot))
@@ -76,3 +72,49 @@ def ks(df: DataFrame, cols: Sequence[str], is_ref: Column,
            .withColumn("na", F.sum("a").over(tot)).withColumn("nb", F.sum("b").over(tot)))
     return cdf.groupBy("feature").agg(F.max(F.abs(F.col("fa") - F.col("fb"))).alias("ks"),
                                       F.first("na").alias("n_ref"), F.first("nb").alias("n_cur"))
+
+
+def _ks_ranged(counts: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Exact KS over range-partitioned ``(feature, value, a, b)`` counts.
+
+    Each task sorts its contiguous value range, runs the prefix sums with
+    pandas and emits, per feature, only its totals and the max / min of
+    ``cumA/nA - cumB/nB``.  With the offsets of the earlier ranges (a running
+    sum over the tiny per-partition table) the statistic is
+    ``max(c + max_d, -(c + min_d))``, ``c = offA/nA - offB/nB``.  The ranged
+    data is consumed once, so its partition bounds cannot change in between.
+    """
+    import pandas as pd
+    from pyspark import TaskContext
+
+    spark = counts.sparkSession
+    totals = {r["feature"]: (int(r["na"]), int(r["nb"])) for r in
+              counts.groupBy("feature").agg(F.sum("a").alias("na"), F.sum("b").alias("nb")).collect()}
+    n = partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def summarize(batches):
+        pid = TaskContext.get().partitionId()
+        parts = [b for b in batches if len(b)]
+        if not parts:
+            return
+        pdf = pd.concat(parts).sort_values(["feature", "value"])
+        rows = []
+        for feat, g in pdf.groupby("feature", sort=True):
+            na, nb = totals[feat]
+            d = g["a"].cumsum().to_numpy() / max(na, 1) - g["b"].cumsum().to_numpy() / max(nb, 1)
+            rows.append((pid, feat, int(g["a"].sum()), int(g["b"].sum()), float(d.max()), float(d.min())))
+        yield pd.DataFrame(rows, columns=["pid", "feature", "ta", "tb", "dmax", "dmin"])
+
+    summary = (counts.repartitionByRange(n, "feature", "value")
+               .mapInPandas(summarize, "pid int, feature string, ta long, tb long, dmax double, dmin double"))
+    w = Window.partitionBy("feature").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    na = F.create_map(*[x for f, (a, _) in totals.items() for x in (F.lit(f), F.lit(a))])
+    nb = F.create_map(*[x for f, (_, b) in totals.items() for x in (F.lit(f), F.lit(b))])
+    off = (summary.withColumn("oa", F.coalesce(F.sum("ta").over(w), F.lit(0)))
+           .withColumn("ob", F.coalesce(F.sum("tb").over(w), F.lit(0)))
+           .withColumn("na", F.element_at(na, F.col("feature")))
+           .withColumn("nb", F.element_at(nb, F.col("feature"))))
+    c = F.col("oa") / F.greatest(F.col("na"), F.lit(1)) - F.col("ob") / F.greatest(F.col("nb"), F.lit(1))
+    return (off.groupBy("feature")
+            .agg(F.max(F.greatest(c + F.col("dmax"), -(c + F.col("dmin")))).alias("ks"),
+                 F.first("na").alias("n_ref"), F.first("nb").alias("n_cur")))

@@ -277,3 +277,14 @@ def test_boolean_categorical_impute_and_score(spark):
     out = score_partial(req, fm, lm).collect()
     assert out[1].imputed == {"flag": "True"}
     assert out[0].y_pred == pytest.approx(out[1].y_pred)  # imputed True scores like an explicit True
+
+
+def test_ks_ranged_path_equals_window_path(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    is_ref = F.col("l_shipdate") < F.lit("1998-06-01").cast("timestamp_ntz")
+    cols = ["l_extendedprice", "l_quantity", "l_discount"]
+    small = {r.feature: r for r in drift.ks(li, cols, is_ref).collect()}
+    big = {r.feature: r for r in drift.ks(li, cols, is_ref, max_distinct=0).collect()}
+    for f in cols:
+        assert big[f].ks == pytest.approx(small[f].ks, abs=1e-12)
+        assert (big[f].n_ref, big[f].n_cur) == (small[f].n_ref, small[f].n_cur)
