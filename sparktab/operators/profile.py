@@ -82,7 +82,7 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool | str = "auto",
         [], list(cols), "feature", "value")
     q = quantiles(long, "value", [0.25, 0.5, 0.75], by=["feature"], exact=exact)
     q = q.select("feature", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"))
-    return base.join(q, "feature")
+    return base.join(q, "feature", "left")  # an all-null column keeps its row (count 0)
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

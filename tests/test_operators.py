@@ -288,3 +288,10 @@ def test_ks_ranged_path_equals_window_path(spark):
     for f in cols:
         assert big[f].ks == pytest.approx(small[f].ks, abs=1e-12)
         assert (big[f].n_ref, big[f].n_cur) == (small[f].n_ref, small[f].n_cur)
+
+
+def test_describe_keeps_all_null_column(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (4.0, None)], "a double, b double")
+    rows = {r.feature: r for r in profile.describe(df, ["a", "b"]).collect()}
+    assert rows["b"]["count"] == 0 and rows["b"].q50 is None
+    assert rows["a"].q50 == 2.0 and rows["a"].q25 == 1.5 and rows["a"]["count"] == 3
