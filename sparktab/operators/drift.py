@@ -43,8 +43,11 @@ def psi(df: DataFrame, cols: Sequence[str], is_ref: Column, bins: int = 10) -> D
               .agg(F.count(F.when(F.col("_ref"), 1)).alias("n_ref"),
                    F.count(F.when(~F.col("_ref"), 1)).alias("n_cur")))
     tot = Window.partitionBy("feature")
-    shares = (counts.withColumn("p", F.greatest(F.col("n_ref") / F.sum("n_ref").over(tot), F.lit(PSI_EPS)))
-              .withColumn("q", F.greatest(F.col("n_cur") / F.sum("n_cur").over(tot), F.lit(PSI_EPS))))
+    # an empty side gives null shares (try_divide), floored to eps like empty bins
+    shares = (counts.withColumn("p", F.greatest(F.try_divide(F.col("n_ref"), F.sum("n_ref").over(tot)),
+                                                F.lit(PSI_EPS)))
+              .withColumn("q", F.greatest(F.try_divide(F.col("n_cur"), F.sum("n_cur").over(tot)),
+                                          F.lit(PSI_EPS))))
     return shares.groupBy("feature").agg(
         F.sum((F.col("q") - F.col("p")) * F.log(F.col("q") / F.col("p"))).alias("psi"),
         F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
@@ -67,8 +70,8 @@ def ks(df: DataFrame, cols: Sequence[str], is_ref: Column,
         return _ks_ranged(counts)
     w = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     tot = Window.partitionBy("feature")
-    cdf = (counts.withColumn("fa", F.sum("a").over(w) / F.sum("a").over(tot))
-           .withColumn("fb", F.sum("b").over(w) / F.sum("b").over(tot))
+    cdf = (counts.withColumn("fa", F.try_divide(F.sum("a").over(w), F.sum("a").over(tot)))  # empty side: null
+           .withColumn("fb", F.try_divide(F.sum("b").over(w), F.sum("b").over(tot)))
            .withColumn("na", F.sum("a").over(tot)).withColumn("nb", F.sum("b").over(tot)))
     return cdf.groupBy("feature").agg(F.max(F.abs(F.col("fa") - F.col("fb"))).alias("ks"),
                                       F.first("na").alias("n_ref"), F.first("nb").alias("n_cur"))

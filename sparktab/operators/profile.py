@@ -131,6 +131,9 @@ def density(df: DataFrame, col: str, bins: int = 50, grid: int = 200) -> DataFra
     st = df.agg(F.min(F.col(col).cast("double")), F.max(F.col(col).cast("double")),
                 F.count(col), F.stddev_samp(F.col(col).cast("double"))).first()
     lo, hi, n, sd = st[0], st[1], st[2], st[3]
+    if not n or not sd:  # no values or a constant column: the kernel density is undefined
+        return df.sparkSession.range(grid).select(
+            F.col("id").alias("i"), F.lit(lo).cast("double").alias("x"), F.lit(None).cast("double").alias("density"))
     h = sd * n ** (-0.2)
     width = (hi - lo) / bins
     step = (hi - lo) / (grid - 1)

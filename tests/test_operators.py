@@ -295,3 +295,12 @@ def test_describe_keeps_all_null_column(spark):
     rows = {r.feature: r for r in profile.describe(df, ["a", "b"]).collect()}
     assert rows["b"]["count"] == 0 and rows["b"].q50 is None
     assert rows["a"].q50 == 2.0 and rows["a"].q25 == 1.5 and rows["a"]["count"] == 3
+
+
+def test_drift_and_density_edges(spark):
+    df = spark.createDataFrame([(1.0, True), (2.0, True), (3.0, True)], "v double, ref boolean")
+    assert drift.ks(df, ["v"], F.col("ref")).first().ks is None  # no current rows
+    assert drift.psi(df, ["v"], F.col("ref")).count() == 1
+    const = spark.createDataFrame([(5.0,), (5.0,)], "v double")
+    d = profile.density(const, "v", 10, 20).collect()
+    assert len(d) == 20 and all(r.density is None for r in d)
