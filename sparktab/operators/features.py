@@ -189,24 +189,32 @@ def missing_keys(features: Column, expected: Sequence[str]) -> Column:
         F.when(~F.map_contains_key(features, F.lit(k)), F.lit(k)) for k in expected]))
 
 
-def align_records(records: DataFrame, features_col: str, numeric: Sequence[str],
-                  categorical: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Split map records into (aligned typed rows, rejects with the missing keys).
+def tag_records(records: DataFrame, features_col: str, numeric: Sequence[str],
+                categorical: Sequence[str]) -> DataFrame:
+    """P5 in one projection: typed features plus ``missing``, ``bad_cast`` and ``status``.
 
     Present keys with null values pass (as in the strict path); extra keys are
-    ignored.  A numeric text that does not cast is a reject, not an error.
+    ignored; numeric text that does not cast is flagged instead of raising.
     """
     m = F.col(features_col)
     expected = list(numeric) + list(categorical)
-    tagged = records.withColumn("missing", missing_keys(m, expected))
-    typed = [(m[k]).try_cast("double").alias(k) for k in numeric] + [m[k].alias(k) for k in categorical]
     bad_cast = F.array_compact(F.array(*[
         F.when(m[k].isNotNull() & (m[k]).try_cast("double").isNull(), F.lit(k)) for k in numeric]))
-    tagged = tagged.withColumn("bad_cast", bad_cast)
     others = [c for c in records.columns if c != features_col]
-    ok = tagged.filter((F.size("missing") == 0) & (F.size("bad_cast") == 0)).select(*others, *typed)
-    rejects = tagged.filter((F.size("missing") > 0) | (F.size("bad_cast") > 0)).select(
-        *others, "missing", "bad_cast")
+    tagged = records.select(*others, *[(m[k]).try_cast("double").alias(k) for k in numeric],
+                            *[m[k].alias(k) for k in categorical],
+                            missing_keys(m, expected).alias("missing"), bad_cast.alias("bad_cast"))
+    ok = (F.size("missing") == 0) & (F.size("bad_cast") == 0)
+    return tagged.withColumn("status", F.when(ok, F.lit("ok")).otherwise(F.lit("rejected")))
+
+
+def align_records(records: DataFrame, features_col: str, numeric: Sequence[str],
+                  categorical: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Split map records into (aligned typed rows, rejects with the missing keys)."""
+    tagged = tag_records(records, features_col, numeric, categorical)
+    others = [c for c in records.columns if c != features_col]
+    ok = tagged.where(F.col("status") == "ok").select(*others, *numeric, *categorical)
+    rejects = tagged.where(F.col("status") == "rejected").select(*others, "missing", "bad_cast")
     return ok, rejects
 
 

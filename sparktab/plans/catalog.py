@@ -422,18 +422,18 @@ SELECT event_id,
        THEN CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) AS FLOAT)::DOUBLE END AS k
 FROM events""")
 def strict_rejects(spark, d):
-    from ..operators.features import align_records
+    """events' JSON props as feature records; one projection tags accepted / rejected."""
+    from ..operators.features import tag_records
     e = t(spark, d, "events")
     rec = F.from_json("props", "map<string,string>")
     # purchases carry their value as a feature; other events do not
     rec = F.when(F.col("event_type") == "purchase",
                  F.map_concat(rec, F.create_map(F.lit("value"), F.col("value").cast("string")))).otherwise(rec)
-    ok, rej = align_records(e.select("event_id", rec.alias("features")), "features", ["k", "value"], [])
-    ok = ok.select("event_id", F.lit("ok").alias("status"), F.lit("").alias("missing"), r("k").alias("k"))
-    rej = rej.select("event_id", F.lit("rejected").alias("status"),
-                     F.array_join(F.array_union("missing", "bad_cast"), ",").alias("missing"),
-                     F.lit(None).cast("double").alias("k"))
-    return ok.unionByName(rej)
+    tagged = tag_records(e.select("event_id", rec.alias("features")), "features", ["k", "value"], [])
+    ok = F.col("status") == "ok"
+    return tagged.select("event_id", "status",
+                         F.array_join(F.array_union("missing", "bad_cast"), ",").alias("missing"),
+                         F.when(ok, r("k")).alias("k"))
 
 
 # --- M1 / A4 / A5 / A7 -------------------------------------------------------------------
