@@ -94,8 +94,10 @@ def bracket_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seq
             T.StructField("_pos", T.DoubleType())]))
         if by:
             joined = base.join(F.broadcast(brk), list(by))
-        else:  # one group: equi-join on a constant key against the bounded bracket table
-            joined = base.withColumn("_g", F.lit(0)).join(F.broadcast(brk.withColumn("_g", F.lit(0))), "_g")
+        else:  # one group: each row meets the (few) bracket literals through explode, no join
+            lits = F.array(*[F.struct(F.lit(tg[0]).alias("_j"), F.lit(tg[1]).alias("_lo"),
+                                      F.lit(tg[2]).alias("_hi")) for tg in targets])
+            joined = base.select("_v", F.inline(lits))
         keys = [*by, "_j"]
         below = joined.groupBy(*keys).agg(F.count(F.when(F.col("_v") < F.col("_lo"), 1)).alias("_below"))
         inside = (joined.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))

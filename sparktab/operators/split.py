@@ -48,14 +48,41 @@ def stratified_split(df: DataFrame, keys: Sequence[str], stratum: str, test_frac
     """Exact per-stratum test share: the ``ceil(n_s * f)`` smallest hashes of each stratum.
 
     Rows whose hash ties the cut value (duplicate keys) all go to ``test``.
-    Work: two aggregations over the data (map-side combined) plus joins against
-    per-stratum cut tables of one row per stratum.
+    Work: two aggregations over the data (map-side combined) plus broadcast
+    joins against per-stratum cut tables of one row per stratum.
     """
     spark = df.sparkSession
-    s_type = df.schema[stratum].dataType
     hashed = df.withColumn("_h", hash_u32(keys, seed))
+    cuts = _stratum_cuts(hashed, stratum, df.schema[stratum].dataType, test_fraction)
+    cut_df = local_table(spark, cuts, T.StructType([
+        T.StructField("_s", df.schema[stratum].dataType), T.StructField("_cut", T.LongType())]))
+    out = hashed.join(F.broadcast(cut_df), hashed[stratum].eqNullSafe(cut_df["_s"]), "left")
+    side = F.when(F.col("_cut").isNotNull() & (F.col("_h") <= F.col("_cut")),
+                  F.lit(TEST)).otherwise(F.lit(TRAIN))
+    return out.withColumn(side_col, side).drop("_h", "_s", "_cut")
+
+
+def exact_split(df: DataFrame, keys: Sequence[str], test_fraction: float, seed: int,
+                side_col: str = SIDE) -> DataFrame:
+    """L1 with the reference's exact test size: the ``ceil(n * f)`` smallest hashes are ``test``.
+
+    The radix select over one stratum: two small aggregates, no global sort;
+    the single cut value is then applied as a literal (no join).  Ties with
+    the cut hash also go to ``test``.
+    """
+    h = hash_u32(keys, seed)
+    cuts = _stratum_cuts(df.select(F.lit(0).alias("_all"), h.alias("_h")), "_all", T.IntegerType(),
+                         test_fraction)
+    if not cuts:  # empty input
+        return df.withColumn(side_col, F.lit(TRAIN))
+    return df.withColumn(side_col, F.when(h <= F.lit(cuts[0][1]), F.lit(TEST)).otherwise(F.lit(TRAIN)))
+
+
+def _stratum_cuts(hashed: DataFrame, stratum: str, s_type: T.DataType, test_fraction: float) -> list:
+    """``[(stratum, cut hash)]``: per stratum, the hash of the ``ceil(n * f)``-th smallest row."""
+    spark = hashed.sparkSession
     hi = F.shiftright(F.col("_h"), _RADIX_BITS)
-    # level 1: counts per (stratum, high 16 bits) -> the bucket holding each stratum's cut
+    # level 1: counts per (stratum, high bits) -> the bucket holding each stratum's cut
     lvl1 = hashed.groupBy(stratum, hi.alias("_hi")).agg(F.count(F.lit(1)).alias("_c"))
     need = F.ceil(F.sum("_c").over(Window.partitionBy(stratum)) * F.lit(test_fraction)).cast("bigint")
     cut1 = _collect_bounded(_first_reaching(lvl1, stratum, "_hi", need).select(stratum, "_hi", "_need"))
@@ -65,13 +92,7 @@ def stratified_split(df: DataFrame, keys: Sequence[str], stratum: str, test_frac
     in_bucket = hashed.join(F.broadcast(cut1_df), hashed[stratum].eqNullSafe(cut1_df["_s1"])
                             & (hi == cut1_df["_cut_hi"]))
     lvl2 = in_bucket.groupBy(stratum, "_h", "_k").agg(F.count(F.lit(1)).alias("_c"))
-    cut2 = _collect_bounded(_first_reaching(lvl2, stratum, "_h", F.col("_k")).select(stratum, "_h"))
-    cut2_df = local_table(spark, cut2, T.StructType([
-        T.StructField("_s", s_type), T.StructField("_cut", T.LongType())]))
-    out = hashed.join(F.broadcast(cut2_df), hashed[stratum].eqNullSafe(cut2_df["_s"]), "left")
-    side = F.when(F.col("_cut").isNotNull() & (F.col("_h") <= F.col("_cut")),
-                  F.lit(TEST)).otherwise(F.lit(TRAIN))
-    return out.withColumn(side_col, side).drop("_h", "_s", "_cut")
+    return _collect_bounded(_first_reaching(lvl2, stratum, "_h", F.col("_k")).select(stratum, "_h"))
 
 
 def _collect_bounded(cut: DataFrame) -> list:
@@ -82,17 +103,6 @@ def _collect_bounded(cut: DataFrame) -> list:
     return [tuple(r) for r in rows]
 
 
-def exact_split(df: DataFrame, keys: Sequence[str], test_fraction: float, seed: int,
-                side_col: str = SIDE) -> DataFrame:
-    """L1 with the reference's exact test size: the ``ceil(n * f)`` smallest hashes are ``test``.
-
-    The stratified radix select over one constant stratum: two small
-    aggregates, no global sort (ties with the cut hash also go to ``test``).
-    """
-    out = stratified_split(df.withColumn("_all", F.lit(0)), keys, "_all", test_fraction, seed, side_col)
-    return out.drop("_all")
-
-
 def _first_reaching(counts: DataFrame, stratum: str, order_col: str, k) -> DataFrame:
     """Row per stratum where the running count over ``order_col`` first reaches ``k``.
 
