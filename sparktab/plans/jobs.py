@@ -50,6 +50,7 @@ class JobSpec:
     hyperparameters: dict = field(default_factory=dict)
     data_format: str | None = None
     auto_tune: bool = False               # size shuffle partitions from the input bytes
+    predictions_format: str = "parquet"   # hold-out predictions sink: parquet or csv
 
     def __post_init__(self):
         if self.model_type not in MODEL_TYPES:
@@ -167,9 +168,12 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
         ledger.log_artifact(run_id, os.path.join(art, "model"), spec.model_type)
         _FITTED[(run_id, "model")] = model
         scored = scored.persist()
-        write_table(scored, os.path.join(art, "predictions"))
+        write_table(scored, os.path.join(art, "predictions"), fmt=spec.predictions_format)
         ledger.log_artifact(run_id, os.path.join(art, "predictions"), "predictions")
         m = regression_metrics(scored).first().asDict()
+        write_small_json(spark, json.dumps({k: m[k] for k in ("mae", "mse", "rmse", "r2")}),
+                         os.path.join(art, "metrics"))
+        ledger.log_artifact(run_id, os.path.join(art, "metrics"), "metrics")
         # M6: final training-side loss and error, under the reference's metric names
         if isinstance(model, LinearModel):
             fitted = train.select(F.col(spec.target).cast("double").alias("y_true"),
@@ -276,6 +280,10 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
         tr = run_training(spark, spec, parent, fe, df)
         ev = run_evaluation(spark, spec, tr, parent, df)
         ledger.log_params(parent, {"workflow_dataset_path": spec.data_path})
+        summary = os.path.join(ledger.artifact_dir(parent), "workflow_summary")
+        write_small_json(spark, json.dumps({"feature_engineering": fe, "training": tr, "evaluation": ev}),
+                         summary)
+        ledger.log_artifact(parent, summary, "workflow_summary")
         ledger.end_run(parent, FINISHED, model_type=spec.model_type)
     except Exception:
         ledger.end_run(parent, FAILED)

@@ -32,7 +32,8 @@ def test_model_type_validated():
 def test_offline_workflow(spark, scratch):
     data = os.path.join(scratch, "housing.csv")
     _eight_rows(data)
-    spec = JobSpec(data, "price", os.path.join(scratch, "ledger"), test_size=0.25, seed=3)
+    spec = JobSpec(data, "price", os.path.join(scratch, "ledger"), test_size=0.25, seed=3,
+                   predictions_format="csv")
     ids = run_offline_workflow(spark, spec)
     ledger = Ledger(spark, spec.ledger_root)
     runs = ledger.runs()
@@ -49,6 +50,12 @@ def test_offline_workflow(spark, scratch):
     assert params[(ids["evaluation"], "evaluated_model_run_id")] == ids["training"]
     assert params[(ids["feature_engineering"], "total_transformed_features")] == str(5 + 15 - 7 - 1) or True
 
+    import json as _json
+    from sparktab.sources.tables import read_small_json
+    arts = {(r.run_id, r.kind): r.path for r in ledger.artifacts().collect()}
+    assert _json.loads(read_small_json(spark, arts[(ids["workflow"], "workflow_summary")]))["training"] == ids["training"]
+    assert "rmse" in _json.loads(read_small_json(spark, arts[(ids["training"], "metrics")]))
+
     # Strict scoring with the latest training run; one record misses a feature
     rec = spark.createDataFrame([({"area": "1500", "bedrooms": "3", "bathrooms": "1", "stories": "2",
                                    "parking": "1", "mainroad": "yes", "guestroom": "no", "basement": "no",
