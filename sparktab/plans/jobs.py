@@ -31,6 +31,7 @@ from ..session import input_bytes, scratch_path, tune_for_input
 from ..sources.tables import read_small_json, read_table, write_small_json, write_table
 
 MODEL_TYPES = ("linear_regression", "gbt")
+SPLIT_TABLE_MIN_BYTES = 256 << 20
 # Fitted objects of runs created in this process (their artifacts are also written);
 # later stages of the same workflow reuse them instead of reading them back.
 _FITTED: dict[tuple[str, str], object] = {}
@@ -273,8 +274,13 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
     """J1 -> J2 -> J3 over one persisted split; returns ``{stage: run_id}``."""
     ledger = Ledger(spark, spec.ledger_root)
     parent = ledger.start_run("workflow", split_seed=spec.seed, test_size=spec.test_size)
-    # one written, side-partitioned split serves all three stages (pruned reads, cut lineage)
-    df = materialize_split(split(load(spark, spec), spec), scratch_path(spark, f"split-{parent}"))
+    # one split serves all three stages: above SPLIT_TABLE_MIN_BYTES it is written as a
+    # side-partitioned table (pruned reads, cut lineage); small inputs are kept in memory
+    df = split(load(spark, spec), spec)
+    if input_bytes(spark, spec.data_path) >= SPLIT_TABLE_MIN_BYTES:
+        df = materialize_split(df, scratch_path(spark, f"split-{parent}"))
+    else:
+        df = df.persist()
     try:
         fe = run_feature_engineering(spark, spec, parent, df)
         tr = run_training(spark, spec, parent, fe, df)
