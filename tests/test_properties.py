@@ -126,3 +126,27 @@ def test_stream_partial_records_are_imputed(spark, scratch):
     batch = train.select(lm.predict_col(train).alias("p")).collect()
     assert got[1].y_pred == pytest.approx(lm.predict(spark.createDataFrame([(2.0, "a")], "x double, g string")).first().y_pred)
     assert len(batch) == 4
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(a=st.lists(st.integers(0, 30), min_size=1, max_size=80), b=st.lists(st.integers(0, 30), min_size=1, max_size=80))
+def test_drift_statistics_brute_force(spark, a, b):
+    from sparktab.operators import drift
+
+    df = spark.createDataFrame([(float(v), True) for v in a] + [(float(v), False) for v in b], "v double, ref boolean")
+    xa, xb = np.array(a, float), np.array(b, float)
+    grid = np.union1d(xa, xb)
+    ks_want = max(abs((xa <= g).mean() - (xb <= g).mean()) for g in grid)
+    got = drift.ks(df, ["v"], F.col("ref")).first()
+    assert got.ks == pytest.approx(ks_want, abs=1e-12) and (got.n_ref, got.n_cur) == (len(a), len(b))
+    ranged = drift.ks(df, ["v"], F.col("ref"), max_distinct=0).first().ks
+    assert ranged == pytest.approx(ks_want, abs=1e-12)
+    edges = np.quantile(xa, [i / 10 for i in range(1, 10)])  # linear interpolation, like quantile_cont
+    bins_a = (xa[:, None] > edges[None, :]).sum(1)
+    bins_b = (xb[:, None] > edges[None, :]).sum(1)
+    psi_want = 0.0
+    for k in set(bins_a) | set(bins_b):
+        p = max((bins_a == k).mean(), 1e-6)
+        q = max((bins_b == k).mean(), 1e-6)
+        psi_want += (q - p) * np.log(q / p)
+    assert drift.psi(df, ["v"], F.col("ref")).first().psi == pytest.approx(psi_want, rel=1e-9, abs=1e-12)
