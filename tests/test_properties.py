@@ -150,3 +150,10 @@ def test_drift_statistics_brute_force(spark, a, b):
         q = max((bins_b == k).mean(), 1e-6)
         psi_want += (q - p) * np.log(q / p)
     assert drift.psi(df, ["v"], F.col("ref")).first().psi == pytest.approx(psi_want, rel=1e-9, abs=1e-12)
+
+
+def test_kafka_source_is_gated(spark):
+    from sparktab.streaming.scoring import read_stream
+
+    with pytest.raises(RuntimeError, match="connector"):
+        read_stream(spark, "requests", "id long", fmt="kafka", **{"kafka.bootstrap.servers": "unused:9092"})
