@@ -157,3 +157,29 @@ def test_kafka_source_is_gated(spark):
 
     with pytest.raises(RuntimeError, match="connector"):
         read_stream(spark, "requests", "id long", fmt="kafka", **{"kafka.bootstrap.servers": "unused:9092"})
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.integers(0, 1_000_000), min_size=1, max_size=150), frac=st.floats(0.05, 0.95))
+def test_exact_split_brute_force(spark, keys, frac):
+    import hashlib
+    import math
+
+    from sparktab.operators.split import exact_split
+
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = sorted((r.k, r.split) for r in exact_split(df, ["k"], frac, 9).collect())
+    hs = sorted((int(hashlib.md5(f"9|{k}".encode()).hexdigest()[:8], 16), k) for k in keys)
+    cut = hs[math.ceil(len(hs) * frac) - 1][0]
+    assert got == sorted((k, "test" if h <= cut else "train") for h, k in hs)
+
+
+def test_materialized_split_prunes_partitions(spark, scratch):
+    from sparktab.operators.split import materialize_split
+
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    s = materialize_split(hash_split(li, ["l_orderkey", "l_linenumber"], 0.2, 42), os.path.join(scratch, "split"))
+    test_rows = s.where(F.col("split") == "test")
+    plan = test_rows._sc._jvm.PythonSQLUtils.explainString(test_rows._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(split" in plan and "(split#" in plan
+    assert test_rows.count() == hash_split(li, ["l_orderkey", "l_linenumber"], 0.2, 42).where("split = 'test'").count()
