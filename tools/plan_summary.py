@@ -53,6 +53,9 @@ def main():
                      f"{s['aggregates']} | {'yes' if s['python'] else 'no'} |")
     lines += ["", "Not listed: " + ", ".join(sorted(SKIP)) + " (model fits run many jobs; streams are drained "
               "to a Parquet sink and read back)."]
+    review = os.path.join(os.path.dirname(os.path.abspath(__file__)), "scale_review.md")
+    if os.path.exists(review):
+        lines.append(open(review).read().rstrip())
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(lines) + "\n")
     print("\n".join(lines))
