@@ -686,6 +686,22 @@ def rule_report(spark, d):
     return a.unionByName(b).select("rule", F.col("checked").cast("bigint"), F.col("failed").cast("bigint"))
 
 
+@register("rule_quarantine", """
+SELECT o_orderkey, concat_ws(',',
+    CASE WHEN o_orderkey IS NULL THEN 'orders.o_orderkey.not_null' END,
+    CASE WHEN o_totalprice < 1000.0 OR o_totalprice > 400000.0 THEN 'orders.o_totalprice.range' END,
+    CASE WHEN o_orderstatus NOT IN ('F', 'O', 'P') THEN 'orders.o_orderstatus.allowed' END,
+    CASE WHEN NOT regexp_matches(o_orderpriority, '^[1-5]-[A-Z]+$') THEN 'orders.o_orderpriority.regex' END
+  ) AS failed_rules
+FROM orders
+WHERE o_orderkey IS NULL OR o_totalprice < 1000.0 OR o_totalprice > 400000.0
+   OR o_orderstatus NOT IN ('F', 'O', 'P') OR NOT regexp_matches(o_orderpriority, '^[1-5]-[A-Z]+$')""")
+def rule_quarantine(spark, d):
+    """The orders rows failing any row rule, with the rules they fail (one projection + filter)."""
+    q = checks.quarantine(t(spark, d, "orders"), ORDER_RULES)
+    return q.select("o_orderkey", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 # --- X1 / X6: streams drained to a table -------------------------------------------------------
 
 @register("stream_score", _GS_SQL + f"""
