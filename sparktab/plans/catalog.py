@@ -154,6 +154,13 @@ def describe(spark, d):
     return df.select("feature", "count", *[r(c).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]])
 
 
+@register("describe_bracket", ORACLE["describe"])
+def describe_bracket(spark, d):
+    """R8 through the at-scale quartile path (sketch brackets), forced on the test tables."""
+    df = profile.describe(t(spark, d, "lineitem"), LNUM, exact="bracket")
+    return df.select("feature", "count", *[r(c).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]])
+
+
 @register("value_counts", "SELECT p_type AS level, count(*) AS n FROM part GROUP BY 1")
 def value_counts(spark, d):
     return profile.value_counts(t(spark, d, "part"), "p_type")
@@ -487,6 +494,18 @@ def ols_group_slope(spark, d):
     return local_table(spark, rows, "term string, value double").select("term", r("value").alias("value"))
 
 
+@register("ols_group_slope_ml", ORACLE["ols_group_slope"])
+def ols_group_slope_ml(spark, d):
+    """M1 through Spark ML's normal-equation solver on a reference-coded design (re-centred)."""
+    from ..operators.models import fit_linear_ml
+    li = _lineitem_split(spark, d)
+    tr = li.where(F.col("split") == TRAIN)
+    fm = fit_features(tr, Roles(["l_quantity"], ["l_returnflag"]), target="l_extendedprice")
+    slope, a = _group_intercepts(fit_linear_ml(tr, fm, "l_extendedprice"))
+    rows = [("slope", slope)] + [(f"intercept_{g}", v) for g, v in a.items()]
+    return local_table(spark, rows, "term string, value double").select("term", r("value").alias("value"))
+
+
 _METRIC_SQL = f"""count(*) AS n, {sr('avg(abs(y_true - y_pred))')} AS mae, {sr('avg((y_true - y_pred) * (y_true - y_pred))')} AS mse,
   {sr('sqrt(avg((y_true - y_pred) * (y_true - y_pred)))')} AS rmse,
   {sr('CASE WHEN count(*) < 2 THEN NULL WHEN var_pop(y_true) = 0 THEN CASE WHEN sum((y_true - y_pred) * (y_true - y_pred)) = 0 THEN 1.0 ELSE 0.0 END ELSE 1 - sum((y_true - y_pred) * (y_true - y_pred)) / (var_pop(y_true) * count(*)) END')} AS r2"""
@@ -654,6 +673,14 @@ def ks_drift(spark, d):
                       F.col("n_cur").cast("bigint").alias("n_cur"))
 
 
+@register("ks_drift_ranged", ORACLE["ks_drift"])
+def ks_drift_ranged(spark, d):
+    """X4 through the at-scale path (range-partitioned prefix summaries), forced on the test tables."""
+    out = drift.ks(t(spark, d, "lineitem"), _KS_COLS, _is_ref(), max_distinct=0)
+    return out.select("feature", r("ks").alias("ks"), F.col("n_ref").cast("bigint").alias("n_ref"),
+                      F.col("n_cur").cast("bigint").alias("n_cur"))
+
+
 ORDER_RULES = [
     checks.Rule("orders.o_orderkey.not_null", "not_null", "o_orderkey"),
     checks.Rule("orders.o_orderkey.unique", "unique", "o_orderkey"),
