@@ -41,7 +41,8 @@ def _brute_force(rows, cats_a, cats_b):
     return X @ w + (ym - xm @ w)
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=15, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=rows_strategy)
 def test_least_squares_matches_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "x1 long, x2 long, a string, b string, y long")
@@ -53,7 +54,8 @@ def test_least_squares_matches_brute_force(spark, rows):
     assert np.allclose(got, want, atol=1e-6 * scale)
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(keys=st.lists(st.integers(0, 10_000), min_size=1, max_size=200), frac=st.floats(0.05, 0.95))
 def test_split_partitions_rows(spark, keys, frac):
     df = spark.createDataFrame([(k,) for k in keys], "k long")
@@ -62,7 +64,8 @@ def test_split_partitions_rows(spark, keys, frac):
     assert sum(counts.values()) == len(keys)  # train ∪ test = all, disjoint by construction
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(st.tuples(st.integers(0, 100_000), st.sampled_from(["p", "q", "r"])),
                      min_size=1, max_size=120, unique_by=lambda r: r[0]),
        frac=st.floats(0.05, 0.9))
@@ -128,7 +131,8 @@ def test_stream_partial_records_are_imputed(spark, scratch):
     assert len(batch) == 4
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(a=st.lists(st.integers(0, 30), min_size=1, max_size=80), b=st.lists(st.integers(0, 30), min_size=1, max_size=80))
 def test_drift_statistics_brute_force(spark, a, b):
     from sparktab.operators import drift
@@ -159,7 +163,8 @@ def test_kafka_source_is_gated(spark):
         read_stream(spark, "requests", "id long", fmt="kafka", **{"kafka.bootstrap.servers": "unused:9092"})
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(keys=st.lists(st.integers(0, 1_000_000), min_size=1, max_size=150), frac=st.floats(0.05, 0.95))
 def test_exact_split_brute_force(spark, keys, frac):
     import hashlib
