@@ -134,7 +134,14 @@ def _gram_arrow(x: DataFrame, k: int) -> np.ndarray:
 
 
 def min_norm_solve(a: np.ndarray, b: np.ndarray, rcond: float = 1e-10) -> tuple[np.ndarray, int]:
-    """Minimum-norm solution of the symmetric PSD system ``a w = b`` and its rank."""
+    """Minimum-norm solution of the symmetric PSD system ``a w = b`` and its rank.
+
+    ``a`` is a Gram matrix, so its eigenvalues are squared singular values of the
+    design: ``rcond = 1e-10`` drops directions whose singular value is below 1e-5
+    of the largest.  Exact collinearity (one-hot blocks, constant columns) gives
+    eigenvalues at rounding level (~1e-16 relative), far below the cut; genuine
+    but weak directions are kept.
+    """
     if a.size == 0:
         return np.zeros(0), 0
     vals, vecs = np.linalg.eigh(a)
