@@ -65,6 +65,13 @@ def test_offline_workflow(spark, scratch):
     scored, rejects = run_prediction(spark, spec, rec, out_dir=os.path.join(scratch, "out"))
     assert scored.count() == 1 and rejects.count() == 1
     assert spark.read.parquet(os.path.join(scratch, "out", "predictions_log")).count() == 1
+    path = os.path.join(scratch, "records.json")
+    with open(path, "w") as f:
+        f.write('{"area": 1500, "bedrooms": 3, "bathrooms": 1, "stories": 2, "parking": 1, "mainroad": "yes", '
+                '"guestroom": "no", "basement": "no", "hotwaterheating": "no", "airconditioning": "yes", '
+                '"prefarea": "no", "furnishingstatus": "furnished"}\n{"area": 10}\n')
+    scored2, rejects2 = run_prediction(spark, spec, path)
+    assert scored2.count() == 1 and rejects2.first().missing[0] == "bedrooms"
 
 
 def test_latest_ignores_unfinished_and_newest_wins(spark, scratch):
