@@ -90,13 +90,15 @@ class Ledger:
     One Parquet table partitioned by ``kind`` (run / param / metric / artifact)
     backs the four ledger views.  Params, metrics and artifacts are buffered and
     written with the run's final row, so a run costs two small writes (start and
-    end) and a crashed run stays visible as ``RUNNING``.
+    end) and a crashed run stays visible as ``RUNNING``.  ``defer=True`` (used by
+    a workflow for its stages) keeps everything in memory until ``flush()``.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, defer: bool = False):
+        self.spark, self.root, self.defer = spark, root, defer
         self._buf: list[tuple] = []
         self._open: dict[str, dict] = {}
+        self._known: dict[str, dict] = {}  # latest state of runs written by this instance
 
     def _path(self, name: str) -> str:
         return os.path.join(self.root, name)
@@ -130,8 +132,10 @@ class Ledger:
                "split_seed": fields.get("split_seed"),
                "test_size": float(fields["test_size"]) if fields.get("test_size") is not None else None}
         self._open[run_id] = run
+        self._known[run_id] = run
         self._buf.append(self._record("run", **run))
-        self.flush()
+        if not self.defer:
+            self.flush()
         return run_id
 
     def end_run(self, run_id: str, status: str = FINISHED, **fields) -> None:
@@ -144,8 +148,17 @@ class Ledger:
         run = {**run, **{k: v for k, v in fields.items() if k in _RUN_COLS}}
         run.update(status=status, end_ts=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
                    version=run["version"] + 1)
+        self._known[run_id] = run
         self._buf.append(self._record("run", **run))
-        self.flush()
+        if not self.defer:
+            self.flush()
+
+    def run_row(self, run_id: str) -> dict | None:
+        """Current state of one run: from this instance's memory, else from the table."""
+        if run_id in self._known:
+            return dict(self._known[run_id])
+        r = get_run(self.runs(), run_id).first()
+        return r.asDict() if r is not None else None
 
     def log_params(self, run_id: str, params: Mapping[str, object]) -> None:
         self._buf += [self._record("param", run_id, key=str(k), value=str(v)) for k, v in params.items()]

@@ -41,6 +41,21 @@ def dataset_summary(df: DataFrame) -> DataFrame:
                   F.round(size / F.lit(1024.0 ** 2), 3).alias("memory_mb"))
 
 
+def summary_and_nulls(df: DataFrame) -> tuple[dict, dict[str, int]]:
+    """R3/R4/R5 in one pass: the summary row and every column's null count (bounded by columns)."""
+    fixed = sum(w for f in df.schema.fields for t, w in _WIDTH.items() if isinstance(f.dataType, t))
+    var = [F.coalesce(F.sum(F.octet_length(F.col(f.name))), F.lit(0)) for f in df.schema.fields
+           if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    n = F.count(F.lit(1))
+    size = n * F.lit(fixed)
+    for v in var:
+        size = size + v
+    nulls = [F.count(F.when(F.col(c).isNull(), 1)).alias(f"_null_{i}") for i, c in enumerate(df.columns)]
+    r = df.agg(n.alias("n_rows"), F.round(size / F.lit(1024.0 ** 2), 3).alias("memory_mb"), *nulls).first()
+    summary = {"n_rows": r["n_rows"], "n_columns": len(df.columns), "memory_mb": r["memory_mb"]}
+    return summary, {c: int(r[f"_null_{i}"]) for i, c in enumerate(df.columns)}
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """``(column_name, nulls)`` from one aggregate over every column."""
     wide = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in df.columns])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators import profile
 from ..operators.features import FeatureModel, fit_features
-from ..operators.ledger import FAILED, FINISHED, Ledger, get_run
+from ..operators.ledger import FAILED, FINISHED, Ledger
 from ..operators.metrics import regression_metrics
 from ..operators.models import LinearModel, fit_gbt, fit_linear
 from ..operators.roles import infer_roles
@@ -103,19 +103,19 @@ def fit_and_score(df: DataFrame, keys: Sequence[str], target: str, exclude: Sequ
 # --- J1 ------------------------------------------------------------------------
 
 def run_feature_engineering(spark: SparkSession, spec: JobSpec, parent_id: str | None = None,
-                            split_df: DataFrame | None = None) -> str:
-    ledger = Ledger(spark, spec.ledger_root)
+                            split_df: DataFrame | None = None, ledger: Ledger | None = None) -> str:
+    ledger = ledger or Ledger(spark, spec.ledger_root)
     run_id = ledger.start_run("feature_engineering", parent_id=parent_id, split_seed=spec.seed,
                               test_size=spec.test_size)
     try:
         df = split_df if split_df is not None else split(load(spark, spec), spec)
-        summary = profile.dataset_summary(df.drop("split")).first()
+        summary, nulls = profile.summary_and_nulls(df.drop("split"))  # one pass: R3-R5
         roles = infer_roles(df, exclude=_exclude(spec))
         fm = fit_features(df.where(F.col("split") == TRAIN), roles, target=spec.target)
         art = ledger.artifact_dir(run_id)
         write_small_json(spark, fm.to_json(), os.path.join(art, "feature_model"))
         _FITTED[(run_id, "feature_model")] = fm
-        write_table(profile.null_counts(df.drop("split")), os.path.join(art, "null_counts"))
+        write_small_json(spark, json.dumps(nulls), os.path.join(art, "null_counts"))
         ledger.log_artifact(run_id, os.path.join(art, "feature_model"), "feature_model")
         ledger.log_artifact(run_id, os.path.join(art, "null_counts"), "null_counts")
         ledger.log_params(run_id, {
@@ -143,12 +143,16 @@ def load_feature_model(spark: SparkSession, ledger: Ledger, feature_run_id: str)
 # --- J2 --------------------------------------------------------------------------
 
 def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = None,
-                 feature_run_id: str | None = None, split_df: DataFrame | None = None) -> str:
-    ledger = Ledger(spark, spec.ledger_root)
+                 feature_run_id: str | None = None, split_df: DataFrame | None = None,
+                 ledger: Ledger | None = None) -> str:
+    ledger = ledger or Ledger(spark, spec.ledger_root)
     if feature_run_id is None:
         latest = ledger.latest_run("feature_engineering")
-        feature_run_id = latest["run_id"] if latest is not None else run_feature_engineering(spark, spec, parent_id)
-    fr = get_run(ledger.runs(), feature_run_id).first()
+        feature_run_id = (latest["run_id"] if latest is not None
+                          else run_feature_engineering(spark, spec, parent_id, ledger=ledger))
+    fr = ledger.run_row(feature_run_id)
+    if fr is None:
+        raise LookupError(f"Run {feature_run_id} not found")
     seed, test_size = int(fr["split_seed"]), float(fr["test_size"])
     run_id = ledger.start_run("training", parent_id=parent_id, model_type=spec.model_type,
                               feature_run_id=feature_run_id, split_seed=seed, test_size=test_size)
@@ -171,17 +175,18 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
         scored = scored.persist()
         write_table(scored, os.path.join(art, "predictions"), fmt=spec.predictions_format)
         ledger.log_artifact(run_id, os.path.join(art, "predictions"), "predictions")
-        m = regression_metrics(scored).first().asDict()
+        # hold-out metrics and M6's final training-side loss/error from one grouped aggregate
+        if isinstance(model, LinearModel):
+            both = df.select("split", F.col(spec.target).cast("double").alias("y_true"),
+                             model.predict_col(df).alias("y_pred"))
+        else:
+            both = model.transform(df).select("split", F.col(spec.target).cast("double").alias("y_true"),
+                                              "y_pred")
+        by_side = {r["split"]: r.asDict() for r in regression_metrics(both, by=["split"]).collect()}
+        m, tm = by_side[TEST], by_side[TRAIN]
         write_small_json(spark, json.dumps({k: m[k] for k in ("mae", "mse", "rmse", "r2")}),
                          os.path.join(art, "metrics"))
         ledger.log_artifact(run_id, os.path.join(art, "metrics"), "metrics")
-        # M6: final training-side loss and error, under the reference's metric names
-        if isinstance(model, LinearModel):
-            fitted = train.select(F.col(spec.target).cast("double").alias("y_true"),
-                                  model.predict_col(train).alias("y_pred"))
-        else:
-            fitted = model.transform(train).select(F.col(spec.target).cast("double").alias("y_true"), "y_pred")
-        tm = regression_metrics(fitted).first()
         ledger.log_metrics(run_id, {**{k: m[k] for k in ("mae", "mse", "rmse", "r2")},
                                     "train_loss_final": tm["mse"], "train_mae_final": tm["mae"]})
         ledger.log_params(run_id, {"model_type": spec.model_type, "test_size": test_size,
@@ -197,7 +202,7 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
 
 def load_model(spark: SparkSession, ledger: Ledger, run_id: str):
     """The fitted model of a training run, with its type."""
-    run = get_run(ledger.runs(), run_id).first()
+    run = ledger.run_row(run_id)
     if run is None:
         raise LookupError(f"Run {run_id} not found")
     if (run_id, "model") in _FITTED:
@@ -212,8 +217,9 @@ def load_model(spark: SparkSession, ledger: Ledger, run_id: str):
 # --- J3 ---------------------------------------------------------------------------
 
 def run_evaluation(spark: SparkSession, spec: JobSpec, model_run_id: str | None = None,
-                   parent_id: str | None = None, split_df: DataFrame | None = None) -> str:
-    ledger = Ledger(spark, spec.ledger_root)
+                   parent_id: str | None = None, split_df: DataFrame | None = None,
+                   ledger: Ledger | None = None) -> str:
+    ledger = ledger or Ledger(spark, spec.ledger_root)
     if model_run_id is None:
         latest = ledger.latest_run("training")
         if latest is None:
@@ -276,7 +282,8 @@ def run_prediction(spark: SparkSession, spec: JobSpec, records: DataFrame | str,
 
 def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
     """J1 -> J2 -> J3 over one persisted split; returns ``{stage: run_id}``."""
-    ledger = Ledger(spark, spec.ledger_root)
+    # one deferred ledger for the workflow and its stages: a single write at the end
+    ledger = Ledger(spark, spec.ledger_root, defer=True)
     parent = ledger.start_run("workflow", split_seed=spec.seed, test_size=spec.test_size)
     # one split serves all three stages: above SPLIT_TABLE_MIN_BYTES it is written as a
     # side-partitioned table (pruned reads, cut lineage); small inputs are kept in memory
@@ -286,9 +293,9 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
     else:
         df = df.persist()
     try:
-        fe = run_feature_engineering(spark, spec, parent, df)
-        tr = run_training(spark, spec, parent, fe, df)
-        ev = run_evaluation(spark, spec, tr, parent, df)
+        fe = run_feature_engineering(spark, spec, parent, df, ledger=ledger)
+        tr = run_training(spark, spec, parent, fe, df, ledger=ledger)
+        ev = run_evaluation(spark, spec, tr, parent, df, ledger=ledger)
         ledger.log_params(parent, {"workflow_dataset_path": spec.data_path})
         summary = os.path.join(ledger.artifact_dir(parent), "workflow_summary")
         write_small_json(spark, json.dumps({"feature_engineering": fe, "training": tr, "evaluation": ev}),
@@ -298,6 +305,8 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
     except Exception:
         ledger.end_run(parent, FAILED)
         raise
+    finally:
+        ledger.flush()
     return {"workflow": parent, "feature_engineering": fe, "training": tr, "evaluation": ev}
 
 
