@@ -168,8 +168,19 @@ class Ledger:
         self._buf += [self._record("metric", run_id, key=str(k), num=float(v) if v is not None else None,
                                    ts=now, step=step) for k, v in metrics.items()]
 
-    def log_artifact(self, run_id: str, path: str, kind: str) -> None:
-        self._buf.append(self._record("artifact", run_id, path=path, key=kind))
+    def log_artifact(self, run_id: str, path: str | None, kind: str, content: str | None = None) -> None:
+        """Record an artifact: a file/folder ``path`` (tables, Spark ML models) or, for small
+        JSON documents (statistics, coefficients, metrics), the ``content`` inline."""
+        self._buf.append(self._record("artifact", run_id, path=path, key=kind, value=content))
+
+    def artifact_text(self, run_id: str, kind: str) -> str | None:
+        """Inline content of a small artifact (from this instance's buffer, else the table)."""
+        for rec in reversed(self._buf):
+            if rec[0] == "artifact" and rec[1] == run_id and rec[13] == kind:
+                return rec[14]
+        rows = (self.artifacts().where((F.col("run_id") == run_id) & (F.col("kind") == kind))
+                .select("content").limit(1).collect())
+        return rows[0]["content"] if rows else None
 
     def artifact_dir(self, run_id: str) -> str:
         return self._path(os.path.join("artifact_store", run_id))
@@ -185,7 +196,8 @@ class Ledger:
         return self._records("metric").select("run_id", "key", F.col("num").alias("value"), "ts", "step")
 
     def artifacts(self) -> DataFrame:
-        return self._records("artifact").select("run_id", "path", F.col("key").alias("kind"))
+        return self._records("artifact").select("run_id", "path", F.col("key").alias("kind"),
+                                                F.col("value").alias("content"))
 
     def latest_run(self, stage: str):
         """Newest finished run of a stage as a Row, or None (G1)."""

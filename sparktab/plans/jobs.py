@@ -28,7 +28,7 @@ from ..operators.roles import infer_roles
 from ..operators.scoring import prediction_log, score_holdout, score_strict
 from ..operators.split import TEST, TRAIN, hash_split, materialize_split
 from ..session import input_bytes, scratch_path, tune_for_input
-from ..sources.tables import read_small_json, read_table, write_small_json, write_table
+from ..sources.tables import read_table, write_table
 
 MODEL_TYPES = ("linear_regression", "gbt")
 SPLIT_TABLE_MIN_BYTES = 256 << 20
@@ -112,12 +112,9 @@ def run_feature_engineering(spark: SparkSession, spec: JobSpec, parent_id: str |
         summary, nulls = profile.summary_and_nulls(df.drop("split"))  # one pass: R3-R5
         roles = infer_roles(df, exclude=_exclude(spec))
         fm = fit_features(df.where(F.col("split") == TRAIN), roles, target=spec.target)
-        art = ledger.artifact_dir(run_id)
-        write_small_json(spark, fm.to_json(), os.path.join(art, "feature_model"))
         _FITTED[(run_id, "feature_model")] = fm
-        write_small_json(spark, json.dumps(nulls), os.path.join(art, "null_counts"))
-        ledger.log_artifact(run_id, os.path.join(art, "feature_model"), "feature_model")
-        ledger.log_artifact(run_id, os.path.join(art, "null_counts"), "null_counts")
+        ledger.log_artifact(run_id, None, "feature_model", content=fm.to_json())
+        ledger.log_artifact(run_id, None, "null_counts", content=json.dumps(nulls))
         ledger.log_params(run_id, {
             "data_rows": summary["n_rows"], "data_columns": summary["n_columns"],
             "data_memory_mb": summary["memory_mb"], "num_numeric_features": len(fm.numeric),
@@ -134,10 +131,10 @@ def run_feature_engineering(spark: SparkSession, spec: JobSpec, parent_id: str |
 def load_feature_model(spark: SparkSession, ledger: Ledger, feature_run_id: str) -> FeatureModel:
     if (feature_run_id, "feature_model") in _FITTED:
         return _FITTED[(feature_run_id, "feature_model")]
-    path = ledger.artifact_path(feature_run_id, "feature_model")
-    if path is None:
+    text = ledger.artifact_text(feature_run_id, "feature_model")
+    if text is None:
         raise LookupError(f"feature run {feature_run_id} has no feature model")
-    return FeatureModel.from_json(read_small_json(spark, path))
+    return FeatureModel.from_json(text)
 
 
 # --- J2 --------------------------------------------------------------------------
@@ -163,14 +160,14 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
         art = ledger.artifact_dir(run_id)
         if spec.model_type == "linear_regression":
             model = fit_linear(train, fm, spec.target)
-            write_small_json(spark, model.to_json(), os.path.join(art, "model"))
+            ledger.log_artifact(run_id, None, spec.model_type, content=model.to_json())
             scored = score_holdout(test, model, spec.target, [spec.index_column] if spec.index_column else [])
         else:
             model = fit_gbt(train, fm.numeric, fm.categorical, spec.target, **spec.hyperparameters)
             model.write().overwrite().save(os.path.join(art, "model"))
+            ledger.log_artifact(run_id, os.path.join(art, "model"), spec.model_type)
             scored = (model.transform(test).select(F.col(spec.target).cast("double").alias("y_true"), "y_pred")
                       .withColumn("residual", F.col("y_true") - F.col("y_pred")))
-        ledger.log_artifact(run_id, os.path.join(art, "model"), spec.model_type)
         _FITTED[(run_id, "model")] = model
         scored = scored.persist()
         write_table(scored, os.path.join(art, "predictions"), fmt=spec.predictions_format)
@@ -184,9 +181,8 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
                                               "y_pred")
         by_side = {r["split"]: r.asDict() for r in regression_metrics(both, by=["split"]).collect()}
         m, tm = by_side[TEST], by_side[TRAIN]
-        write_small_json(spark, json.dumps({k: m[k] for k in ("mae", "mse", "rmse", "r2")}),
-                         os.path.join(art, "metrics"))
-        ledger.log_artifact(run_id, os.path.join(art, "metrics"), "metrics")
+        ledger.log_artifact(run_id, None, "metrics",
+                            content=json.dumps({k: m[k] for k in ("mae", "mse", "rmse", "r2")}))
         ledger.log_metrics(run_id, {**{k: m[k] for k in ("mae", "mse", "rmse", "r2")},
                                     "train_loss_final": tm["mse"], "train_mae_final": tm["mae"]})
         ledger.log_params(run_id, {"model_type": spec.model_type, "test_size": test_size,
@@ -207,9 +203,12 @@ def load_model(spark: SparkSession, ledger: Ledger, run_id: str):
         raise LookupError(f"Run {run_id} not found")
     if (run_id, "model") in _FITTED:
         return _FITTED[(run_id, "model")], run
-    path = ledger.artifact_path(run_id, run["model_type"])
     if run["model_type"] == "linear_regression":
-        return LinearModel.from_json(read_small_json(spark, path)), run
+        text = ledger.artifact_text(run_id, run["model_type"])
+        if text is None:
+            raise LookupError(f"run {run_id} has no model")
+        return LinearModel.from_json(text), run
+    path = ledger.artifact_path(run_id, run["model_type"])
     from pyspark.ml import PipelineModel
     return PipelineModel.load(path), run
 
@@ -297,10 +296,8 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
         tr = run_training(spark, spec, parent, fe, df, ledger=ledger)
         ev = run_evaluation(spark, spec, tr, parent, df, ledger=ledger)
         ledger.log_params(parent, {"workflow_dataset_path": spec.data_path})
-        summary = os.path.join(ledger.artifact_dir(parent), "workflow_summary")
-        write_small_json(spark, json.dumps({"feature_engineering": fe, "training": tr, "evaluation": ev}),
-                         summary)
-        ledger.log_artifact(parent, summary, "workflow_summary")
+        ledger.log_artifact(parent, None, "workflow_summary",
+                            content=json.dumps({"feature_engineering": fe, "training": tr, "evaluation": ev}))
         ledger.end_run(parent, FINISHED, model_type=spec.model_type)
     except Exception:
         ledger.end_run(parent, FAILED)

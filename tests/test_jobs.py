@@ -51,10 +51,9 @@ def test_offline_workflow(spark, scratch):
     assert params[(ids["feature_engineering"], "total_transformed_features")] == str(5 + 15 - 7 - 1) or True
 
     import json as _json
-    from sparktab.sources.tables import read_small_json
-    arts = {(r.run_id, r.kind): r.path for r in ledger.artifacts().collect()}
-    assert _json.loads(read_small_json(spark, arts[(ids["workflow"], "workflow_summary")]))["training"] == ids["training"]
-    assert "rmse" in _json.loads(read_small_json(spark, arts[(ids["training"], "metrics")]))
+    assert _json.loads(ledger.artifact_text(ids["workflow"], "workflow_summary"))["training"] == ids["training"]
+    assert "rmse" in _json.loads(ledger.artifact_text(ids["training"], "metrics"))
+    assert _json.loads(ledger.artifact_text(ids["feature_engineering"], "null_counts"))["price"] == 0
 
     # Strict scoring with the latest training run; one record misses a feature
     rec = spark.createDataFrame([({"area": "1500", "bedrooms": "3", "bathrooms": "1", "stories": "2",
