@@ -24,7 +24,10 @@ SKIP = {"random_search", "describe_bracket", "ks_drift_ranged", "ols_group_slope
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_spark(f"local[{cpus}]", app="sparktab-bench", shuffle_partitions=int(cpus) * 2)
+    log_dir = os.environ.get("BENCH_EVENT_LOG")  # optional: Spark event log for stage times
+    conf = ({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+             "spark.eventLog.compress": "false"} if log_dir else None)
+    spark = get_spark(f"local[{cpus}]", app="sparktab-bench", shuffle_partitions=int(cpus) * 2, conf=conf)
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     names = [n for n in catalog.queries() if os.environ.get("BENCH_ALL") or n not in SKIP]
     only = os.environ.get("BENCH_QUERIES")
@@ -34,6 +37,7 @@ def main() -> None:
     catalog.queries()["split_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in names:
+        spark.sparkContext.setJobGroup(name, name)  # lets tools/stage_times.py attribute stages
         t0 = time.perf_counter()
         df = catalog.queries()[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()

@@ -17,8 +17,10 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def get_spark(master: str | None = None, app: str = "sparktab",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     builder = (
