@@ -151,3 +151,19 @@ def test_auto_tune_sizes_shuffle_from_input(spark, scratch):
         assert tune_for_input(spark, size) == spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_deferred_ledger_writes_once(spark, scratch):
+    root = os.path.join(scratch, "ledger")
+    ledger = Ledger(spark, root, defer=True)
+    rid = ledger.start_run("training")
+    ledger.log_metrics(rid, {"mae": 1.5})
+    ledger.log_artifact(rid, None, "metrics", content='{"mae": 1.5}')
+    assert not os.path.exists(os.path.join(root, "records"))  # nothing written yet
+    assert ledger.run_row(rid)["status"] == "RUNNING" and ledger.artifact_text(rid, "metrics") == '{"mae": 1.5}'
+    ledger.end_run(rid)
+    ledger.flush()
+    fresh = Ledger(spark, root)
+    assert fresh.run_row(rid)["status"] == "FINISHED"
+    assert fresh.artifact_text(rid, "metrics") == '{"mae": 1.5}'
+    assert {r.key: r.value for r in fresh.metrics().collect()} == {"mae": 1.5}

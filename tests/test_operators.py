@@ -304,3 +304,12 @@ def test_drift_and_density_edges(spark):
     const = spark.createDataFrame([(5.0,), (5.0,)], "v double")
     d = profile.density(const, "v", 10, 20).collect()
     assert len(d) == 20 and all(r.density is None for r in d)
+
+
+def test_summary_and_nulls_equal_separate_operators(spark):
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    o = o.withColumn("o_comment", F.when(F.col("o_orderkey") % 3 == 0, F.lit(None)).otherwise(F.lit("x")))
+    summary, nulls = profile.summary_and_nulls(o)
+    s = profile.dataset_summary(o).first()
+    assert (summary["n_rows"], summary["n_columns"], summary["memory_mb"]) == (s.n_rows, s.n_columns, s.memory_mb)
+    assert nulls == {r.column_name: r.nulls for r in profile.null_counts(o).collect()}
