@@ -2,7 +2,8 @@
 
 Design decisions that differ from the reference (see README):
 
-* one written, side-partitioned split table serves all stages of a workflow;
+* one split serves all stages of a workflow (a side-partitioned table for large
+  inputs, persisted for small ones), with one deferred ledger write;
 * each stage is its own run (``parent_id`` links them), so lookups by stage work;
 * lookups consider ``FINISHED`` runs only;
 * the split seed and share are stored on the run and reused by evaluation;
