@@ -191,10 +191,33 @@ def box_stats(df: DataFrame, value: str, by: str, exact: bool | str = "auto") ->
     return stats, outliers
 
 
-def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson ``(a, b, r)`` for every pair ``a < b`` (column order), one aggregate."""
+MAX_PAIRWISE_CORR_COLS = 30  # above this, one Spark ML Gram pass instead of one aggregate per pair
+
+
+def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
+    """Pearson ``(a, b, r)`` for every pair ``a < b`` (column order).
+
+    ``pairs``: one aggregate of ``corr(a, b)`` per pair (exact streaming
+    moments).  ``matrix``: ``pyspark.ml.stat.Correlation`` on an assembled
+    vector, one BLAS Gram pass however many columns (rows with a null in any
+    column are skipped, where ``pairs`` uses pairwise-complete rows).  ``auto``
+    uses pairs up to ``MAX_PAIRWISE_CORR_COLS`` columns, where the per-pair
+    aggregates still fit in codegen.
+    """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                                     F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r"))
-                            for a, b in pairs]).alias("s"))
-    return wide.select(F.inline("s"))
+    if method == "auto":
+        method = "pairs" if len(cols) <= MAX_PAIRWISE_CORR_COLS else "matrix"
+    if method == "pairs":
+        wide = df.agg(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
+                                         F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r"))
+                                for a, b in pairs]).alias("s"))
+        return wide.select(F.inline("s"))
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()  # d x d, bounded by the column count
+    idx = {c: i for i, c in enumerate(cols)}
+    return local_table(df.sparkSession, [(a, b, float(m[idx[a], idx[b]])) for a, b in pairs],
+                       "a string, b string, r double")

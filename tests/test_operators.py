@@ -313,3 +313,13 @@ def test_summary_and_nulls_equal_separate_operators(spark):
     s = profile.dataset_summary(o).first()
     assert (summary["n_rows"], summary["n_columns"], summary["memory_mb"]) == (s.n_rows, s.n_columns, s.memory_mb)
     assert nulls == {r.column_name: r.nulls for r in profile.null_counts(o).collect()}
+
+
+def test_correlation_matrix_path_equals_pairs(spark):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    a = {(r.a, r.b): r.r for r in profile.correlation_long(li, cols, method="pairs").collect()}
+    b = {(r.a, r.b): r.r for r in profile.correlation_long(li, cols, method="matrix").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert b[k] == pytest.approx(a[k], abs=1e-9)
