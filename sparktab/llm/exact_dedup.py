@@ -47,7 +47,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item = F.xxhash64("digest")
     level1 = (rows.select(item.alias("item"), (F.spark_partition_id() % groups).alias("g"))
               .groupBy("g").agg(F.expr(f"approx_top_k_accumulate(item, {max_items})").alias("s")))
-    frequent = (level1.agg(F.expr(f"approx_top_k_combine(s, {max_items})").alias("s"))
+    # grouped by a constant: a task without rows then adds no (empty) summary
+    frequent = (level1.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(s, {max_items})").alias("s"))
                 .select(F.explode(F.expr(f"approx_top_k_estimate(s, {max_items})")).alias("e"))
                 .where("e.count >= 2").select(F.col("e.item").alias("item")))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixture, simhash
+from . import exact_dedup, mixture, pieces, quality, simhash
 from .common import table
 
 
@@ -14,6 +14,17 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select(F.col("id").alias("doc_id"), "perplexity", "score", "threshold", (~F.col("rejected")).alias("kept"))
+
+
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
+    return out.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids", "lossless",
+                      F.sha2("text", 256).alias("text_sha256"))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixture.mix(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -24,7 +35,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op6_mix, op8_simhash)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_pieces, op6_mix, op8_simhash)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
