@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixture, pieces, quality, simhash
+from . import exact_dedup, mixture, pieces, quality, simhash, tokenfile
 from .common import table
 
 
@@ -19,6 +19,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "perplexity", "score", "threshold", (~F.col("rejected")).alias("kept"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = tokenfile.token_folder(spark)
+    tokenfile.write_tokens(table(spark, sf_dir, "documents"), folder)
+    return tokenfile.digests(spark, folder).withColumnRenamed("id", "doc_id")
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
     return out.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids", "lossless",
@@ -35,7 +41,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op4_pieces, op6_mix, op8_simhash)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_token_files, op4_pieces, op6_mix, op8_simhash)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
