@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixture, pieces, quality, simhash, tokenfile
+from . import exact_dedup, mixture, neighbours, pieces, quality, simhash, tokenfile
 from .common import table
 
 
@@ -36,12 +36,17 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_token_files, op4_pieces, op6_mix, op8_simhash)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_token_files, op4_pieces, op6_mix, op7_neighbours,
+                                 op8_simhash)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
