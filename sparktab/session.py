@@ -44,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="sparktab-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if sc.getCheckpointDir() is None:
@@ -57,6 +59,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per context, so that their Python workers can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_sparktab_shipped", False):
+        return
+    import shutil
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(prefix="sparktab-package-"), "sparktab")
+    sc.addPyFile(shutil.make_archive(base, "zip", root, "sparktab"))  # Spark serves the file to the executors
+    sc._sparktab_shipped = True
+
+
 def local_table(spark: SparkSession, rows, schema):
     """A small driver-side table as a JVM ``LocalTableScan`` (Arrow path, no Python workers).
 
