@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixture, neighbours, pieces, quality, simhash, tokenfile
+from . import exact_dedup, mixture, neighbours, pieces, quality, simhash, tokenfile, toxicity
 from .common import table
 
 
@@ -45,8 +45,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_token_files, op4_pieces, op6_mix, op7_neighbours,
-                                 op8_simhash)}
+                                 op8_simhash, op10_toxicity)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
