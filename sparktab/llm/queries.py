@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixture, neighbours, pieces, quality, simhash, tokenfile, toxicity
+from . import exact_dedup, mixture, neighbours, passages, pieces, quality, simhash, surrogates, tokenfile, toxicity
 from .common import table
 
 
@@ -31,6 +31,11 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("text", 256).alias("text_sha256"))
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = surrogates.pseudonymise(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "text", F.size("kinds").cast("long").alias("n_entities"), "kinds")
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixture.mix(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -45,13 +50,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = passages.passages(table(spark, sf_dir, "documents"))
+    return out.withColumnRenamed("id", "doc_id").withColumnRenamed("ref_id", "ref_doc_id")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_token_files, op4_pieces, op6_mix, op7_neighbours,
-                                 op8_simhash, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_token_files, op4_pieces, op5_surrogates, op6_mix, op7_neighbours,
+                                 op8_simhash, op9_passages, op10_toxicity)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
