@@ -203,23 +203,26 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Per row of ``docs``: id, text_hash, fingerprint (hex), component_id (smallest id reachable)."""
+    """Per row of ``docs``: id, text_hash, fingerprint (hex), component_id (smallest id reachable), root.
+
+    ``root`` names the component even where ids are null or occur in two components.
+    """
     fps = saved(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = saved(fps.groupBy("fp").agg(F.min("id").alias("low")), "fp-nodes")
     found = components(links(nodes, radius))
     labelled = nodes.join(found, nodes["fp"] == found["node"], "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     least = labelled.groupBy("root").agg(F.min("low").alias("component_id"))
-    where = saved(labelled.join(least, "root").select(F.col("fp").alias("n_fp"), "component_id"), "fp-components")
+    where = saved(labelled.join(least, "root").select(F.col("fp").alias("n_fp"), "root", "component_id"), "fp-components")
     return fps.join(where, fps["fp"] == where["n_fp"]).select(
-        "id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
 
 
 def near_dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of each group (the smallest id; ties by text hash), with all columns of ``docs``."""
     found = simhash_components(docs, id_col, text_col, shingle, radius)
-    best = found.groupBy("component_id").agg(
+    best = found.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("n"), "id", "text_hash")).alias("best"))
     keys = best.select(F.col("best.id").alias("k_id"), F.col("best.text_hash").alias("k_hash"))
     return keep_rows(docs, keys, id_col, text_col, once=True)
