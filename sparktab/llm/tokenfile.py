@@ -30,9 +30,11 @@ import re
 import uuid
 import zlib
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,9 +45,9 @@ from .common import col, discard, saved, text_hash
 MAGIC = b"TOKRANK1"
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-BLOCK_TOKENS = 4_000_000
-CACHE_WORDS = 400_000
-BATCH_CHARS = 2_000_000
+BLOCK_TOKENS = 2_000_000
+CACHE_WORDS = 800_000
+BATCH_BYTES = 4_000_000
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)  # by control byte
 
 
@@ -58,13 +60,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class Encoder:
     """Ids of texts with a byte-level BPE; ids of words are kept, as most words come again.
 
-    Byte-level BPE never merges across the cut before a single space that stands
-    between two non-space characters, so texts are cut there and only
-    distinct pieces are encoded.
+    The BPE never merges across the cut before a single space that stands between two
+    non-space characters, nor between a run of letters and the full stops or commas
+    behind it, so texts are cut there and only distinct pieces are encoded.  A piece is
+    known by its text without the space before it; the first of a text, which has none,
+    by a line feed and its text (no other piece starts with white space).
     """
 
-    UNSAFE = re.compile(r"\s | \s|\A | \Z")  # a space next to white space or at an end
-    CUT = re.compile(r"(?<=\S)(?= \S)")
+    CUT = re.compile(r"(?<=\S) (?=\S)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -78,35 +81,60 @@ class Encoder:
         self.index: dict[str, int] = {}
         self.flat, self.start = array("i"), array("q", [0])
 
-    def pieces(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if self.UNSAFE.search(text):
-            return self.CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
+    def _keep(self, key: str, ids) -> None:
+        self.index[key] = len(self.index)
+        self.flat.extend(ids)
+        self.start.append(len(self.flat))
+
+    def _ids(self, key: str):
+        i = self.index[key]
+        return self.flat[self.start[i]:self.start[i + 1]]
+
+    def _learn(self, new: set[str]) -> None:
+        whole, joined = set(), []
+        for w in new:
+            core = w.rstrip(".,")
+            if len(core) < len(w) and core.isalpha():
+                joined.append((w, core, "\n" + w[len(core):]))
+                whole.add(core)
+                whole.add(joined[-1][2])
+            else:
+                whole.add(w)
+        whole = list(whole.difference(self.index))
+        for at in range(0, len(whole), 20_000):
+            part = whole[at:at + 20_000]
+            text = [w[1:] if w[0] == "\n" else " " + w for w in part]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(text, add_special_tokens=False)):
+                self._keep(w, e.ids)
+        for w, core, tail in joined:
+            self._keep(w, self._ids(core) + self._ids(tail))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number per text), without end ids."""
-        cut = [self.pieces(t) for t in texts]
         if len(self.index) > CACHE_WORDS or len(self.flat) > 8 * CACHE_WORDS:
             self.clear()
-        index, new = self.index, set()
+        cut = [t.split(" ") if t else [] for t in texts]
         for ws in cut:
-            new.update(ws)
-        new = list(new.difference(index))
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                index[w] = len(index)
-                self.flat.extend(e.ids)
-                self.start.append(len(self.flat))
-        which = np.fromiter((index[w] for ws in cut for w in ws), np.int64, sum(map(len, cut)))
-        start, flat = np.array(self.start), np.array(self.flat, np.int32)
-        size = start[which + 1] - start[which]
-        out = flat[np.repeat(start[which] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-        text = np.repeat(np.arange(len(cut)), np.fromiter(map(len, cut), np.int64, len(cut)))
-        counts = np.bincount(text, size, len(cut)).astype(np.int64)
+            if ws:
+                ws[0] = "\n" + ws[0]
+        new = set().union(*cut).difference(self.index)
+        # a space next to white space or at an end of the text: cut these texts with more care
+        loose = {w for w in new if not w or w[-1].isspace() or (w[0].isspace() and (w[0] != "\n" or w[1:2].isspace()))}
+        broken = [" \n" in t for t in texts]  # looks like a first piece
+        if loose or any(broken):
+            for i, ws in enumerate(cut):
+                if broken[i] or not loose.isdisjoint(ws):
+                    cut[i] = self.CUT.split(texts[i])
+                    cut[i][0] = "\n" + cut[i][0]
+            new = set().union(*cut).difference(self.index)
+        self._learn(new)
+        words = np.fromiter(map(len, cut), np.int64, len(cut))
+        which = np.fromiter(map(self.index.__getitem__, chain.from_iterable(cut)), np.int64, words.sum())
+        start, flat = np.frombuffer(self.start, np.int64).copy(), np.frombuffer(self.flat or array("i", [0]), np.int32).copy()
+        first = start[which]
+        size = start[which + 1] - first
+        out = flat[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        counts = np.bincount(np.repeat(np.arange(len(cut)), words), size, len(cut)).astype(np.int64)
         return out, counts
 
 
@@ -199,13 +227,13 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int,
                 "ids": pa.array([ids.astype(np.uint32).tobytes()])})
 
         for b in batches:
-            texts, at = [t.as_py() for t in b.column(2)], 0
-            while at < len(texts):
-                end, chars = at, 0
-                while end < len(texts) and (end == at or chars + len(texts[end]) <= BATCH_CHARS):
-                    chars += len(texts[end])
+            size_of, at = pc.binary_length(b.column(2)).to_numpy(), 0
+            while at < b.num_rows:
+                end, n = at + 1, int(size_of[at])
+                while end < b.num_rows and n + size_of[end] <= BATCH_BYTES:
+                    n += int(size_of[end])
                     end += 1
-                ids, counts = encoder.encode(texts[at:end])
+                ids, counts = encoder.encode(b.column(2).slice(at, end - at).to_pylist())
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 held.append((b.column(0).slice(at, end - at), counts + 1, ids))
                 size += len(ids)
