@@ -31,6 +31,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ from .common import col, text_hash
 MODEL = "piece_bpe_32k.model"
 THETA = 4.0
 SEED = 4
-BATCH_CHARS = 4_000_000
+BATCH_BYTES = 1_500_000
 SPACE, LITERAL = 0x2581, 0x110000  # U+2581 from a space; U+2581 in the text itself
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -89,7 +90,7 @@ class Pieces:
             at = np.flatnonzero(lens >= length)
             at = at[np.argsort(lens[at], kind="stable")]  # a piece before longer ones with this prefix
             keys, first = np.unique(h[at], return_index=True)
-            ids = np.where(lens[at[first]] == length, at[first], -1)
+            ids = np.where(lens[at[first]] == length, at[first], -1).astype(np.int32)
             if (ids >= 0).sum() != (lens == length).sum():
                 raise ValueError("two pieces share a hash")
             self.tables[length] = (keys, ids)
@@ -102,7 +103,7 @@ class Pieces:
 
     def arcs(self, cp: np.ndarray, left: np.ndarray):
         """Arcs (from, length, piece) over characters ``cp``; ``left``: characters to the word's end."""
-        at, h = np.arange(len(cp)), np.zeros(len(cp), np.uint64)
+        at, h = np.arange(len(cp), dtype=np.int32), np.zeros(len(cp), np.uint64)
         out, known = [], np.zeros(len(cp), bool)
         for length in range(1, self.longest + 1):
             ok = left[at] >= length
@@ -120,11 +121,11 @@ class Pieces:
             for k in range(length):
                 same &= cp[start + k] == self.chars[piece, k]
             start, piece = start[same], piece[same]
-            out.append((start, np.full(len(start), length), piece))
+            out.append((start, np.full(len(start), length, np.int32), piece))
             if length == 1:
                 known[start] = True
-        lone = np.flatnonzero(~known)
-        out.append((lone, np.ones(len(lone), np.int64), self.size + cp[lone].astype(np.int64)))
+        lone = np.flatnonzero(~known).astype(np.int32)
+        out.append((lone, np.ones(len(lone), np.int32), self.size + cp[lone].astype(np.int32)))
         return tuple(np.concatenate(x) for x in zip(*out))
 
     def expand(self, ids: np.ndarray, owner: np.ndarray):
@@ -163,13 +164,13 @@ class Lattices:
         cp[cp == SPACE] = LITERAL
         cp[cp == 32] = SPACE
         ends = np.cumsum(size)
-        word = np.repeat(np.arange(len(words)), size)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), size)
         start, length, piece = pieces.arcs(cp, ends[word] - np.arange(len(cp)))
         w = word[start]
         tail = start + w              # a word of n characters has n + 1 nodes
         head = tail + length
         logw = np.where(piece < pieces.size, pieces.logp[np.minimum(piece, pieces.size - 1)], pieces.fallback)
-        step = start + length - (ends - size)[w]
+        step = start + length - (ends - size).astype(np.int32)[w]
         order = np.argsort(head, kind="stable")
         tail, head, piece, logw, step = tail[order], head[order], piece[order], logw[order], step[order]
         alpha = np.zeros(len(cp) + len(words))
@@ -276,15 +277,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     def run(batches):
         pieces = pieces_of(path, theta)
         for b in batches:
-            texts = [t.as_py() for t in b.column(3)]
+            size, at = pc.binary_length(b.column(3)).to_numpy(), 0
             keys = b.column(1).to_numpy().view(np.uint64)
-            at = 0
-            while at < len(texts):
-                end, chars = at, 0
-                while end < len(texts) and (end == at or chars + len(texts[end]) <= BATCH_CHARS):
-                    chars += len(texts[end])
+            while at < b.num_rows:
+                end, n = at + 1, int(size[at])
+                while end < b.num_rows and n + size[end] <= BATCH_BYTES:
+                    n += int(size[end])
                     end += 1
-                ids = encode_batch(pieces, texts[at:end], keys[at:end])
+                ids = encode_batch(pieces, b.column(3).slice(at, end - at).to_pylist(), keys[at:end])
                 offsets = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
                 values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, end - at), b.column(2).slice(at, end - at),
