@@ -16,9 +16,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from sparktab.plans import catalog  # noqa: E402
 from sparktab.session import get_spark  # noqa: E402
 
-# The parameter search (30 model fits) is measured separately with BENCH_ALL=1, as are
-# the forced alternate-path checks of queries already timed under their main name.
-SKIP = {"random_search", "describe_bracket", "ks_drift_ranged", "ols_group_slope_ml"}
 
 
 def main() -> None:
@@ -29,7 +26,8 @@ def main() -> None:
              "spark.eventLog.compress": "false"} if log_dir else None)
     spark = get_spark(f"local[{cpus}]", app="sparktab-bench", shuffle_partitions=int(cpus) * 2, conf=conf)
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    names = [n for n in catalog.queries() if os.environ.get("BENCH_ALL") or n not in SKIP]
+    spark.conf.set("sparktab.spread", "true")  # the test tables are files of one row group
+    names = list(catalog.queries())
     only = os.environ.get("BENCH_QUERIES")
     if only:
         names = [n for n in names if n in only.split(",")]

@@ -59,6 +59,8 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                         F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("failed")))
             parts.append(dup.select(F.lit(r.name).alias("rule"), F.col("checked").cast("bigint"),
                                     F.col("failed").cast("bigint")))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "rule string, checked bigint, failed bigint")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -66,7 +68,16 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Rows failing any row rule, with the failed rule names."""
-    row_rules = [r for r in rules if r.kind != "unique"]
-    failed = F.array_compact(F.array(*[F.when(_fails(r), F.lit(r.name)) for r in row_rules]))
-    return df.withColumn("failed_rules", failed).where(F.size("failed_rules") > 0)
+    """Rows failing any rule, with the failed rule names (``unique``: all rows of a repeated value)."""
+    flags = []
+    for i, r in enumerate(rules):
+        if r.kind == "unique":  # the repeated values, joined back to their rows
+            again = (df.where(F.col(r.column).isNotNull()).groupBy(F.col(r.column).alias(f"_u{i}"))
+                     .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(f"_u{i}"))
+            df = df.join(again, F.col(r.column) == F.col(f"_u{i}"), "left")
+            flags.append(F.when(F.col(f"_u{i}").isNotNull(), F.lit(r.name)))
+        else:
+            flags.append(F.when(_fails(r), F.lit(r.name)))
+    failed = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
+    out = df.withColumn("failed_rules", failed).where(F.size("failed_rules") > 0)
+    return out.drop(*[c for c in out.columns if c.startswith("_u")])

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .quantiles import quantiles
 
 PSI_EPS = 1e-6
@@ -80,44 +81,24 @@ def ks(df: DataFrame, cols: Sequence[str], is_ref: Column,
 def _ks_ranged(counts: DataFrame, partitions: int | None = None) -> DataFrame:
     """Exact KS over range-partitioned ``(feature, value, a, b)`` counts.
 
-    Each task sorts its contiguous value range, runs the prefix sums with
-    pandas and emits, per feature, only its totals and the max / min of
-    ``cumA/nA - cumB/nB``.  With the offsets of the earlier ranges (a running
-    sum over the tiny per-partition table) the statistic is
-    ``max(c + max_d, -(c + min_d))``, ``c = offA/nA - offB/nB``.  The ranged
-    data is consumed once, so its partition bounds cannot change in between.
+    The counts are written once with the number of their range, so ranges cannot move.
+    A running sum over the small table of range totals gives every range its offset;
+    inside a range a window adds up the rest.  An empty side gives a null statistic.
     """
-    import pandas as pd
-    from pyspark import TaskContext
-
     spark = counts.sparkSession
-    totals = {r["feature"]: (int(r["na"]), int(r["nb"])) for r in
-              counts.groupBy("feature").agg(F.sum("a").alias("na"), F.sum("b").alias("nb")).collect()}
     n = partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-    def summarize(batches):
-        pid = TaskContext.get().partitionId()
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        pdf = pd.concat(parts).sort_values(["feature", "value"])
-        rows = []
-        for feat, g in pdf.groupby("feature", sort=True):
-            na, nb = totals[feat]
-            d = g["a"].cumsum().to_numpy() / max(na, 1) - g["b"].cumsum().to_numpy() / max(nb, 1)
-            rows.append((pid, feat, int(g["a"].sum()), int(g["b"].sum()), float(d.max()), float(d.min())))
-        yield pd.DataFrame(rows, columns=["pid", "feature", "ta", "tb", "dmax", "dmin"])
-
-    summary = (counts.repartitionByRange(n, "feature", "value")
-               .mapInPandas(summarize, "pid int, feature string, ta long, tb long, dmax double, dmin double"))
-    w = Window.partitionBy("feature").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    na = F.create_map(*[x for f, (a, _) in totals.items() for x in (F.lit(f), F.lit(a))])
-    nb = F.create_map(*[x for f, (_, b) in totals.items() for x in (F.lit(f), F.lit(b))])
-    off = (summary.withColumn("oa", F.coalesce(F.sum("ta").over(w), F.lit(0)))
-           .withColumn("ob", F.coalesce(F.sum("tb").over(w), F.lit(0)))
-           .withColumn("na", F.element_at(na, F.col("feature")))
-           .withColumn("nb", F.element_at(nb, F.col("feature"))))
-    c = F.col("oa") / F.greatest(F.col("na"), F.lit(1)) - F.col("ob") / F.greatest(F.col("nb"), F.lit(1))
-    return (off.groupBy("feature")
-            .agg(F.max(F.greatest(c + F.col("dmax"), -(c + F.col("dmin")))).alias("ks"),
-                 F.first("na").alias("n_ref"), F.first("nb").alias("n_cur")))
+    path = scratch_path(spark, "ks-ranges")
+    (counts.repartitionByRange(n, "feature", "value").withColumn("pid", F.spark_partition_id())
+     .write.parquet(path))
+    ranged = spark.read.parquet(path)
+    total = ranged.groupBy("feature", "pid").agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"))
+    before = Window.partitionBy("feature").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("feature")
+    off = total.select("feature", "pid", F.coalesce(F.sum("ta").over(before), F.lit(0)).alias("oa"),
+                       F.coalesce(F.sum("tb").over(before), F.lit(0)).alias("ob"),
+                       F.sum("ta").over(whole).alias("na"), F.sum("tb").over(whole).alias("nb"))
+    w = Window.partitionBy("feature", "pid").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    cum = (ranged.withColumn("ca", F.sum("a").over(w)).withColumn("cb", F.sum("b").over(w))
+           .join(off, ["feature", "pid"]))  # one row per feature and range: Spark picks the join
+    gap = F.abs(F.try_divide(F.col("oa") + F.col("ca"), F.col("na")) - F.try_divide(F.col("ob") + F.col("cb"), F.col("nb")))
+    return cum.groupBy("feature").agg(F.max(gap).alias("ks"), F.first("na").alias("n_ref"), F.first("nb").alias("n_cur"))

@@ -11,11 +11,13 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.parsing import BLANK, to_double
 from .roles import Roles, feature_names
 from .stats import NULL_LEVEL, level_key, training_stats
 
@@ -42,16 +44,19 @@ class FeatureModel:
     def level_list(self, c: str) -> list[str]:
         return sorted(self.levels[c])
 
+    @cached_property
+    def fill(self) -> dict[str, float | str]:
+        """What stands in for a missing value: training mean, or most frequent level (ties: the largest)."""
+        values: dict[str, float | str] = dict(self.means)
+        for c, counts in self.levels.items():
+            top = max(counts.values(), default=None)
+            values |= {c: max(lv for lv, n in counts.items() if n == top)} if counts else {}
+        return values
+
     @property
     def feature_names(self) -> list[str]:
         return feature_names(self.numeric, {c: self.level_list(c) for c in self.categorical})
 
-    def mode(self, c: str) -> str:
-        lv = self.levels.get(c) or {}
-        if not lv:
-            raise ValueError(f"No categorical statistics available to impute '{c}'.")
-        return max(lv.items(), key=lambda kv: (kv[1], kv[0]))[0]
-
     def to_json(self) -> str:
         return json.dumps({
             "numeric": self.numeric, "categorical": self.categorical, "n_rows": self.n_rows,
@@ -89,16 +94,9 @@ class FeatureModel:
         """T4: apply the fitted encoding; ``keep`` columns ride along (keys, target)."""
         missing = [c for c in self.numeric + self.categorical if c not in df.columns]
         if missing:
-            raise ValueError(f"Missing required feature(s): {missing}")
+            raise ValueError(f"input lacks column(s) {missing}")
         return df.select(*keep, *self.encoded_columns(df))
 
-    def impute_value(self, c: str):
-        if c in self.means:
-            return self.means[c]
-        if c in self.levels:
-            return self.mode(c)
-        raise ValueError(f"Unexpected feature '{c}' cannot be imputed.")
-
 
 def fit_features(train: DataFrame, roles: Roles, target: str | None = None,
                  max_levels: int = MAX_LEVELS) -> FeatureModel:
@@ -125,9 +123,14 @@ def fit_features(train: DataFrame, roles: Roles, target: str | None = None,
 
 # --- P4 / P5 / T5 / T7 / T8 --------------------------------------------------
 
-def is_missing(c: Column) -> Column:
-    """Null, or a blank / whitespace-only string.  NaN is *not* missing."""
-    return c.isNull() | (F.trim(c.cast("string")) == F.lit(""))
+def is_missing(c: Column, dtype: T.DataType | None = None) -> Column:
+    """Null, or text of white space only (any Unicode white space).  NaN is *not* missing.
+
+    With a ``dtype`` other than string, the text test is left out.
+    """
+    if dtype is not None and not isinstance(dtype, T.StringType):
+        return c.isNull()
+    return c.isNull() | c.cast("string").rlike(BLANK)
 
 
 def dummies(df: DataFrame, cols: Sequence[str], levels: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -160,26 +163,33 @@ def impute(df: DataFrame, model: FeatureModel, cols: Sequence[str] | None = None
     cols = list(cols) if cols is not None else model.numeric + model.categorical
     repl = {}
     for c in cols:
-        v = model.impute_value(c)
+        v, dtype = _fill(model, c), df.schema[c].dataType
+        missing = is_missing(F.col(c), dtype)
         if c in model.means:
-            # try_cast: text that is not a number becomes null here; callers flag it (bad_request)
-            repl[c] = F.when(is_missing(F.col(c)), F.lit(float(v))).otherwise(F.col(c).try_cast("double"))
+            # text that is not a number becomes null here; callers flag it (bad_request)
+            number = to_double(F.col(c)) if isinstance(dtype, T.StringType) else F.col(c).try_cast("double")
+            repl[c] = F.when(missing, F.lit(float(v))).otherwise(number)
         else:
             text = F.col(c).cast("string")
             if isinstance(df.schema[c].dataType, T.BooleanType):
                 text = F.initcap(text)  # same key as the training levels: True / False
-            repl[c] = F.when(is_missing(F.col(c)), F.lit(v)).otherwise(text)
+            repl[c] = F.when(missing, F.lit(v)).otherwise(text)
     return df.withColumns(repl)
 
 
+def _fill(model: FeatureModel, c: str):
+    if c not in model.fill:
+        raise ValueError(f"no training statistics for column {c!r}")
+    return model.fill[c]
+
+
 def imputed_map(model: FeatureModel, cols: Sequence[str] | None = None) -> Column:
     """``map<feature, imputed value as text>`` holding only the fields that were filled."""
     cols = list(cols) if cols is not None else model.numeric + model.categorical
     pairs = []
     for c in cols:
-        v = model.impute_value(c)
-        text = F.lit(v).cast("decimal(38,6)").cast("string") if c in model.means else F.lit(str(v))
-        pairs += [F.lit(c), F.when(is_missing(F.col(c)), text)]
+        v = _fill(model, c)  # numbers keep all their digits
+        pairs += [F.lit(c), F.when(is_missing(F.col(c)), F.lit(repr(float(v)) if c in model.means else str(v)))]
     return F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())
 
 
@@ -194,18 +204,23 @@ def tag_records(records: DataFrame, features_col: str, numeric: Sequence[str],
     """P5 in one projection: typed features plus ``missing``, ``bad_cast`` and ``status``.
 
     Present keys with null values pass (as in the strict path); extra keys are
-    ignored; numeric text that does not cast is flagged instead of raising.
+    ignored; numeric text that is not a number is flagged instead of raising.  A
+    null record (text that was no JSON object) is rejected with every key missing
+    and status ``malformed``.
     """
     m = F.col(features_col)
     expected = list(numeric) + list(categorical)
     bad_cast = F.array_compact(F.array(*[
-        F.when(m[k].isNotNull() & (m[k]).try_cast("double").isNull(), F.lit(k)) for k in numeric]))
+        F.when(m[k].isNotNull() & to_double(m[k]).isNull(), F.lit(k)) for k in numeric]))
     others = [c for c in records.columns if c != features_col]
-    tagged = records.select(*others, *[(m[k]).try_cast("double").alias(k) for k in numeric],
+    tagged = records.select(*others, *[to_double(m[k]).alias(k) for k in numeric],
                             *[m[k].alias(k) for k in categorical],
-                            missing_keys(m, expected).alias("missing"), bad_cast.alias("bad_cast"))
+                            m.isNull().alias("_malformed"),
+                            F.when(m.isNull(), F.array(*[F.lit(k) for k in expected]).cast("array<string>"))
+                            .otherwise(missing_keys(m, expected)).alias("missing"), bad_cast.alias("bad_cast"))
     ok = (F.size("missing") == 0) & (F.size("bad_cast") == 0)
-    return tagged.withColumn("status", F.when(ok, F.lit("ok")).otherwise(F.lit("rejected")))
+    status = F.when(F.col("_malformed"), F.lit("malformed")).when(ok, F.lit("ok")).otherwise(F.lit("rejected"))
+    return tagged.withColumn("status", status).drop("_malformed")
 
 
 def align_records(records: DataFrame, features_col: str, numeric: Sequence[str],
@@ -214,7 +229,7 @@ def align_records(records: DataFrame, features_col: str, numeric: Sequence[str],
     tagged = tag_records(records, features_col, numeric, categorical)
     others = [c for c in records.columns if c != features_col]
     ok = tagged.where(F.col("status") == "ok").select(*others, *numeric, *categorical)
-    rejects = tagged.where(F.col("status") == "rejected").select(*others, "missing", "bad_cast")
+    rejects = tagged.where(F.col("status") != "ok").select(*others, "missing", "bad_cast", "status")
     return ok, rejects
 
 
@@ -222,4 +237,4 @@ def bad_numbers(model: FeatureModel, cols: Sequence[str] | None = None) -> Colum
     """Array of numeric features whose present value is not a number (ANSI-safe)."""
     cols = [c for c in (cols if cols is not None else model.numeric) if c in model.means]
     return F.array_compact(F.array(*[
-        F.when(~is_missing(F.col(c)) & F.col(c).try_cast("double").isNull(), F.lit(c)) for c in cols]))
+        F.when(~is_missing(F.col(c)) & to_double(F.col(c)).isNull(), F.lit(c)) for c in cols]))

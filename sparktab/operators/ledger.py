@@ -182,6 +182,15 @@ class Ledger:
                 .select("content").limit(1).collect())
         return rows[0]["content"] if rows else None
 
+    def param(self, run_id: str, key: str) -> str | None:
+        """One parameter of a run (from this instance's buffer, else the table)."""
+        for rec in reversed(self._buf):
+            if rec[0] == "param" and rec[1] == run_id and rec[13] == key:
+                return rec[14]
+        rows = (self.params().where((F.col("run_id") == run_id) & (F.col("key") == key))
+                .select("value").limit(1).collect())
+        return rows[0]["value"] if rows else None
+
     def artifact_dir(self, run_id: str) -> str:
         return self._path(os.path.join("artifact_store", run_id))
 

@@ -1,6 +1,7 @@
 """Error aggregates.
 
-One aggregate per call; ``by`` turns it into per-slice metrics.  R² uses
+One aggregate per call; ``by`` turns it into per-slice metrics.  Only rows with both a
+target and a prediction count (``n``); the others are reported as ``n_unscored``.  R² uses
 ``var_pop(y) * n`` for the total sum of squares (numerically stable, one pass):
 null for fewer than two rows; for a constant target 1.0 when every prediction
 is exact, else 0.0.
@@ -17,24 +18,26 @@ from pyspark.sql import functions as F
 def regression_metrics(df: DataFrame, y: str = "y_true", p: str = "y_pred",
                        by: Sequence[str] = ()) -> DataFrame:
     e = F.col(y).cast("double") - F.col(p).cast("double")
-    n = F.count(F.lit(1))
+    n = F.count(e)
     sse = F.sum(e * e)
-    sst = F.var_pop(F.col(y).cast("double")) * n
+    sst = F.var_pop(F.when(e.isNotNull(), F.col(y).cast("double"))) * n
     r2 = (F.when(n < 2, F.lit(None).cast("double"))
           .when(sst == 0, F.when(sse == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
           .otherwise(F.lit(1.0) - sse / sst))
     aggs = [n.alias("n"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
-            F.sqrt(F.avg(e * e)).alias("rmse"), r2.alias("r2")]
+            F.sqrt(F.avg(e * e)).alias("rmse"), r2.alias("r2"),
+            (F.count(F.lit(1)) - n).alias("n_unscored")]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
 def rmsle(df: DataFrame, y: str = "y_true", p: str = "y_pred", by: Sequence[str] = ()) -> DataFrame:
     """A5: root mean squared log error; null (with ``n_negative`` > 0) if any value is negative."""
     yt, yp = F.col(y).cast("double"), F.col(p).cast("double")
-    neg = F.sum(F.when((yt < 0) | (yp < 0), 1).otherwise(0))
-    d = F.log1p(yt) - F.log1p(yp)
+    neg = F.count(F.when((yt < 0) | (yp < 0), 1))
+    both = yt.isNotNull() & yp.isNotNull()
+    d = F.when((yt > -1) & (yp > -1), F.log1p(yt) - F.log1p(yp))
     val = F.when(neg > 0, F.lit(None).cast("double")).otherwise(F.sqrt(F.avg(d * d)))
-    aggs = [F.count(F.lit(1)).alias("n"), neg.cast("bigint").alias("n_negative"), val.alias("rmsle")]
+    aggs = [F.count(F.when(both, 1)).alias("n"), neg.cast("bigint").alias("n_negative"), val.alias("rmsle")]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 

@@ -303,15 +303,45 @@ def gbt_regressor(target: str, **params):
 
 def fit_gbt(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
             **params):
-    """M2: gradient-boosted trees; returns a fitted ``PipelineModel``."""
+    """M2: gradient-boosted trees; returns a fitted ``PipelineModel``.
+
+    As for least squares, rows with a null target or numeric are left out of the fit.
+    """
     est = gbt_regressor(target, **params)
-    data = _sized(train.select(*numeric, *categorical, F.col(target).cast("double").alias(target)))
+    rows = tree_inputs(train.where(F.col(target).isNotNull()), numeric, categorical).where("_complete")
+    data = _sized(rows.select(*numeric, *categorical, F.col(target).cast("double").alias(target)))
     try:
         return vector_pipeline(numeric, categorical, est).fit(data)
     finally:
         data.unpersist()
 
 
+def tree_inputs(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """Columns as the tree pipeline takes them: numbers as double (null: 0, ``_complete`` false), levels as text."""
+    complete = F.lit(True)
+    for c in numeric:
+        complete = complete & F.col(c).isNotNull()
+    cols = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric}
+    cols |= {c: level_key(df, c) for c in categorical}
+    return df.withColumn("_complete", complete).withColumns(cols)
+
+
+def predict_tree(model, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """``df`` with ``y_pred`` (null where a numeric is null, as for the linear model)."""
+    before = [c for c in df.columns]
+    kept = df.select("*", *[F.col(c).alias(f"_in_{c}") for c in [*numeric, *categorical]])
+    out = model.transform(tree_inputs(kept, numeric, categorical))
+    back = [F.col(f"_in_{c}").alias(c) if c in numeric or c in categorical else F.col(c) for c in before]
+    return out.select(*back, F.when(F.col("_complete"), F.col(PRED)).alias(PRED))
+
+
+def predict(model, df: DataFrame, fm: FeatureModel) -> DataFrame:
+    """``df`` with ``y_pred`` from a linear or a tree model."""
+    if isinstance(model, LinearModel):
+        return df.withColumn(PRED, model.predict_col(df))
+    return predict_tree(model, df, fm.numeric, fm.categorical)
+
+
 # Search space for M4 (fixed values of the tuning grid).
 SEARCH_SPACE = {
     "maxDepth": [2, 3, 4, 5, 6],
@@ -322,13 +352,18 @@ SEARCH_SPACE = {
 
 
 def sample_params(n_trials: int, seed: int, space: dict | None = None) -> list[dict]:
-    """Random search: ``n_trials`` distinct draws from the grid (seeded, driver-side)."""
+    """Random search: ``n_trials`` distinct draws from the grid (seeded, driver-side).
+
+    More trials than the grid has points is an error.
+    """
     space = space or SEARCH_SPACE
     rng = np.random.default_rng(seed)
     keys = sorted(space)
     seen, out = set(), []
     total = int(np.prod([len(space[k]) for k in keys]))
-    while len(out) < min(n_trials, total):
+    if n_trials > total:
+        raise ValueError(f"{n_trials} trials, but the grid has {total} points")
+    while len(out) < n_trials:
         pick = tuple(space[k][int(rng.integers(len(space[k])))] for k in keys)
         if pick not in seen:
             seen.add(pick)
@@ -385,18 +420,19 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
 
 
 ROWS_PER_PARTITION = 250_000
+MIN_ROWS = 10_000  # fewer rows than this are not worth a task of their own
 
 
 def _sized(df: DataFrame) -> DataFrame:
     """Persist model-fit input with partitions sized by row count (not by input files).
 
     Boosting runs several jobs per round over this data; tiny partitions only add
-    scheduling cost, so the partition count follows ``rows / ROWS_PER_PARTITION``
-    (never more than the input has, never fewer than one).
+    scheduling cost, so the partition count is the larger of the number of cores and
+    ``rows / ROWS_PER_PARTITION`` (never more than the input has).
     """
     df = df.persist()
     n = df.count()
-    want = max(1, -(-n // ROWS_PER_PARTITION))
+    want = max(1, min(df.sparkSession.sparkContext.defaultParallelism, -(-n // MIN_ROWS)), -(-n // ROWS_PER_PARTITION))
     if want < df.rdd.getNumPartitions():
         sized = df.coalesce(want).persist()
         sized.count()

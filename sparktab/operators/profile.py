@@ -121,9 +121,13 @@ def bin_index(col: str, lo: float, hi: float, bins: int):
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """``(bin, lo, hi, n)`` over equal-width bins between min and max."""
     lo, hi, _ = _range(df, col)
+    if lo is None:  # no values: no bins
+        return df.sparkSession.createDataFrame([], "bin bigint, lo double, hi double, n bigint")
     width = (hi - lo) / bins
+    every = df.sparkSession.range(bins if hi > lo else 1).select(F.col("id").alias("bin"))
     counts = (df.where(F.col(col).isNotNull()).groupBy(bin_index(col, lo, hi, bins).alias("bin"))
               .agg(F.count(F.lit(1)).alias("n")))
+    counts = every.join(counts, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return counts.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
                          (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"), "n")
 
@@ -132,9 +136,38 @@ def pair_bins(df: DataFrame, x: str, y: str, bins: int = 10) -> DataFrame:
     """2-D equal-width bin counts ``(bx, by, n)`` (the scatter behind a pair plot)."""
     r = df.agg(F.min(F.col(x).cast("double")), F.max(F.col(x).cast("double")),
                F.min(F.col(y).cast("double")), F.max(F.col(y).cast("double"))).first()
-    return (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-            .groupBy(bin_index(x, r[0], r[1], bins).alias("bx"), bin_index(y, r[2], r[3], bins).alias("by"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    if r[0] is None or r[2] is None:
+        return df.sparkSession.createDataFrame([], "bx bigint, by bigint, n bigint")
+    side = lambda lo, hi: bins if hi > lo else 1
+    every = df.sparkSession.range(side(r[0], r[1]) * side(r[2], r[3])).select(
+        F.floor(F.col("id") / side(r[2], r[3])).cast("bigint").alias("bx"),
+        (F.col("id") % side(r[2], r[3])).alias("by"))
+    counts = (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+              .groupBy(bin_index(x, r[0], r[1], bins).alias("bx"), bin_index(y, r[2], r[3], bins).alias("by"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    return every.join(counts, ["bx", "by"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+def all_pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
+    """R13 for every pair of ``cols`` (column order) in one pass: ``(x, y, bx, by, n)``, bins with rows.
+
+    The bins of all columns are computed once per row; a row then counts once per pair.
+    """
+    ends = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}_{n}") for c in cols
+                    for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    used = [c for c in cols if ends[f"{c}_lo"] is not None]
+    binned = df.select(*[bin_index(c, ends[f"{c}_lo"], ends[f"{c}_hi"], bins).alias(f"b{i}")
+                         if ends[f"{c}_hi"] > ends[f"{c}_lo"]
+                         else F.when(F.col(c).isNotNull(), F.lit(0).cast("bigint")).alias(f"b{i}")
+                         for i, c in enumerate(used)])
+    # rows meet as (bins of all columns, count): a row is not multiplied by the pairs before that
+    cells = binned.groupBy(*binned.columns).agg(F.count(F.lit(1)).alias("c"))
+    pairs = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"b{i}").alias("bx"), F.col(f"b{j}").alias("by"))
+             for i, a in enumerate(used) for j, b in enumerate(used) if i < j]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "x string, y string, bx bigint, by bigint, n bigint")
+    return (cells.select("c", F.explode(F.array(*pairs)).alias("p")).where("p.bx is not null and p.by is not null")
+            .groupBy("p.x", "p.y", "p.bx", "p.by").agg(F.sum("c").alias("n")))
 
 
 def density(df: DataFrame, col: str, bins: int = 50, grid: int = 200) -> DataFrame:
@@ -167,20 +200,22 @@ def density(df: DataFrame, col: str, bins: int = 50, grid: int = 200) -> DataFra
 def box_stats(df: DataFrame, value: str, by: str, exact: bool | str = "auto") -> tuple[DataFrame, DataFrame]:
     """Per-group quartiles, 1.5 IQR whiskers clipped to the data, and the outlier rows.
 
-    Returns ``(stats, outliers)``.  Group fences (one row per group, count
-    checked) are broadcast back to the rows; no group is gathered in one task.
+    Returns ``(stats, outliers)``.  Group fences (one row per group) are broadcast
+    back to the rows below a checked number of groups and joined otherwise; no group
+    is gathered in one task.  A group without values keeps its row, with nulls and n = 0.
     """
     q = quantiles(df, value, [0.25, 0.5, 0.75], by=[by], exact=exact)
-    rows = q.limit(MAX_GROUPS + 1).collect()  # one row per group, bounded before broadcast
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups exceed the broadcast bound")
-    fences = local_table(df.sparkSession, [(r[by], *r["q"]) for r in rows], T.StructType([
-        T.StructField("_g", df.schema[by].dataType), T.StructField("q1", T.DoubleType()),
-        T.StructField("median", T.DoubleType()), T.StructField("q3", T.DoubleType())]))
+    fences = q.select(F.col(by).alias("_g"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+                      F.col("q")[2].alias("q3"))
+    rows = fences.limit(MAX_GROUPS + 1).collect()
+    if len(rows) <= MAX_GROUPS:
+        fences = F.broadcast(local_table(df.sparkSession, [tuple(r) for r in rows], T.StructType([
+            T.StructField("_g", df.schema[by].dataType), T.StructField("q1", T.DoubleType()),
+            T.StructField("median", T.DoubleType()), T.StructField("q3", T.DoubleType())])))
     fences = (fences.withColumn("lo_fence", F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1")))
               .withColumn("hi_fence", F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))))
     v = F.col(value).cast("double")
-    tagged = df.join(F.broadcast(fences), df[by].eqNullSafe(fences["_g"]))
+    tagged = df.join(fences, df[by].eqNullSafe(fences["_g"]), "left")
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
     stats = tagged.groupBy(by).agg(
         F.count(v).alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
@@ -191,33 +226,57 @@ def box_stats(df: DataFrame, value: str, by: str, exact: bool | str = "auto") ->
     return stats, outliers
 
 
-MAX_PAIRWISE_CORR_COLS = 30  # above this, one Spark ML Gram pass instead of one aggregate per pair
+MAX_PAIRWISE_CORR_COLS = 30  # above this, Gram sums in one pass instead of one aggregate per pair
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
-    """Pearson ``(a, b, r)`` for every pair ``a < b`` (column order).
-
-    ``pairs``: one aggregate of ``corr(a, b)`` per pair (exact streaming
-    moments).  ``matrix``: ``pyspark.ml.stat.Correlation`` on an assembled
-    vector, one BLAS Gram pass however many columns (rows with a null in any
-    column are skipped, where ``pairs`` uses pairwise-complete rows).  ``auto``
-    uses pairs up to ``MAX_PAIRWISE_CORR_COLS`` columns, where the per-pair
-    aggregates still fit in codegen.
+    """Pearson ``(a, b, r)`` for every pair ``a < b`` (column order), over the rows that have both.
+
+    ``pairs``: one aggregate of ``corr(a, b)`` per pair.  ``gram``: for wide sets, the
+    sums of all pairs from masked Gram products per batch, added up per pair.  Both
+    give the same pairwise-complete result; ``auto`` picks by the number of columns.
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     if method == "auto":
-        method = "pairs" if len(cols) <= MAX_PAIRWISE_CORR_COLS else "matrix"
+        method = "pairs" if len(cols) <= MAX_PAIRWISE_CORR_COLS else "gram"
     if method == "pairs":
         wide = df.agg(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
                                          F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r"))
                                 for a, b in pairs]).alias("s"))
         return wide.select(F.inline("s"))
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()  # d x d, bounded by the column count
-    idx = {c: i for i, c in enumerate(cols)}
-    return local_table(df.sparkSession, [(a, b, float(m[idx[a], idx[b]])) for a, b in pairs],
-                       "a string, b string, r double")
+    return _correlation_gram(df, cols)
+
+
+def _correlation_gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pairwise-complete correlations from masked Gram sums (values shifted by the column means)."""
+    import numpy as np
+    import pyarrow as pa
+
+    narrow = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    d = len(cols)
+    shift = np.array([m or 0.0 for m in narrow.agg(*[F.avg(c) for c in narrow.columns]).first()])
+    at = [(i, j) for i in range(d) for j in range(i + 1, d)]
+    rows, columns = (np.array(x) for x in zip(*at))
+
+    def run(batches):
+        total = np.zeros((6, d, d))
+        for b in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns])
+            m = np.column_stack([np.asarray(c.is_valid()) for c in b.columns]).astype(float)
+            x = np.where(m > 0, x - shift, 0.0)
+            total += np.array([m.T @ m, x.T @ m, m.T @ x, x.T @ x, (x * x).T @ m, m.T @ (x * x)])
+        part = total[:, rows, columns]
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(columns)] + [pa.array(p) for p in part],
+                                         ["i", "j", "n", "sa", "sb", "sab", "saa", "sbb"])
+
+    sums = "n double, sa double, sb double, sab double, saa double, sbb double"
+    s = narrow.mapInArrow(run, f"i long, j long, {sums}").groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "sab", "saa", "sbb")])
+    va, vb = F.col("saa") - F.col("sa") ** 2 / F.col("n"), F.col("sbb") - F.col("sb") ** 2 / F.col("n")
+    cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")
+    # a constant column leaves only rounding in its variance
+    flat = (va <= 1e-13 * F.col("saa")) | (vb <= 1e-13 * F.col("sbb"))
+    r = F.when(F.col("n") > 0, F.when(~flat, cov / F.sqrt(va * vb)))
+    name = F.array(*[F.lit(c) for c in cols])
+    return s.select(F.element_at(name, (F.col("i") + 1).cast("int")).alias("a"),
+                    F.element_at(name, (F.col("j") + 1).cast("int")).alias("b"), r.alias("r"))

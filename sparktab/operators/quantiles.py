@@ -22,14 +22,12 @@ Quantiles use linear interpolation between the values at ranks
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import local_table
+from ..session import local_table, scratch_path
 
 MAX_EXACT_DISTINCT = 2_000_000
 APPROX_ACCURACY = 100_000
@@ -65,62 +63,79 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
 
 def bracket_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
                       out: str = "q", accuracy: int = APPROX_ACCURACY, max_tries: int = 4) -> DataFrame:
-    """Exact quantiles by sketch brackets (see module doc); ``by`` groups are bounded."""
+    """Exact quantiles by sketch brackets (see module doc); null groups are groups like any other.
+
+    A row is only multiplied by the brackets that it lies in, which is about
+    ``n / accuracy`` of the rows for each; what lies below is counted per bracket in one wide aggregate.
+    """
     spark = df.sparkSession
-    base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    by_fields = [df.schema[c] for c in by]
-    margin = 2.0 / accuracy
+    groups = [f"_g{i}" for i in range(len(by))]
+    base = df.where(F.col(value).isNotNull()).select(
+        *[F.col(c).alias(g) for c, g in zip(by, groups)], F.col(value).cast("double").alias("_v"))
+    js, margin = range(len(probs)), 2.0 / accuracy
     for _ in range(max_tries):
         lo_p = [max(0.0, p - margin) for p in probs]
         hi_p = [min(1.0, p + margin) for p in probs]
-        sketch = base.groupBy(*by).agg(
+        sketch = base.groupBy(*groups).agg(
             F.count(F.lit(1)).alias("_n"),
             F.percentile_approx("_v", F.array(*[F.lit(x) for x in lo_p + hi_p]), accuracy).alias("_b"))
-        rows = sketch.limit(MAX_GROUPS + 1).collect()
-        if len(rows) > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} groups")
-        targets = []
-        for r in rows:
-            n = int(r["_n"])
-            for j, p in enumerate(probs):
-                pos = p * (n - 1)
-                k_lo, k_hi = int(math.floor(pos)), int(math.ceil(pos))
-                targets.append((*[r[c] for c in by], j, float(r["_b"][j]), float(r["_b"][len(probs) + j]),
-                                k_lo, k_hi, pos))
-        brk = local_table(spark, targets, T.StructType([
-            *[T.StructField(f.name, f.dataType) for f in by_fields], T.StructField("_j", T.IntegerType()),
-            T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType()),
-            T.StructField("_klo", T.LongType()), T.StructField("_khi", T.LongType()),
-            T.StructField("_pos", T.DoubleType())]))
-        if by:
-            joined = base.join(F.broadcast(brk), list(by))
-        else:  # one group: each row meets the (few) bracket literals through explode, no join
-            lits = F.array(*[F.struct(F.lit(tg[0]).alias("_j"), F.lit(tg[1]).alias("_lo"),
-                                      F.lit(tg[2]).alias("_hi")) for tg in targets])
-            joined = base.select("_v", F.inline(lits))
-        keys = [*by, "_j"]
-        below = joined.groupBy(*keys).agg(F.count(F.when(F.col("_v") < F.col("_lo"), 1)).alias("_below"))
-        inside = (joined.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-                  .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-        w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-        cum = (inside.join(below, keys).join(F.broadcast(brk.select(*keys, "_klo", "_khi", "_pos")), keys)
-               .withColumn("_end", F.col("_below") + F.sum("_c").over(w))
-               .withColumn("_start", F.col("_end") - F.col("_c")))
+        wide = []
+        for j, p in enumerate(probs):
+            pos = F.lit(float(p)) * (F.col("_n") - 1)
+            wide += [F.col("_b")[j].alias(f"_lo{j}"), F.col("_b")[len(probs) + j].alias(f"_hi{j}"),
+                     pos.alias(f"_pos{j}")]
+        brk = sketch.where("_n > 0").select(*[F.col(g).alias(f"_r{g}") for g in groups], *wide)
+        rows = brk.limit(MAX_GROUPS + 1).collect()
+        few = len(rows) <= MAX_GROUPS
+        if few:
+            brk = local_table(spark, [tuple(r) for r in rows], brk.schema)
+        else:  # one narrow row per group, written once
+            path = scratch_path(spark, "brackets")
+            brk.write.parquet(path)
+            brk = spark.read.parquet(path)
+        if not by:
+            if not rows:
+                return spark.createDataFrame([(None,)], f"{out} array<double>")
+            one = rows[0].asDict()
+            joined = base.withColumns({c: F.lit(v) for c, v in one.items()})
+        else:
+            on = [F.col(g).eqNullSafe(F.col(f"_r{g}")) for g in groups]
+            cond = on[0]
+            for c in on[1:]:
+                cond = cond & c
+            joined = base.join(F.broadcast(brk) if few else brk, cond)
+        below = joined.groupBy(*groups).agg(*[
+            F.count(F.when(F.col("_v") < F.col(f"_lo{j}"), 1)).alias(f"_below{j}") for j in js],
+            *[F.first(f"_pos{j}").alias(f"_pos{j}") for j in js])
+        near = F.filter(F.array(*[F.when((F.col("_v") >= F.col(f"_lo{j}")) & (F.col("_v") <= F.col(f"_hi{j}")),
+                                         F.lit(j)) for j in js]), lambda x: x.isNotNull())
+        inside = (joined.select(*groups, "_v", F.explode(near).alias("_j"))
+                  .groupBy(*groups, "_j", "_v").agg(F.count(F.lit(1)).alias("_c")))
+        w = Window.partitionBy(*groups, "_j").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        inside = inside.withColumn("_end", F.sum("_c").over(w))
+        below = below.select(*[F.col(g).alias(f"_s{g}") for g in groups], F.explode(F.array(*[
+            F.struct(F.lit(j).alias("k"), F.col(f"_below{j}").alias("below"), F.col(f"_pos{j}").alias("pos"))
+            for j in js])).alias("_t"))
+        cond = F.col("_j") == F.col("_t.k")
+        for g in groups:
+            cond = cond & F.col(g).eqNullSafe(F.col(f"_s{g}"))
+        cum = below.join(inside, cond, "left").withColumn("_end", F.col("_t.below") + F.col("_end"))
         # value at 0-based rank k: the row whose [start, end) covers k
-        at = lambda k: F.min(F.when((F.col("_start") <= F.col(k)) & (F.col(k) < F.col("_end")),
-                                    F.col("_v")))
-        picked = cum.groupBy(*keys).agg(at("_klo").alias("_vlo"), at("_khi").alias("_vhi"),
-                                        F.first("_klo").alias("_klo"), F.first("_khi").alias("_khi"),
-                                        F.first("_pos").alias("_pos"))
-        got = picked.collect()  # one row per (group, probability): bounded
-        if all(g["_vlo"] is not None and g["_vhi"] is not None for g in got) and len(got) == len(targets):
-            result: dict[tuple, list] = {}
-            for g in got:
-                q = g["_vlo"] if g["_klo"] == g["_khi"] else \
-                    (g["_khi"] - g["_pos"]) * g["_vlo"] + (g["_pos"] - g["_klo"]) * g["_vhi"]
-                result.setdefault(tuple(g[c] for c in by), [None] * len(probs))[g["_j"]] = float(q)
-            return local_table(spark, [(*k, v) for k, v in result.items()], T.StructType([
-                *[T.StructField(f.name, f.dataType) for f in by_fields],
-                T.StructField(out, T.ArrayType(T.DoubleType()))]))
+        def at(k):
+            return F.min(F.when((F.col("_end") - F.col("_c") <= k) & (k < F.col("_end")), F.col("_v")))
+        keys = [f"_s{g}" for g in groups]
+        picked = cum.groupBy(*keys, F.col("_t.k").alias("_k"), F.col("_t.pos").alias("_pos")).agg(
+            at(F.floor("_t.pos")).alias("_vlo"), at(F.ceil("_t.pos")).alias("_vhi"))
+        lo, hi = F.floor("_pos"), F.ceil("_pos")
+        q = F.when(lo == hi, F.col("_vlo")).otherwise(
+            (hi - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - lo) * F.col("_vhi"))
+        found = picked.groupBy(*keys).agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("_k", q.alias("q")))), lambda x: x["q"]).alias(out),
+            F.count(F.when(F.col("_vlo").isNull() | F.col("_vhi").isNull(), 1)).alias("_open"))
+        path = scratch_path(spark, "quantiles")  # one row per group, read more than once
+        found.write.parquet(path)
+        found = spark.read.schema(found.schema).parquet(path)
+        if found.where("_open > 0").isEmpty():
+            return found.select(*[F.col(k).alias(c) for k, c in zip(keys, by)], out)
         margin *= 16
     raise RuntimeError("quantile brackets did not converge")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .features import FeatureModel, align_records, impute, imputed_map, is_missing
 from .metrics import regression_metrics
-from .models import PRED, LinearModel
+from .models import PRED, LinearModel, predict
 
 MAX_PINNED_MODELS = 1000  # each model becomes one CASE branch
 
@@ -27,16 +27,14 @@ def score_holdout(df: DataFrame, model: LinearModel, target: str, keys: Sequence
     return df.select(*keys, y.alias("y_true"), p.alias("y_pred"), (y - p).alias("residual"))
 
 
-def score_strict(records: DataFrame, features_col: str, fm: FeatureModel,
-                 model: LinearModel) -> tuple[DataFrame, DataFrame]:
-    """Every expected feature must be present; returns (scored, rejects)."""
+def score_strict(records: DataFrame, features_col: str, fm: FeatureModel, model) -> tuple[DataFrame, DataFrame]:
+    """Every expected feature must be present; returns (scored, rejects).  Linear or tree model."""
     ok, rejects = align_records(records, features_col, fm.numeric, fm.categorical)
-    return ok.withColumn(PRED, model.predict_col(ok)), rejects
+    return predict(model, ok, fm), rejects
 
 
-def score_partial(requests: DataFrame, fm: FeatureModel, model: LinearModel,
-                  keep: Sequence[str] = ()) -> DataFrame:
-    """Impute missing fields, score, and report what was imputed.
+def score_partial(requests: DataFrame, fm: FeatureModel, model, keep: Sequence[str] = ()) -> DataFrame:
+    """Impute missing fields, score with a linear or tree model, and report what was imputed.
 
     ``requests`` carries the feature columns (nullable, any may be absent).
     Output: ``keep..., used_features struct, imputed map<string,string>, y_pred``.
@@ -47,9 +45,8 @@ def score_partial(requests: DataFrame, fm: FeatureModel, model: LinearModel,
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
     df = df.withColumn("imputed", imputed_map(fm, cols))
-    filled = impute(df, fm, cols)
-    return filled.select(*keep, F.struct(*[F.col(c) for c in cols]).alias("used_features"),
-                         "imputed", model.predict_col(filled).alias(PRED))
+    scored = predict(model, impute(df, fm, cols), fm)
+    return scored.select(*keep, F.struct(*[F.col(c) for c in cols]).alias("used_features"), "imputed", PRED)
 
 
 def score_pinned(requests: DataFrame, run_col: str, models: Mapping[str, LinearModel]) -> DataFrame:
@@ -83,9 +80,10 @@ def compare_runs(holdout: DataFrame, target: str, models: Mapping[str, LinearMod
     return regression_metrics(long, by=["run_id"])
 
 
-def prediction_log(scored: DataFrame, run_id: str, input_cols: Sequence[str]) -> DataFrame:
+def prediction_log(scored: DataFrame, run_id: str, input_cols: Sequence[str],
+                   model_type: str | None = None) -> DataFrame:
     """Rows for the append-only ``predictions_log`` table."""
-    return scored.select(F.lit(run_id).alias("model_run_id"), F.current_timestamp().alias("ts"),
+    return scored.select(F.lit(run_id).alias("model_run_id"), F.lit(model_type).alias("model_type"), F.current_timestamp().alias("ts"),
                          F.to_json(F.struct(*[F.col(c) for c in input_cols])).alias("inputs"),
                          F.col(PRED).alias("prediction"))
 

@@ -14,17 +14,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.hashing import hash_u32, threshold
 from ..session import local_table
 
 SIDE = "split"
 TRAIN, TEST, VALID = "train", "test", "validation"
-# Radix select: high 12 bits (<= 4096 groups per stratum), then the exact hash
-# inside the one cut bucket (<= 2^20 distinct values per stratum).
-_RADIX_BITS = 12
-MAX_STRATA = 100_000  # per-stratum cut tables are broadcast; keep them bounded
+# Radix select over 32-bit hashes: the high 12 bits (<= 4096 groups per stratum), then
+# the next 12, then the last 8 of the hashes inside the one bucket that holds the cut.
+_HIGH, _MID = 20, 8
+MAX_STRATA = 100_000  # so many cut rows are broadcast; more are joined
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], test_fraction: float, seed: int,
@@ -51,12 +50,10 @@ def stratified_split(df: DataFrame, keys: Sequence[str], stratum: str, test_frac
     Work: two aggregations over the data (map-side combined) plus broadcast
     joins against per-stratum cut tables of one row per stratum.
     """
-    spark = df.sparkSession
     hashed = df.withColumn("_h", hash_u32(keys, seed))
-    cuts = _stratum_cuts(hashed, stratum, df.schema[stratum].dataType, test_fraction)
-    cut_df = local_table(spark, cuts, T.StructType([
-        T.StructField("_s", df.schema[stratum].dataType), T.StructField("_cut", T.LongType())]))
-    out = hashed.join(F.broadcast(cut_df), hashed[stratum].eqNullSafe(cut_df["_s"]), "left")
+    cuts = _stratum_cuts(hashed, stratum, test_fraction).select(F.col(stratum).alias("_s"), F.col("_h").alias("_cut"))
+    cut_df = _few_or_joined(cuts)
+    out = hashed.join(cut_df, hashed[stratum].eqNullSafe(cut_df["_s"]), "left")
     side = F.when(F.col("_cut").isNotNull() & (F.col("_h") <= F.col("_cut")),
                   F.lit(TEST)).otherwise(F.lit(TRAIN))
     return out.withColumn(side_col, side).drop("_h", "_s", "_cut")
@@ -71,36 +68,37 @@ def exact_split(df: DataFrame, keys: Sequence[str], test_fraction: float, seed:
     the cut hash also go to ``test``.
     """
     h = hash_u32(keys, seed)
-    cuts = _stratum_cuts(df.select(F.lit(0).alias("_all"), h.alias("_h")), "_all", T.IntegerType(),
-                         test_fraction)
-    if not cuts:  # empty input
+    cut = _stratum_cuts(df.select(F.lit(0).alias("_all"), h.alias("_h")), "_all", test_fraction).first()
+    if cut is None:  # empty input
         return df.withColumn(side_col, F.lit(TRAIN))
-    return df.withColumn(side_col, F.when(h <= F.lit(cuts[0][1]), F.lit(TEST)).otherwise(F.lit(TRAIN)))
+    return df.withColumn(side_col, F.when(h <= F.lit(cut["_h"]), F.lit(TEST)).otherwise(F.lit(TRAIN)))
 
 
-def _stratum_cuts(hashed: DataFrame, stratum: str, s_type: T.DataType, test_fraction: float) -> list:
-    """``[(stratum, cut hash)]``: per stratum, the hash of the ``ceil(n * f)``-th smallest row."""
-    spark = hashed.sparkSession
-    hi = F.shiftright(F.col("_h"), _RADIX_BITS)
-    # level 1: counts per (stratum, high bits) -> the bucket holding each stratum's cut
+def _stratum_cuts(hashed: DataFrame, stratum: str, test_fraction: float) -> DataFrame:
+    """``(stratum, _h)``: per stratum, the hash of the ``ceil(n * f)``-th smallest row.
+
+    Two aggregates over the rows; no window sees more than 4096 rows of a stratum.
+    """
+    hi, mid = F.shiftright(F.col("_h"), _HIGH), F.shiftright(F.col("_h"), _MID)
     lvl1 = hashed.groupBy(stratum, hi.alias("_hi")).agg(F.count(F.lit(1)).alias("_c"))
     need = F.ceil(F.sum("_c").over(Window.partitionBy(stratum)) * F.lit(test_fraction)).cast("bigint")
-    cut1 = _collect_bounded(_first_reaching(lvl1, stratum, "_hi", need).select(stratum, "_hi", "_need"))
-    cut1_df = local_table(spark, cut1, T.StructType([
-        T.StructField("_s1", s_type), T.StructField("_cut_hi", T.LongType()), T.StructField("_k", T.LongType())]))
-    # level 2: exact hash values, only for rows inside each stratum's cut bucket
-    in_bucket = hashed.join(F.broadcast(cut1_df), hashed[stratum].eqNullSafe(cut1_df["_s1"])
-                            & (hi == cut1_df["_cut_hi"]))
-    lvl2 = in_bucket.groupBy(stratum, "_h", "_k").agg(F.count(F.lit(1)).alias("_c"))
-    return _collect_bounded(_first_reaching(lvl2, stratum, "_h", F.col("_k")).select(stratum, "_h"))
-
-
-def _collect_bounded(cut: DataFrame) -> list:
-    """One row per stratum; collected under a hard bound before it is broadcast."""
+    cut1 = _few_or_joined(_first_reaching(lvl1, stratum, "_hi", need).select(
+        F.col(stratum).alias("_s1"), F.col("_hi").alias("_cut_hi"), F.col("_need").alias("_k")))
+    in_bucket = hashed.join(cut1, hashed[stratum].eqNullSafe(cut1["_s1"]) & (hi == cut1["_cut_hi"]))
+    exact = in_bucket.groupBy(stratum, "_h", "_k").agg(F.count(F.lit(1)).alias("_c"))
+    lvl2 = exact.groupBy(stratum, mid.alias("_m"), "_k").agg(F.sum("_c").alias("_c"))
+    cut2 = _few_or_joined(_first_reaching(lvl2, stratum, "_m", F.col("_k")).select(
+        F.col(stratum).alias("_s2"), F.col("_m").alias("_cut_m"), F.col("_need").alias("_k2")))
+    last = exact.join(cut2, exact[stratum].eqNullSafe(cut2["_s2"]) & (mid == cut2["_cut_m"]))
+    return _first_reaching(last, stratum, "_h", F.col("_k2")).select(stratum, "_h")
+
+
+def _few_or_joined(cut: DataFrame) -> DataFrame:
+    """One narrow row per stratum: broadcast below a checked number of strata, else joined as it is."""
     rows = cut.limit(MAX_STRATA + 1).collect()
     if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata; use hash_split instead")
-    return [tuple(r) for r in rows]
+        return cut
+    return F.broadcast(local_table(cut.sparkSession, [tuple(r) for r in rows], cut.schema))
 
 
 def _first_reaching(counts: DataFrame, stratum: str, order_col: str, k) -> DataFrame:
@@ -119,13 +117,17 @@ def manifest_split(df: DataFrame, manifest: DataFrame, key: str, side_col: str =
                    max_broadcast_rows: int = 5_000_000) -> DataFrame:
     """Attach ``side`` from a saved ``(key, side)`` manifest (reproduces recorded splits).
 
-    The manifest is broadcast only when its row count is under the bound;
-    otherwise both sides are shuffled on the key.
+    Rows whose key is not listed stay, with side null; a key listed several times
+    counts once, and with different sides it is an error.  The manifest is broadcast
+    only when its row count is under the bound; otherwise both sides are shuffled on the key.
     """
-    m = manifest.select(key, F.col(side_col))
+    m = manifest.groupBy(F.col(key).alias("_key")).agg(F.min(side_col).alias(side_col), F.max(side_col).alias("_max"))
+    if not m.where(F.col(side_col) != F.col("_max")).isEmpty():
+        raise ValueError(f"the manifest lists a {key} on two sides")
+    m = m.select("_key", side_col)
     if m.count() <= max_broadcast_rows:
         m = F.broadcast(m)
-    return df.join(m, key, "inner")
+    return df.join(m, F.col(key) == F.col("_key"), "left").drop("_key")
 
 
 def materialize_split(df: DataFrame, path: str, side_col: str = SIDE) -> DataFrame:

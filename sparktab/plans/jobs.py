@@ -24,18 +24,18 @@ from ..operators import profile
 from ..operators.features import FeatureModel, fit_features
 from ..operators.ledger import FAILED, FINISHED, Ledger
 from ..operators.metrics import regression_metrics
-from ..operators.models import LinearModel, fit_gbt, fit_linear
+from ..operators.models import LinearModel, fit_gbt, fit_linear, predict
 from ..operators.roles import infer_roles
 from ..operators.scoring import prediction_log, score_holdout, score_strict
-from ..operators.split import TEST, TRAIN, hash_split, materialize_split
-from ..session import input_bytes, scratch_path, tune_for_input
+from ..operators.split import TEST, TRAIN, exact_split, hash_split, materialize_split
+from ..session import delete_path, input_bytes, scratch_path, tune_for_input
 from ..sources.tables import read_table, write_table
 
 MODEL_TYPES = ("linear_regression", "gbt")
 SPLIT_TABLE_MIN_BYTES = 256 << 20
-# Fitted objects of runs created in this process (their artifacts are also written);
-# later stages of the same workflow reuse them instead of reading them back.
-_FITTED: dict[tuple[str, str], object] = {}
+# Keys under which runs record parameters and metrics.
+METRICS = ("mae", "mse", "rmse", "r2")
+SPLIT_METHODS = ("exact", "hash")
 
 
 @dataclass(frozen=True)
@@ -48,6 +48,7 @@ class JobSpec:
     exclude: tuple[str, ...] = ()         # other non-feature columns
     test_size: float = 0.2
     seed: int = 42
+    split_method: str = "exact"           # exact: ceil(n * test_size) test rows; hash: stateless threshold
     model_type: str = "linear_regression"
     hyperparameters: dict = field(default_factory=dict)
     data_format: str | None = None
@@ -56,7 +57,13 @@ class JobSpec:
 
     def __post_init__(self):
         if self.model_type not in MODEL_TYPES:
-            raise ValueError(f"Unsupported model type: {self.model_type}")
+            raise ValueError(f"model_type must be one of {MODEL_TYPES}, got {self.model_type!r}")
+        if self.split_method not in SPLIT_METHODS:
+            raise ValueError(f"split_method must be one of {SPLIT_METHODS}, got {self.split_method!r}")
+        if self.model_type == "linear_regression" and {k: v for k, v in self.hyperparameters.items()
+                                                       if (k, v) != ("fit_intercept", True)}:
+            raise ValueError("least squares has an intercept and no other option; "
+                             f"got {dict(self.hyperparameters)}")
 
 
 def load(spark: SparkSession, spec: JobSpec) -> DataFrame:
@@ -64,21 +71,31 @@ def load(spark: SparkSession, spec: JobSpec) -> DataFrame:
         tune_for_input(spark, input_bytes(spark, spec.data_path))
     df = read_table(spark, spec.data_path, spec.data_format)
     if spec.target not in df.columns:
-        raise KeyError(f"Target column '{spec.target}' missing from dataset")
+        raise KeyError(f"the table has no target column {spec.target!r}")
     return df
 
 
-def _split_keys(df: DataFrame, spec: JobSpec) -> list[str]:
-    if spec.keys:
-        return list(spec.keys)
-    if spec.index_column:
-        return [spec.index_column]
-    return [c for c in df.columns if c != spec.target]
+def _index(df: DataFrame, spec: JobSpec) -> list[str]:
+    """The index column, where the table has it."""
+    return [spec.index_column] if spec.index_column in df.columns else []
 
 
-def split(df: DataFrame, spec: JobSpec, seed: int | None = None, test_size: float | None = None) -> DataFrame:
-    return hash_split(df, _split_keys(df, spec), spec.test_size if test_size is None else test_size,
-                      spec.seed if seed is None else seed)
+def split_keys(df: DataFrame, spec: JobSpec) -> list[str]:
+    return list(spec.keys) or _index(df, spec) or [c for c in df.columns if c not in (spec.target, "split")]
+
+
+def split(df: DataFrame, spec: JobSpec, seed: int | None = None, test_size: float | None = None,
+          keys: Sequence[str] | None = None, method: str | None = None) -> DataFrame:
+    cut = exact_split if (method or spec.split_method) == "exact" else hash_split
+    return cut(df, list(keys or split_keys(df, spec)), spec.test_size if test_size is None else test_size,
+               spec.seed if seed is None else seed)
+
+
+def _split_as(spark: SparkSession, spec: JobSpec, ledger: Ledger, run: dict) -> DataFrame:
+    """The data split as the run recorded it: seed, share, keys and method."""
+    keys = ledger.param(run["run_id"], "split_keys")
+    return split(load(spark, spec), spec, int(run["split_seed"]), float(run["test_size"]),
+                 json.loads(keys) if keys else None, ledger.param(run["run_id"], "split_method"))
 
 
 def _exclude(spec: JobSpec) -> list[str]:
@@ -113,7 +130,6 @@ def run_feature_engineering(spark: SparkSession, spec: JobSpec, parent_id: str |
         summary, nulls = profile.summary_and_nulls(df.drop("split"))  # one pass: R3-R5
         roles = infer_roles(df, exclude=_exclude(spec))
         fm = fit_features(df.where(F.col("split") == TRAIN), roles, target=spec.target)
-        _FITTED[(run_id, "feature_model")] = fm
         ledger.log_artifact(run_id, None, "feature_model", content=fm.to_json())
         ledger.log_artifact(run_id, None, "null_counts", content=json.dumps(nulls))
         ledger.log_params(run_id, {
@@ -121,6 +137,7 @@ def run_feature_engineering(spark: SparkSession, spec: JobSpec, parent_id: str |
             "data_memory_mb": summary["memory_mb"], "num_numeric_features": len(fm.numeric),
             "num_categorical_features": len(fm.categorical),
             "total_transformed_features": len(fm.feature_names),
+            "split_keys": json.dumps(split_keys(df, spec)), "split_method": spec.split_method,
             "dropped_columns": json.dumps(roles.dropped)})
         ledger.end_run(run_id, FINISHED)
     except Exception:
@@ -130,8 +147,6 @@ def run_feature_engineering(spark: SparkSession, spec: JobSpec, parent_id: str |
 
 
 def load_feature_model(spark: SparkSession, ledger: Ledger, feature_run_id: str) -> FeatureModel:
-    if (feature_run_id, "feature_model") in _FITTED:
-        return _FITTED[(feature_run_id, "feature_model")]
     text = ledger.artifact_text(feature_run_id, "feature_model")
     if text is None:
         raise LookupError(f"feature run {feature_run_id} has no feature model")
@@ -156,40 +171,31 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
                               feature_run_id=feature_run_id, split_seed=seed, test_size=test_size)
     try:
         fm = load_feature_model(spark, ledger, feature_run_id)
-        df = split_df if split_df is not None else split(load(spark, spec), spec, seed, test_size)
+        df = split_df if split_df is not None else _split_as(spark, spec, ledger, fr)
         train, test = df.where(F.col("split") == TRAIN), df.where(F.col("split") == TEST)
         art = ledger.artifact_dir(run_id)
         if spec.model_type == "linear_regression":
             model = fit_linear(train, fm, spec.target)
             ledger.log_artifact(run_id, None, spec.model_type, content=model.to_json())
-            scored = score_holdout(test, model, spec.target, [spec.index_column] if spec.index_column else [])
         else:
             model = fit_gbt(train, fm.numeric, fm.categorical, spec.target, **spec.hyperparameters)
             model.write().overwrite().save(os.path.join(art, "model"))
             ledger.log_artifact(run_id, os.path.join(art, "model"), spec.model_type)
-            scored = (model.transform(test).select(F.col(spec.target).cast("double").alias("y_true"), "y_pred")
-                      .withColumn("residual", F.col("y_true") - F.col("y_pred")))
-        _FITTED[(run_id, "model")] = model
-        scored = scored.persist()
-        write_table(scored, os.path.join(art, "predictions"), fmt=spec.predictions_format)
-        ledger.log_artifact(run_id, os.path.join(art, "predictions"), "predictions")
+        _write_predictions(ledger, run_id, holdout(test, model, fm, spec), spec)
         # hold-out metrics and M6's final training-side loss/error from one grouped aggregate
-        if isinstance(model, LinearModel):
-            both = df.select("split", F.col(spec.target).cast("double").alias("y_true"),
-                             model.predict_col(df).alias("y_pred"))
-        else:
-            both = model.transform(df).select("split", F.col(spec.target).cast("double").alias("y_true"),
-                                              "y_pred")
+        both = predict(model, df, fm).select("split", F.col(spec.target).cast("double").alias("y_true"), "y_pred")
         by_side = {r["split"]: r.asDict() for r in regression_metrics(both, by=["split"]).collect()}
-        m, tm = by_side[TEST], by_side[TRAIN]
-        ledger.log_artifact(run_id, None, "metrics",
-                            content=json.dumps({k: m[k] for k in ("mae", "mse", "rmse", "r2")}))
-        ledger.log_metrics(run_id, {**{k: m[k] for k in ("mae", "mse", "rmse", "r2")},
+        none = dict.fromkeys([*METRICS, "n_unscored"])  # a side without rows (hash split of a small table)
+        m, tm = by_side.get(TEST, none), by_side.get(TRAIN, none)
+        ledger.log_artifact(run_id, None, "metrics", content=json.dumps({k: m[k] for k in METRICS}))
+        ledger.log_metrics(run_id, {**{k: m[k] for k in METRICS},
                                     "train_loss_final": tm["mse"], "train_mae_final": tm["mae"]})
+        # rows with a null target or numeric take no part in the fit
+        kept = {k: ledger.param(feature_run_id, k) for k in ("split_keys", "split_method")}
         ledger.log_params(run_id, {"model_type": spec.model_type, "test_size": test_size,
-                                   "random_state": seed,
+                                   "random_state": seed, "train_rows_left_out": tm["n_unscored"],
+                                   **{k: v for k, v in kept.items() if v},
                                    **{f"model_{k}": v for k, v in spec.hyperparameters.items()}})
-        scored.unpersist()
         ledger.end_run(run_id, FINISHED)
     except Exception:
         ledger.end_run(run_id, FAILED)
@@ -197,13 +203,24 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
     return run_id
 
 
+def holdout(test: DataFrame, model, fm: FeatureModel, spec: JobSpec) -> DataFrame:
+    """C1/P7 for a linear or tree model: ``(index?, y_true, y_pred, residual)``."""
+    y = F.col(spec.target).cast("double")
+    return predict(model, test, fm).select(*_index(test, spec), y.alias("y_true"), "y_pred",
+                                           (y - F.col("y_pred")).alias("residual"))
+
+
+def _write_predictions(ledger: Ledger, run_id: str, scored: DataFrame, spec: JobSpec) -> None:
+    path = os.path.join(ledger.artifact_dir(run_id), "predictions")
+    write_table(scored, path, fmt=spec.predictions_format)
+    ledger.log_artifact(run_id, path, "predictions")
+
+
 def load_model(spark: SparkSession, ledger: Ledger, run_id: str):
     """The fitted model of a training run, with its type."""
     run = ledger.run_row(run_id)
     if run is None:
         raise LookupError(f"Run {run_id} not found")
-    if (run_id, "model") in _FITTED:
-        return _FITTED[(run_id, "model")], run
     if run["model_type"] == "linear_regression":
         text = ledger.artifact_text(run_id, run["model_type"])
         if text is None:
@@ -230,15 +247,13 @@ def run_evaluation(spark: SparkSession, spec: JobSpec, model_run_id: str | None
                               feature_run_id=mrun["feature_run_id"], split_seed=mrun["split_seed"],
                               test_size=mrun["test_size"])
     try:
-        df = split_df if split_df is not None else split(load(spark, spec), spec, int(mrun["split_seed"]),
-                                                         float(mrun["test_size"]))
-        test = df.where(F.col("split") == TEST)
-        if isinstance(model, LinearModel):
-            scored = score_holdout(test, model, spec.target)
-        else:
-            scored = model.transform(test).select(F.col(spec.target).cast("double").alias("y_true"), "y_pred")
+        df = split_df if split_df is not None else _split_as(spark, spec, ledger, mrun)
+        fm = load_feature_model(spark, ledger, mrun["feature_run_id"])
+        scored = holdout(df.where(F.col("split") == TEST), model, fm, spec)
+        _write_predictions(ledger, run_id, scored, spec)
         m = regression_metrics(scored).first().asDict()
-        ledger.log_metrics(run_id, {f"eval_{k}": m[k] for k in ("mae", "mse", "rmse", "r2")})
+        ledger.log_metrics(run_id, {f"eval_{k}": m[k] for k in METRICS})
+        ledger.log_artifact(run_id, None, "metrics", content=json.dumps({k: m[k] for k in METRICS}))
         ledger.log_params(run_id, {"evaluated_model_run_id": model_run_id,
                                    "evaluated_model_type": mrun["model_type"]})
         ledger.end_run(run_id, FINISHED)
@@ -251,16 +266,18 @@ def run_evaluation(spark: SparkSession, spec: JobSpec, model_run_id: str | None
 # --- J4 ------------------------------------------------------------------------------
 
 def run_prediction(spark: SparkSession, spec: JobSpec, records: DataFrame | str, features_col: str = "features",
-                   run_id: str | None = None, out_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Strictly score map records with a (pinned or latest) linear training run.
+                   run_id: str | None = None, out_dir: str | None = None,
+                   whole_files: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Strictly score map records with a (pinned or latest) training run, linear or tree.
 
     ``records`` is a DataFrame with a ``map<string,string>`` column or a path of
-    JSON records (one object per line, S4).  Returns ``(scored, rejects)``; the
-    scored rows are appended to the ``predictions_log`` table when ``out_dir`` is given.
+    JSON records (S4: one object per line, or ``whole_files``).  Returns ``(scored,
+    rejects)``.  With ``out_dir`` the scored rows are appended to ``predictions_log`` and
+    the rejects to ``rejects``; a ``prediction`` run records the model run and counts.
     """
     if isinstance(records, str):
         from ..sources.tables import read_records
-        records, features_col = read_records(spark, records), "features"
+        records, features_col = read_records(spark, records, whole_files=whole_files), "features"
     ledger = Ledger(spark, spec.ledger_root)
     if run_id is None:
         latest = ledger.latest_run("training")
@@ -268,13 +285,22 @@ def run_prediction(spark: SparkSession, spec: JobSpec, records: DataFrame | str,
             raise LookupError("No finished training run found")
         run_id = latest["run_id"]
     model, mrun = load_model(spark, ledger, run_id)
-    if not isinstance(model, LinearModel):
-        raise ValueError("strict record scoring needs a linear run")
     fm = load_feature_model(spark, ledger, mrun["feature_run_id"])
     scored, rejects = score_strict(records, features_col, fm, model)
     if out_dir:
-        write_table(prediction_log(scored, run_id, fm.numeric + fm.categorical),
-                    os.path.join(out_dir, "predictions_log"), mode="append")
+        pred_run = ledger.start_run("prediction", model_type=mrun["model_type"], feature_run_id=mrun["feature_run_id"])
+        try:
+            log = os.path.join(out_dir, "predictions_log")
+            write_table(prediction_log(scored, run_id, fm.numeric + fm.categorical, mrun["model_type"]), log, mode="append")
+            others = [c for c in rejects.columns if c not in ("missing", "bad_cast", "status")]
+            write_table(rejects.select(F.lit(pred_run).alias("run_id"), "missing", "bad_cast", "status", *others),
+                        os.path.join(out_dir, "rejects"), mode="append")
+            ledger.log_params(pred_run, {"source_run_id": run_id, "model_type": mrun["model_type"]})
+            ledger.log_artifact(pred_run, log, "predictions_log")
+            ledger.end_run(pred_run, FINISHED)
+        except Exception:
+            ledger.end_run(pred_run, FAILED)
+            raise
     return scored, rejects
 
 
@@ -287,9 +313,10 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
     parent = ledger.start_run("workflow", split_seed=spec.seed, test_size=spec.test_size)
     # one split serves all three stages: above SPLIT_TABLE_MIN_BYTES it is written as a
     # side-partitioned table (pruned reads, cut lineage); small inputs are kept in memory
-    df = split(load(spark, spec), spec)
+    df, path = split(load(spark, spec), spec), None
     if input_bytes(spark, spec.data_path) >= SPLIT_TABLE_MIN_BYTES:
-        df = materialize_split(df, scratch_path(spark, f"split-{parent}"))
+        path = scratch_path(spark, f"split-{parent}")
+        df = materialize_split(df, path)
     else:
         df = df.persist()
     try:
@@ -305,6 +332,9 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
         raise
     finally:
         ledger.flush()
+        df.unpersist()
+        if path:
+            delete_path(spark, path)
     return {"workflow": parent, "feature_engineering": fe, "training": tr, "evaluation": ev}
 
 
@@ -342,8 +372,6 @@ def run_inference(spark: SparkSession, spec: JobSpec, requests: DataFrame, run_c
             if run_id is None:
                 raise LookupError("no finished training run")
             model, mrun = load_model(spark, ledger, run_id)
-            if not isinstance(model, LinearModel):
-                raise LookupError(f"run {run_id} is not a linear model")
             fm = load_feature_model(spark, ledger, mrun["feature_run_id"])
         except LookupError as e:
             parts.append(rows.select(*keep, F.col("_run").alias("model_run_id"),
@@ -366,6 +394,11 @@ def run_inference(spark: SparkSession, spec: JobSpec, requests: DataFrame, run_c
             .cast("string").alias("reason"),
             F.to_json("used_features").alias("used_features"), "imputed",
             F.when(ok, F.col("y_pred")).alias("y_pred")))
+    if not parts:  # no requests
+        names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.select(*keep).schema.fields)
+        return spark.createDataFrame([], (names + ", " if names else "") + (
+            "model_run_id string, model_type string, status string, reason string, used_features string, "
+            "imputed map<string,string>, y_pred double"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -53,6 +53,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing will read again."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (stream sinks, manifests)."""
     root = ensure_checkpoint_dir(spark)
@@ -104,8 +110,12 @@ def spread(df):
     into the scan (a non-deterministic hash key, e.g. on a row id, would block
     the filter pushdown).  Spark sorts before a round-robin exchange, so the
     assignment is deterministic under task retries.
-    At scale the scan already has thousands of splits and this is a no-op.
+    Off unless the session sets ``sparktab.spread`` (tests and the bench do, whose
+    files have one row group): on a cluster it would shuffle every table with fewer
+    splits than cores in full.
     """
+    if df.sparkSession.conf.get("sparktab.spread", "false") != "true":
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df

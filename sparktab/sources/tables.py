@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from ..functions.parsing import to_double
 from ..session import local_table
 
 # The text tokens the reference's CSV reader treats as missing
@@ -31,8 +32,7 @@ _INT_MIN, _INT_MAX = -(2 ** 31), 2 ** 31 - 1
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path and not path.startswith("file:"):
-        return bool(__import__("glob").glob(path))
+    """Whether the session's file system (also for paths without a scheme) has something at ``path``."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -40,21 +40,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             dtype: Mapping[str, str] | None = None, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+             dtype: Mapping[str, str] | None = None, na_tokens: Sequence[str] = NA_TOKENS,
+             multi_line: bool = False) -> DataFrame:
     """Header CSV with NA-token normalisation and typed columns.
 
     ``schema``: explicit types (``try_cast``; a value that does not cast is null).
     ``dtype``: per-column override on top of inference.
+    ``multi_line``: quoted fields may hold line breaks (a file is then one split).
+    A doubled quote inside a quoted field stands for one quote.
     """
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Raw data not found at {path}")
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        raise FileNotFoundError(f"no table at {path}")
+    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line)
     tokens = list(na_tokens)
     norm = raw.select(*[F.when(F.col(c).isin(tokens), F.lit(None)).otherwise(F.col(c)).alias(c)
                         for c in raw.columns])
     if schema is not None:
         st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-        return norm.select(*[(F.col(f.name)).try_cast(f.dataType).alias(f.name) for f in st.fields])
+        return norm.select(*[_typed(F.col(f.name), f.dataType).alias(f.name) for f in st.fields])
     types = infer_types(norm)
     if dtype:
         types.update(dtype)
@@ -65,7 +68,15 @@ def _cast(c: str, t: str):
     if t == "boolean":
         return (F.when(F.col(c).isin(TRUE_TOKENS), F.lit(True))
                 .when(F.col(c).isin(FALSE_TOKENS), F.lit(False)))
-    return (F.col(c)).try_cast(t) if t != "string" else F.col(c)
+    if t == "string":
+        return F.col(c)
+    return to_double(F.col(c)) if t == "double" else F.col(c).try_cast(t)
+
+
+def _typed(c, t: T.DataType):
+    if isinstance(t, (T.DoubleType, T.FloatType)):
+        return to_double(c).cast(t)
+    return c.try_cast(t)
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
@@ -77,7 +88,7 @@ def infer_types(df: DataFrame) -> dict[str, str]:
         aggs += [
             F.count(x).alias(f"{c}__n"),
             F.count(as_long).alias(f"{c}__long"),
-            F.count((x).try_cast("double")).alias(f"{c}__dbl"),
+            F.count(to_double(x)).alias(f"{c}__dbl"),
             F.count(F.when(x.isin(TRUE_TOKENS + FALSE_TOKENS), 1)).alias(f"{c}__bool"),
             F.min(as_long).alias(f"{c}__lo"), F.max(as_long).alias(f"{c}__hi"),
         ]
@@ -112,16 +123,24 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, **opts) -
         raise
 
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """JSON feature records, one object per line.
+def read_records(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                 whole_files: bool = False) -> DataFrame:
+    """JSON feature records, one object per line; with ``whole_files``, one object (over any
+    number of lines) or one array of objects per file.
 
     Without a schema each object becomes ``features: map<string,string>`` so that
-    partial records can be aligned (P5) or imputed (T8).
+    partial records can be aligned (P5) or imputed (T8); text that is not such an
+    object becomes a null map, which P5 rejects as malformed.
     """
     if schema is not None:
-        return spark.read.schema(schema).json(path)
-    text = spark.read.text(path)
-    return text.select(F.from_json("value", "map<string,string>").alias("features"))
+        return spark.read.schema(schema).option("multiLine", whole_files).json(path)
+    text = spark.read.text(path, wholetext=whole_files)
+    if not whole_files:
+        return text.where(F.length(F.trim("value")) > 0).select(
+            F.from_json("value", "map<string,string>").alias("features"))
+    one = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<map<string,string>>")).otherwise(
+        F.array(F.from_json("value", "map<string,string>")))
+    return text.select(F.explode(F.coalesce(one, F.array(F.lit(None).cast("map<string,string>")))).alias("features"))
 
 
 # --- sinks ---------------------------------------------------------------

@@ -1,6 +1,6 @@
 """Windowed service-level statistics over an event stream.
 
-Event time is cast from ``timestamp_ntz`` to ``timestamp`` (session zone UTC)
+Event time is turned from ``timestamp_ntz`` (read as UTC) into ``timestamp``
 because watermarks need the latter.  The aggregation runs in ``append`` mode:
 a window is written once the watermark passes its end and its state is then
 dropped, so state stays bounded by the open windows however long the stream
@@ -21,7 +21,10 @@ from ..session import scratch_path
 def windowed_stats(stream: DataFrame, ts: str = "ts", value: str = "value", window: str = "1 day",
                    delay: str = "1 hour", by: Sequence[str] = ("event_type",),
                    quantile: float | None = 0.95) -> DataFrame:
-    ev = stream.withColumn("_et", F.col(ts).cast("timestamp")).withWatermark("_et", delay)
+    at = F.col(ts)
+    if isinstance(stream.schema[ts].dataType, T.TimestampNTZType):  # a wall clock, taken as UTC in any session zone
+        at = F.convert_timezone(F.lit("UTC"), F.current_timezone(), at)
+    ev = stream.withColumn("_et", at.cast("timestamp")).withWatermark("_et", delay)
     aggs = [F.count(F.lit(1)).alias("n"), F.avg(value).alias("avg_value"), F.max(value).alias("max_value")]
     if quantile is not None:
         aggs.append(F.percentile_approx(value, quantile, 10_000).alias(f"p{int(quantile * 100)}_value"))

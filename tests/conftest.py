@@ -17,6 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = get_spark("local[4]", app="sparktab-tests", shuffle_partitions=8)
+    s.conf.set("sparktab.spread", "true")
     yield s
 
 

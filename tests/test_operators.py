@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,9 +13,10 @@ from sparktab.operators import checks, drift, profile, stats
 from sparktab.operators.features import align_records, fit_features, impute, is_missing
 from sparktab.operators.metrics import regression_metrics, rmsle
 from sparktab.operators.models import fit_linear, min_norm_solve
+from sparktab.operators.quantiles import quantiles
 from sparktab.operators.roles import Roles, infer_roles
 from sparktab.operators.scoring import compare_runs, score_partial, score_pinned
-from sparktab.operators.split import hash_split, stratified_split
+from sparktab.operators.split import hash_split, manifest_split, stratified_split
 from sparktab.sources.tables import read_csv, read_records
 
 
@@ -78,8 +81,8 @@ def test_alignment_orders_and_rejects(spark):
 
 
 def test_missing_predicate(spark):
-    df = spark.createDataFrame([(None,), ("",), ("  ",), ("x",)], "v string")
-    assert [r[0] for r in df.select(is_missing(F.col("v"))).collect()] == [True, True, True, False]
+    df = spark.createDataFrame([(None,), ("",), ("  ",), ("\t",), ("\n \u00a0",), ("x",)], "v string")
+    assert [r[0] for r in df.select(is_missing(F.col("v"))).collect()] == [True] * 5 + [False]
     nan = spark.sql("select double('NaN') as v")
     assert nan.select(is_missing(F.col("v"))).first()[0] is False
 
@@ -183,7 +186,7 @@ def test_score_partial_and_pinned(spark):
     lm = fit_linear(df, fm, "y")
     req = spark.createDataFrame([(1, None, "a"), (2, 2.0, None)], "id int, x double, g string")
     out = {r.id: r for r in score_partial(req, fm, lm, keep=["id"]).collect()}
-    assert out[1].imputed == {"x": "2.500000"} and out[2].imputed == {"g": "b"}
+    assert out[1].imputed == {"x": "2.5"} and out[2].imputed == {"g": "b"}
     full = spark.createDataFrame([(1, 1.0, "a"), (2, 2.0, "b")], "id int, x double, g string")
     pinned = score_pinned(full.withColumn("run", F.when(F.col("id") == 1, "m1").otherwise("zz")), "run", {"m1": lm})
     st = {r.id: (r.status, r.y_pred is None) for r in pinned.collect()}
@@ -205,7 +208,8 @@ def test_rule_report_and_quarantine(spark):
              checks.Rule("v.range", "range", "v", (0, 10)), checks.Rule("s.allowed", "allowed", "s", ("F", "O"))]
     rep = {r.rule: (r.checked, r.failed) for r in checks.rule_report(df, rules).collect()}
     assert rep == {"k.not_null": (3, 1), "k.unique": (2, 2), "v.range": (3, 1), "s.allowed": (3, 1)}
-    assert checks.quarantine(df, rules).count() == 2
+    # the null key, and both rows of the repeated one
+    assert checks.quarantine(df, rules).count() == 3
 
 
 def test_drift_identical_halves_are_zero(spark):
@@ -271,7 +275,7 @@ def test_boolean_categorical_impute_and_score(spark):
     df = spark.createDataFrame([(1.0, True, 10.0), (2.0, False, 20.0), (3.0, True, 31.0), (4.0, None, 40.0)],
                                "x double, flag boolean, y double")
     fm = fit_features(df, infer_roles(df, exclude=["y"]), target="y")
-    assert set(fm.levels["flag"]) == {"True", "False", "nan"} and fm.mode("flag") == "True"
+    assert set(fm.levels["flag"]) == {"True", "False", "nan"} and fm.fill["flag"] == "True"
     lm = fit_linear(df, fm, "y")
     req = spark.createDataFrame([(1.0, True), (1.0, None)], "x double, flag boolean")
     out = score_partial(req, fm, lm).collect()
@@ -319,7 +323,140 @@ def test_correlation_matrix_path_equals_pairs(spark):
     li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     a = {(r.a, r.b): r.r for r in profile.correlation_long(li, cols, method="pairs").collect()}
-    b = {(r.a, r.b): r.r for r in profile.correlation_long(li, cols, method="matrix").collect()}
+    b = {(r.a, r.b): r.r for r in profile.correlation_long(li, cols, method="gram").collect()}
     assert a.keys() == b.keys()
     for k in a:
         assert b[k] == pytest.approx(a[k], abs=1e-9)
+
+
+def test_correlation_of_40_columns_with_nulls(spark):
+    """Pairwise-complete at every width, by both paths and numpy."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 40)) + rng.normal(size=(200, 1)) + 1000
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 39] = 5.0
+    cols = [f"c{i}" for i in range(40)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x],
+                               ", ".join(f"{c} double" for c in cols)).repartition(3)
+    got = {(r.a, r.b): r.r for r in profile.correlation_long(df, cols).collect()}
+    few = {(r.a, r.b): r.r for r in profile.correlation_long(df, cols[:5], method="pairs").collect()}
+    assert len(got) == 780
+    for (a, b), r in got.items():
+        i, j = int(a[1:]), int(b[1:])
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        if j == 39:
+            assert r is None
+        else:
+            assert r == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+    assert all(got[k] == pytest.approx(v, abs=1e-9) for k, v in few.items())
+
+
+def test_null_groups_in_both_quantile_paths(spark):
+    rows = [("a", float(i)) for i in range(50)] + [(None, float(i * i)) for i in range(31)] + [("b", None), ("c", 7.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    few = {r.g: r.q for r in quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"], exact=True).collect()}
+    many = {r.g: r.q for r in quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"], exact="bracket", accuracy=50).collect()}
+    assert few.keys() == many.keys() == {"a", None, "c"}
+    for g in few:
+        assert many[g] == pytest.approx(few[g])
+    for exact in (True, "bracket"):
+        stats, _ = profile.box_stats(df, "v", "g", exact=exact)
+        out = {r.g: r for r in stats.collect()}
+        assert out["b"].n == 0 and out["b"].median is None and out[None].n == 31
+
+
+def test_empty_side_of_the_ranged_ks(spark):
+    df = spark.createDataFrame([(1.0, True), (2.0, True), (3.0, True)], "v double, ref boolean")
+    for bound in (10, 0):
+        row = drift.ks(df, ["v"], F.col("ref"), max_distinct=bound).first()
+        assert row.ks is None and (row.n_ref, row.n_cur) == (3, 0)
+
+
+def test_metrics_use_complete_rows(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (8.0, 7.0), (1000.0, None), (None, 5.0)],
+                               "y_true double, y_pred double")
+    m = regression_metrics(df).first()
+    assert (m.n, m.n_unscored, m.mae) == (3, 2, pytest.approx(2 / 3))
+    y, p = np.array([1.0, 3, 8]), np.array([2.0, 3, 7])
+    assert m.r2 == pytest.approx(1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum())
+    assert rmsle(df).first().n == 3
+
+
+def test_csv_quotes_line_breaks_and_number_suffixes(spark, scratch):
+    path = os.path.join(scratch, "t.csv")
+    with open(path, "w") as f:
+        f.write('a,b,c\n"say ""hi"", ok",3F,1.5\n"two\nlines",2D,1e3\n')
+    df = read_csv(spark, path, multi_line=True)
+    assert dict(df.dtypes) == {"a": "string", "b": "string", "c": "double"}
+    assert [tuple(r) for r in df.collect()] == [('say "hi", ok', "3F", 1.5), ("two\nlines", "2D", 1000.0)]
+
+
+def test_histogram_edges(spark):
+    none = spark.createDataFrame([(None,)], "v double")
+    assert profile.histogram(none, "v").count() == 0
+    some = spark.createDataFrame([(0.0,), (10.0,)], "v double")
+    assert [r.n for r in profile.histogram(some, "v", 5).orderBy("bin").collect()] == [1, 0, 0, 0, 1]
+
+
+def test_all_pairs_equal_single_pairs(spark):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount"]
+    every = {(r.x, r.y, r.bx, r.by): r.n for r in profile.all_pair_bins(li, cols).collect()}
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            one = {(a, b, r.bx, r.by): r.n for r in profile.pair_bins(li, a, b).where("n > 0").collect()}
+            assert one == {k: v for k, v in every.items() if k[:2] == (a, b)}
+
+
+def test_quarantine_of_repeated_values(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (2, None), (None, "z")], "k int, v string")
+    rules = [checks.Rule("k.unique", "unique", "k"), checks.Rule("v.set", "not_null", "v")]
+    got = sorted((r.k, r.v, r.failed_rules) for r in checks.quarantine(df, rules).collect())
+    assert got == [(1, "x", ["k.unique"]), (1, "y", ["k.unique"]), (2, None, ["v.set"])]
+    assert checks.rule_report(df, []).count() == 0 and checks.quarantine(df, []).count() == 0
+
+
+def test_manifest_keeps_every_row_once(spark):
+    df = spark.createDataFrame([(i,) for i in range(4)], "k int")
+    man = spark.createDataFrame([(0, "train"), (1, "test"), (1, "test")], "k int, split string")
+    assert sorted((r.k, r.split) for r in manifest_split(df, man, "k").where("k < 2").collect()) == [(0, "train"), (1, "test")]
+    assert manifest_split(df, man, "k").where("split is null").count() == 2
+    with pytest.raises(ValueError):
+        manifest_split(df, man.unionByName(spark.createDataFrame([(0, "test")], "k int, split string")), "k")
+
+
+def test_many_strata_are_joined(spark, monkeypatch):
+    from sparktab.operators import split as S
+    df = spark.createDataFrame([(i, i % 7 if i % 11 else None) for i in range(300)], "k int, s int")
+    few = {r.k: r.split for r in S.stratified_split(df, ["k"], "s", 0.3, 1).collect()}
+    monkeypatch.setattr(S, "MAX_STRATA", 2)
+    many = {r.k: r.split for r in S.stratified_split(df, ["k"], "s", 0.3, 1).collect()}
+    assert few == many and sum(v == "test" for v in few.values()) >= 90
+
+
+def test_tree_with_booleans_and_nulls(spark):
+    from sparktab.operators.models import fit_gbt, predict_tree
+    df = spark.createDataFrame([(float(i), i % 2 == 0, 10.0 * i) for i in range(40)]
+                               + [(None, True, 1.0), (1.0, None, 10.0), (2.0, False, None)],
+                               "x double, flag boolean, y double")
+    model = fit_gbt(df, ["x"], ["flag"], "y", maxIter=5, maxDepth=2, seed=1)
+    out = predict_tree(model, df, ["x"], ["flag"])
+    assert out.columns == ["x", "flag", "y", "y_pred"] and dict(out.dtypes)["flag"] == "boolean"
+    assert out.where("y_pred is null").count() == 1 == out.where("x is null").count()
+
+
+def test_refit_of_the_best_trial(spark):
+    from sparktab.operators.models import random_search, refit_best, sample_params
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    num, target = ["l_quantity", "l_discount"], "l_extendedprice"
+    fit, valid = li.where("l_orderkey % 3 > 0"), li.where("l_orderkey % 3 = 0")
+    table, best = random_search(fit, valid, num, [], target, n_trials=2, executions=1, seed=4)
+    rows = table.collect()
+    assert [r.val_mse for r in rows] == sorted(r.val_mse for r in rows)
+    assert best == json.loads(rows[0].params) and best in sample_params(2, 4)
+    model = refit_best(li, num, [], target, best)
+    y = [(r.l_extendedprice, r.y_pred) for r in model.transform(li).collect()]
+    spread = np.var([a for a, _ in y])
+    assert np.mean([(a - b) ** 2 for a, b in y]) < spread
+    with pytest.raises(ValueError):
+        sample_params(10_000, 1)
