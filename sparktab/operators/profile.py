@@ -226,19 +226,15 @@ def box_stats(df: DataFrame, value: str, by: str, exact: bool | str = "auto") ->
     return stats, outliers
 
 
-MAX_PAIRWISE_CORR_COLS = 30  # above this, Gram sums in one pass instead of one aggregate per pair
-
-
-def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
+def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "gram") -> DataFrame:
     """Pearson ``(a, b, r)`` for every pair ``a < b`` (column order), over the rows that have both.
 
-    ``pairs``: one aggregate of ``corr(a, b)`` per pair.  ``gram``: for wide sets, the
-    sums of all pairs from masked Gram products per batch, added up per pair.  Both
-    give the same pairwise-complete result; ``auto`` picks by the number of columns.
+    ``gram``, at every width: the sums of all pairs from masked Gram products per batch,
+    added up per pair.  ``pairs``: one aggregate of ``corr(a, b)`` per pair, the same result.
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if method == "auto":
-        method = "pairs" if len(cols) <= MAX_PAIRWISE_CORR_COLS else "gram"
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
     if method == "pairs":
         wide = df.agg(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
                                          F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r"))

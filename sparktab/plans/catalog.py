@@ -825,6 +825,9 @@ def workflow_metrics(spark, d):
     return _round_metrics(regression_metrics(scored))
 
 
+from . import catalog_jobs  # noqa: E402,F401  registers its queries
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
