@@ -46,7 +46,7 @@ MAGIC = b"TOKRANK1"
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 BLOCK_TOKENS = 2_000_000
-CACHE_WORDS = 800_000
+CACHE_WORDS = 500_000
 BATCH_BYTES = 4_000_000
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)  # by control byte
 
@@ -75,65 +75,95 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        names = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(names.values()) + 1, bool)
+        self.kind = np.uint16 if len(self.spaced) <= 1 << 16 else np.uint32
+        self.spaced[[i for name, i in names.items() if name.startswith("\u0120")]] = True  # a space byte
         self.clear()
 
     def clear(self):
         self.index: dict[str, int] = {}
         self.flat, self.start = array("i"), array("q", [0])
 
-    def _keep(self, key: str, ids) -> None:
-        self.index[key] = len(self.index)
-        self.flat.extend(ids)
-        self.start.append(len(self.flat))
+    def _keep(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.index)
+        self.index.update(zip(keys, range(n, n + len(keys))))
+        self.start.frombytes((len(self.flat) + np.cumsum(sizes, dtype=np.int64)).tobytes())
+        self.flat.frombytes(ids.astype(np.int32).tobytes())
 
-    def _ids(self, key: str):
-        i = self.index[key]
-        return self.flat[self.start[i]:self.start[i + 1]]
+    def _one_by_one(self, keys: list[str]) -> None:
+        text = [w[1:] if w[0] == "\n" else " " + w for w in keys]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(text, add_special_tokens=False)]
+        self._keep(keys, np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids)))
 
     def _learn(self, new: set[str]) -> None:
-        whole, joined = set(), []
+        plain, rest, joined = set(), [], []
         for w in new:
-            core = w.rstrip(".,")
-            if len(core) < len(w) and core.isalpha():
+            if w.isalpha():
+                plain.add(w)
+            elif (core := w.rstrip(".,")).isalpha():
                 joined.append((w, core, "\n" + w[len(core):]))
-                whole.add(core)
-                whole.add(joined[-1][2])
+                plain.add(core)
+            elif w[0].isspace() or len(w.split()) > 1:
+                rest.append(w)
             else:
-                whole.add(w)
-        whole = list(whole.difference(self.index))
-        for at in range(0, len(whole), 20_000):
-            part = whole[at:at + 20_000]
-            text = [w[1:] if w[0] == "\n" else " " + w for w in part]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(text, add_special_tokens=False)):
-                self._keep(w, e.ids)
-        for w, core, tail in joined:
-            self._keep(w, self._ids(core) + self._ids(tail))
+                plain.add(w)
+        rest += {tail for _, _, tail in joined}.difference(self.index, rest)
+        # words without white space of their own are encoded as one text; each starts a token with a space
+        plain = list(plain.difference(self.index))
+        lines = [plain[at:at + 512] for at in range(0, len(plain), 512)]
+        found = self.tokenizer.encode_batch_fast([" " + " ".join(p) for p in lines], add_special_tokens=False)
+        for part, e in zip(lines, found):
+            ids = np.array(e.ids, np.int32)
+            first = np.flatnonzero(self.spaced[ids])
+            if len(first) == len(part) and first[0] == 0:
+                self._keep(part, ids, np.diff(np.r_[first, len(ids)]))
+            else:
+                rest += part
+        if rest:
+            self._one_by_one(rest)
+        if joined:
+            names, cores, tails = zip(*joined)
+            at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(zip(cores, tails))), np.int64, 2 * len(names))
+            ids, size = self._gather(at)
+            self._keep(list(names), ids, size.reshape(-1, 2).sum(axis=1))
+
+    def _gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces by number, one after the other, and how many each has."""
+        start = np.frombuffer(self.start, np.int64)
+        first = start[which]
+        size = start[which + 1] - first
+        del start
+        if not size.sum():
+            return np.zeros(0, np.int32), size
+        flat = np.frombuffer(self.flat, np.int32)
+        out = flat[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        del flat  # an array cannot grow while it is looked at
+        return out, size
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number per text), without end ids."""
         if len(self.index) > CACHE_WORDS or len(self.flat) > 8 * CACHE_WORDS:
             self.clear()
-        cut = [t.split(" ") if t else [] for t in texts]
+        # a line break becomes a piece of its own, and what follows it one without a space
+        cut = [t.replace("\n", " \n\n \n").split(" ") if t else [] for t in texts]
         for ws in cut:
             if ws:
                 ws[0] = "\n" + ws[0]
         new = set().union(*cut).difference(self.index)
-        # a space next to white space or at an end of the text: cut these texts with more care
-        loose = {w for w in new if not w or w[-1].isspace() or (w[0].isspace() and (w[0] != "\n" or w[1:2].isspace()))}
-        broken = [" \n" in t for t in texts]  # looks like a first piece
-        if loose or any(broken):
+        # white space next to white space or at an end of the text: cut these texts with more care
+        loose = {w for w in new if not w or w == "\n" or (w != "\n\n" and (
+            w[-1].isspace() or (w[0].isspace() and (w[0] != "\n" or w[1].isspace()))))}
+        if loose:
             for i, ws in enumerate(cut):
-                if broken[i] or not loose.isdisjoint(ws):
+                if not loose.isdisjoint(ws):
                     cut[i] = self.CUT.split(texts[i])
                     cut[i][0] = "\n" + cut[i][0]
             new = set().union(*cut).difference(self.index)
         self._learn(new)
         words = np.fromiter(map(len, cut), np.int64, len(cut))
         which = np.fromiter(map(self.index.__getitem__, chain.from_iterable(cut)), np.int64, words.sum())
-        start, flat = np.frombuffer(self.start, np.int64).copy(), np.frombuffer(self.flat or array("i", [0]), np.int32).copy()
-        first = start[which]
-        size = start[which + 1] - first
-        out = flat[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        out, size = self._gather(which)
         counts = np.bincount(np.repeat(np.arange(len(cut)), words), size, len(cut)).astype(np.int64)
         return out, counts
 
@@ -224,7 +254,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int,
                 "part": pa.array([part]), "seq": pa.array([seq]), "before": pa.array([before]),
                 "n": pa.array([len(ids)]), "doc": pa.array([doc.fill_null(0).to_numpy().tobytes()]),
                 "valid": pa.array([valid.tobytes()]), "counts": pa.array([counts.tobytes()]),
-                "ids": pa.array([ids.astype(np.uint32).tobytes()])})
+                "ids": pa.array([ids.astype(encoder.kind).tobytes()])})
 
         for b in batches:
             size_of, at = pc.binary_length(b.column(2)).to_numpy(), 0
@@ -247,6 +277,12 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int,
     return src.mapInArrow(run, "part long, seq long, before long, n long, doc binary, valid binary, counts binary, ids binary")
 
 
+def _ids_of(value, n: int) -> np.ndarray:
+    """The ``n`` ids of a block's binary value, kept in two or four bytes each."""
+    raw = value.as_buffer()
+    return np.frombuffer(raw, np.uint16 if raw.size == 2 * n else np.uint32)
+
+
 def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
                  tokenizer: str | None = None, end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS) -> None:
     """Write the token files of ``docs`` into the shared ``folder`` (a path that every executor reaches)."""
@@ -257,8 +293,8 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     def count(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for x in b.column(0):
-                n = np.bincount(np.frombuffer(x.as_buffer(), np.uint32))
+            for x, k in zip(b.column(0), b.column(1).to_pylist()):
+                n = np.bincount(_ids_of(x, k))
                 if len(n) > len(total):
                     n, total = total, n.astype(np.int64)
                 total[:len(n)] += n
@@ -267,7 +303,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["token", "n"])
 
     # at most one row per id of the vocabulary
-    ranked = (blocks.select("ids").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    ranked = (blocks.select("ids", "n").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
               .orderBy(F.desc("n"), "token").select("token").toArrow())
     by_rank = ranked.column(0).to_numpy().astype(np.uint32)
     rank_of = np.zeros(int(by_rank.max()) + 1 if len(by_rank) else 1, np.uint32)
@@ -283,7 +319,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
             c = {n: b.column(i) for i, n in enumerate(b.schema.names)}
             for i in range(b.num_rows):
                 get = lambda n, kind: np.frombuffer(c[n][i].as_buffer(), kind)
-                ids = get("ids", np.uint32)
+                ids = _ids_of(c["ids"][i], c["n"][i].as_py())
                 raw = file_bytes(get("doc", np.int64), get("valid", np.uint8), get("counts", np.int64), ids,
                                  c["base"][i].as_py() + c["before"][i].as_py(), by_rank, rank_of)
                 name = f"part-{c['part'][i].as_py():06d}-{c['seq'][i].as_py():06d}.tok"
