@@ -11,12 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def regression_metrics(df: DataFrame, y: str = "y_true", p: str = "y_pred",
-                       by: Sequence[str] = ()) -> DataFrame:
+def _metric_columns(y: str, p: str) -> dict[str, Column]:
     e = F.col(y).cast("double") - F.col(p).cast("double")
     n = F.count(e)
     sse = F.sum(e * e)
@@ -24,12 +23,23 @@ def regression_metrics(df: DataFrame, y: str = "y_true", p: str = "y_pred",
     r2 = (F.when(n < 2, F.lit(None).cast("double"))
           .when(sst == 0, F.when(sse == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
           .otherwise(F.lit(1.0) - sse / sst))
-    aggs = [n.alias("n"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
-            F.sqrt(F.avg(e * e)).alias("rmse"), r2.alias("r2"),
-            (F.count(F.lit(1)) - n).alias("n_unscored")]
+    return {"n": n, "mae": F.avg(F.abs(e)), "mse": F.avg(e * e), "rmse": F.sqrt(F.avg(e * e)), "r2": r2,
+            "n_unscored": F.count(F.lit(1)) - n}
+
+
+def regression_metrics(df: DataFrame, y: str = "y_true", p: str = "y_pred",
+                       by: Sequence[str] = ()) -> DataFrame:
+    aggs = [c.alias(name) for name, c in _metric_columns(y, p).items()]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
+def metrics_per_column(df: DataFrame, y: str, predictions: dict[str, str], label: str) -> DataFrame:
+    """One row per prediction column (``predictions``: label to column) from one aggregate, without multiplying rows."""
+    rows = [F.struct(F.lit(name).alias(label), *[c.alias(k) for k, c in _metric_columns(y, p).items()])
+            for name, p in predictions.items()]
+    return df.agg(F.array(*rows).alias("m")).select(F.inline("m"))
+
+
 def rmsle(df: DataFrame, y: str = "y_true", p: str = "y_pred", by: Sequence[str] = ()) -> DataFrame:
     """A5: root mean squared log error; null (with ``n_negative`` > 0) if any value is negative."""
     yt, yp = F.col(y).cast("double"), F.col(p).cast("double")

@@ -1,9 +1,8 @@
 """Scoring (C1-C6).
 
 A fitted linear model is a column expression, so scoring is a projection that
-stays in whole-stage codegen.  Several models (pinned runs, run comparisons)
-become one ``CASE`` over the run id or one column per run: the requests are
-scanned once, never joined against a model table.
+stays in whole-stage codegen.  Pinned runs are joined as a table of coefficients; run
+comparisons are one column per run.  The requests are scanned once.
 """
 
 from __future__ import annotations
@@ -14,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import FeatureModel, align_records, impute, imputed_map, is_missing
-from .metrics import regression_metrics
+from .metrics import metrics_per_column
 from .models import PRED, LinearModel, predict
+from .stats import level_key
 
-MAX_PINNED_MODELS = 1000  # each model becomes one CASE branch
+MAX_BROADCAST_MODELS = 10_000  # so many coefficient rows are broadcast; more are joined
 
 
 def score_holdout(df: DataFrame, model: LinearModel, target: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -53,31 +53,41 @@ def score_pinned(requests: DataFrame, run_col: str, models: Mapping[str, LinearM
     """C4: score each request with the model its ``run_col`` names.
 
     Known ids get ``status = 'ok'``; unknown ids ``'not_found'`` with a null
-    prediction (the reference's 404, as data).  One scan, one projection.
+    prediction (the reference's 404, as data).  The models become a table of
+    coefficients, one narrow row per run, joined on the run id (broadcast below a
+    checked number of runs); the prediction is one expression, however many runs there are.
     """
-    if len(models) > MAX_PINNED_MODELS:
-        raise ValueError(f"{len(models)} models exceed {MAX_PINNED_MODELS}; score per model group")
-    if not models:
-        return requests.withColumn("status", F.lit("not_found")).withColumn(PRED, F.lit(None).cast("double"))
-    rid = F.col(run_col)
-    pred = None
+    spark = requests.sparkSession
+    numeric = sorted({c for m in models.values() for c, *_ in m.numeric})
+    levels = sorted({c for m in models.values() for c, _ in m.categorical})
+    schema = "_id string, _b double" + "".join(f", _n{i} struct<mean:double,scale:double,w:double>"
+                                              for i in range(len(numeric))) + "".join(
+        f", _l{i} map<string,double>" for i in range(len(levels)))
+    rows = []
     for run_id, m in sorted(models.items()):
-        branch = m.predict_col(requests)
-        pred = F.when(rid == F.lit(run_id), branch) if pred is None else pred.when(rid == F.lit(run_id), branch)
-    known = rid.isin(list(models))
-    return requests.withColumn("status", F.when(known, F.lit("ok")).otherwise(F.lit("not_found"))) \
-                   .withColumn(PRED, pred)
+        num, cat = {c: (mean, scale, w) for c, mean, scale, w in m.numeric}, {c: dict(lw) for c, lw in m.categorical}
+        rows.append((run_id, m.intercept, *[num.get(c) for c in numeric], *[cat.get(c) for c in levels]))
+    table = spark.createDataFrame(rows, schema)
+    if len(rows) <= MAX_BROADCAST_MODELS:
+        table = F.broadcast(table)
+    pred = F.col("_b")
+    for i, c in enumerate(numeric):  # a run without the feature skips the term
+        k = F.col(f"_n{i}")
+        term = k["w"] * ((F.col(c).cast("double") - k["mean"]) / k["scale"])
+        pred = pred + F.when(k.isNull(), F.lit(0.0)).otherwise(term)
+    for i, c in enumerate(levels):
+        pred = pred + F.coalesce(F.try_element_at(F.col(f"_l{i}"), level_key(requests, c)), F.lit(0.0))
+    out = requests.join(table, F.col(run_col).cast("string") == F.col("_id"), "left")
+    return out.select(*requests.columns, F.when(F.col("_id").isNotNull(), F.lit("ok")).otherwise(
+        F.lit("not_found")).alias("status"), F.when(F.col("_id").isNotNull(), pred).alias(PRED))
 
 
 def compare_runs(holdout: DataFrame, target: str, models: Mapping[str, LinearModel]) -> DataFrame:
-    """Hold-out metrics for several runs from one scan (one prediction column per run)."""
+    """Hold-out metrics for several runs from one scan and one aggregate (one prediction column per run)."""
     runs = sorted(models)
     wide = holdout.select(F.col(target).cast("double").alias("y_true"),
                           *[models[r].predict_col(holdout).alias(f"p{i}") for i, r in enumerate(runs)])
-    long = wide.select("y_true", F.explode(F.array(*[
-        F.struct(F.lit(r).alias("run_id"), F.col(f"p{i}").alias("y_pred")) for i, r in enumerate(runs)
-    ])).alias("s")).select("y_true", "s.run_id", "s.y_pred")
-    return regression_metrics(long, by=["run_id"])
+    return metrics_per_column(wide, "y_true", {r: f"p{i}" for i, r in enumerate(runs)}, "run_id")
 
 
 def prediction_log(scored: DataFrame, run_id: str, input_cols: Sequence[str],
