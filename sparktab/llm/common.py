@@ -56,11 +56,15 @@ def keep_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str, once
     ``once``: of several rows with equal id and text, one stays; else all stay.
     All columns of ``docs`` come through unchanged.
     """
+    # one non-null key, so that the join's partitioning serves the window too
+    def key(i, h):
+        return F.concat_ws(":", i.cast("string"), h.cast("string"))
+
     packed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("r_"),
-                         col(id_col).alias("i_"), text_hash(text_col).alias("h_"))
-    out = packed.join(keys, packed["i_"].eqNullSafe(keys["k_id"]) & (packed["h_"] == keys["k_hash"]), "left_semi")
+                         key(col(id_col), text_hash(text_col)).alias("key_"))
+    out = packed.join(keys.select(key(F.col("k_id"), F.col("k_hash")).alias("key_")), "key_", "left_semi")
     if once:
-        w = Window.partitionBy("i_", "h_").orderBy(F.lit(0))
+        w = Window.partitionBy("key_").orderBy(F.lit(0))
         out = out.withColumn("n_", F.row_number().over(w)).where("n_ = 1")
     return out.select("r_.*")
 
