@@ -38,6 +38,7 @@ MARGIN = 0.75
 PRIOR = 200
 SHARD_ROWS = 2_000_000
 LABEL_BROADCAST_ROWS = 2_000_000
+LANGUAGE_BROADCAST_ROWS = 100_000
 PAD = 0xFF          # never occurs in UTF-8
 SYMBOLS = 256
 CHUNK = 1 << 21     # bytes worked on at once
@@ -135,6 +136,11 @@ def _mask(n: int) -> int:
     return (1 << 8 * n) - 1
 
 
+def _per_language(df: DataFrame) -> DataFrame:
+    """A table of one narrow row per language, broadcast below a checked number, so that no language meets in one task."""
+    return bounded_broadcast(saved(df, "per-language"), LANGUAGE_BROADCAST_ROWS)
+
+
 def discounts(counts: DataFrame) -> DataFrame:
     """Per language the three discounts d1, d2, d3 from the counts of counts."""
     k = [F.sum((F.col("c") == i).cast("long")).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
@@ -157,8 +163,7 @@ def probabilities(types: DataFrame, order: int) -> DataFrame:
     lower = None
     for n in range(1, order + 1):
         d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        # languages are few and narrow, but their number is not fixed: Spark picks the join
-        cut = counts[n].join(discounts(counts[n]), "lang").withColumn("d", d)
+        cut = counts[n].join(_per_language(discounts(counts[n])), "lang").withColumn("d", d)
         context = F.shiftrightunsigned("code", 8).alias("context")
         weight = cut.groupBy("lang", context).agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("gamma"))
         own = cut.select("lang", "code", F.greatest(F.col("c") - F.col("d"), F.lit(0.0)).alias("rest"))
@@ -244,10 +249,10 @@ def scores(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
 def decide(found: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, prior: int = PRIOR) -> DataFrame:
     """Per (id, text_hash): perplexity (per byte), score, threshold, rejected."""
     base = found.where("held_out and n > 0")
-    mean = base.groupBy("lang").agg((F.sum("bits") / F.sum("n")).alias("mean"))
+    mean = _per_language(base.groupBy("lang").agg((F.sum("bits") / F.sum("n")).alias("mean")))
     score = (F.col("bits") + prior * F.col("mean")) / (F.col("n") + prior)
-    limit = base.join(mean, "lang").groupBy("lang").agg(
-        (F.percentile_approx(score, F.lit(quantile), F.lit(100_000)) + margin).alias("threshold"))
+    limit = _per_language(base.join(mean, "lang").groupBy("lang").agg(
+        (F.percentile_approx(score, F.lit(quantile), F.lit(100_000)) + margin).alias("threshold")))
     out = found.join(mean, "lang", "left").join(limit, "lang", "left").withColumn("score", score)
     return out.select(
         "id", "text_hash", F.when(F.col("n") > 0, F.pow(F.lit(2.0), F.col("bits") / F.col("n"))).alias("perplexity"),
