@@ -15,7 +15,9 @@ out.  How many leaves to visit is calibrated: for ``calibration`` vectors, the
 exact neighbours over all rows are computed, and visits are widened until the
 mean recall reaches ``recall`` (at most all leaves, which is exact).  Queries
 meet the rows of a chunk in one task; leaves that many queries visit are
-spread by a salt taken from the calibration.
+spread by a salt taken from the calibration.  A query's k-th best score among the
+sample's vectors is a floor under its k-th best of all, so a chunk hands on only what
+reaches it (exact: nothing that belongs to the k best lies below).
 
 Defined results: a row takes no part if its id or vector is null, if a component
 is null or not finite, if the vector is zero or has another than the most
@@ -44,6 +46,7 @@ RECALL = 0.97
 CHUNK = 8192
 QUERIES_PER_CELL = 100_000
 BLOCK = 512
+FLOOR_BLOCK = 128
 
 
 class Tree:
@@ -139,8 +142,25 @@ def lift(x: np.ndarray, longest2: float) -> np.ndarray:
     return np.c_[x, np.sqrt(np.maximum(longest2 - (x * x).sum(axis=1), 0))]
 
 
-def best(q_ids, q, ids, x, k):
-    """Of each query its k best candidates: (query id, candidate id, score)."""
+def floors(q_ids, q, ids, x, k) -> np.ndarray:
+    """Of each query its k-th best score among some of the candidates: the k-th best of all is no lower."""
+    out = []
+    order = np.argsort(ids, kind="stable")
+    ids, x = ids[order], x[order]
+    for at in range(0, len(q), FLOOR_BLOCK):
+        s = q[at:at + FLOOR_BLOCK] @ x.T
+        own = q_ids[at:at + FLOOR_BLOCK]
+        pos = np.minimum(np.searchsorted(ids, own), len(ids) - 1)
+        rows = np.flatnonzero(ids[pos] == own)
+        s[rows, pos[rows]] = -np.inf
+        out.append(np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] >= k
+                   else np.full(len(s), -np.inf))
+    f = np.concatenate(out) if out else np.zeros(0)
+    return f - 1e-9 * (1 + np.abs(f))  # sums of products may differ in their last digits
+
+
+def best(q_ids, q, ids, x, k, floor=None):
+    """Of each query its k best candidates, if they reach its floor: (query id, candidate id, score)."""
     out = []
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
@@ -155,6 +175,9 @@ def best(q_ids, q, ids, x, k):
             r, c = np.nonzero((s >= edge[:, None]) & (s > -np.inf))
         else:
             r, c = np.nonzero(s > -np.inf)
+        if floor is not None:
+            up = s[r, c] >= floor[at:at + BLOCK][r]
+            r, c = r[up], c[up]
         v = s[r, c]
         by = np.lexsort((ids[c], -v, r))
         r, c, v = r[by], c[by], v[by]
@@ -223,6 +246,7 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: s
     share = (place < visits).mean(axis=0)  # of the queries, by leaf
 
     given = sc.broadcast(tree)
+    some = sc.broadcast((drawn.column(0).to_numpy(), x[:, :-1]))  # at most ``sample`` vectors
 
     def index(batches):
         for b in batches:
@@ -243,13 +267,16 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: s
     cells = placed.withColumn("chunk", F.pmod(F.xxhash64("id"), at(chunks))).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), at(salts) - 1)))
     cells = cells.select("leaf", F.col("chunk").cast("int").alias("chunk"), F.col("salt").cast("int").alias("salt"),
-                         F.lit(0).alias("kind"), "id", "vec")
+                         F.lit(0).alias("kind"), "id", "vec", F.lit(0.0).alias("floor"))
 
     def ask(batches):
         chunks, salts = per_leaf.value
         for b in batches:
             ids = b.column(0).to_numpy()
-            q = np.c_[matrix(b.column(1)), np.zeros(b.num_rows)] if b.num_rows else np.zeros((0, 1))
+            if not b.num_rows:
+                continue
+            q = np.c_[matrix(b.column(1)), np.zeros(b.num_rows)]
+            floor = floors(ids, q[:, :-1], *some.value, k)
             rows, leaf = [], []
             for i, order in enumerate(given.value.visits(q, visits)):
                 rows += [i] * len(order)
@@ -264,10 +291,11 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: s
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(leaf[part]), pa.array(c[part], pa.int32()), pa.array(salt[part], pa.int32()),
                      pa.array(np.ones(len(rows[part]), np.int32)), pa.array(ids[rows[part]]),
-                     b.column(1).take(pa.array(rows[part]))], ["leaf", "chunk", "salt", "kind", "id", "vec"])
+                     b.column(1).take(pa.array(rows[part])), pa.array(floor[rows[part]])],
+                    ["leaf", "chunk", "salt", "kind", "id", "vec", "floor"])
 
     asked = placed.where(is_query).select("id", "vec").mapInArrow(
-        ask, "leaf long, chunk int, salt int, kind int, id long, vec array<double>")
+        ask, "leaf long, chunk int, salt int, kind int, id long, vec array<double>, floor double")
     both = (cells.unionByName(asked).repartition("leaf", "chunk", "salt")
             .sortWithinPartitions("leaf", "chunk", "salt", "kind"))
 
@@ -278,7 +306,7 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: s
             if not len(key):
                 continue
             cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
-            all_ids, all_vec = b.column(4).to_numpy(), matrix(b.column(5))
+            all_ids, all_vec, floor = b.column(4).to_numpy(), matrix(b.column(5)), b.column(6).to_numpy()
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if cell != (now := tuple(key[lo, :3].tolist())):
                     cell, ids, parts = now, [], []
@@ -288,7 +316,7 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: s
                 elif ids:
                     if len(ids) > 1:
                         ids, parts = [np.concatenate(ids)], [np.concatenate(parts)]
-                    found = best(all_ids[lo:hi], all_vec[lo:hi], ids[0], parts[0], k)
+                    found = best(all_ids[lo:hi], all_vec[lo:hi], ids[0], parts[0], k, floor[lo:hi])
                     yield pa.RecordBatch.from_arrays([pa.array(a) for a in found], ["query_id", "vec_id", "score"])
 
     return _top(both.mapInArrow(meet, SCHEMA), k).select("query_id", "rank", "vec_id", "score")
