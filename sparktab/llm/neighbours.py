@@ -16,8 +16,8 @@ exact neighbours over all rows are computed, and visits are widened until the
 mean recall reaches ``recall`` (at most all leaves, which is exact).  Queries
 meet the rows of a chunk in one task; leaves that many queries visit are
 spread by a salt taken from the calibration.  A query's k-th best score among the
-sample's vectors is a floor under its k-th best of all, so a chunk hands on only what
-reaches it (exact: nothing that belongs to the k best lies below).
+sample's vectors in the leaves it visits is a floor under its k-th best there, so a chunk
+hands on only what reaches it (nothing that belongs to the k best found lies below).
 
 Defined results: a row takes no part if its id or vector is null, if a component
 is null or not finite, if the vector is zero or has another than the most
@@ -142,21 +142,25 @@ def lift(x: np.ndarray, longest2: float) -> np.ndarray:
     return np.c_[x, np.sqrt(np.maximum(longest2 - (x * x).sum(axis=1), 0))]
 
 
-def floors(q_ids, q, ids, x, k) -> np.ndarray:
-    """Of each query its k-th best score among some of the candidates: the k-th best of all is no lower."""
+def floors(q_ids, q, ids, x, leaf, visited, k) -> np.ndarray:
+    """Of each query its k-th best score among some rows of the leaves it visits: its k-th best of all there is no lower.
+
+    ``leaf``: of each of these rows; ``visited``: queries x leaves.
+    """
     out = []
     order = np.argsort(ids, kind="stable")
-    ids, x = ids[order], x[order]
+    ids, x, leaf = ids[order], x[order], leaf[order]
     for at in range(0, len(q), FLOOR_BLOCK):
         s = q[at:at + FLOOR_BLOCK] @ x.T
         own = q_ids[at:at + FLOOR_BLOCK]
         pos = np.minimum(np.searchsorted(ids, own), len(ids) - 1)
         rows = np.flatnonzero(ids[pos] == own)
         s[rows, pos[rows]] = -np.inf
+        s[~visited[at:at + FLOOR_BLOCK][:, leaf]] = -np.inf
         out.append(np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] >= k
                    else np.full(len(s), -np.inf))
     f = np.concatenate(out) if out else np.zeros(0)
-    return f - 1e-9 * (1 + np.abs(f))  # sums of products may differ in their last digits
+    return np.where(np.isfinite(f), f - 1e-9 * (1 + np.abs(f)), -np.inf)  # sums may differ in their last digits
 
 
 def best(q_ids, q, ids, x, k, floor=None):
@@ -246,7 +250,7 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: s
     share = (place < visits).mean(axis=0)  # of the queries, by leaf
 
     given = sc.broadcast(tree)
-    some = sc.broadcast((drawn.column(0).to_numpy(), x[:, :-1]))  # at most ``sample`` vectors
+    some = sc.broadcast((drawn.column(0).to_numpy(), x[:, :-1], tree.assign(x)))  # at most ``sample`` vectors
 
     def index(batches):
         for b in batches:
@@ -276,12 +280,14 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: s
             if not b.num_rows:
                 continue
             q = np.c_[matrix(b.column(1)), np.zeros(b.num_rows)]
-            floor = floors(ids, q[:, :-1], *some.value, k)
             rows, leaf = [], []
             for i, order in enumerate(given.value.visits(q, visits)):
                 rows += [i] * len(order)
                 leaf += order
             rows, leaf = np.array(rows, np.int64), np.array(leaf, np.int64)
+            seen = np.zeros((len(ids), given.value.leaves), bool)
+            seen[rows, leaf] = True
+            floor = floors(ids, q[:, :-1], *some.value, seen, k)
             times = chunks[leaf] if len(leaf) else leaf
             c = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
             rows, leaf = np.repeat(rows, times), np.repeat(leaf, times)
