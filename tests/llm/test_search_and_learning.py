@@ -134,6 +134,32 @@ def test_planted_passages(spark):
         assert r.identity >= 0.8
 
 
+def test_alignment_places_are_a_longest_common_subsequence(monkeypatch):
+    rng = random.Random(4)
+    for area in (1 << 28, 12):
+        monkeypatch.setattr(passages, "AREA", area)
+        for _ in range(100):
+            a, b = ([rng.randrange(4) for _ in range(rng.randint(0, 14))] for _ in range(2))
+            got = passages.matched(a, b)
+            assert len(got) == passages.common(a, b) and all(a[i] == b[j] for i, j in got)
+            assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
+
+
+def test_two_passages_of_a_pair(spark):
+    """A shared header and footer around other words; a passage with a stock phrase further on."""
+    rng = random.Random(8)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
+    words = lambda n: [rng.choice(vocab) for _ in range(n)]
+    head, foot, body, stock = words(60), words(60), words(60), words(16)
+    rows = [(i, " ".join(head + words(100) + foot)) for i in (1, 2)]
+    rows += [(i, " ".join(words(20) + body + words(25) + stock + words(20))) for i in (3, 4)]
+    got = passages.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert sorted((r.id, r.ref_id) for r in got) == [(2, 1), (2, 1), (4, 3)]
+    for r, (start, stop) in zip(sorted(got, key=lambda r: (r.id, r.start)), [(0, 60), (160, 220), (20, 80)]):
+        assert abs(r.start - start) <= 3 and abs(r.stop - stop) <= 3
+        assert abs(r.ref_start - start) <= 3 and abs(r.ref_stop - stop) <= 3 and r.identity >= 0.8
+
+
 def test_every_shared_window_is_found(spark):
     """Whole copies, and a third of all rows in one group: each later copy is covered."""
     rng = random.Random(9)
