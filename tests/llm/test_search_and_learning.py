@@ -160,6 +160,22 @@ def test_two_passages_of_a_pair(spark):
         assert abs(r.ref_start - start) <= 3 and abs(r.ref_stop - stop) <= 3 and r.identity >= 0.8
 
 
+@pytest.mark.parametrize("every", [5, 7, 10])
+def test_regular_edits(spark, every):
+    """One word in ``every`` replaced: identity 0.8, 0.86 and 0.9."""
+    rng = random.Random(every)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
+    words = lambda n: [rng.choice(vocab) for _ in range(n)]
+    rows = []
+    for i in range(0, 20, 2):
+        base = words(80)
+        edited = [rng.choice(vocab) if j % every == every - 2 else w for j, w in enumerate(base)]
+        rows += [(i, " ".join(words(70) + base + words(50))), (i + 1, " ".join(words(60) + edited + words(90)))]
+    got = passages.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert {(r.id, r.ref_id) for r in got} == {(i + 1, i) for i in range(0, 20, 2)}
+    assert all(abs(r.start - 60) <= 12 and abs(r.stop - 140) <= 12 and r.identity >= 0.8 for r in got)
+
+
 def test_every_shared_window_is_found(spark):
     """Whole copies, and a third of all rows in one group: each later copy is covered."""
     rng = random.Random(9)
