@@ -13,7 +13,8 @@ Search: a priority queue holds the tree's nodes by their distance to the query;
 the nearest is opened, and leaves are visited in the order in which they come
 out.  How many leaves to visit is calibrated: for ``calibration`` vectors, the
 exact neighbours over all rows are computed, and visits are widened until the
-mean recall reaches ``recall`` (at most all leaves, which is exact).  Queries
+mean recall reaches ``recall`` (at most all leaves, which is exact).  A query whose
+leaves hold no more than k rows goes on to further leaves until they do.  Queries
 meet the rows of a chunk in one task; leaves that many queries visit are
 spread by a salt taken from the calibration.  A query's k-th best score among the
 sample's vectors in the leaves it visits is a floor under its k-th best there, so a chunk
@@ -87,18 +88,19 @@ class Tree:
             todo += [(kid, rows[near == j]) for j, kid in enumerate(kids) if (near == j).any()]
         return out
 
-    def visits(self, q: np.ndarray, most: int):
-        """For each query its first ``most`` leaves, best bin first."""
+    def visits(self, q: np.ndarray, most: int, size: np.ndarray | None = None, rows: int = 0):
+        """For each query its first ``most`` leaves, best bin first, and more until they hold ``rows`` (``size``: of each leaf)."""
         for at in range(0, len(q), BLOCK):
             for d in distances(q[at:at + BLOCK], self.centres).tolist():
-                heap, out = [(0.0, 0)], []
-                while heap and len(out) < most:
+                heap, out, held = [(0.0, 0)], [], 0
+                while heap and (len(out) < most or held < rows):
                     _, node = heapq.heappop(heap)
                     if self.children[node]:
                         for kid in self.children[node]:
                             heapq.heappush(heap, (d[kid], kid))
                     else:
                         out.append(int(self.leaf[node]))
+                        held += int(size[out[-1]]) if size is not None else 0
                 yield out
 
 
@@ -247,7 +249,6 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: s
             visits += 1
     if report is not None:
         report |= {"leaves": tree.leaves, "visits": visits, "calibration": len(q)}
-    share = (place < visits).mean(axis=0)  # of the queries, by leaf
 
     given = sc.broadcast(tree)
     some = sc.broadcast((drawn.column(0).to_numpy(), x[:, :-1], tree.assign(x)))  # at most ``sample`` vectors
@@ -261,9 +262,13 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: s
     placed = saved(data.mapInArrow(index, "id long, vec array<double>, leaf long"), "vector-index")
     size = dict(placed.groupBy("leaf").count().toArrow().to_pandas().itertuples(index=False))  # one row per leaf
     n_queries = placed.where(is_query).count()
+    rows_of = np.array([size.get(i, 0) for i in range(tree.leaves)])
+    share = np.zeros(tree.leaves)  # of the queries, by leaf
+    for order in tree.visits(flat, visits, rows_of, k + 1):
+        share[order] += 1 / len(flat)
     chunks = [max(1, -(-size.get(i, 0) // chunk)) for i in range(tree.leaves)]
     salts = [max(1, -(-int(share[i] * n_queries) // QUERIES_PER_CELL)) for i in range(tree.leaves)]
-    per_leaf = sc.broadcast((np.array(chunks), np.array(salts)))
+    per_leaf = sc.broadcast((np.array(chunks), np.array(salts), rows_of))
 
     def at(values):
         return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("leaf") + 1).cast("int"))
@@ -274,14 +279,14 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: s
                          F.lit(0).alias("kind"), "id", "vec", F.lit(0.0).alias("floor"))
 
     def ask(batches):
-        chunks, salts = per_leaf.value
+        chunks, salts, rows_of = per_leaf.value
         for b in batches:
             ids = b.column(0).to_numpy()
             if not b.num_rows:
                 continue
             q = np.c_[matrix(b.column(1)), np.zeros(b.num_rows)]
             rows, leaf = [], []
-            for i, order in enumerate(given.value.visits(q, visits)):
+            for i, order in enumerate(given.value.visits(q, visits, rows_of, k + 1)):
                 rows += [i] * len(order)
                 leaf += order
             rows, leaf = np.array(rows, np.int64), np.array(leaf, np.int64)

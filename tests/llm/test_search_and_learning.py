@@ -52,6 +52,19 @@ def test_recall_and_scores(spark, same):
     assert hits / (20 * len(want)) >= 0.9
 
 
+def test_outliers_get_k_neighbours(spark):
+    """One dense cluster and scattered outliers, whose leaves hold few rows."""
+    rng = np.random.default_rng(3)
+    x = np.r_[1 + rng.normal(size=(1960, 8)) * 0.01, rng.normal(size=(40, 8)) * 30]
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>, id int").repartition(4)
+    report = {}
+    got = neighbours.search(df, (F.col("id") % 20 == 0) | (F.col("id") >= 1960), leaf_rows=60, recall=0.5,
+                            report=report).groupBy("query_id").count().collect()
+    assert report["visits"] < report["leaves"]
+    assert {r.query_id: r["count"] for r in got} == {i: 20 for i in range(2000) if i % 20 == 0 or i >= 1960}
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (20, [0.5, 0.5]), (1, [0.0, 0.0]), (2, None), (3, [nan, 1.0]),
