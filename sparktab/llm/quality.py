@@ -1,7 +1,8 @@
 """Operator 2: quality filter by an interpolated modified Kneser-Ney n-gram model.
 
 The model is over UTF-8 bytes, one per language, trained on trusted text (rows
-that ``labels`` marks as good; one fold in ten is held out for the threshold).
+that ``labels`` marks as good; one fold in ten is held out for the threshold; a language
+without held-out text has its trusted texts scored out of fold, by ``FOLDS`` models more).
 All of the corpus is counted: each task folds its texts into (language, n-gram)
 counts, and Spark adds them up.  Continuation counts, discounts, context weights
 and the interpolated probabilities are joins and aggregates between those count
@@ -17,7 +18,7 @@ rejected when its score lies above ``margin`` + the ``quantile`` of the held-out
 trusted documents of its language.
 
 Defined results: null language is a language of its own; a language without
-held-out trusted text rejects nothing; null and empty texts have no perplexity
+trusted text rejects nothing; null and empty texts have no perplexity
 and are rejected; rows with equal id and text get the same decision; labels may
 repeat (one bad label makes a document untrusted) or be empty; other columns are
 not read.
@@ -27,15 +28,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_broadcast, col, discard, keep_rows, saved, text_hash
 
 ORDER = 5
 QUANTILE = 0.995
-MARGIN = 0.75
+MARGIN = 0.25
 PRIOR = 200
+FOLDS = 5           # of the trusted texts of a language without held-out ones
 SHARD_ROWS = 2_000_000
 LABEL_BROADCAST_ROWS = 2_000_000
 LANGUAGE_BROADCAST_ROWS = 100_000
@@ -208,9 +210,22 @@ def partial_scores(docs: DataFrame, shard, order: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {id_type}, text_hash long, lang long, bits double, n long")
 
 
+def fold_lang(number: str):
+    """The language that the model of a fold goes by."""
+    return F.xxhash64("lang", F.col(number))
+
+
+def fold(good: DataFrame, held_out) -> DataFrame:
+    """(id, text_hash, lang, fold) of the trusted texts of languages without held-out ones; equal texts are in one fold."""
+    none = good.groupBy("lang").agg(F.max(held_out.cast("int")).alias("held")).where("held = 0").select("lang")
+    place = F.dense_rank().over(Window.partitionBy("lang").orderBy("text_hash"))
+    return (good.distinct().join(bounded_broadcast(saved(none, "unheld"), LANGUAGE_BROADCAST_ROWS), "lang")
+            .select("id", "text_hash", "lang", F.pmod(place - 1, F.lit(FOLDS)).alias("fold")))
+
+
 def scores(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", lang_col="lang",
            quality_col="quality", order: int = ORDER, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Per (id, text_hash): lang (hash), bits, n (bytes), trusted, held_out."""
+    """Per (id, text_hash): lang (hash), bits, n (bytes), trusted, held_out, and held_bits, held_n by a model without the text."""
     spark = docs.sparkSession
     trust = (labels.groupBy(col(id_col).alias("l_id")).agg(F.min(col(quality_col)).alias("q"))
              .where("q = 1 and l_id is not null").select("l_id"))
@@ -221,7 +236,17 @@ def scores(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     held_out = F.pmod(F.xxhash64("id"), F.lit(10)) == 0
     marked = src.join(bounded_broadcast(trust, LABEL_BROADCAST_ROWS), F.col("id") == F.col("l_id"), "left")
     train = F.col("l_id").isNotNull() & ~held_out
-    types = saved(count_grams(marked.select("lang", train.alias("train"), "text"), order), "kn-types")
+    good = marked.where(F.col("l_id").isNotNull() & (F.length("text") > 0)).select("id", "text_hash", "lang")
+    folds = saved(fold(good, held_out), "trusted-folds")
+    counted, scored = marked.select("lang", train.alias("train"), "text"), src
+    if folds.head(1):  # each fold counts as a language of its own
+        few = bounded_broadcast(folds, LABEL_BROADCAST_ROWS)
+        more = saved(src.join(few, ["id", "text_hash", "lang"]).withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.lit(FOLDS - 1)))), "trusted-fold-texts")
+        counted = counted.unionByName(more.select(
+            fold_lang("other").alias("lang"), (F.col("other") != F.col("fold")).alias("train"), "text"))
+        scored = scored.unionByName(more.where("other = fold").select("id", "text_hash", fold_lang("fold").alias("lang"), "text"))
+    types = saved(count_grams(counted, order), "kn-types")
     bits = probabilities(types, order)
     n_shards = max(1, -(-types.count() // shard_rows))
     bits = saved(bits.withColumn("shard", F.pmod(F.xxhash64("lang", "code"), F.lit(n_shards))), "kn-bits")
@@ -234,7 +259,7 @@ def scores(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
             at = np.flatnonzero(lang == x)
             at = at[np.argsort(code[at])]
             table[int(x)] = (code[at], cost[at])
-        parts.append(partial_scores(src, spark.sparkContext.broadcast(table), order))
+        parts.append(partial_scores(scored, spark.sparkContext.broadcast(table), order))
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
@@ -242,13 +267,21 @@ def scores(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
                   "kn-scores")
     discard(types, bits)
     trusted = F.col("l_id").isNotNull()
-    return total.join(trust, F.col("id") == F.col("l_id"), "left").select(
-        "id", "text_hash", "lang", "bits", "n", trusted.alias("trusted"), (trusted & held_out).alias("held_out"))
+    apart = bounded_broadcast(folds.select("id", "text_hash", "lang", fold_lang("fold").alias("f_lang")), LABEL_BROADCAST_ROWS)
+    own = (total.withColumnRenamed("lang", "f_lang").join(apart, ["id", "text_hash", "f_lang"])
+           .select("id", "text_hash", "lang", F.col("bits").alias("o_bits"), F.col("n").alias("o_n")))
+    total = total.join(apart.select("id", "text_hash", F.col("f_lang").alias("lang")), ["id", "text_hash", "lang"], "left_anti")
+    out = (total.join(trust, F.col("id") == F.col("l_id"), "left")
+           .join(bounded_broadcast(saved(own, "kn-fold-scores"), LABEL_BROADCAST_ROWS), ["id", "text_hash", "lang"], "left"))
+    held = lambda own, c: F.coalesce(F.col(own), F.when(trusted & held_out, F.col(c)))
+    return out.select(
+        "id", "text_hash", "lang", "bits", "n", trusted.alias("trusted"), (trusted & held_out).alias("held_out"),
+        held("o_bits", "bits").alias("held_bits"), held("o_n", "n").alias("held_n"))
 
 
 def decide(found: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, prior: int = PRIOR) -> DataFrame:
     """Per (id, text_hash): perplexity (per byte), score, threshold, rejected."""
-    base = found.where("held_out and n > 0")
+    base = found.where("held_n > 0").select("lang", F.col("held_bits").alias("bits"), F.col("held_n").alias("n"))
     mean = _per_language(base.groupBy("lang").agg((F.sum("bits") / F.sum("n")).alias("mean")))
     score = (F.col("bits") + prior * F.col("mean")) / (F.col("n") + prior)
     limit = _per_language(base.join(mean, "lang").groupBy("lang").agg(

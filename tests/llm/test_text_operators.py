@@ -108,6 +108,20 @@ def test_quality_separates_junk(spark):
     assert bad == set(range(1000, 1020))
 
 
+def test_language_without_held_out_text_and_short_junk(spark):
+    """A language whose few trusted texts are all trained on has a threshold too; junk of 16 bytes goes."""
+    rng = random.Random(3)
+    held = {r.id for r in spark.range(400).where("pmod(xxhash64(id), 10) = 0").collect()}
+    few = [i for i in range(200, 400) if i not in held][:12]
+    rows = [(i, invented(rng, 60), "en") for i in range(150)] + [(i, invented(rng, 60), "fr") for i in few]
+    rows += [(1000 + i, "".join(rng.choice("#%&QZXJ") for _ in range(size)), lang)
+             for i, (lang, size) in enumerate([("en", 16)] * 5 + [("fr", 400)] * 5)]
+    labels = spark.createDataFrame([(i, 1) for i in [*range(100), *few]], "doc_id long, quality int")
+    found = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string"), labels)
+    assert sorted(r.id for r in found.where("rejected").collect()) == list(range(1000, 1010))
+    assert found.count() == len(rows)
+
+
 # --- SentencePiece --------------------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
