@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixture, neighbours, passages, pieces, quality, simhash, surrogates, tokenfile, toxicity
+from . import exact_dedup, mixture, neighbours, passages, phrases, pieces, quality, simhash, surrogates, tokenfile, toxicity
 from .common import table
 
 
@@ -60,8 +60,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_token_files, op4_pieces, op5_surrogates, op6_mix, op7_neighbours,
-                                 op8_simhash, op9_passages, op10_toxicity)}
+                                 op8_simhash, op9_passages, op10_toxicity, op11_phrases)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
@@ -71,4 +75,5 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
        count(*) OVER (PARTITION BY text_sha256) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256 FROM d""",
     "op6_mix": mixture.mix_sql(),
+    "op11_phrases": phrases.collocations_sql(),
 }
