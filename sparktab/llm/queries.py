@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixture, neighbours, passages, phrases, pieces, quality, simhash, surrogates, tokenfile, toxicity
+from . import exact_dedup, mixture, negatives, neighbours, passages, phrases, pieces, quality, simhash, surrogates, tokenfile, toxicity
 from .common import table
 
 
@@ -64,8 +64,14 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label)
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_token_files, op4_pieces, op5_surrogates, op6_mix, op7_neighbours,
-                                 op8_simhash, op9_passages, op10_toxicity, op11_phrases)}
+                                 op8_simhash, op9_passages, op10_toxicity, op11_phrases,
+                                 op13_hard_negatives)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
@@ -76,4 +82,5 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
        doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256 FROM d""",
     "op6_mix": mixture.mix_sql(),
     "op11_phrases": phrases.collocations_sql(),
+    "op13_hard_negatives": negatives.mine_sql(),
 }
