@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixture, negatives, neighbours, passages, phrases, pieces, quality, simhash, surrogates, tokenfile, toxicity
+from . import (exact_dedup, mixture, negatives, neighbours, passages, phrases, pieces, quality, rules, simhash, surrogates,
+               tokenfile, toxicity)
 from .common import table
 
 
@@ -64,6 +65,10 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label)
@@ -71,7 +76,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality, op3_token_files, op4_pieces, op5_surrogates, op6_mix, op7_neighbours,
                                  op8_simhash, op9_passages, op10_toxicity, op11_phrases,
-                                 op13_hard_negatives)}
+                                 op12_quality_rules, op13_hard_negatives)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
