@@ -1,4 +1,4 @@
-"""Estimators (M1, M2, M4-M6).
+"""Estimators (M1, M2).
 
 M1 least squares
 ----------------
@@ -18,7 +18,7 @@ solution.  We reproduce it exactly:
    expression: ``b + sum w (x-mean)/scale + sum coalesce(map[level], 0)``.
    An unseen level contributes zero, as in the reference's one-hot encoder.
 
-M2/M4 use Spark ML (``GBTRegressor`` over an indexer/one-hot/assembler pipeline).
+M2 uses Spark ML (``GBTRegressor`` over an indexer/one-hot/assembler pipeline); its search is in ``search``.
 """
 
 from __future__ import annotations
@@ -114,6 +114,26 @@ def gram(df: DataFrame, cols: Sequence[Column]) -> np.ndarray:
     return _gram_arrow(x, k)
 
 
+def gram_by(df: DataFrame, group: Column, cols: Sequence[Column]) -> dict[int, np.ndarray]:
+    """One Gram matrix per value of ``group`` (a few, such as folds) from one grouped aggregate."""
+    k = len(cols)
+    names = [f"u{i}" for i in range(k)]
+    x = df.select(group.alias("g"), *[c.cast("double").alias(n) for c, n in zip(cols, names)])
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    out = {}
+    if len(pairs) <= JVM_GRAM_MAX_TERMS:
+        sums = F.array(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs])
+        for row in x.groupBy("g").agg(sums.alias("s")).collect():
+            m = np.zeros((k, k))
+            for v, (i, j) in zip(row["s"], pairs):
+                m[i, j] = m[j, i] = v
+            out[row["g"]] = m
+        return out
+    for g in [row["g"] for row in x.select("g").distinct().collect()]:
+        out[g] = _gram_arrow(x.where(F.col("g") == g).drop("g"), k)
+    return out
+
+
 def _gram_arrow(x: DataFrame, k: int) -> np.ndarray:
     import pandas as pd
 
@@ -152,6 +172,13 @@ def min_norm_solve(a: np.ndarray, b: np.ndarray, rcond: float = 1e-10) -> tuple[
     return vecs @ (inv * (vecs.T @ b)), int(keep.sum())
 
 
+def penalised_solve(a: np.ndarray, b: np.ndarray, penalty: float) -> tuple[np.ndarray, int]:
+    """Solution of ``(a + penalty I) w = b`` and the rank; without a penalty the minimum-norm one."""
+    if not penalty:
+        return min_norm_solve(a, b)
+    return np.linalg.solve(a + penalty * np.eye(len(a)), b), len(a)
+
+
 def _complete_rows(train: DataFrame, fm: FeatureModel, target: str) -> DataFrame:
     complete = F.col(target).isNotNull()
     for c in fm.numeric:
@@ -171,8 +198,9 @@ def _design_gram(train: DataFrame, fm: FeatureModel, target: str) -> np.ndarray:
     return g
 
 
-def _solve(g: np.ndarray, fm: FeatureModel, numeric: Sequence[str], categorical: Sequence[str]) -> LinearModel:
-    """Minimum-norm OLS for the sub-design (``numeric`` + one-hot ``categorical``) of ``g``."""
+def _solve(g: np.ndarray, fm: FeatureModel, numeric: Sequence[str], categorical: Sequence[str],
+           penalty: float = 0.0) -> LinearModel:
+    """Least squares for the sub-design (``numeric`` + one-hot ``categorical``) of ``g``: minimum-norm, or with a ridge penalty."""
     slots, pos = {}, 1
     for c in fm.numeric:
         slots[c] = [pos]
@@ -186,7 +214,7 @@ def _solve(g: np.ndarray, fm: FeatureModel, numeric: Sequence[str], categorical:
     n_used, sums = sub[0, 0], sub[0, 1:]
     cov = sub[1:, 1:] - np.outer(sums, sums) / n_used
     d = len(idx)
-    w, rank = min_norm_solve(cov[:d, :d], cov[:d, d])
+    w, rank = penalised_solve(cov[:d, :d], cov[:d, d], penalty * n_used)
     intercept = fm.target_mean + sums[d] / n_used - float(sums[:d] / n_used @ w)
     out_num, i = [], 0
     for c in numeric:
@@ -273,7 +301,7 @@ def fit_linear_ml(train: DataFrame, fm: FeatureModel, target: str) -> LinearMode
     return LinearModel(intercept, numeric, categorical, len(names))
 
 
-# --- M2 / M4 / M5: Spark ML models over the vector encoding -----------------
+# --- M2: Spark ML models over the vector encoding ----------------------------
 
 def vector_pipeline(numeric: Sequence[str], categorical: Sequence[str], estimator=None):
     """Indexer (alphabetical, unseen kept) + one-hot (unseen slot dropped) + assembler."""
@@ -342,83 +370,6 @@ def predict(model, df: DataFrame, fm: FeatureModel) -> DataFrame:
     return predict_tree(model, df, fm.numeric, fm.categorical)
 
 
-# Search space for M4 (fixed values of the tuning grid).
-SEARCH_SPACE = {
-    "maxDepth": [2, 3, 4, 5, 6],
-    "maxIter": [10, 20, 30],
-    "stepSize": [0.05, 0.1, 0.2, 0.3],
-    "subsamplingRate": [0.6, 0.8, 1.0],
-}
-
-
-def sample_params(n_trials: int, seed: int, space: dict | None = None) -> list[dict]:
-    """Random search: ``n_trials`` distinct draws from the grid (seeded, driver-side).
-
-    More trials than the grid has points is an error.
-    """
-    space = space or SEARCH_SPACE
-    rng = np.random.default_rng(seed)
-    keys = sorted(space)
-    seen, out = set(), []
-    total = int(np.prod([len(space[k]) for k in keys]))
-    if n_trials > total:
-        raise ValueError(f"{n_trials} trials, but the grid has {total} points")
-    while len(out) < n_trials:
-        pick = tuple(space[k][int(rng.integers(len(space[k])))] for k in keys)
-        if pick not in seen:
-            seen.add(pick)
-            out.append(dict(zip(keys, pick)))
-    return out
-
-
-def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str],
-                  categorical: Sequence[str], target: str, n_trials: int = 10,
-                  executions: int = 3, seed: int = 42, parallelism: int = 4) -> tuple[DataFrame, dict]:
-    """M4/M5: sampled trials x executions, scored on the validation rows (MSE).
-
-    The encoder is fitted once and the encoded fit/validation rows are persisted;
-    the ``trials x executions`` GBT fits then run ``parallelism`` at a time as
-    concurrent Spark jobs (as ``TrainValidationSplit`` does).  Returns the trial
-    table ordered by mean validation MSE and the best parameter set.
-    """
-    from multiprocessing.pool import ThreadPool
-
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.util import inheritable_thread_target
-
-    spark = fit_df.sparkSession
-    fit_df = fit_df.withColumn(target, F.col(target).cast("double"))
-    valid_df = valid_df.withColumn(target, F.col(target).cast("double"))
-    enc = vector_pipeline(numeric, categorical).fit(fit_df)
-    fit_v = _sized(enc.transform(fit_df).select("features", target))
-    val_v = _sized(enc.transform(valid_df).select("features", target))
-    est = gbt_regressor(target)
-    trials = sample_params(n_trials, seed)
-    jobs = []
-    for t, p in enumerate(trials):
-        for e in range(executions):
-            pm = {getattr(est, k): v for k, v in p.items()}
-            pm[est.seed] = seed + e
-            jobs.append((t, pm))
-    ev = RegressionEvaluator(labelCol=target, predictionCol=PRED, metricName="mse")
-
-    def run(job):
-        t, pm = job
-        return t, ev.evaluate(est.fit(fit_v, pm).transform(val_v))
-
-    scores = [[] for _ in trials]
-    with ThreadPool(max(1, parallelism)) as pool:
-        for t, score in pool.imap_unordered(inheritable_thread_target(run), jobs):
-            scores[t].append(score)
-    fit_v.unpersist()
-    val_v.unpersist()
-    rows = [(t, json.dumps(p, sort_keys=True), float(np.mean(scores[t])), len(scores[t]))
-            for t, p in enumerate(trials)]
-    table = local_table(spark, rows, "trial int, params string, val_mse double, executions int")
-    best = trials[min(range(len(trials)), key=lambda t: np.mean(scores[t]))]
-    return table.orderBy("val_mse", "trial"), best
-
-
 ROWS_PER_PARTITION = 250_000
 MIN_ROWS = 10_000  # fewer rows than this are not worth a task of their own
 
@@ -440,8 +391,3 @@ def _sized(df: DataFrame) -> DataFrame:
         return sized
     return df
 
-
-def refit_best(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
-               best: dict, seed: int = 42):
-    """M5: refit the winning parameter set on all training rows (fit + validation)."""
-    return fit_gbt(train, numeric, categorical, target, seed=seed, **best)

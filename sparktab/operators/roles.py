@@ -43,7 +43,7 @@ def infer_roles(df: DataFrame, exclude: Iterable[str] = ()) -> Roles:
         else:
             dropped.append((f.name, f.dataType.simpleString()))
     if not numeric and not strings and not bools:
-        raise ValueError("No features available after type inference")
+        raise ValueError("the schema has no numeric, text or boolean column to learn from")
     return Roles(numeric, strings + bools, dropped)
 
 

@@ -20,7 +20,8 @@ from ..functions.hashing import hash_u32, sql_hash_u32, threshold
 from ..operators import checks, drift, profile, stats
 from ..operators.features import dummies, dummy_levels, fit_features, impute, imputed_map
 from ..operators.metrics import regression_metrics, rmsle
-from ..operators.models import LinearModel, fit_gbt, fit_linear, random_search
+from ..operators.models import LinearModel, fit_gbt, fit_linear, predict_tree
+from ..operators.search import random_search, ridge_search
 from ..operators.roles import Roles, infer_roles
 from ..operators.scoring import score_pinned
 from ..operators.split import TEST, TRAIN, hash_split, stratified_split
@@ -781,10 +782,59 @@ def gbt_scores(spark, d):
 def random_search_q(spark, d):
     li = hash_split(t(spark, d, "lineitem"), LKEYS, TEST_SHARE, SEED, validation_fraction=0.1)
     table, _ = random_search(li.where(F.col("split") == TRAIN), li.where(F.col("split") == "validation"),
-                             _GBT_NUM, _GBT_CAT, "l_extendedprice", n_trials=10, executions=3, seed=SEED)
+                             _GBT_NUM, _GBT_CAT, "l_extendedprice", n_trials=10, executions=3, seed=SEED,
+                             keys=LKEYS)
     return table
 
 
+_PENALTIES, _FOLDS = (0.0, 0.01, 0.1, 1.0), 5
+
+
+def _ridge_oracle() -> str:
+    """Cross-validation errors in SQL: one Gram matrix per fold, Gauss-Jordan per (fold, penalty)."""
+    xs = ["l_quantity", "l_discount", "l_tax"]
+    k = len(xs) + 1
+    names = [f"x{i}" for i in range(k)]
+    rows = ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in [*names, "y"]) + "]" for a in [*names, "y"])
+    size = k + 1
+    add = f"list_transform(range(1, {size} + 1), lambda i: list_transform(range(1, {size} + 1), lambda j: {{}}))"
+    fold = sql_hash_u32(LKEYS, f"fold {SEED}")
+    penalties = ", ".join(f"({p!r}::DOUBLE)" for p in _PENALTIES)
+    scaled = ", ".join(f"(CAST({c} AS DOUBLE) - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS x{i + 1}"
+                       for i, c in enumerate(xs))
+    return f"""
+WITH RECURSIVE
+d AS (SELECT 1.0::DOUBLE AS x0, {scaled}, l_extendedprice - avg(l_extendedprice) OVER () AS y, {fold} % {_FOLDS} AS fold
+      FROM lineitem WHERE {L_TRAIN}),
+g AS (SELECT fold, [{rows}] AS own FROM d GROUP BY fold),
+w AS (SELECT [{rows}] AS whole FROM d),
+s AS (SELECT fold, penalty, own, {add.format("whole[i][j] - own[i][j]")} AS rest
+      FROM g, w, (VALUES {penalties}) AS p(penalty)),
+gj(fold, penalty, own, k, m) AS (
+  SELECT fold, penalty, own, 0, {add.format("rest[i][j] + CASE WHEN i = j AND i BETWEEN 2 AND " + str(k)
+                                            + " THEN penalty * rest[1][1] ELSE 0 END")} FROM s
+  UNION ALL
+  SELECT fold, penalty, own, k + 1, list_transform(range(1, {k} + 1), lambda i:
+           CASE WHEN i = k + 1 THEN list_transform(m[k + 1], lambda v: v / m[k + 1][k + 1])
+                ELSE list_transform(range(1, {size} + 1), lambda j: m[i][j] - m[i][k + 1] / m[k + 1][k + 1] * m[k + 1][j])
+           END)
+  FROM gj WHERE k < {k}),
+v AS (SELECT fold, penalty, own, list_append(list_transform(m, lambda r: -r[{size}]), 1.0::DOUBLE) AS v FROM gj WHERE k = {k})
+SELECT penalty, CAST(fold AS INTEGER) AS fold, CAST(own[1][1] AS BIGINT) AS n,
+       {sr("list_sum(list_transform(range(1, " + str(size) + " + 1), lambda i: list_sum(list_transform(range(1, "
+           + str(size) + " + 1), lambda j: v[i] * own[i][j] * v[j])))) / own[1][1]")} AS mse
+FROM v"""
+
+
+@register("ridge_search", _ridge_oracle())
+def ridge_search_q(spark, d):
+    """M4 in closed form: every (penalty, fold) from one pass over the training rows."""
+    li = _lineitem_split(spark, d).where(F.col("split") == TRAIN)
+    fm = fit_features(li, Roles(_GBT_NUM, []), target="l_extendedprice")
+    table, _, _ = ridge_search(li, fm, "l_extendedprice", _PENALTIES, _FOLDS, LKEYS, SEED)
+    return table.select("penalty", "fold", "n", r("mse").alias("mse"))
+
+
 def _ols_oracle() -> str:
     """Hold-out metrics of the flagship model, fitted in SQL.
 

@@ -446,7 +446,7 @@ def test_tree_with_booleans_and_nulls(spark):
 
 
 def test_refit_of_the_best_trial(spark):
-    from sparktab.operators.models import random_search, refit_best, sample_params
+    from sparktab.operators.search import random_search, refit_best, sample_params
     li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     num, target = ["l_quantity", "l_discount"], "l_extendedprice"
     fit, valid = li.where("l_orderkey % 3 > 0"), li.where("l_orderkey % 3 = 0")
