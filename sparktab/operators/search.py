@@ -77,13 +77,15 @@ def _fits(trials: dict[int, dict], executions: int) -> list[tuple[dict, int, lis
 def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str],
                   categorical: Sequence[str], target: str, n_trials: int = 10,
                   executions: int = 3, seed: int = 42, parallelism: int = 4, keys: Sequence[str] | None = None,
-                  rungs: Sequence[float] = RUNGS, keep: float = KEEP) -> tuple[DataFrame, dict]:
+                  rungs: Sequence[float] = RUNGS, keep: float = KEEP, space: dict | None = None,
+                  fixed: dict | None = None) -> tuple[DataFrame, dict]:
     """M4/M5: sampled trials x executions, scored on the validation rows (MSE), by successive halving.
 
     Returns the trial table (trial, params, val_mse, executions, share), best first, and the
     best parameter set.  ``share`` is the part of the fit rows that the trial was last fitted
     on; trials with a larger share rank first.  ``rungs=(1.0,)`` fits every trial on all rows.
-    Rows enter a sample by the hash of ``keys`` (default: all columns).
+    Rows enter a sample by the hash of ``keys`` (default: all columns).  ``space`` is the grid, ``fixed`` are
+    parameters that all trials share.
     """
     from multiprocessing.pool import ThreadPool
 
@@ -92,7 +94,6 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
     spark = fit_df.sparkSession
     keys = list(keys or fit_df.columns)
     fit_df = fit_df.where(F.col(target).isNotNull()).withColumn("_hash", hash_u32(keys, f"search {seed}"))
-    rows = {}
     fit_in = tree_inputs(fit_df, numeric, categorical).where("_complete").withColumn(target, F.col(target).cast("double"))
     val_in = (tree_inputs(valid_df.where(F.col(target).isNotNull()), numeric, categorical).where("_complete")
               .withColumn(target, F.col(target).cast("double")))
@@ -100,8 +101,8 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
     fit_v = _sized(enc.transform(fit_in).select("features", target, "_hash"))
     val_v = _sized(enc.transform(val_in).select("features", target))
     total = fit_v.count()
-    est = gbt_regressor(target)
-    trials = sample_params(n_trials, seed)
+    est = gbt_regressor(target, **(fixed or {}))
+    trials = sample_params(n_trials, seed, space)
     left = dict(enumerate(trials))
     shares = [s for s in sorted(rungs) if s < 1.0 and total * s >= MIN_RUNG_ROWS] + [1.0]
     found: dict[int, tuple[float, float]] = {}

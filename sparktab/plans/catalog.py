@@ -23,7 +23,7 @@ from ..operators.metrics import regression_metrics, rmsle
 from ..operators.models import LinearModel, fit_gbt, fit_linear, predict_tree
 from ..operators.search import random_search, ridge_search
 from ..operators.roles import Roles, infer_roles
-from ..operators.scoring import score_pinned
+from ..operators.model_tables import score_by_table
 from ..operators.split import TEST, TRAIN, hash_split, stratified_split
 from ..session import local_table, spread
 from . import ledger_views
@@ -614,22 +614,13 @@ SELECT c_custkey, c_mktsegment AS model_run_id, CASE WHEN m.run_id IS NULL THEN
 FROM customer LEFT JOIN m ON c_mktsegment = m.run_id""")
 def score_pinned_q(spark, d):
     c = hash_split(t(spark, d, "customer"), ["c_custkey"], TEST_SHARE, SEED)
-    models = fit_one_feature_per_group(c.where(F.col("split") == TRAIN), "c_mktsegment", "c_nationkey", "c_acctbal")
-    out = score_pinned(c.withColumnRenamed("c_mktsegment", "model_run_id"), "model_run_id", models)
+    y, x = F.col("c_acctbal").cast("double"), F.col("c_nationkey").cast("double")
+    models = c.where(F.col("split") == TRAIN).groupBy(F.col("c_mktsegment").alias("run_id")).agg(
+        F.regr_slope(y, x).alias("c_nationkey"), F.regr_intercept(y, x).alias("intercept"))  # a table, never collected
+    out = score_by_table(c.withColumnRenamed("c_mktsegment", "model_run_id"), "model_run_id", models, ["c_nationkey"])
     return out.select("c_custkey", "model_run_id", "status", r("y_pred").alias("y_pred"))
 
 
-def fit_one_feature_per_group(df: DataFrame, group: str, x: str, y: str,
-                              max_groups: int = 1000) -> dict[str, LinearModel]:
-    """Many one-feature least-squares models in one aggregate (one row per group)."""
-    fits = df.groupBy(group).agg(F.regr_slope(F.col(y).cast("double"), F.col(x).cast("double")).alias("b"),
-                                 F.regr_intercept(F.col(y).cast("double"), F.col(x).cast("double")).alias("a"))
-    rows = fits.limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        raise ValueError(f"more than {max_groups} groups; score per model group")
-    return {row[group]: LinearModel(row["a"], [(x, 0.0, 1.0, row["b"])], []) for row in rows}
-
-
 # --- X3 / X4 / X5 ----------------------------------------------------------------------------
 
 _DRIFT_COLS = ["l_extendedprice", "l_quantity", "l_discount"]
@@ -775,7 +766,7 @@ def gbt_scores(spark, d):
     model = fit_gbt(li.where(F.col("split") == TRAIN), _GBT_NUM, _GBT_CAT, "l_extendedprice",
                     maxIter=20, maxDepth=5, seed=SEED)
     te = li.where(F.col("split") == TEST)
-    return model.transform(te).select(*LKEYS, F.col("l_extendedprice").alias("y_true"), "y_pred")
+    return predict_tree(model, te, _GBT_NUM, _GBT_CAT).select(*LKEYS, F.col("l_extendedprice").alias("y_true"), "y_pred")
 
 
 @register("random_search")

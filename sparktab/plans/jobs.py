@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +24,11 @@ from ..operators import profile
 from ..operators.features import FeatureModel, fit_features
 from ..operators.ledger import FAILED, FINISHED, Ledger
 from ..operators.metrics import regression_metrics
+from ..operators.model_tables import score_requests, write_nodes
 from ..operators.models import LinearModel, fit_gbt, fit_linear, predict
 from ..operators.roles import infer_roles
 from ..operators.scoring import prediction_log, score_holdout, score_strict
+from ..operators.search import RUNGS, loss_history, random_search
 from ..operators.split import TEST, TRAIN, exact_split, hash_split, materialize_split
 from ..session import delete_path, input_bytes, scratch_path, tune_for_input
 from ..sources.tables import read_table, write_table
@@ -179,8 +181,12 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
             ledger.log_artifact(run_id, None, spec.model_type, content=model.to_json())
         else:
             model = fit_gbt(train, fm.numeric, fm.categorical, spec.target, **spec.hyperparameters)
-            model.write().overwrite().save(os.path.join(art, "model"))
-            ledger.log_artifact(run_id, os.path.join(art, "model"), spec.model_type)
+            path = os.path.join(art, "model")
+            model.write().overwrite().save(path)
+            write_nodes(ledger, run_id, model, path, fm.numeric, fm.categorical)
+            ledger.log_artifact(run_id, path, spec.model_type)
+            for i, loss in enumerate(loss_history(model, train, fm.numeric, fm.categorical, spec.target)):
+                ledger.log_metrics(run_id, {"train_loss": loss}, step=i + 1)
         _write_predictions(ledger, run_id, holdout(test, model, fm, spec), spec)
         # hold-out metrics and M6's final training-side loss/error from one grouped aggregate
         both = predict(model, df, fm).select("split", F.col(spec.target).cast("double").alias("y_true"), "y_pred")
@@ -338,68 +344,64 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
     return {"workflow": parent, "feature_engineering": fe, "training": tr, "evaluation": ev}
 
 
-# --- C3/C4 as a job: the scoring service's data work over a request table ---------------
+# --- M4-M6 as a job ---------------------------------------------------------------------
 
-MAX_REQUEST_RUNS = 100
+def run_tuning(spark: SparkSession, spec: JobSpec, feature_run_id: str | None = None, n_trials: int = 10,
+               executions: int = 3, validation: float = 0.1, space: dict | None = None,
+               rungs: Sequence[float] = RUNGS) -> dict[str, str]:
+    """Search tree parameters, refit the best on all training rows and evaluate it on the hold-out.
 
+    A share of the training rows (by key hash) validates the trials.  The ``tuning`` run records
+    the trial table and the best parameters; training and evaluation are its child runs, and training
+    records the loss after every round.  Returns ``{"tuning", "training", "evaluation"}``.
+    """
+    ledger = Ledger(spark, spec.ledger_root)
+    if feature_run_id is None:
+        latest = ledger.latest_run("feature_engineering")
+        feature_run_id = latest["run_id"] if latest is not None else run_feature_engineering(spark, spec, ledger=ledger)
+    fr = ledger.run_row(feature_run_id)
+    if fr is None:
+        raise LookupError(f"Run {feature_run_id} not found")
+    run_id = ledger.start_run("tuning", model_type="gbt", feature_run_id=feature_run_id,
+                              split_seed=fr["split_seed"], test_size=fr["test_size"])
+    df = _split_as(spark, spec, ledger, fr).persist()
+    try:
+        fm = load_feature_model(spark, ledger, feature_run_id)
+        keys = split_keys(df, spec)
+        train = hash_split(df.where(F.col("split") == TRAIN), keys, validation, f"validation {spec.seed}", side_col="_part")
+        table, best = random_search(train.where(F.col("_part") == TRAIN), train.where(F.col("_part") == TEST), fm.numeric,
+                                    fm.categorical, spec.target, n_trials, executions, spec.seed, keys=keys,
+                                    rungs=rungs, space=space, fixed=spec.hyperparameters)
+        trials = [r.asDict() for r in table.collect()]
+        ledger.log_artifact(run_id, None, "trials", content=json.dumps(trials))
+        ledger.log_params(run_id, {f"best_{k}": v for k, v in best.items()})
+        ledger.log_metrics(run_id, {"best_val_mse": trials[0]["val_mse"]})
+        chosen = replace(spec, model_type="gbt", hyperparameters={**spec.hyperparameters, **best, "seed": spec.seed})
+        tr = run_training(spark, chosen, run_id, feature_run_id, df, ledger=ledger)
+        ev = run_evaluation(spark, chosen, tr, run_id, df, ledger=ledger)
+        ledger.end_run(run_id, FINISHED)
+    except Exception:
+        ledger.end_run(run_id, FAILED)
+        raise
+    finally:
+        df.unpersist()
+    return {"tuning": run_id, "training": tr, "evaluation": ev}
+
+
+# --- C3/C4 as a job: the scoring service's data work over a request table ---------------
 
 def run_inference(spark: SparkSession, spec: JobSpec, requests: DataFrame, run_col: str | None = None,
                   keep: Sequence[str] = ()) -> DataFrame:
     """Impute-then-score a table of (partial) requests, routed by run id.
 
     Each request row may name a training run in ``run_col``; rows without one
-    use the newest finished training run.  Every distinct run is loaded once and
-    scores its own rows; the parts are unioned.  Errors become data:
+    use the newest finished training run.  Models are joined as tables, so the
+    requests are scanned once for any number of runs.  Errors become data:
     ``status = 'not_found'`` for an unknown run, ``'bad_request'`` when a numeric
     field holds text that is not a number (with the fields in ``reason``).
     Output: ``keep..., model_run_id, model_type, status, reason, used_features, imputed, y_pred``.
     """
-    from ..operators.features import bad_numbers
-    from ..operators.scoring import score_partial
-
     ledger = Ledger(spark, spec.ledger_root)
     latest = ledger.latest_run("training")
-    default = latest["run_id"] if latest is not None else None
-    rid = F.coalesce(F.col(run_col), F.lit(default)) if run_col else F.lit(default)
-    req = requests.withColumn("_run", rid.cast("string"))
-    ids = [r[0] for r in req.select("_run").distinct().limit(MAX_REQUEST_RUNS + 1).collect()]
-    if len(ids) > MAX_REQUEST_RUNS:
-        raise ValueError(f"more than {MAX_REQUEST_RUNS} distinct runs in one request table")
-    parts = []
-    for run_id in ids:
-        rows = req.where(F.col("_run").eqNullSafe(F.lit(run_id)))
-        try:
-            if run_id is None:
-                raise LookupError("no finished training run")
-            model, mrun = load_model(spark, ledger, run_id)
-            fm = load_feature_model(spark, ledger, mrun["feature_run_id"])
-        except LookupError as e:
-            parts.append(rows.select(*keep, F.col("_run").alias("model_run_id"),
-                                     F.lit(None).cast("string").alias("model_type"),
-                                     F.lit("not_found").alias("status"), F.lit(str(e)).alias("reason"),
-                                     F.lit(None).cast("string").alias("used_features"),
-                                     F.lit(None).cast("map<string,string>").alias("imputed"),
-                                     F.lit(None).cast("double").alias("y_pred")))
-            continue
-        for c in fm.numeric + fm.categorical:
-            if c not in rows.columns:
-                rows = rows.withColumn(c, F.lit(None).cast("string"))
-        rows = rows.withColumn("_bad", bad_numbers(fm))
-        scored = score_partial(rows, fm, model, keep=[*keep, "_run", "_bad"])
-        ok = F.size("_bad") == 0
-        parts.append(scored.select(
-            *keep, F.col("_run").alias("model_run_id"), F.lit(mrun["model_type"]).alias("model_type"),
-            F.when(ok, F.lit("ok")).otherwise(F.lit("bad_request")).alias("status"),
-            F.when(ok, F.lit(None)).otherwise(F.concat(F.lit("not a number: "), F.array_join("_bad", ",")))
-            .cast("string").alias("reason"),
-            F.to_json("used_features").alias("used_features"), "imputed",
-            F.when(ok, F.col("y_pred")).alias("y_pred")))
-    if not parts:  # no requests
-        names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.select(*keep).schema.fields)
-        return spark.createDataFrame([], (names + ", " if names else "") + (
-            "model_run_id string, model_type string, status string, reason string, used_features string, "
-            "imputed map<string,string>, y_pred double"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    default = F.lit(latest["run_id"] if latest is not None else None).cast("string")
+    return score_requests(requests, F.coalesce(F.col(run_col), default) if run_col else default, ledger, keep)
