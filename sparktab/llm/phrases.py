@@ -5,23 +5,25 @@ pieces into words at spaces and tabs, A-Z in lower case; a phrase is a run of wo
 within a piece.  Phrases of 2 to ``max_words`` words that occur ``support`` times are
 candidates, and are scored by their worst cut into two parts.
 
-1. Words are counted; the words with ``support`` occurrences are the phrases of length 1.
+1. Each task writes its rows as shards of at most about ``shard_words`` words, numbered by a
+   dictionary of the shard.  Words are counted; those with ``support`` occurrences are the phrases
+   of length 1, and the shards are written again with these words only.
 2. For every length k from 2 on:
 
-   a. *Mine.*  Each shard (the rows of a task, at most about ``shard_words`` words of
-      them at once) is mined completely at its share of the support: a phrase with
+   a. *Mine.*  Each shard is mined completely at its share of the support: a phrase with
       ``support`` occurrences in n words has ``support * n_s / n`` or more in some shard
       of n_s words.  Only phrases whose two parts of k - 1 words are frequent in the
       whole corpus are looked at.
    b. *Unite.*  Locally frequent phrases are united as a bit table of a fixed size
-      (``bits`` bits by phrase hash): nothing is lost, and what shares a bit with a
-      candidate is counted with the candidates.
+      (``bits`` bits by phrase hash), with one bound: a phrase has less than the local support
+      in every shard that does not report it, so its local counts must make up for what these
+      leave open.  Nothing is lost; what shares a slot with others is counted with them.
    c. *Count.*  All occurrences of the phrases in the table are counted over all shards,
       by their words, exactly; those with ``support`` occurrences are the candidates.
 
 The bit tables are all that goes through the driver, and their size does not grow with
-the corpus; with more shards the local support falls to 1 and the tables fill up, which
-costs rows of counts, never results.  Cuts and enclosing phrases are found by joins between
+the corpus.  With more shards the local support falls to 1, and the bound becomes the support
+itself; as slots fill up, more phrases are counted, and the results stay the same.  Cuts and enclosing phrases are found by joins between
 the counted phrases.
 
 Defined results: null text counts as empty, null language as ``und``; rows are not told
@@ -69,56 +71,92 @@ class Shard:
     """The words of some rows as numbers, by language; 0 is a piece border."""
 
     def __init__(self):
-        self.number: dict[bytes, int] = defaultdict()
-        self.number.default_factory = self.number.__len__
-        self.number[STOP]
+        self.number: dict[str, dict[bytes, int]] = {}
         self.parts: dict[str, list[np.ndarray]] = {}
-        self.total: dict[str, int] = {}
         self.size = 0
 
-    def add(self, lang: str, total: int, texts: list[bytes]) -> None:
+    def add(self, lang: str, texts: list[bytes]) -> None:
+        if lang not in self.number:
+            number = self.number[lang] = defaultdict()
+            number.default_factory = number.__len__
+            number[STOP]
+            self.parts[lang] = []
         words = words_of(texts)
-        ids = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
-        self.parts.setdefault(lang, []).append(ids)
-        self.total[lang] = total
-        self.size += len(ids)
-
-    def close(self) -> Shard:
-        self.words = list(self.number)
-        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
-        return self
-
-    def languages(self):
-        """(language, its hash, its words in the whole corpus, its word numbers here)."""
+        self.parts[lang].append(np.fromiter(map(self.number[lang].__getitem__, words), np.int32, len(words)))
+        self.size += len(words)
+
+    def rows(self):
+        """One row a language."""
         for lang in list(self.parts):
             ids = np.concatenate(self.parts.pop(lang))
-            yield lang, np.uint64(xxhash.xxh64_intdigest(lang.encode())), self.total[lang], ids
+            if len(ids):
+                yield encoded(lang, int(np.count_nonzero(ids)), ids, list(self.number.pop(lang)))
+
+
+SHARDS = "lang string, n_words long, size long, ids binary, letters long, dictionary binary"
 
-    def phrases(self, ids: np.ndarray, at: np.ndarray, k: int) -> list[bytes]:
-        return [b" ".join([self.words[i] for i in row]) for row in ids[at[:, None] + np.arange(k)].tolist()]
 
+def encoded(lang: str, n_words: int, ids: np.ndarray, words: list[bytes]) -> pa.RecordBatch:
+    """One language of a shard as a row: the words' numbers, and the words by number (none holds a space)."""
+    letters = b" ".join(words)
+    row = {"lang": lang, "n_words": n_words, "size": len(ids), "ids": pa.compress(ids.tobytes(), codec="zstd", asbytes=True),
+           "letters": len(letters), "dictionary": pa.compress(letters, codec="zstd", asbytes=True)}
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), kinds)], list(row))
 
-def shards(batches, limit: int):
-    """Shards of the rows (lang, text, total) of a task."""
-    shard, waiting, size, totals = Shard(), {}, defaultdict(int), {}
+
+def decoded(batches):
+    """(language, its hash, words, numbers, words by number, further columns) of every row of ``encoded``."""
     for b in batches:
-        text = b.column(1)
-        text = text.cast(pa.large_binary() if pa.types.is_large_string(text.type) else pa.binary())
-        for lang, t, total in zip(b.column(0).to_pylist(), text, b.column(2).to_pylist()):
-            t = t.as_py() or b""
-            totals[lang] = total
-            waiting.setdefault(lang, []).append(t)
-            size[lang] += len(t)
-            if size[lang] >= CHUNK_BYTES:
-                shard.add(lang, total, waiting.pop(lang))
-                del size[lang]
-                if shard.size >= limit:
-                    yield shard.close()
-                    shard = Shard()
-    for lang, texts in waiting.items():
-        shard.add(lang, totals[lang], texts)
-    if shard.size:
-        yield shard.close()
+        for i in range(b.num_rows):
+            lang, n_words, size, ids, letters, dictionary, *rest = (c[i].as_py() for c in b.columns)
+            ids = np.frombuffer(pa.decompress(ids, 4 * size, codec="zstd"), np.int32)
+            words = pa.decompress(dictionary, letters, codec="zstd", asbytes=True).split(b" ")
+            yield lang, np.uint64(xxhash.xxh64_intdigest(lang.encode())), n_words, ids, words, rest
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def shards(docs: DataFrame, limit: int) -> DataFrame:
+    """Rows (lang, text) as shards (``SHARDS``): the words of a task's rows, at most about ``limit`` at once."""
+
+    def run(batches):
+        shard, waiting, size = Shard(), {}, defaultdict(int)
+        for b in batches:
+            text = b.column(1)
+            text = text.cast(pa.large_binary() if pa.types.is_large_string(text.type) else pa.binary())
+            for lang, t in zip(b.column(0).to_pylist(), text):
+                t = t.as_py() or b""
+                waiting.setdefault(lang, []).append(t)
+                size[lang] += len(t)
+                if size[lang] >= CHUNK_BYTES:
+                    shard.add(lang, waiting.pop(lang))
+                    del size[lang]
+                    if shard.size >= limit:
+                        yield from shard.rows()
+                        shard = Shard()
+        for lang, texts in waiting.items():
+            shard.add(lang, texts)
+        yield from shard.rows()
+
+    return docs.mapInArrow(run, SHARDS)
+
+
+def narrowed(rows: DataFrame, words, bits: int) -> DataFrame:
+    """Shards whose words are those in the bit table only; others become piece borders, of several in a row one stays."""
+
+    def run(batches):
+        for lang, key, n_words, ids, known, _ in decoded(batches):
+            good = has(words.value, slot(hashes_of(known), key, bits))
+            good[0] = False
+            number = np.where(good, np.cumsum(good), 0).astype(np.int32)
+            ids = number[ids]
+            ids = ids[(ids > 0) | np.r_[True, ids[:-1] > 0]]
+            yield encoded(lang, n_words, ids, [STOP, *(w for w, g in zip(known, good) if g)])
+
+    return rows.mapInArrow(run, SHARDS)
 
 
 def slot(h: np.ndarray, lang: np.uint64, bits: int) -> np.ndarray:
@@ -162,75 +200,127 @@ def _runs(good: np.ndarray, k: int) -> np.ndarray:
     return np.flatnonzero(v)
 
 
-def mine(rows: DataFrame, k: int, words, parts, support: int, shard_words: int, bits: int) -> DataFrame:
-    """(w, b): words of the bit table of the phrases of k words that are frequent in a shard."""
+def words_counted(rows: DataFrame) -> DataFrame:
+    """(lang, phrase, f) of all words of shards."""
 
     def run(batches):
-        for shard in shards(batches, shard_words):
-            found = []
-            for _, lang, total, ids in shard.languages():
-                good = has(words.value, slot(shard.hashes, lang, bits))
-                good[0] = False
-                good = good[ids]
-                at = _runs(good, k)
-                if k > 2 and len(at):
-                    ends = _runs(good, k - 1)
-                    frequent = np.zeros(len(ids), bool)
-                    frequent[ends] = has(parts.value, slot(phrase_hash(shard.hashes, ids, ends, k - 1), lang, bits))
-                    at = at[frequent[at] & frequent[at + 1]]
-                h = np.sort(phrase_hash(shard.hashes, ids, at, k))
-                first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][:len(h)])
-                n = np.diff(np.r_[first, len(h)])
-                least = -(-support * int((ids > 0).sum()) // total)
-                found.append(slot(h[first[n >= least]], lang, bits))
-            s = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-            if len(s):
-                w = s >> np.uint64(6)
-                first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
-                b = np.bitwise_or.reduceat(np.uint64(1) << (s & np.uint64(63)), first)
-                w = w[first].astype(np.int64)
-                for i in range(0, len(w), 1 << 16):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(w[i:i + (1 << 16)]), pa.array(b[i:i + (1 << 16)].view(np.int64))], ["w", "b"])
-
-    return rows.mapInArrow(run, "w long, b long")
-
-
-def count(rows: DataFrame, k: int, words, found, shard_words: int, bits: int) -> DataFrame:
-    """(lang, phrase, f): occurrences of the phrases of k words in the bit table; without tables, of all words."""
+        for lang, _, _, ids, words, _ in decoded(batches):
+            n = np.bincount(ids, minlength=len(words))
+            for i in range(1, len(words), 1 << 16):
+                some = pa.array(words[i:i + (1 << 16)], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some)), some, pa.array(n[i:i + (1 << 16)])],
+                                                 ["lang", "phrase", "f"])
+
+    return rows.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+
+
+def mine(rows: DataFrame, k: int, parts, support: int, bits: int) -> DataFrame:
+    """Slots of the phrases of k words that are frequent in a shard; ``rows`` has ``total`` and ``excess`` too."""
 
     def run(batches):
-        for shard in shards(batches, shard_words):
-            for name, lang, _, ids in shard.languages():
-                if found is None:
-                    at = np.flatnonzero(ids)
-                else:
-                    good = has(words.value, slot(shard.hashes, lang, bits))
-                    good[0] = False
-                    at = _runs(good[ids], k)
-                    at = at[has(found.value, slot(phrase_hash(shard.hashes, ids, at, k), lang, bits))]
-                at, n = exact_groups(ids, at, k)
-                for i in range(0, len(at), 1 << 14):
-                    some = shard.phrases(ids, at[i:i + (1 << 14)], k)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(some)), pa.array(some, pa.binary()).cast(pa.string()),
-                         pa.array(n[i:i + (1 << 14)])], ["lang", "phrase", "f"])
+        found = Slots()
+        for _, key, n_words, ids, words, (total, excess) in decoded(batches):
+            hashes, good = hashes_of(words), ids > 0
+            at = _runs(good, k)
+            if k > 2 and len(at):
+                ends = _runs(good, k - 1)
+                frequent = np.zeros(len(ids), bool)
+                frequent[ends] = has(parts.value, slot(phrase_hash(hashes, ids, ends, k - 1), key, bits))
+                at = at[frequent[at] & frequent[at + 1]]
+            h = np.sort(phrase_hash(hashes, ids, at, k))
+            first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][:len(h)])
+            n = np.diff(np.r_[first, len(h)])
+            least = -(-support * n_words // total)
+            often = n >= least
+            found.add(slot(h[first[often]], key, bits), -(-NEED * np.minimum(n[often] - least + 1, excess) // excess))
+            if found.size > HOLD:
+                yield from found.segments()
+        yield from found.segments()
+
+    return rows.mapInArrow(run, SEGMENTS)
+
+
+def count(rows: DataFrame, k: int, found, bits: int) -> DataFrame:
+    """(lang, phrase, f): occurrences of the phrases of k words in the bit table."""
+
+    def run(batches):
+        for lang, key, _, ids, words, _ in decoded(batches):
+            at = _runs(ids > 0, k)
+            at = at[has(found.value, slot(phrase_hash(hashes_of(words), ids, at, k), key, bits))]
+            at, n = exact_groups(ids, at, k)
+            for i in range(0, len(at), 1 << 14):
+                rows_ = ids[at[i:i + (1 << 14), None] + np.arange(k)].tolist()
+                some = [b" ".join([words[j] for j in row]) for row in rows_]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(some)), pa.array(some, pa.binary()).cast(pa.string()),
+                     pa.array(n[i:i + (1 << 14)])], ["lang", "phrase", "f"])
 
     return rows.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
+SEGMENTS = "segment int, slots binary"  # 16-bit places in the segment, then as many 16-bit parts of NEED
+BITMAPS = "segment int, bits binary"
+SEGMENT = 15                            # logarithm of a segment's slots
+NEED = 50_000                           # a slot is set if its parts reach this; 16 bits hold it
+HOLD = 8_000_000                        # slots a task holds before it hands them on
+
+
+class Slots:
+    """Parts of ``NEED`` by slot, added up and cut into segments."""
+
+    def __init__(self):
+        self.held, self.size = [], 0
+
+    def add(self, s: np.ndarray, parts: np.ndarray) -> None:
+        self.held.append((s, np.minimum(parts, NEED).astype(np.uint32)))
+        self.size += len(s)
+
+    def segments(self):
+        if not self.size:
+            return
+        s, parts = (np.concatenate(x) for x in zip(*self.held))
+        self.held, self.size = [], 0
+        by = np.argsort(s, kind="stable")
+        s = s[by]
+        first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+        parts = np.minimum(np.add.reduceat(parts[by].astype(np.int64), first), NEED).astype("<u2")
+        s = s[first]
+        segment = (s >> np.uint64(SEGMENT)).astype(np.int64)
+        place = (s & np.uint64((1 << SEGMENT) - 1)).astype("<u2")
+        cuts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1], True])
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([segment[lo]], pa.int32()),
+                 pa.array([place[lo:hi].tobytes() + parts[lo:hi].tobytes()], pa.binary())], ["segment", "slots"])
+
+
 def bit_table(pieces: DataFrame, bits: int):
-    """The table's words (w, b) in one broadcast array of 2 ** bits bits."""
-    t = pieces.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    table = np.zeros(1 << max(bits - 6, 0), np.uint64)
-    table[t.column(0).to_numpy()] = t.column(1).to_numpy().view(np.uint64)
-    return pieces.sparkSession.sparkContext.broadcast(table)
+    """One broadcast array of 2 ** bits bits: the slots whose parts reach ``NEED``."""
+
+    def run(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for segment, slots in zip(b.column(0).to_pylist(), b.column(1)):
+                both = np.frombuffer(slots.as_py(), "<u2").reshape(2, -1)
+                total = held.setdefault(segment, np.zeros(1 << SEGMENT, np.uint32))
+                total[both[0]] = np.minimum(total[both[0]] + both[1], NEED)
+        for segment, total in held.items():
+            bitmap = np.packbits(total >= NEED, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([bitmap], pa.binary())],
+                                             ["segment", "bits"])
+
+    table = np.zeros((max(1, 1 << max(bits - SEGMENT, 0)), (1 << SEGMENT) // 64), np.uint64)
+    t = pieces.repartition("segment").mapInArrow(run, BITMAPS).toArrow()  # of a fixed size, whatever the corpus
+    for segment, bitmap in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
+        table[segment] = np.frombuffer(bitmap, np.uint64)
+    return pieces.sparkSession.sparkContext.broadcast(table.ravel())
 
 
 def table_of(phrases: DataFrame, bits: int):
     """The bit table of phrases (lang, phrase)."""
 
     def run(batches):
+        found = Slots()
         for b in batches:
             langs = [xxhash.xxh64_intdigest(x.encode()) for x in b.column(0).to_pylist()]
             h = np.zeros(b.num_rows, np.uint64)
@@ -239,12 +329,12 @@ def table_of(phrases: DataFrame, bits: int):
                 for word in p.encode().split(b" "):
                     value = (value * int(STEP) + xxhash.xxh64_intdigest(word)) & 0xFFFFFFFFFFFFFFFF
                 h[i] = value
-            s = slot(h, np.array(langs, np.uint64), bits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((s >> np.uint64(6)).astype(np.int64)),
-                 pa.array((np.uint64(1) << (s & np.uint64(63))).view(np.int64))], ["w", "b"])
+            found.add(slot(h, np.array(langs, np.uint64), bits), np.full(len(h), NEED))
+            if found.size > HOLD:
+                yield from found.segments()
+        yield from found.segments()
 
-    return bit_table(phrases.select("lang", "phrase").mapInArrow(run, "w long, b long"), bits)
+    return bit_table(phrases.select("lang", "phrase").mapInArrow(run, SEGMENTS), bits)
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT,
@@ -253,25 +343,32 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     """(lang, k, phrase, f) of all phrases of 1 to ``max_words`` words with ``support`` occurrences, and (lang, n)."""
     lang = F.coalesce(col(lang_col).cast("string"), F.lit("und"))
     src = docs.select(lang.alias("lang"), col(text_col).cast("string").alias("text"))
-    every = saved(count(src.withColumn("total", F.lit(0).cast("long")), 1, None, None, shard_words, bits), "phrase-words")
-    totals = saved(every.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-totals")
-    words = saved(every.where(F.col("f") >= support), "phrase-level")
-    discard(every)
-    levels = [words.withColumn("k", F.lit(1))]
-    rows = src.join(bounded_broadcast(totals.withColumnRenamed("n", "total"), LANGUAGE_BROADCAST_ROWS), "lang")
-    rows = rows.select("lang", "text", "total")
+    whole = saved(shards(src, shard_words), "phrase-shards")
+    totals = saved(whole.groupBy("lang").agg(F.sum("n_words").alias("n")).where("n > 0"), "phrase-totals")
+    words = saved(words_counted(whole).where(F.col("f") >= support), "phrase-level")
     given = table_of(words, bits)
-    parts = None
+    rows = saved(narrowed(whole, given, bits), "phrase-shards")
+    given.unpersist()
+    discard(whole)
+    sizes = totals.withColumnRenamed("n", "total")
+    # what a phrase may have without being frequent in any shard is the sum of (local support - 1); the rest is to be found
+    below = F.expr(f"greatest(({support} * n_words + total - 1) div total - 1, 0)")
+    excess = rows.select("lang", "n_words").join(bounded_broadcast(sizes, LANGUAGE_BROADCAST_ROWS), "lang").groupBy("lang").agg(
+        F.first("total").alias("total"), (F.lit(support) - F.sum(below)).alias("excess"))
+    excess = bounded_broadcast(saved(excess, "phrase-excess"), LANGUAGE_BROADCAST_ROWS)
+    dealt = rows.join(excess, "lang").select(*rows.columns, "total", "excess")
+    levels, parts = [words.withColumn("k", F.lit(1))], None
     for k in range(2, max_words + 1):
-        local = bit_table(mine(rows, k, given, parts, support, shard_words, bits), bits)
-        level = saved(count(rows, k, given, local, shard_words, bits).where(F.col("f") >= support), "phrase-level")
+        local = bit_table(mine(dealt, k, parts, support, bits), bits)
+        level = saved(count(rows, k, local, bits).where(F.col("f") >= support), "phrase-level")
         local.unpersist()
         levels.append(level.withColumn("k", F.lit(k)))
-        if k == max_words or not level.head(1):
-            break
         if parts is not None:
             parts.unpersist()
+        if k == max_words or not level.head(1):
+            break
         parts = table_of(level, bits)
+    discard(rows)
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)

@@ -102,3 +102,17 @@ def test_exact_groups_beyond_64_bits():
     where, n = phrases.exact_groups(ids, at, 5)
     want = Counter(tuple(ids[i:i + 5].tolist()) for i in at)
     assert {tuple(ids[i:i + 5].tolist()): int(c) for i, c in zip(where, n)} == want
+
+
+def test_phrases_spread_thinly_over_shards_are_found(spark):
+    """Every shard holds just below, at or above its share of the support."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(40):
+        filler = [f"f{rng.randint(0, 5)}" for _ in range(60)]
+        rows.append((" ".join(filler[:30] + ["rare", "pair"] * (1 if i % 4 else 2) + filler[30:]) + " . , !", "en"))
+    rows += [(". , ; !", "en"), ("...", "de")]  # shards without words
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], SCHEMA).repartition(20)
+    for support in (30, 40, 49, 50, 51):
+        got = phrases.collocations(df, support=support, shard_words=100)
+        assert sorted(map(tuple, got.collect())) == brute(rows, support, 5, 2000)
