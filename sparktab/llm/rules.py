@@ -53,6 +53,8 @@ PLAIN_REPEAT = 10
 BLOCK_BYTES = 16_000_000
 CHUNK_BYTES = 1_000_000      # of text whose windows are compared at once
 LANGUAGE_BROADCAST_ROWS = 100_000
+FLUSH = 2_000_000            # model rows a task holds before it hands them on
+LEVEL = 5                    # of compression
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -116,49 +118,52 @@ def plain(f: np.ndarray) -> np.ndarray:
     return (100 * f[:, 2] <= PLAIN_SYMBOLS * f[:, 1]) & (100 * f[:, 4] <= PLAIN_REPEAT * f[:, 0])
 
 
+def compressed(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=LEVEL).compress(data, asbytes=True)
+
+
 def pack_blocks(src: DataFrame, block_bytes: int) -> DataFrame:
-    """Rows (id, lang, text) as blocks of one language, plain or not: ids, features, sizes of texts, and the texts in one."""
+    """Rows (id, lang, text) as blocks of one language: ids, features, sizes of texts, and the texts in one."""
     id_type = src.schema["id"].simpleString().split(":", 1)[1]
-    schema = (f"block long, lang long, plain int, ids array<{id_type}>, "
-              + ", ".join(f"{f} array<long>" for f in FEATURES) + ", sizes array<long>, size long, texts binary")
+    schema = (f"block long, lang long, ids array<{id_type}>, "
+              + ", ".join(f"{f} array<long>" for f in FEATURES) + ", plain array<boolean>, sizes array<long>, size long, texts binary")
 
     def run(batches):
-        held: dict[tuple, list] = {}
-        size: dict[tuple, int] = defaultdict(int)
+        held: dict[int, list] = {}
+        size: dict[int, int] = defaultdict(int)
         made = 0
 
-        def hand_on(kind):
+        def hand_on(lang):
             nonlocal made
-            rows = held.pop(kind)
-            size.pop(kind)
-            ids, found, texts = zip(*rows)
+            rows = held.pop(lang)
+            size.pop(lang)
+            ids, found, train, texts = zip(*rows)
             whole = b"".join(texts)
             block = (TaskContext.get().partitionId() << 32) + made
             made += 1
             columns = np.array(found).T
-            packed = pa.compress(whole, codec="zstd", asbytes=True) if whole else b""
+            packed = compressed(whole) if whole else b""
             return pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([kind[0]]), pa.array([kind[1]], pa.int32()), pa.array([ids], pa.list_(id_of)),
-                 *[pa.array([c.tolist()], pa.list_(pa.int64())) for c in columns],
+                [pa.array([block]), pa.array([lang]), pa.array([ids], pa.list_(id_of)),
+                 *[pa.array([c.tolist()], pa.list_(pa.int64())) for c in columns], pa.array([train], pa.list_(pa.bool_())),
                  pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([len(whole)]),
                  pa.array([packed], pa.binary())],
-                ["block", "lang", "plain", "ids", *FEATURES, "sizes", "size", "texts"])
+                ["block", "lang", "ids", *FEATURES, "plain", "sizes", "size", "texts"])
 
         for b in batches:
             id_of = b.column(0).type
             texts = [t or "" for t in b.column(2).to_pylist()]
             raw = [t.encode("utf-8", "surrogatepass") for t in texts]
             found = features(texts, raw)
-            out, train = failed(found), plain(found)
+            out, train = failed(found), plain(found).tolist()
             for i, (key, lang) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 t = b"" if out[i] else raw[i]
-                kind = lang, int(train[i])
-                held.setdefault(kind, []).append((key, found[i], t))
-                size[kind] += len(t) + 64  # what the features take
-                if size[kind] >= block_bytes:
-                    yield hand_on(kind)
-        for kind in list(held):
-            yield hand_on(kind)
+                held.setdefault(lang, []).append((key, found[i], train[i], t))
+                size[lang] += len(t) + 64  # what the features take
+                if size[lang] >= block_bytes:
+                    yield hand_on(lang)
+        for lang in list(held):
+            yield hand_on(lang)
 
     return src.mapInArrow(run, schema)
 
@@ -173,31 +178,79 @@ def texts_of(row) -> list[bytes]:
 
 
 def count_blocks(blocks: DataFrame, order: int) -> DataFrame:
-    """(block, lang, code, n): the n-grams of every block; n is 0 in blocks that do not train."""
+    """(block, lang, code, n): the n-grams of every block, and how often they occur in its training texts."""
     names = ["block", "lang", "plain", "sizes", "size", "texts"]
 
     def run(batches):
         for b in batches:
             for i in range(b.num_rows):
                 row = {k: b.column(j)[i].as_py() for j, k in enumerate(names)}
-                parts = []
-                for code, _ in grams([t for t in texts_of(row) if t], order):
-                    parts.append(np.unique(code, return_counts=True))
+                texts, parts = texts_of(row), []
+                for train in (True, False):
+                    for code, _ in grams([t for t, p in zip(texts, row["plain"]) if t and p == train], order):
+                        code, n = np.unique(code, return_counts=True)
+                        parts.append((code, n * train))
                 if not parts:
                     continue
                 code, n = (np.concatenate(p) for p in zip(*parts))
                 by = np.argsort(code, kind="stable")
                 code = code[by]
                 first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-                code, n = code[first].view(np.int64), np.add.reduceat(n[by], first) * row["plain"]
+                code, n = code[first].view(np.int64), np.add.reduceat(n[by], first)
                 for at in range(0, len(code), 1 << 16):
                     c = code[at:at + (1 << 16)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(c), row["block"])), pa.array(np.full(len(c), row["lang"])), pa.array(c),
                          pa.array(n[at:at + (1 << 16)])], ["block", "lang", "code", "n"])
 
-    return blocks.select(names).mapInArrow(
-        run, "block long, lang long, code long, n long")
+    return blocks.select(names).mapInArrow(run, "block long, lang long, code long, n long")
+
+
+def sorted_arrays(costs: DataFrame) -> DataFrame:
+    """(block, part): pieces of each block's model from rows (block, code, bits), sorted by code and packed."""
+
+    def run(batches):
+        held: dict[int, list] = defaultdict(list)
+        size = 0
+
+        def hand_on():
+            for block in sorted(held):
+                code, bits = (np.concatenate(c) for c in zip(*held.pop(block)))
+                by = np.argsort(code)
+                # steps between sorted keys are small numbers; equal bytes of the costs stand together
+                steps = np.diff(code[by], prepend=code.dtype.type(0)).view(np.uint8).reshape(-1, 8).T
+                whole = steps.tobytes() + bits[by].view(np.uint8).reshape(-1, 4).T.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block]), pa.array([len(by).to_bytes(8, "little") + compressed(whole)],
+                                                 pa.binary())], ["block", "part"])
+
+        for b in batches:
+            blocks = b.column(0).to_numpy()
+            by = np.argsort(blocks, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, np.diff(blocks[by]) != 0, True][:len(by) + 1]) if len(by) else []
+            code, bits = b.column(1).to_numpy(), b.column(2).to_numpy()
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                held[int(blocks[by[lo]])].append((code[by[lo:hi]], bits[by[lo:hi]]))
+            size += len(by)
+            if size > FLUSH:
+                yield from hand_on()
+                size = 0
+        yield from hand_on()
+
+    return costs.select("block", "code", "bits").mapInArrow(run, "block long, part binary")
+
+
+def model_of(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their costs."""
+    codes, costs = [], []
+    for part in parts:
+        n = int.from_bytes(part[:8], "little")
+        whole = np.frombuffer(pa.decompress(part[8:], 12 * n, codec="zstd"), np.uint8)
+        codes.append(np.cumsum(np.ascontiguousarray(whole[:8 * n].reshape(8, n).T).view(np.int64).ravel()))
+        costs.append(np.ascontiguousarray(whole[8 * n:].reshape(4, n).T).view(np.float32).ravel())
+    code, cost = np.concatenate(codes).view(np.uint64), np.concatenate(costs)
+    by = np.argsort(code)
+    return code[by], cost[by]
 
 
 def kneser_ney(types: DataFrame, order: int) -> DataFrame:
@@ -234,7 +287,7 @@ def kneser_ney(types: DataFrame, order: int) -> DataFrame:
 
 
 def score_blocks(blocks: DataFrame, order: int) -> DataFrame:
-    """Per row of each block: id, lang, features, bits and bytes; ``model``: the block's (code, bits), sorted."""
+    """Per row of each block: id, lang, features, bits and bytes; ``model``: the pieces of ``sorted_arrays``."""
     id_type = blocks.schema["ids"].simpleString().split("array<", 1)[1][:-1]
     names = ["lang", "sizes", "size", "texts"]
     schema = f"id {id_type}, lang long, " + ", ".join(f"{f} long" for f in FEATURES) + ", bits double, bytes long"
@@ -245,10 +298,8 @@ def score_blocks(blocks: DataFrame, order: int) -> DataFrame:
                 row = {k: b.column(k)[i].as_py() for k in names}
                 n = len(row["sizes"])
                 bits = np.zeros(n)
-                model = b.column("model")[i].values
                 if row["size"]:
-                    key = model.field(0).to_numpy().view(np.uint64)
-                    cost = model.field(1).to_numpy()
+                    key, cost = model_of(b.column("model")[i].as_py())
                     for code, doc in grams(texts_of(row), order):
                         bits += np.bincount(doc, cost[np.searchsorted(key, code)], n)
                 yield pa.RecordBatch.from_arrays(
@@ -276,8 +327,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     asked = saved(count_blocks(blocks, order), "rules-asked")
     counts = saved(asked.groupBy("lang", "code").agg(F.sum("n").alias("c")), "rules-counts")
     model = kneser_ney(counts, order)
-    arrays = asked.select("block", "lang", "code").join(model, ["lang", "code"]).groupBy("block").agg(
-        F.sort_array(F.collect_list(F.struct("code", "bits"))).alias("model"))  # as many as the block has n-grams
+    arrays = sorted_arrays(asked.select("block", "lang", "code").join(model, ["lang", "code"])).groupBy("block").agg(
+        F.collect_list("part").alias("model"))  # one piece per task; all of them hold each n-gram of the block once
     return saved(score_blocks(blocks.join(arrays, "block", "left"), order), "rules-scores")
 
 
