@@ -17,6 +17,9 @@ validity (uint8), ids per document (int64), rank table (uint32), control, data.
 Each file can be read alone.  Files appear under their final name by one rename, so a
 task that runs twice leaves one complete file.
 
+Texts are encoded as the library does by default: the string of a special token in a text
+becomes that token's id.
+
 Defined results: null text counts as empty (just the end id); null ids come first;
 rows with equal id are ordered by their text's hash; an empty table writes no
 file; other columns are not read.
@@ -74,7 +77,6 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         names = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(names.values()) + 1, bool)
         self.kind = np.uint16 if len(self.spaced) <= 1 << 16 else np.uint32

@@ -176,7 +176,6 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenfile.tokenizer_path())
-    t.encode_special_tokens = True
     return t
 
 
