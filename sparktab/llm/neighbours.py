@@ -48,6 +48,7 @@ CHUNK = 8192
 QUERIES_PER_CELL = 100_000
 BLOCK = 512
 FLOOR_BLOCK = 128
+PAIRS = 1 << 16     # scores taken one by one at once
 
 
 class Tree:
@@ -165,8 +166,17 @@ def floors(q_ids, q, ids, x, leaf, visited, k) -> np.ndarray:
     return np.where(np.isfinite(f), f - 1e-9 * (1 + np.abs(f)), -np.inf)  # sums may differ in their last digits
 
 
+def scores_of(q, x) -> np.ndarray:
+    """Inner products of rows with rows, each summed in one order wherever the row lies, so that equal vectors score equally."""
+    return (np.ascontiguousarray(q) * np.ascontiguousarray(x)).sum(axis=1)
+
+
 def best(q_ids, q, ids, x, k, floor=None):
-    """Of each query its k best candidates, if they reach its floor: (query id, candidate id, score)."""
+    """Of each query its k best candidates, if they reach its floor: (query id, candidate id, score).
+
+    A matrix product, whose last digits depend on a row's place, finds the candidates; their
+    scores are then taken one by one.
+    """
     out = []
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
@@ -178,13 +188,17 @@ def best(q_ids, q, ids, x, k, floor=None):
         s[rows, pos[rows]] = -np.inf
         if s.shape[1] > k:  # all that reach the k-th score, so that ties go by id
             edge = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+            edge = np.where(np.isfinite(edge), edge - 1e-9 * (1 + np.abs(edge)), edge)
             r, c = np.nonzero((s >= edge[:, None]) & (s > -np.inf))
         else:
             r, c = np.nonzero(s > -np.inf)
         if floor is not None:
             up = s[r, c] >= floor[at:at + BLOCK][r]
             r, c = r[up], c[up]
-        v = s[r, c]
+        v = np.empty(len(r))
+        for i in range(0, len(r), PAIRS):
+            some = slice(i, i + PAIRS)
+            v[some] = scores_of(q[at:at + BLOCK][r[some]], x[c[some]])
         by = np.lexsort((ids[c], -v, r))
         r, c, v = r[by], c[by], v[by]
         first = np.searchsorted(r, np.arange(len(s)))

@@ -52,6 +52,24 @@ def test_recall_and_scores(spark, same):
     assert hits / (20 * len(want)) >= 0.9
 
 
+def test_equal_vectors_score_equally_across_chunks(spark):
+    """Copies of vectors in different blocks, rows and chunks: equal scores, ordered by id."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1000, 64))
+    x = np.r_[x, x[:200]]
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>, id int").repartition(5)
+    got = neighbours.search(df, F.col("id") % 3 == 0, leaf_rows=100, chunk=37, calibration=40).toPandas()
+    seen = 0
+    for _, g in got.sort_values(["query_id", "rank"]).groupby("query_id"):
+        ids, scores = g.vec_id.tolist(), g.score.tolist()
+        for a, b, u, v in zip(ids, ids[1:], scores, scores[1:]):
+            if a % 1000 == b % 1000 and max(a, b) >= 1000:
+                seen += 1
+                assert u == v and a < b
+    assert seen > 100
+
+
 def test_outliers_get_k_neighbours(spark):
     """One dense cluster and scattered outliers, whose leaves hold few rows."""
     rng = np.random.default_rng(3)
