@@ -15,6 +15,7 @@ is never overwritten, and lookups only consider ``FINISHED`` runs.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 import uuid
 from collections.abc import Mapping
@@ -119,7 +120,83 @@ class Ledger:
 
     def _records(self, kind: str) -> DataFrame:
         self.flush()
-        return self.spark.read.parquet(self._path("records")).where(F.col("kind") == kind)
+        return self._all().where(F.col("kind") == kind)
+
+    def _all(self) -> DataFrame:
+        """All records: the compacted ones of the newest manifest and the files appended since."""
+        manifest = self._manifest()
+        if manifest is None:
+            return self.spark.read.parquet(self._path("records"))
+        return self._read(manifest, self._files())
+
+    def _read(self, manifest: dict | None, files: list[str]) -> DataFrame:
+        """The manifest's records and those of the files that it does not cover."""
+        read = self.spark.read.schema(RECORD_SCHEMA)
+        covered = set(manifest["covered"]) if manifest else set()
+        new = [self._path(os.path.join("records", f)) for f in files if f not in covered]
+        parts = [read.parquet(self._path(manifest["base"]))] if manifest else []
+        if new:
+            parts.append(self.spark.read.schema(RECORD_SCHEMA).option("basePath", self._path("records")).parquet(*new))
+        names = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
+        out = self.spark.createDataFrame([], RECORD_SCHEMA) if not parts else parts[0].select(names)
+        for p in parts[1:]:
+            out = out.unionByName(p.select(names))
+        return out
+
+    # compaction --------------------------------------------------------------
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path
+        return path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _files(self) -> list[str]:
+        """Committed record files, relative to the records folder."""
+        fs, path = self._fs()
+        found = fs.globStatus(path(self._path("records/kind=*/part-*.parquet"))) or []
+        return sorted("/".join(str(f.getPath()).rsplit("/", 2)[-2:]) for f in found)
+
+    def _manifest(self) -> dict | None:
+        fs, path = self._fs()
+        found = sorted(str(f.getPath()) for f in fs.globStatus(path(self._path("manifest-*.json"))) or [])
+        if not found:
+            return None
+        return json.loads("".join(r[0] for r in self.spark.read.text(found[-1], wholetext=True).collect()))
+
+    def compact(self, files: int = 1) -> None:
+        """Rewrite all records as ``files`` files per kind; views stay the same, also for readers and writers at work.
+
+        The records of exactly the files seen now go to a new folder, and a manifest that names the folder
+        and those files is put in place by one rename (the newest manifest counts).  Files appended
+        meanwhile are not named, so they are read as before.  Old files stay until ``vacuum``.  One
+        compaction may run at a time.
+        """
+        self.flush()
+        seen, old = self._files(), self._manifest()
+        base = f"compact-{uuid.uuid4().hex[:12]}"
+        records = self._read(old, seen)
+        records.repartition(files, "kind").sortWithinPartitions("kind", "run_id").write.partitionBy("kind").parquet(
+            self._path(base))
+        fs, path = self._fs()
+        number = (old["number"] if old else 0) + 1
+        part, final = (path(self._path(n)) for n in (f"part-{uuid.uuid4().hex}", f"manifest-{number:08d}.json"))
+        out = fs.create(part, True)
+        out.write(bytearray(json.dumps({"number": number, "base": base, "covered": seen}).encode()))
+        out.close()
+        if not fs.rename(part, final):
+            raise RuntimeError(f"could not put {final} in place")
+
+    def vacuum(self) -> int:
+        """Delete the record files and folders that the newest manifest replaces; no reader of an older one may be at work."""
+        manifest = self._manifest()
+        if manifest is None:
+            return 0
+        fs, path = self._fs()
+        gone = [path(self._path(os.path.join("records", f))) for f in manifest["covered"]]
+        gone += [f.getPath() for f in fs.globStatus(path(self._path("compact-*"))) or []
+                 if not str(f.getPath()).endswith(manifest["base"])]
+        gone += [f.getPath() for f in fs.globStatus(path(self._path("manifest-*.json"))) or []
+                 if not str(f.getPath()).endswith(f"manifest-{manifest['number']:08d}.json")]
+        return sum(bool(fs.exists(p) and fs.delete(p, True)) for p in gone)
 
     # Writers ------------------------------------------------------------
     def start_run(self, stage: str, name: str | None = None, parent_id: str | None = None,

@@ -70,7 +70,7 @@ def _fits(trials: dict[int, dict], executions: int) -> list[tuple[dict, int, lis
         groups.setdefault(json.dumps({k: v for k, v in p.items() if k != "maxIter"}, sort_keys=True), []).append(t)
     longest = [(max((trials[t] for t in group), key=lambda p: p["maxIter"]), group) for group in groups.values()]
     # the longest fits first, so that no long one is left for the end
-    longest.sort(key=lambda g: -g[0]["maxIter"] * 2 ** g[0]["maxDepth"])
+    longest.sort(key=lambda g: -g[0]["maxIter"] * 2 ** g[0].get("maxDepth", 5))
     return [(p, e, group) for p, group in longest for e in range(executions)]
 
 

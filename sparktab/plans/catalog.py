@@ -866,7 +866,7 @@ def workflow_metrics(spark, d):
     return _round_metrics(regression_metrics(scored))
 
 
-from . import catalog_jobs  # noqa: E402,F401  registers its queries
+from . import catalog_jobs, catalog_models  # noqa: E402,F401  register their queries
 
 
 def queries() -> dict[str, Query]:
