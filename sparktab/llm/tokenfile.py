@@ -99,17 +99,12 @@ class Encoder:
         self._keep(keys, np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids)))
 
     def _learn(self, new: set[str]) -> None:
-        plain, rest, joined = set(), [], []
-        for w in new:
-            if w.isalpha():
-                plain.add(w)
-            elif (core := w.rstrip(".,")).isalpha():
-                joined.append((w, core, "\n" + w[len(core):]))
-                plain.add(core)
-            elif w[0].isspace() or len(w.split()) > 1:
-                rest.append(w)
-            else:
-                plain.add(w)
+        other = [w for w in new if not w.isalpha()]
+        cores = [w.rstrip(".,") for w in other]
+        joined = [(w, core, "\n" + w[len(core):]) for w, core in zip(other, cores) if core.isalpha()]
+        other = [w for w, core in zip(other, cores) if not core.isalpha()]
+        rest = [w for w in other if w[0].isspace() or len(w.split()) > 1]
+        plain = {w for w in new if w.isalpha()}.union((core for _, core, _ in joined), set(other).difference(rest))
         rest += {tail for _, _, tail in joined}.difference(self.index, rest)
         # words without white space of their own are encoded as one text; each starts a token with a space
         plain = list(plain.difference(self.index))
@@ -148,25 +143,44 @@ class Encoder:
         if len(self.index) > CACHE_WORDS or len(self.flat) > 8 * CACHE_WORDS:
             self.clear()
         # a line break becomes a piece of its own, and what follows it one without a space
-        cut = [t.replace("\n", " \n\n \n").split(" ") if t else [] for t in texts]
-        for ws in cut:
-            if ws:
-                ws[0] = "\n" + ws[0]
-        new = set().union(*cut).difference(self.index)
+        given = pa.array(texts, pa.large_string())
+        given = pc.if_else(pc.equal(pc.binary_length(given), 0), None, given)
+        given = pc.replace_substring(given, "\n", " \n\n \n")
+        given = pc.binary_join_element_wise(pa.scalar("\n", given.type), given, pa.scalar("", given.type))
+        cut = pc.split_pattern(given, " ")
+        words = pc.fill_null(pc.list_value_length(cut), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = pc.list_flatten(cut).dictionary_encode()  # each occurrence is looked up once, in the batch's own pieces
+        names, which = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        fresh = [w for w in names if w not in self.index]
         # white space next to white space or at an end of the text: cut these texts with more care
-        loose = {w for w in new if not w or w == "\n" or (w != "\n\n" and (
+        loose = {w for w in fresh if not w or w == "\n" or (w != "\n\n" and (
             w[-1].isspace() or (w[0].isspace() and (w[0] != "\n" or w[1].isspace()))))}
         if loose:
-            for i, ws in enumerate(cut):
-                if not loose.isdisjoint(ws):
-                    cut[i] = self.CUT.split(texts[i])
-                    cut[i][0] = "\n" + cut[i][0]
-            new = set().union(*cut).difference(self.index)
-        self._learn(new)
-        words = np.fromiter(map(len, cut), np.int64, len(cut))
-        which = np.fromiter(map(self.index.__getitem__, chain.from_iterable(cut)), np.int64, words.sum())
-        out, size = self._gather(which)
-        counts = np.bincount(np.repeat(np.arange(len(cut)), words), size, len(cut)).astype(np.int64)
+            number = {w: i for i, w in enumerate(names)}
+            marked = np.zeros(len(names), bool)
+            marked[[number[w] for w in loose]] = True
+            doc = np.repeat(np.arange(len(texts)), words)
+            again = np.flatnonzero(np.bincount(doc, marked[which], len(texts)))
+            parts = []
+            for i in again.tolist():
+                part = self.CUT.split(texts[i])
+                part[0] = "\n" + part[0]
+                parts.append([number.setdefault(w, len(number)) for w in part])
+            redone = np.zeros(len(texts), bool)
+            redone[again] = True
+            stay = ~redone[doc]
+            words[again] = [len(part) for part in parts]
+            more = np.fromiter(chain.from_iterable(parts), np.int64, words[again].sum())
+            order = np.argsort(np.r_[doc[stay], np.repeat(again, words[again])], kind="stable")
+            which = np.r_[which[stay], more][order]
+            names = list(number)
+            used = np.bincount(which, minlength=len(names)) > 0
+            names = [w if u else "\n\n" for w, u in zip(names, used.tolist())]  # pieces that no text has any more
+            fresh = [w for w in names if w not in self.index]
+        self._learn(set(fresh))
+        known = np.fromiter(map(self.index.__getitem__, names), np.int64, len(names))
+        out, size = self._gather(known[which])
+        counts = np.bincount(np.repeat(np.arange(len(texts)), words), size, len(texts)).astype(np.int64)
         return out, counts
 
 
