@@ -23,7 +23,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import local_table
+from ..session import file_system, hadoop_path, local_table
 
 RUNS_SCHEMA = ("run_id string, parent_id string, name string, stage string, status string, "
                "start_ts timestamp, end_ts timestamp, model_type string, feature_run_id string, "
@@ -145,9 +145,7 @@ class Ledger:
 
     # compaction --------------------------------------------------------------
     def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path
-        return path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+        return file_system(self.spark, self.root), lambda p: hadoop_path(self.spark, p)
 
     def _files(self) -> list[str]:
         """Committed record files, relative to the records folder."""

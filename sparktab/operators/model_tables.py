@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.parsing import to_double
-from ..session import local_table, scratch_path
+from ..session import file_system, hadoop_path, scratch_path
 from .features import is_missing
 from .ledger import Ledger, current_runs
 
@@ -81,8 +81,7 @@ def nodes_path(ledger: Ledger) -> str:
 def tree_nodes(ledger: Ledger) -> DataFrame:
     """The node table of all tree runs (empty where there is none yet)."""
     spark = ledger.spark
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(nodes_path(ledger))
-    there = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    there = file_system(spark, nodes_path(ledger)).exists(hadoop_path(spark, nodes_path(ledger)))
     return spark.read.schema(NODES).parquet(nodes_path(ledger)) if there else spark.createDataFrame([], NODES)
 
 

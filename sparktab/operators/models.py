@@ -107,13 +107,17 @@ def gram(df: DataFrame, cols: Sequence[Column]) -> np.ndarray:
     out = np.zeros((k, k))
     if k * (k + 1) // 2 <= JVM_GRAM_MAX_TERMS:
         pairs = [(i, j) for i in range(k) for j in range(i, k)]
-        row = x.agg(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs]).first()
-        for v, (i, j) in zip(row, pairs):
+        for v, (i, j) in zip(x.agg(_pair_sums(pairs)).first()[0], pairs):
             out[i, j] = out[j, i] = v if v is not None else 0.0
         return out
     return _gram_arrow(x, k)
 
 
+def _pair_sums(pairs) -> Column:
+    """The sums of products as one array, parsed as one expression (thousands of column calls cost more than the pass)."""
+    return F.expr("array(" + ", ".join(f"sum(u{i} * u{j})" for i, j in pairs) + ")")
+
+
 def gram_by(df: DataFrame, group: Column, cols: Sequence[Column]) -> dict[int, np.ndarray]:
     """One Gram matrix per value of ``group`` (a few, such as folds) from one grouped aggregate."""
     k = len(cols)
@@ -122,8 +126,7 @@ def gram_by(df: DataFrame, group: Column, cols: Sequence[Column]) -> dict[int, n
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     out = {}
     if len(pairs) <= JVM_GRAM_MAX_TERMS:
-        sums = F.array(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs])
-        for row in x.groupBy("g").agg(sums.alias("s")).collect():
+        for row in x.groupBy("g").agg(_pair_sums(pairs).alias("s")).collect():
             m = np.zeros((k, k))
             for v, (i, j) in zip(row["s"], pairs):
                 m[i, j] = m[j, i] = v

@@ -23,6 +23,7 @@ TRAIN, TEST, VALID = "train", "test", "validation"
 # Radix select over 32-bit hashes: the high 12 bits (<= 4096 groups per stratum), then
 # the next 12, then the last 8 of the hashes inside the one bucket that holds the cut.
 _HIGH, _MID = 20, 8
+ROW_BYTES = 64        # of a broadcast row beside its values
 MAX_STRATA = 100_000  # so many cut rows are broadcast; more are joined
 
 
@@ -114,18 +115,21 @@ def _first_reaching(counts: DataFrame, stratum: str, order_col: str, k) -> DataF
 
 
 def manifest_split(df: DataFrame, manifest: DataFrame, key: str, side_col: str = SIDE,
-                   max_broadcast_rows: int = 5_000_000) -> DataFrame:
+                   max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Attach ``side`` from a saved ``(key, side)`` manifest (reproduces recorded splits).
 
     Rows whose key is not listed stay, with side null; a key listed several times
     counts once, and with different sides it is an error.  The manifest is broadcast
-    only when its row count is under the bound; otherwise both sides are shuffled on the key.
+    only when its keys and sides, with ``ROW_BYTES`` for each row, are under the bound;
+    otherwise both sides are shuffled on the key.
     """
     m = manifest.groupBy(F.col(key).alias("_key")).agg(F.min(side_col).alias(side_col), F.max(side_col).alias("_max"))
-    if not m.where(F.col(side_col) != F.col("_max")).isEmpty():
+    size = F.lit(ROW_BYTES) + sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in ("_key", side_col)), F.lit(0))
+    checked = m.agg(F.max(F.col(side_col) != F.col("_max")).alias("twice"), F.sum(size).alias("bytes")).first()  # one pass
+    if checked["twice"]:
         raise ValueError(f"the manifest lists a {key} on two sides")
     m = m.select("_key", side_col)
-    if m.count() <= max_broadcast_rows:
+    if (checked["bytes"] or 0) <= max_broadcast_bytes:
         m = F.broadcast(m)
     return df.join(m, F.col(key) == F.col("_key"), "left").drop("_key")
 

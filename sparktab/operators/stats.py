@@ -69,53 +69,20 @@ def mode_levels(counts: DataFrame) -> DataFrame:
 
 def training_stats(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
                    max_rows: int) -> tuple[dict[str, dict], list[tuple[str, str, int]], int]:
-    """A1-A3 in one pass: numeric moments and every level count from a single aggregate.
+    """A1-A3: numeric moments from one wide aggregate, level counts from one ``unpivot`` over the categoricals.
 
-    Rows are unpivoted over the categorical columns and grouped by
-    ``(feature, level)``; numeric moments are aggregated only on the first
-    categorical's copy of each row, per level, and merged exactly on the driver
-    (Chan's pairwise update).  At most ``max_rows`` groups are collected.
+    Each aggregate reads its own columns only, so together they read the table once; no numeric
+    passes through the unpivot.  At most ``max_rows`` (feature, level) groups are collected.
 
     Returns ``({feature: {n, mean, std, std_pop, min, max}}, [(feature, level, n)], rows)``.
     """
-    if not cat_cols:
-        rows = numeric_stats(df, num_cols).collect()
-        return ({r["feature"]: r.asDict() for r in rows}, [],
-                int(rows[0]["rows"]) if rows else df.count())
-    first = cat_cols[0]
-    xs = [f"_x{i}" for i in range(len(num_cols))]
-    keyed = df.select(*[level_key(df, c).alias(c) for c in cat_cols],
-                      *[F.col(c).cast("double").alias(x) for c, x in zip(num_cols, xs)])
-    long = keyed.unpivot(xs, list(cat_cols), "feature", "level") if xs else \
-        keyed.unpivot([], list(cat_cols), "feature", "level")
-    on_first = F.col("feature") == F.lit(first)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for x in xs:
-        v = F.when(on_first, F.col(x))
-        aggs += [F.count(v).alias(f"{x}_n"), F.avg(v).alias(f"{x}_m"), F.var_pop(v).alias(f"{x}_v"),
-                 F.min(v).alias(f"{x}_lo"), F.max(v).alias(f"{x}_hi")]
-    got = long.groupBy("feature", "level").agg(*aggs).limit(max_rows + 1).collect()
+    found = {r["feature"]: r.asDict() for r in numeric_stats(df, num_cols).collect()}
+    got = level_counts(df, cat_cols).limit(max_rows + 1).collect() if cat_cols else []
     if len(got) > max_rows:
         raise ValueError(f"more than {max_rows} (feature, level) groups")
     levels = [(r["feature"], r["level"], int(r["n"])) for r in got]
-    firsts = [r for r in got if r["feature"] == first]
-    n_rows = sum(int(r["n"]) for r in firsts)
-    out = {}
-    for c, x in zip(num_cols, xs):
-        n, mean, m2, lo, hi = 0, 0.0, 0.0, None, None
-        for r in firsts:
-            k = int(r[f"{x}_n"])
-            if k == 0:
-                continue
-            mk, m2k = float(r[f"{x}_m"]), float(r[f"{x}_v"]) * k
-            tot = n + k
-            delta = mk - mean
-            mean += delta * k / tot
-            m2 += m2k + delta * delta * n * k / tot
-            n = tot
-            lo = r[f"{x}_lo"] if lo is None else min(lo, r[f"{x}_lo"])
-            hi = r[f"{x}_hi"] if hi is None else max(hi, r[f"{x}_hi"])
-        out[c] = {"feature": c, "rows": n_rows, "n": n, "mean": mean if n else 0.0,
-                  "std": (m2 / (n - 1)) ** 0.5 if n > 1 else 0.0,
-                  "std_pop": (m2 / n) ** 0.5 if n > 0 else 0.0, "min": lo, "max": hi}
-    return out, levels, n_rows
+    if found:
+        n_rows = int(next(iter(found.values()))["rows"])
+    else:  # every row has one level of each categorical
+        n_rows = sum(n for c, _, n in levels if c == cat_cols[0]) if cat_cols else df.count()
+    return found, levels, n_rows

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import delete_path, scratch_path
 from .features import FeatureModel
-from .models import LinearModel, _complete_rows
+from .models import LinearModel, _complete_rows, fit_linear
 from .stats import level_key
 
 BLOCK = 256
@@ -31,6 +31,7 @@ HOLD_BLOCKS = 256      # 128 MB of blocks at the default size
 TOLERANCE = 1e-13      # of the residual's norm against the right side's
 MAX_ITERATIONS = 2_000
 ROWS = 4096            # worked on at once
+WIDE = 1_000           # design columns from which the matrix stays on the cluster
 
 
 def _slots(fm: FeatureModel) -> tuple[list[dict[str, int]], int]:
@@ -216,3 +217,9 @@ def fit_linear_wide(train: DataFrame, fm: FeatureModel, target: str, block: int
     weight = dict(zip(design.tolist(), w.tolist()))
     return LinearModel(float(intercept), [(c, fm.means[c], fm.scale(c), weight[i + 1]) for i, c in enumerate(fm.numeric)],
                        [(c, [(lv, weight[known[lv]]) for lv in fm.level_list(c)]) for c, known in zip(fm.categorical, slots)])
+
+
+def fit_least_squares(train: DataFrame, fm: FeatureModel, target: str) -> LinearModel:
+    """M1 at any width: the dense solve up to ``WIDE`` design columns, blocks beyond; the same model but for rounding."""
+    columns = len(fm.numeric) + sum(len(fm.levels[c]) for c in fm.categorical)
+    return (fit_linear if columns <= WIDE else fit_linear_wide)(train, fm, target)

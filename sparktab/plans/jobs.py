@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import profile
-from ..operators.features import FeatureModel, fit_features
+from ..operators.features import MAX_LEVELS, FeatureModel, fit_features
 from ..operators.ledger import FAILED, FINISHED, Ledger
 from ..operators.metrics import regression_metrics
 from ..operators.model_tables import score_requests, write_nodes
@@ -30,6 +30,7 @@ from ..operators.roles import infer_roles
 from ..operators.scoring import prediction_log, score_holdout, score_strict
 from ..operators.search import RUNGS, loss_history, random_search
 from ..operators.split import TEST, TRAIN, exact_split, hash_split, materialize_split
+from ..operators.wide import fit_least_squares
 from ..session import delete_path, input_bytes, scratch_path, tune_for_input
 from ..sources.tables import read_table, write_table
 
@@ -37,6 +38,11 @@ MODEL_TYPES = ("linear_regression", "gbt")
 SPLIT_TABLE_MIN_BYTES = 256 << 20
 # Keys under which runs record parameters and metrics.
 METRICS = ("mae", "mse", "rmse", "r2")
+DATA_ROWS, DATA_COLUMNS, DATA_MEMORY = "data_rows", "data_columns", "data_memory_mb"
+N_NUMERIC, N_CATEGORICAL, N_ENCODED = "num_numeric_features", "num_categorical_features", "total_transformed_features"
+TRAIN_LOSS, TRAIN_MAE, EVAL = "train_loss_final", "train_mae_final", "eval_"
+EVALUATED_RUN, EVALUATED_TYPE, DATASET = "evaluated_model_run_id", "evaluated_model_type", "workflow_dataset_path"
+
 SPLIT_METHODS = ("exact", "hash")
 
 
@@ -56,6 +62,7 @@ class JobSpec:
     data_format: str | None = None
     auto_tune: bool = False               # size shuffle partitions from the input bytes
     predictions_format: str = "parquet"   # hold-out predictions sink: parquet or csv
+    max_levels: int = MAX_LEVELS          # a categorical with more levels is refused; wide designs are solved in blocks
 
     def __post_init__(self):
         if self.model_type not in MODEL_TYPES:
@@ -131,14 +138,15 @@ def run_feature_engineering(spark: SparkSession, spec: JobSpec, parent_id: str |
         df = split_df if split_df is not None else split(load(spark, spec), spec)
         summary, nulls = profile.summary_and_nulls(df.drop("split"))  # one pass: R3-R5
         roles = infer_roles(df, exclude=_exclude(spec))
-        fm = fit_features(df.where(F.col("split") == TRAIN), roles, target=spec.target)
+        fm = fit_features(df.where(F.col("split") == TRAIN), roles, target=spec.target,
+                          max_levels=spec.max_levels)
         ledger.log_artifact(run_id, None, "feature_model", content=fm.to_json())
         ledger.log_artifact(run_id, None, "null_counts", content=json.dumps(nulls))
         ledger.log_params(run_id, {
-            "data_rows": summary["n_rows"], "data_columns": summary["n_columns"],
-            "data_memory_mb": summary["memory_mb"], "num_numeric_features": len(fm.numeric),
-            "num_categorical_features": len(fm.categorical),
-            "total_transformed_features": len(fm.feature_names),
+            DATA_ROWS: summary["n_rows"], DATA_COLUMNS: summary["n_columns"],
+            DATA_MEMORY: summary["memory_mb"], N_NUMERIC: len(fm.numeric),
+            N_CATEGORICAL: len(fm.categorical),
+            N_ENCODED: len(fm.feature_names),
             "split_keys": json.dumps(split_keys(df, spec)), "split_method": spec.split_method,
             "dropped_columns": json.dumps(roles.dropped)})
         ledger.end_run(run_id, FINISHED)
@@ -177,7 +185,7 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
         train, test = df.where(F.col("split") == TRAIN), df.where(F.col("split") == TEST)
         art = ledger.artifact_dir(run_id)
         if spec.model_type == "linear_regression":
-            model = fit_linear(train, fm, spec.target)
+            model = fit_least_squares(train, fm, spec.target)
             ledger.log_artifact(run_id, None, spec.model_type, content=model.to_json())
         else:
             model = fit_gbt(train, fm.numeric, fm.categorical, spec.target, **spec.hyperparameters)
@@ -195,7 +203,7 @@ def run_training(spark: SparkSession, spec: JobSpec, parent_id: str | None = Non
         m, tm = by_side.get(TEST, none), by_side.get(TRAIN, none)
         ledger.log_artifact(run_id, None, "metrics", content=json.dumps({k: m[k] for k in METRICS}))
         ledger.log_metrics(run_id, {**{k: m[k] for k in METRICS},
-                                    "train_loss_final": tm["mse"], "train_mae_final": tm["mae"]})
+                                    TRAIN_LOSS: tm["mse"], TRAIN_MAE: tm["mae"]})
         # rows with a null target or numeric take no part in the fit
         kept = {k: ledger.param(feature_run_id, k) for k in ("split_keys", "split_method")}
         ledger.log_params(run_id, {"model_type": spec.model_type, "test_size": test_size,
@@ -258,10 +266,10 @@ def run_evaluation(spark: SparkSession, spec: JobSpec, model_run_id: str | None
         scored = holdout(df.where(F.col("split") == TEST), model, fm, spec)
         _write_predictions(ledger, run_id, scored, spec)
         m = regression_metrics(scored).first().asDict()
-        ledger.log_metrics(run_id, {f"eval_{k}": m[k] for k in METRICS})
+        ledger.log_metrics(run_id, {EVAL + k: m[k] for k in METRICS})
         ledger.log_artifact(run_id, None, "metrics", content=json.dumps({k: m[k] for k in METRICS}))
-        ledger.log_params(run_id, {"evaluated_model_run_id": model_run_id,
-                                   "evaluated_model_type": mrun["model_type"]})
+        ledger.log_params(run_id, {EVALUATED_RUN: model_run_id,
+                                   EVALUATED_TYPE: mrun["model_type"]})
         ledger.end_run(run_id, FINISHED)
     except Exception:
         ledger.end_run(run_id, FAILED)
@@ -329,7 +337,7 @@ def run_offline_workflow(spark: SparkSession, spec: JobSpec) -> dict[str, str]:
         fe = run_feature_engineering(spark, spec, parent, df, ledger=ledger)
         tr = run_training(spark, spec, parent, fe, df, ledger=ledger)
         ev = run_evaluation(spark, spec, tr, parent, df, ledger=ledger)
-        ledger.log_params(parent, {"workflow_dataset_path": spec.data_path})
+        ledger.log_params(parent, {DATASET: spec.data_path})
         ledger.log_artifact(parent, None, "workflow_summary",
                             content=json.dumps({"feature_engineering": fe, "training": tr, "evaluation": ev}))
         ledger.end_run(parent, FINISHED, model_type=spec.model_type)

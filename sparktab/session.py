@@ -53,10 +53,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """A path of Hadoop's file systems (the class by its name: looking packages up one by one takes a second)."""
+    from py4j.java_gateway import JavaClass
+
+    return JavaClass("org.apache.hadoop.fs.Path", spark.sparkContext._gateway._gateway_client)(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    return hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch table that nothing will read again."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    file_system(spark, path).delete(hadoop_path(spark, path), True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -124,9 +134,7 @@ def spread(df):
 
 def input_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path`` (glob allowed), from file-system metadata only."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = hadoop_path(spark, path), file_system(spark, path)
     statuses = fs.globStatus(p) or []
     return int(sum(fs.getContentSummary(st.getPath()).getLength() for st in statuses))
 

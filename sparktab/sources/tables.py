@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..functions.parsing import to_double
-from ..session import local_table
+from ..session import file_system, hadoop_path, local_table
 
 # The text tokens the reference's CSV reader treats as missing
 # (pandas read_csv defaults).
@@ -33,10 +33,8 @@ _INT_MIN, _INT_MAX = -(2 ** 31), 2 ** 31 - 1
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether the session's file system (also for paths without a scheme) has something at ``path``."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.globStatus(p) is not None and len(fs.globStatus(p)) > 0
+    found = file_system(spark, path).globStatus(hadoop_path(spark, path))
+    return found is not None and len(found) > 0
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
