@@ -3,11 +3,11 @@
 The categories are predicted one after the other; each logistic model sees the
 text's features and the log-odds of all earlier categories.  While training,
 those earlier log-odds are out-of-fold: every row's come from a model fitted
-without that row's fold, so a later model learns from predictions as good as those
+without that row's fold (equal texts are in one), so a later model learns from predictions as good as those
 that it will get for new text.
 
-Fitting uses a bounded sample of labelled rows (``SAMPLE_ROWS``, smallest hashes
-first); everything else covers all rows.  Features are the presence of words, of
+Fitting uses a bounded sample of labelled rows (``SAMPLE_ROWS`` different ones, smallest
+hashes first); everything else covers all rows.  Features are the presence of words, of
 word beginnings (4, 5, 6 characters) and of runs of punctuation, in lower case; the
 ``N_FEATURES`` with the largest G-statistic over the categories are kept, counted on
 the cluster.  The cut for a category maximises F1 on the out-of-fold predictions.
@@ -23,6 +23,7 @@ result row per row; empty tables give empty results; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, col, saved
+from .common import bounded_broadcast, col, keep_rows, saved, text_hash
 
 CATEGORIES = {"junk": "quality = 0", "toxic_junk": "toxic = 1 and quality = 0", "toxic": "toxic = 1"}
 SAMPLE_ROWS = 20_000
@@ -40,14 +41,20 @@ L2 = 1.0
 ROUNDS = 120
 BROADCAST_ROWS = 2_000_000
 CACHE_WORDS = 300_000
+LONG = 40            # characters; longer words are features by their digest
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
+def whole(word: str) -> str:
+    """The word, or a digest of all of a very long one."""
+    return word if len(word) <= LONG else "#" + hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def features_of(word: str) -> list[str]:
-    """A word, its beginnings, or a run of punctuation (cut to 3 characters)."""
+    """A word, its beginnings, or a run of punctuation."""
     if not (word[0].isalnum() or word[0] == "_"):
-        return ["." + word[:3]]
-    return ["=" + word[:40]] + ["^" + word[:n] for n in (4, 5, 6) if len(word) > n]
+        return ["." + whole(word)]
+    return ["=" + whole(word)] + ["^" + word[:n] for n in (4, 5, 6) if len(word) > n]
 
 
 def words_of(text: str | None) -> set[str]:
@@ -186,6 +193,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     marks = saved(marks.orderBy(F.xxhash64("l_id"), "l_id").limit(sample_rows), "toxicity-labels")
     sample = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")).join(
         bounded_broadcast(marks, BROADCAST_ROWS), F.col("id") == F.col("l_id"))
+    # several rows may have one id: at most sample_rows of them, equal ones once
+    keys = sample.select(F.col("id").alias("k_id"), text_hash("text").alias("k_hash")).distinct()
+    keys = saved(keys.orderBy(F.xxhash64("k_id", "k_hash"), "k_id", "k_hash").limit(sample_rows), "toxicity-keys")
+    sample = keep_rows(sample, keys, "id", "text", once=True)
     sample = saved(sample.select("id", "text", F.array(*[f"m{k}" for k in range(len(cats))]).alias("marks")),
                    "toxicity-sample")
     n_rows, *totals = sample.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(F.col("marks")[k]), F.lit(0))
@@ -202,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
                                              ["at", "marks", "fold"])
 
     # at most sample_rows rows of feature numbers
-    data = sample.select("text", "marks", F.pmod(F.xxhash64("id"), F.lit(FOLDS)).alias("fold")).mapInArrow(
+    data = sample.select("text", "marks", F.pmod(text_hash("text"), F.lit(FOLDS)).alias("fold")).mapInArrow(
         run, "at array<int>, marks array<int>, fold long").toArrow()
     x = Rows([np.array(v, np.int64) for v in data.column(0).to_pylist()], len(names))
     y = np.array(data.column(1).to_pylist(), np.int64).reshape(x.n, len(cats))

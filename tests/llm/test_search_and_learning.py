@@ -277,3 +277,29 @@ def test_toxicity_of_odd_documents(odd, odd_rows, labels, nothing, no_labels):
     assert toxicity.toxicity(odd, labels).count() == len(odd_rows)
     assert toxicity.toxicity(odd, no_labels).where("toxic").count() == 0
     assert toxicity.toxicity(nothing, labels).count() == 0
+
+
+def test_long_tokens_stay_different_and_copies_share_a_fold(spark, monkeypatch):
+    a, b = "x" * 100 + "a", "x" * 100 + "b"
+    assert toxicity.features_of(a)[0] != toxicity.features_of(b)[0] and len(toxicity.features_of(a * 1000)[0]) < 50
+    assert toxicity.features_of("!!!!") != toxicity.features_of("!!!")
+    docs, labels, _ = toxic_table(spark)
+    docs = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000)).unionByName(docs.limit(5))
+    labels = labels.unionByName(labels.withColumn("doc_id", F.col("doc_id") + 1000))
+    seen = {}
+    plain = toxicity.chain
+
+    def chain(x, y, fold):
+        seen["rows"] = len(fold)
+        seen["folds"] = {}
+        for i, f in enumerate(fold):
+            seen["folds"].setdefault(tuple(sorted(x.at[x.row == i].tolist())), set()).add(int(f))
+        return plain(x, y, fold)
+
+    monkeypatch.setattr(toxicity, "chain", chain)
+    toxicity.train(docs, labels, sample_rows=900)
+    assert seen["rows"] <= 900
+    toxicity.train(docs, labels)
+    assert seen["rows"] == 1200  # equal rows of one id count once
+    copies = [f for at, f in seen["folds"].items() if len(at) > 5]
+    assert copies and all(len(f) == 1 for f in copies)
