@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_u32, threshold
 from ..session import local_table
 from .features import FeatureModel
-from .models import (_complete_rows, _sized, _solve, centred_design, fit_gbt, gbt_regressor, gram_by, tree_inputs,
+from .models import (ROWS_PER_PARTITION, _complete_rows, _solve, centred_design, fit_gbt, gbt_regressor, gram_by, tree_inputs,
                      vector_pipeline)
 
 # The grid that trials are drawn from.
@@ -58,6 +58,18 @@ def sample_params(n_trials: int, seed: int, space: dict | None = None) -> list[d
     return out
 
 
+def _packed(df: DataFrame) -> DataFrame:
+    """``df`` persisted in as few partitions as ``ROWS_PER_PARTITION`` allows (never more than it has)."""
+    df = df.persist()
+    want = max(1, -(-df.count() // ROWS_PER_PARTITION))
+    if want >= df.rdd.getNumPartitions():
+        return df
+    packed = df.coalesce(want).persist()
+    packed.count()
+    df.unpersist()
+    return packed
+
+
 def _losses(model, rows: DataFrame) -> list[float]:
     """Mean squared error after each round, in one job."""
     return list(model.evaluateEachIteration(rows, "squared"))
@@ -98,8 +110,9 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
     val_in = (tree_inputs(valid_df.where(F.col(target).isNotNull()), numeric, categorical).where("_complete")
               .withColumn(target, F.col(target).cast("double")))
     enc = vector_pipeline(numeric, categorical).fit(fit_in)
-    fit_v = _sized(enc.transform(fit_in).select("features", target, "_hash"))
-    val_v = _sized(enc.transform(val_in).select("features", target))
+    fit_v = _packed(enc.transform(fit_in).select("features", target, "_hash"))
+    val_v = _packed(enc.transform(val_in).select("features", target))
+    cores = spark.sparkContext.defaultParallelism
     total = fit_v.count()
     est = gbt_regressor(target, **(fixed or {}))
     trials = sample_params(n_trials, seed, space)
@@ -107,7 +120,9 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
     shares = [s for s in sorted(rungs) if s < 1.0 and total * s >= MIN_RUNG_ROWS] + [1.0]
     found: dict[int, tuple[float, float]] = {}
     for i, share in enumerate(shares):
-        rows = fit_v if share == 1.0 else _sized(fit_v.where(F.col("_hash") < threshold(share)))
+        rows = fit_v if share == 1.0 else _packed(fit_v.where(F.col("_hash") < threshold(share)))
+        # boosting is many small jobs: on a small sample a fit takes a core or two, and more fits run at once
+        at_once = max(parallelism, cores // rows.rdd.getNumPartitions())
 
         def run(job, rows=rows):
             p, e, group = job
@@ -116,7 +131,7 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
             return [(t, loss[left[t]["maxIter"] - 1]) for t in group]
 
         scores: dict[int, list[float]] = {t: [] for t in left}
-        with ThreadPool(max(1, parallelism)) as pool:
+        with ThreadPool(max(1, at_once)) as pool:
             for part in pool.imap_unordered(inheritable_thread_target(run), _fits(left, executions)):
                 for t, score in part:
                     scores[t].append(score)

@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SKIP = {"random_search", "gbt_scores", "stream_score", "stream_latency"}  # ML fits / drained streams
+SKIP = {"random_search", "gbt_scores", "stream_score", "stream_latency", "stream_requests", "job_tuning"}  # ML fits / drained streams
 
 
 def summarize(plan: str) -> dict:
