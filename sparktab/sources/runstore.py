@@ -36,7 +36,9 @@ def file_system(path: str):
     """pyarrow's file system of a path or URI, and the path there."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    if path.startswith("file:"):  # with one slash or three
+        path = "/" + path[len("file:"):].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 class RunFolders(InputPartition):
