@@ -1,9 +1,11 @@
 """Fitted models as tables, and scoring by joins with them (C4).
 
-However many runs a request table names, it is scanned once: every request is joined with
-its run's features (one row per feature), these with the run's coefficients, and requests of
-tree runs walk the run's node table, one level of all trees per join.  Nothing is looped
-over on the driver except the levels of the deepest tree.
+However many runs a request table names, it is scanned once.  Runs whose models have up to ``ROW_ENTRIES``
+features, coefficients and nodes become one row each (``models``): one join brings a request its
+run's model, and the rest is one expression per request, without a shuffle of the requests.  With larger
+models every request is joined with its run's features (one row per feature), these with the run's
+coefficients, and requests of tree runs walk the run's node table, one level of all trees per join.
+Nothing is looped over on the driver except the levels of the deepest tree.
 
 * ``features``: (feature_run_id, pos, feature, is_numeric, mean, scale, fill), from the feature models in the ledger;
 * ``terms``: (run_id, feature, level, w) and ``intercepts``: (run_id, intercept), from the linear models in the ledger;
@@ -27,6 +29,7 @@ from .ledger import Ledger, current_runs
 NODES = ("run_id string, tree int, weight double, node int, depth int, feature string, threshold double, "
          "levels array<string>, negate boolean, on_left boolean, left int, right int, value double")
 FEW_ROWS = 200_000   # so many narrow model rows are broadcast; more are joined
+ROW_ENTRIES = 2_000  # features, coefficients and nodes of a model that every request takes along
 NO_LEVEL = "\u0000"  # stands for the level of a numeric term
 
 
@@ -126,6 +129,52 @@ def node_table(spark: SparkSession, run_id: str, model, path: str, numeric: Sequ
     return spark.createDataFrame(out, NODES)
 
 
+# --- one row per run ---------------------------------------------------------------
+
+def models(runs: DataFrame, cols: DataFrame, terms: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``runs`` with ``features`` (in order, each with its coefficients by level) and ``trees`` (in order, nodes by number)."""
+    weights = terms.where("feature is not null and level is not null").dropDuplicates(["run_id", "feature", "level"])
+    weights = weights.groupBy("run_id", "feature").agg(
+        F.map_from_entries(F.collect_list(F.struct("level", "w"))).alias("w"))
+    weights = weights.groupBy("run_id").agg(F.map_from_entries(F.collect_list(F.struct("feature", "w"))).alias("weights"))
+    described = cols.dropDuplicates(["feature_run_id", "pos"]).groupBy("feature_run_id").agg(F.array_sort(F.collect_list(
+        F.struct("pos", "feature", "is_numeric", "mean", "scale", "fill"))).alias("features"))
+    # Spark numbers the nodes of a tree 0, 1, 2, ...
+    trees = nodes.groupBy("run_id", "tree").agg(F.first("weight").alias("weight"), F.array_sort(F.collect_list(F.struct(
+        "node", "feature", "threshold", "levels", "negate", "on_left", "left", "right", "value"))).alias("nodes"))
+    trees = trees.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("tree", "weight", "nodes"))).alias("trees"))
+    out = runs.join(weights, "run_id", "left").join(described, "feature_run_id", "left").join(trees, "run_id", "left")
+    return out.withColumn("features", F.transform("features", lambda f: F.struct(
+        *[f[c].alias(c) for c in ("pos", "feature", "is_numeric", "mean", "scale", "fill")],
+        F.try_element_at("weights", f["feature"]).alias("w")))).drop("weights")
+
+
+def _small_models(cols: DataFrame, terms: DataFrame, nodes: DataFrame) -> tuple[bool, bool]:
+    """Whether no run's model has more than ``ROW_ENTRIES`` entries, and whether all have up to ``FEW_ROWS`` together."""
+    per = (cols.select("feature_run_id").unionByName(terms.select(F.col("run_id").alias("feature_run_id")))
+           .unionByName(nodes.select(F.col("run_id").alias("feature_run_id"))).groupBy("feature_run_id").count())
+    largest, total = per.agg(F.max("count"), F.sum("count")).first()
+    return (largest or 0) <= ROW_ENTRIES, (total or 0) <= FEW_ROWS
+
+
+def _goes_left(node: Column, values: Column) -> Column:
+    given = F.try_element_at(values, node["feature"])
+    inside = F.array_contains(node["levels"], given) != node["negate"]
+    return F.when(node["levels"].isNull(), given.try_cast("double") <= node["threshold"]).otherwise(inside == node["on_left"])
+
+
+def grown(trees: Column, values: Column, deepest: int) -> Column:
+    """The prediction of ``trees`` (as in ``models``): each is walked from its root, and the sum is taken in their order."""
+    def leaf(tree):
+        def step(at, _):
+            node = F.get(tree["nodes"], at)
+            return F.when(node["value"].isNotNull(), at).when(_goes_left(node, values), node["left"]).otherwise(node["right"])
+
+        return F.get(tree["nodes"], F.aggregate(F.sequence(F.lit(0), F.lit(deepest)), F.lit(0), step))["value"]
+
+    return F.aggregate(trees, F.lit(0.0), lambda a, t: a + t["weight"] * leaf(t))
+
+
 # --- scoring --------------------------------------------------------------------
 
 def walk(requests: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -167,39 +216,18 @@ def score_requests(requests: DataFrame, run: Column, ledger: Ledger, keep: Seque
     plain = [f for f in requests.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     values = F.map_from_entries(F.array(*[F.struct(F.lit(f.name), text(f)) for f in plain])) if plain else \
         F.create_map().cast("map<string,string>")
-    req = requests.select(F.monotonically_increasing_id().alias("rid"), run.cast("string").alias("run_id"),
-                          values.alias("given"), F.struct(F.lit(0).alias("_"), *keep).alias("keep"))
+    req = requests.select(run.cast("string").alias("run_id"), values.alias("given"),
+                          F.struct(F.lit(0).alias("_"), *keep).alias("keep"))
 
     cols, (intercepts, terms), nodes = features(ledger), linear(ledger), tree_nodes(ledger)
     runs = current_runs(ledger.runs()).select("run_id", "model_type", "feature_run_id")
-    runs = runs.join(intercepts, "run_id", "left").join(
-        nodes.select("run_id").distinct().withColumn("walks", F.lit(True)), "run_id", "left").join(
-        cols.select("feature_run_id").distinct().withColumn("described", F.lit(True)), "feature_run_id", "left")
-    runs = runs.withColumn("known", F.lit(True))
-    found = req.join(_few(runs), "run_id", "left")
-    reason = (F.when(F.col("run_id").isNull(), F.lit("no finished training run"))
-              .when(F.col("known").isNull(), F.concat(F.lit("Run "), "run_id", F.lit(" not found")))
-              .when(F.col("intercept").isNull() & F.col("walks").isNull(),
-                    F.concat(F.lit("run "), "run_id", F.lit(" has no model")))
-              .when(F.col("described").isNull(),
-                    F.concat(F.lit("feature run "), "feature_run_id", F.lit(" has no feature model"))))
-    found = found.withColumn("reason", reason)
-    asked = F.when(F.col("reason").isNull(), F.col("feature_run_id"))
-    long = found.withColumn("asked", asked).join(
-        _few(cols.withColumnRenamed("feature_run_id", "asked")), "asked", "left")
-    value = F.try_element_at("given", "feature")
-    missing = F.col("feature").isNotNull() & is_missing(value)
-    number = F.when(missing, F.col("mean")).otherwise(to_double(value))
-    level = F.when(missing, F.col("fill")).otherwise(value)
-    long = long.withColumns({"missing": missing, "x": F.when(F.col("is_numeric"), number),
-                             "key": F.when(F.col("is_numeric"), F.lit(NO_LEVEL)).otherwise(level)})
-    long = long.join(_few(terms.withColumnRenamed("level", "key")), ["run_id", "feature", "key"], "left")
-    part = F.when(F.col("is_numeric"), F.col("w") * ((F.col("x") - F.col("mean")) / F.col("scale"))).otherwise(F.col("w"))
-    part = F.when(F.col("w").isNull(), F.lit(0.0)).otherwise(part)
-    one = F.struct("pos", "feature", "is_numeric", "x", "key", "missing", "fill", part.alias("part"),
-                   (F.col("is_numeric") & F.col("x").isNull()).alias("bad"))
-    same = [F.first(c).alias(c) for c in ("run_id", "keep", "model_type", "reason", "intercept")]
-    per = long.groupBy("rid").agg(*same, F.array_sort(F.collect_list(F.when(F.col("feature").isNotNull(), one))).alias("f"))
+    runs = runs.join(intercepts.dropDuplicates(["run_id"]), "run_id", "left").withColumn("known", F.lit(True))
+    deepest = nodes.agg(F.max("depth")).first()[0]
+    by_row, few = _small_models(cols, terms, nodes)
+    if by_row:
+        found = _by_row(req, models(runs, cols, terms, nodes), few)
+    else:
+        found = _by_joins(req.withColumn("rid", F.monotonically_increasing_id()), runs, cols, terms, nodes)
 
     def pair(f):  # "name":value, as in JSON
         s = F.when(f["is_numeric"], F.to_json(F.create_map(f["feature"], f["x"]))).otherwise(
@@ -207,31 +235,86 @@ def score_requests(requests: DataFrame, run: Column, ledger: Ledger, keep: Seque
         return F.substring(s, F.lit(2), F.length(s) - 2)
 
     bad = F.transform(F.filter("f", lambda f: f["bad"]), lambda f: f["feature"])
-    per = per.select(
-        "rid", "run_id", "keep", "model_type", "reason", "intercept", bad.alias("bad"),
+    per = found.select(
+        *(["trees"] if by_row else ["rid"]), "run_id", "keep", "model_type", "reason", "intercept", bad.alias("bad"),
         F.concat(F.lit("{"), F.array_join(F.transform(F.filter("f", lambda f: ~f["bad"]), pair), ","), F.lit("}")).alias("used"),
         F.map_from_entries(F.transform(F.filter("f", lambda f: f["missing"]),
                                        lambda f: F.struct(f["feature"], f["fill"]))).alias("imputed"),
         F.aggregate("f", F.col("intercept"), lambda a, f: a + f["part"]).alias("linear"),
         F.map_from_entries(F.transform("f", lambda f: F.struct(f["feature"], F.when(
             f["is_numeric"], f["x"].cast("string")).otherwise(f["key"])))).alias("values"))
-    if nodes.head(1):
-        path = scratch_path(ledger.spark, "requests")  # read twice from here on, so that the requests are scanned once
-        per.write.parquet(path)
-        per = ledger.spark.read.schema(per.schema).parquet(path)
-        grown = walk(per.where("reason is null and intercept is null and size(bad) = 0").select("rid", "run_id", "values"), nodes)
-        per = per.join(grown, "rid", "left")
-    else:
-        per = per.withColumn("y_pred", F.lit(None).cast("double"))
     ok = F.col("reason").isNull()
     fine = ok & (F.size("bad") == 0)
+    climbs = fine & F.col("intercept").isNull()
+    if deepest is None:
+        per = per.withColumn("y_pred", F.lit(None).cast("double"))
+    elif by_row:
+        per = per.withColumn("y_pred", F.when(climbs, grown(F.col("trees"), F.col("values"), deepest)))
+    else:
+        per = _written(per)  # read twice from here on, so that the requests are scanned once
+        per = per.join(walk(per.where(climbs).select("rid", "run_id", "values"), nodes), "rid", "left")
     out = per.select(
         "keep.*", F.col("run_id").alias("model_run_id"), F.when(ok, F.col("model_type")).alias("model_type"),
         F.when(fine, F.lit("ok")).when(ok, F.lit("bad_request")).otherwise(F.lit("not_found")).alias("status"),
         F.when(~ok, F.col("reason")).when(~fine, F.concat(F.lit("not a number: "), F.array_join("bad", ","))).alias("reason"),
         F.when(ok, F.col("used")).alias("used_features"), F.when(ok, F.col("imputed")).alias("imputed"),
-        F.when(fine, F.coalesce("linear", "y_pred")).alias("y_pred"))
-    return out.drop("_")
+        F.when(fine, F.coalesce("linear", "y_pred")).alias("y_pred")).drop("_")
+    return _written(out) if by_row and deepest is not None else out  # trees are walked once, however often the rows are read
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "requests")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _reason(model: str, described: str) -> Column:
+    """Why a request has no prediction: null where the columns ``model`` (or an intercept) and ``described`` are there."""
+    return (F.when(F.col("run_id").isNull(), F.lit("no finished training run"))
+            .when(F.col("known").isNull(), F.concat(F.lit("Run "), "run_id", F.lit(" not found")))
+            .when(F.col("intercept").isNull() & F.col(model).isNull(),
+                  F.concat(F.lit("run "), "run_id", F.lit(" has no model")))
+            .when(F.col(described).isNull(),
+                  F.concat(F.lit("feature run "), "feature_run_id", F.lit(" has no feature model"))))
+
+
+def _input(f, value: Column, weight) -> Column:
+    """A feature of a request: its value or what stands in for it, and its part of the linear prediction."""
+    missing = is_missing(value)
+    x = F.when(f["is_numeric"], F.when(missing, f["mean"]).otherwise(to_double(value)))
+    key = F.when(f["is_numeric"], F.lit(NO_LEVEL)).otherwise(F.when(missing, f["fill"]).otherwise(value))
+    w = weight(key)
+    part = F.when(f["is_numeric"], w * ((x - f["mean"]) / f["scale"])).otherwise(w)
+    part = F.when(w.isNull(), F.lit(0.0)).otherwise(part)
+    return F.struct(f["pos"].alias("pos"), f["feature"].alias("feature"), f["is_numeric"].alias("is_numeric"), x.alias("x"),
+                    key.alias("key"), missing.alias("missing"), f["fill"].alias("fill"), part.alias("part"),
+                    (f["is_numeric"] & x.isNull()).alias("bad"))
+
+
+def _by_row(req: DataFrame, table: DataFrame, few: bool) -> DataFrame:
+    """Requests with their run's row of ``models`` and their features ``f`` (null where there is a reason)."""
+    found = req.join(F.broadcast(table) if few else table, "run_id", "left").withColumn("reason", _reason("trees", "features"))
+    asked = F.when(F.col("reason").isNull(), F.col("features"))
+    return found.withColumn("f", F.transform(asked, lambda f: _input(
+        f, F.try_element_at("given", f["feature"]), lambda key: F.try_element_at(f["w"], key)))).drop("features", "given")
+
+
+def _by_joins(req: DataFrame, runs: DataFrame, cols: DataFrame, terms: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The same for large models, by joins with their features and coefficients: requests go by ``rid``."""
+    runs = runs.join(nodes.select("run_id").distinct().withColumn("walks", F.lit(True)), "run_id", "left").join(
+        cols.select("feature_run_id").distinct().withColumn("described", F.lit(True)), "feature_run_id", "left")
+    found = req.join(_few(runs), "run_id", "left").withColumn("reason", _reason("walks", "described"))
+    asked = F.when(F.col("reason").isNull(), F.col("feature_run_id"))
+    long = found.withColumn("asked", asked).join(
+        _few(cols.withColumnRenamed("feature_run_id", "asked")), "asked", "left")
+    value = F.try_element_at("given", "feature")
+    level = F.when(is_missing(value), F.col("fill")).otherwise(value)
+    long = long.withColumn("level", F.when(F.col("is_numeric"), F.lit(NO_LEVEL)).otherwise(level))
+    long = long.join(_few(terms), ["run_id", "feature", "level"], "left")
+    f = {c: F.col(c) for c in ("pos", "feature", "is_numeric", "mean", "scale", "fill")}
+    one = F.when(F.col("feature").isNotNull(), _input(f, value, lambda key: F.col("w")))
+    same = [F.first(c).alias(c) for c in ("run_id", "keep", "model_type", "reason", "intercept")]
+    return long.groupBy("rid").agg(*same, F.array_sort(F.collect_list(one)).alias("f"))
 
 
 def score_by_table(requests: DataFrame, run_col: str, models: DataFrame, numeric: Sequence[str]) -> DataFrame:

@@ -129,3 +129,19 @@ def test_tuning_job_refits_and_records(spark, made):
     assert loss[-1] == pytest.approx(final[ids["training"], "train_loss_final"])
     assert final[ids["evaluation"], "eval_mse"] == pytest.approx(final[ids["training"], "mse"])
     assert ledger.run_row(ids["training"])["parent_id"] == ids["tuning"]
+
+
+def test_small_models_need_no_shuffle_of_the_requests(spark, made, monkeypatch):
+    """Requests are scored row by row; a group-by per request sorted all of them in as many tasks as there are partitions."""
+    from sparktab.operators import model_tables
+
+    spec, _, runs = made
+    req = requests(spark, runs)
+    got = sorted(map(str, run_inference(spark, spec, req, run_col="run", keep=["id"]).collect()))
+    monkeypatch.setattr(model_tables, "ROW_ENTRIES", 0)  # by joins, as large models are
+    assert sorted(map(str, run_inference(spark, spec, req, run_col="run", keep=["id"]).collect())) == got
+    monkeypatch.undo()
+    monkeypatch.setattr(model_tables, "tree_nodes", lambda ledger: spark.createDataFrame([], model_tables.NODES))
+    plan = run_inference(spark, spec, req, run_col="run", keep=["id"])._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("given")]  # what lies above the requests
+    assert "Aggregate" not in above and "rid" not in above
