@@ -23,8 +23,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import file_system, hadoop_path, local_table
+from ..session import file_system, hadoop_path, input_bytes, local_table
 
+COMPACT_BYTES = 64 << 20  # of record files go to one compacted file
 RUNS_SCHEMA = ("run_id string, parent_id string, name string, stage string, status string, "
                "start_ts timestamp, end_ts timestamp, model_type string, feature_run_id string, "
                "split_seed bigint, test_size double, version bigint")
@@ -149,9 +150,13 @@ class Ledger:
 
     def _files(self) -> list[str]:
         """Committed record files, relative to the records folder."""
+        return sorted(self._listed())
+
+    def _listed(self) -> dict[str, int]:
+        """The committed record files, and their bytes."""
         fs, path = self._fs()
         found = fs.globStatus(path(self._path("records/kind=*/part-*.parquet"))) or []
-        return sorted("/".join(str(f.getPath()).rsplit("/", 2)[-2:]) for f in found)
+        return {"/".join(str(f.getPath()).rsplit("/", 2)[-2:]): f.getLen() for f in found}
 
     def _manifest(self) -> dict | None:
         fs, path = self._fs()
@@ -160,8 +165,11 @@ class Ledger:
             return None
         return json.loads("".join(r[0] for r in self.spark.read.text(found[-1], wholetext=True).collect()))
 
-    def compact(self, files: int = 1) -> None:
-        """Rewrite all records as ``files`` files per kind; views stay the same, also for readers and writers at work.
+    def compact(self, files: int | None = None) -> None:
+        """Rewrite all records as about ``files`` files per kind; views stay the same, also for readers and writers at work.
+
+        By default a file takes ``COMPACT_BYTES`` of the files it replaces, so that no task holds more.  Rows
+        go to files by ranges of their run, and within a run of their key and step.
 
         The records of exactly the files seen now go to a new folder, and a manifest that names the folder
         and those files is put in place by one rename (the newest manifest counts).  Files appended
@@ -169,11 +177,17 @@ class Ledger:
         compaction may run at a time.
         """
         self.flush()
-        seen, old = self._files(), self._manifest()
+        listed, old = self._listed(), self._manifest()
+        seen = sorted(listed)
+        if files is None:
+            covered = set(old["covered"]) if old else set()
+            size = sum(n for f, n in listed.items() if f not in covered)
+            size += input_bytes(self.spark, self._path(old["base"])) if old else 0
+            files = max(1, -(-size // COMPACT_BYTES))
         base = f"compact-{uuid.uuid4().hex[:12]}"
         records = self._read(old, seen)
-        records.repartition(files, "kind").sortWithinPartitions("kind", "run_id").write.partitionBy("kind").parquet(
-            self._path(base))
+        parts = records.repartitionByRange(files, "kind", "run_id", "key", "step") if files > 1 else records.repartition(1)
+        parts.sortWithinPartitions("kind", "run_id").write.partitionBy("kind").parquet(self._path(base))
         fs, path = self._fs()
         number = (old["number"] if old else 0) + 1
         part, final = (path(self._path(n)) for n in (f"part-{uuid.uuid4().hex}", f"manifest-{number:08d}.json"))

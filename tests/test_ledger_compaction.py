@@ -76,3 +76,19 @@ def test_empty_ledger(spark, scratch):
     assert ledger.runs().count() == 0 and ledger.latest_run("training") is None
     ledger.start_run("training")
     assert Ledger(spark, ledger.root).runs().where(F.col("stage") == "training").count() == 1
+
+
+def test_compaction_makes_files_of_bounded_size(spark, scratch, monkeypatch):
+    """One task held all records of a kind; a run with many records is divided too."""
+    monkeypatch.setattr(L, "COMPACT_BYTES", 5_000)
+    root = os.path.join(scratch, "ledger")
+    rows = [Ledger._record("metric", "hot", key=f"m{i % 7}", num=float(i), step=i) for i in range(4000)]
+    rows += [Ledger._record("run", f"r{i:05d}", stage="training", status="FINISHED", version=1) for i in range(1000)]
+    local_table(spark, rows, L.RECORD_SCHEMA).repartition(8).write.partitionBy("kind").parquet(os.path.join(root, "records"))
+    ledger = Ledger(spark, root)
+    before = _views(ledger)
+    ledger.compact()
+    ledger.vacuum()
+    assert _views(ledger) == before
+    sizes = [r["count"] for r in ledger._all().groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 5000 and max(sizes) < 2500
