@@ -382,15 +382,32 @@ def _sized(df: DataFrame) -> DataFrame:
 
     Boosting runs several jobs per round over this data; tiny partitions only add
     scheduling cost, so the partition count is the larger of the number of cores and
-    ``rows / ROWS_PER_PARTITION`` (never more than the input has).
+    ``rows / ROWS_PER_PARTITION``.
     """
     df = df.persist()
-    n = df.count()
+    n, largest = partition_rows(df)
     want = max(1, min(df.sparkSession.sparkContext.defaultParallelism, -(-n // MIN_ROWS)), -(-n // ROWS_PER_PARTITION))
-    if want < df.rdd.getNumPartitions():
-        sized = df.coalesce(want).persist()
-        sized.count()
-        df.unpersist()
-        return sized
-    return df
+    return repacked(df, want, largest)
+
+
+def partition_rows(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df``, and of its largest partition."""
+    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(
+        F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+
 
+def repacked(df: DataFrame, want: int, largest: int) -> DataFrame:
+    """The persisted ``df`` in ``want`` partitions where it has more, or where its largest is too much for one task.
+
+    Partitions follow the input's files and row groups, however large these are; with more than
+    twice ``ROWS_PER_PARTITION`` rows in one, the rows are dealt anew.
+    """
+    if largest > 2 * ROWS_PER_PARTITION:
+        sized = df.repartition(want).persist()
+    elif want < df.rdd.getNumPartitions():
+        sized = df.coalesce(want).persist()
+    else:
+        return df
+    sized.count()
+    df.unpersist()
+    return sized

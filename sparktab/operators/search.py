@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_u32, threshold
 from ..session import local_table
 from .features import FeatureModel
-from .models import (ROWS_PER_PARTITION, _complete_rows, _solve, centred_design, fit_gbt, gbt_regressor, gram_by, tree_inputs,
-                     vector_pipeline)
+from .models import (ROWS_PER_PARTITION, _complete_rows, _solve, centred_design, fit_gbt, gbt_regressor, gram_by, partition_rows,
+                     repacked, tree_inputs, vector_pipeline)
 
 # The grid that trials are drawn from.
 SEARCH_SPACE = {
@@ -59,15 +59,10 @@ def sample_params(n_trials: int, seed: int, space: dict | None = None) -> list[d
 
 
 def _packed(df: DataFrame) -> DataFrame:
-    """``df`` persisted in as few partitions as ``ROWS_PER_PARTITION`` allows (never more than it has)."""
+    """``df`` persisted in as few partitions as ``ROWS_PER_PARTITION`` allows."""
     df = df.persist()
-    want = max(1, -(-df.count() // ROWS_PER_PARTITION))
-    if want >= df.rdd.getNumPartitions():
-        return df
-    packed = df.coalesce(want).persist()
-    packed.count()
-    df.unpersist()
-    return packed
+    n, largest = partition_rows(df)
+    return repacked(df, max(1, -(-n // ROWS_PER_PARTITION)), largest)
 
 
 def _losses(model, rows: DataFrame) -> list[float]:

@@ -115,3 +115,19 @@ def test_loss_history_falls_on_the_training_side(spark):
     from sparktab.operators.models import predict_tree
     scored = predict_tree(model, df, ["a", "b"], ["c"]).where("y is not null and y_pred is not null")
     assert losses[-1] == pytest.approx(scored.agg(F.avg(F.pow(F.col("y") - F.col("y_pred"), 2))).first()[0], rel=1e-9)
+
+
+def test_large_partitions_are_dealt_anew(spark, monkeypatch):
+    """A file of one row group is one partition, which one task read whole in every round."""
+    from sparktab.operators import models
+
+    monkeypatch.setattr(models, "ROWS_PER_PARTITION", 1_000)
+    df = spark.range(10_000).coalesce(1)
+    sized = models._sized(df)
+    n, largest = models.partition_rows(sized)
+    assert n == 10_000 and largest <= 2_000
+    assert sorted(r.id for r in sized.collect()) == list(range(10_000))
+    few = models._sized(spark.range(1_500).coalesce(1))
+    assert models.partition_rows(few) == (1_500, 1_500)
+    sized.unpersist()
+    few.unpersist()
