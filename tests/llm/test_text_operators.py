@@ -272,3 +272,18 @@ def test_pseudonymise(spark, odd, odd_rows, nothing):
     src = {i: t or "" for i, t, *_ in odd_rows}
     assert all(src[i] == t for i, t in clean.items() if i not in (10, 11))
     assert surrogates.pseudonymise(nothing).count() == 0
+
+
+def test_passage_seeds_are_not_held_three_times():
+    from sparktab.llm import passages
+
+    rng = np.random.default_rng(3)
+    held = [(rng.integers(0, 50, 200).astype(np.uint64), np.full(200, i, np.int64), np.arange(200, dtype=np.int32),
+             np.full(200, 4, np.int32), np.zeros(200, np.uint32)) for i in (2, 1)]
+    want = sorted(zip(*(np.concatenate(c).tolist() for c in zip(*held))))
+    h, d, p, n, s = passages.sorted_rows(held)
+    assert not held and [c.dtype.itemsize for c in (h, d, p, n, s)] == [8, 8, 4, 4, 4]
+    assert list(zip(h.tolist(), d.tolist(), p.tolist(), n.tolist(), s.tolist())) == want
+    new, first, before = passages._runs(h, d, p, n, s)
+    links = passages.match(h, d, p, n, s, first, before, passages.K)
+    assert [c.dtype.itemsize for c in links] == [8, 4, 8, 4, 4]
