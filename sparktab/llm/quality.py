@@ -43,12 +43,13 @@ LABEL_BROADCAST_ROWS = 2_000_000
 LANGUAGE_BROADCAST_ROWS = 100_000
 PAD = 0xFF          # never occurs in UTF-8
 SYMBOLS = 256
-CHUNK = 1 << 21     # bytes worked on at once
+CHUNK = 1 << 21     # bytes of a text worked on at once
+WORK = 1 << 20      # bytes of shorter texts worked on at once (each byte takes some 50 in arrays)
 FLUSH = 3_000_000   # n-grams a task holds before it hands them on
 
 
 def grams(texts: list[bytes], order: int):
-    """Yield (codes, text index) of all n-grams, about CHUNK bytes at a time."""
+    """Yield (codes, text index) of all n-grams, about WORK bytes at a time."""
     lead = bytes([PAD]) * (order - 1)
     held, size = [], 0
     for i, t in enumerate(texts):
@@ -56,7 +57,7 @@ def grams(texts: list[bytes], order: int):
             piece = (t[at - order + 1:at] if at else lead) + t[at:at + CHUNK]
             held.append((i, piece))
             size += len(piece)
-            if size >= CHUNK:
+            if size >= WORK:
                 yield _codes(held, order)
                 held, size = [], 0
     if held:
@@ -96,11 +97,13 @@ def count_grams(docs: DataFrame, order: int) -> DataFrame:
         size = 0
 
         def fold(key):
-            parts = held[key]
+            parts = held.pop(key)
             code = np.concatenate([c for c, _ in parts])
             n = np.concatenate([x for _, x in parts])
+            del parts
             order_ = np.argsort(code, kind="stable")
             code, n = code[order_], n[order_]
+            del order_
             first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
             held[key] = [(code[first], np.add.reduceat(n, first))]
 
@@ -122,7 +125,7 @@ def count_grams(docs: DataFrame, order: int) -> DataFrame:
                     held.setdefault(key, []).append((c, n))
                     size += len(c)
             if size > FLUSH:
-                for key in held:
+                for key in list(held):
                     fold(key)
                 size = sum(len(p[0][0]) for p in held.values())
                 if size > FLUSH:

@@ -287,3 +287,12 @@ def test_passage_seeds_are_not_held_three_times():
     new, first, before = passages._runs(h, d, p, n, s)
     links = passages.match(h, d, p, n, s, first, before, passages.K)
     assert [c.dtype.itemsize for c in links] == [8, 4, 8, 4, 4]
+
+
+def test_quality_counts_short_texts_in_small_lots():
+    from sparktab.llm import quality
+
+    texts = [bytes([97 + i % 26]) * 1000 for i in range(5000)]
+    lots = list(quality.grams(texts, 5))
+    assert max(len(code) for code, _ in lots) < 1.1 * (1 << 20)
+    assert sum(len(code) for code, _ in lots) == 5_000_000
