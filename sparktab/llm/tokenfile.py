@@ -49,8 +49,8 @@ MAGIC = b"TOKRANK1"
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 BLOCK_TOKENS = 2_000_000
-CACHE_WORDS = 500_000
-BATCH_BYTES = 4_000_000
+CACHE_WORDS = 1_500_000  # kept in Arrow and plain arrays, some 50 bytes each
+BATCH_BYTES = 8_000_000
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)  # by control byte
 
 
@@ -84,12 +84,14 @@ class Encoder:
         self.clear()
 
     def clear(self):
-        self.index: dict[str, int] = {}
+        self.index: dict[str, int] = {}  # numbers of the pieces learned last, and of their parts
+        self.words, self.added = pa.array([], pa.large_string()), []  # all pieces by number, and those to follow them
         self.flat, self.start = array("i"), array("q", [0])
 
     def _keep(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        n = len(self.index)
+        n = len(self.start) - 1
         self.index.update(zip(keys, range(n, n + len(keys))))
+        self.added.append(pa.array(keys, pa.large_string()))
         self.start.frombytes((len(self.flat) + np.cumsum(sizes, dtype=np.int64)).tobytes())
         self.flat.frombytes(ids.astype(np.int32).tobytes())
 
@@ -105,6 +107,8 @@ class Encoder:
         other = [w for w, core in zip(other, cores) if not core.isalpha()]
         rest = [w for w in other if w[0].isspace() or len(w.split()) > 1]
         plain = {w for w in new if w.isalpha()}.union((core for _, core, _ in joined), set(other).difference(rest))
+        parts = pa.array({part for _, core, tail in joined for part in (core, tail)}, pa.large_string())
+        self.index = {w: i for w, i in zip(parts.to_pylist(), self._find(parts).tolist()) if i >= 0}
         rest += {tail for _, _, tail in joined}.difference(self.index, rest)
         # words without white space of their own are encoded as one text; each starts a token with a space
         plain = list(plain.difference(self.index))
@@ -125,6 +129,13 @@ class Encoder:
             ids, size = self._gather(at)
             self._keep(list(names), ids, size.reshape(-1, 2).sum(axis=1))
 
+    def _find(self, names: pa.Array) -> np.ndarray:
+        """The numbers of pieces, -1 for those not known yet."""
+        if self.added:
+            self.words, self.added = pa.concat_arrays([self.words, *self.added]), []
+        at = pc.index_in(names, value_set=self.words)
+        return pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
     def _gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces by number, one after the other, and how many each has."""
         start = np.frombuffer(self.start, np.int64)
@@ -140,7 +151,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number per text), without end ids."""
-        if len(self.index) > CACHE_WORDS or len(self.flat) > 8 * CACHE_WORDS:
+        if len(self.start) > CACHE_WORDS or len(self.flat) > 5 * CACHE_WORDS:
             self.clear()
         # a line break becomes a piece of its own, and what follows it one without a space
         given = pa.array(texts, pa.large_string())
@@ -150,12 +161,14 @@ class Encoder:
         cut = pc.split_pattern(given, " ")
         words = pc.fill_null(pc.list_value_length(cut), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = pc.list_flatten(cut).dictionary_encode()  # each occurrence is looked up once, in the batch's own pieces
-        names, which = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-        fresh = [w for w in names if w not in self.index]
+        pieces, which = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        known = self._find(pieces)  # only pieces not known yet become Python strings
+        fresh = pieces.filter(pa.array(known < 0)).to_pylist()
         # white space next to white space or at an end of the text: cut these texts with more care
         loose = {w for w in fresh if not w or w == "\n" or (w != "\n\n" and (
             w[-1].isspace() or (w[0].isspace() and (w[0] != "\n" or w[1].isspace()))))}
         if loose:
+            names = pieces.to_pylist()
             number = {w: i for i, w in enumerate(names)}
             marked = np.zeros(len(names), bool)
             marked[[number[w] for w in loose]] = True
@@ -176,9 +189,10 @@ class Encoder:
             names = list(number)
             used = np.bincount(which, minlength=len(names)) > 0
             names = [w if u else "\n\n" for w, u in zip(names, used.tolist())]  # pieces that no text has any more
-            fresh = [w for w in names if w not in self.index]
+            known = self._find(pa.array(names, pa.large_string()))
+            fresh = [w for w, k in zip(names, known.tolist()) if k < 0]
         self._learn(set(fresh))
-        known = np.fromiter(map(self.index.__getitem__, names), np.int64, len(names))
+        known[known < 0] = np.fromiter(map(self.index.__getitem__, fresh), np.int64, len(fresh))
         out, size = self._gather(known[which])
         counts = np.bincount(np.repeat(np.arange(len(texts)), words), size, len(texts)).astype(np.int64)
         return out, counts

@@ -296,3 +296,15 @@ def test_quality_counts_short_texts_in_small_lots():
     lots = list(quality.grams(texts, 5))
     assert max(len(code) for code, _ in lots) < 1.1 * (1 << 20)
     assert sum(len(code) for code, _ in lots) == 5_000_000
+
+
+def test_encoder_keeps_pieces_outside_python(tokenizer):
+    """A word met before is neither encoded again nor held as a Python string, so that far more words can be kept."""
+    e = tokenfile.Encoder(tokenfile.tokenizer_path())
+    first, again = ["Some words, kept for long.", "", "two  spaces\nand lines"], ["kept words, and new ones.", "words kept"]
+    for texts in (first, again, again + first):
+        ids, counts = e.encode(texts)
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+    assert not e.index and "words" in e.words.to_pylist()
+    assert len(e.words) == len(set(e.words.to_pylist())) == len(e.start) - 1
