@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -303,3 +304,31 @@ def test_long_tokens_stay_different_and_copies_share_a_fold(spark, monkeypatch):
     assert seen["rows"] == 1200  # equal rows of one id count once
     copies = [f for at, f in seen["folds"].items() if len(at) > 5]
     assert copies and all(len(f) == 1 for f in copies)
+
+
+def test_blocks_hold_seeds_and_links(spark):
+    """What the tasks hand on is packed: a row per bucket, not one per seed, and some 10 bytes a seed."""
+    rng = np.random.default_rng(5)
+    rows = [(10 ** 12 + i, " ".join(map(str, rng.integers(0, 10 ** 9, 400)))) for i in range(150)]
+    rows += [(7, rows[3][1])]
+    table = passages.seed_table(spark.createDataFrame(rows, "id long, text string").coalesce(1), passages.K, passages.WINDOW)
+    got = table.toPandas()
+    assert len(got) <= 2 * 4096 and set(got.kind) == {0, 1}
+    back = [passages.seeds_of(r.size_, pa.scalar(r.rows)) for r in got[got.kind == 0].rename(columns={"size": "size_"}).itertuples()]
+    h, doc, pos, size, seg = (np.concatenate(c) for c in zip(*back))
+    want = {}
+    for i, t in sorted(rows):
+        w = passages.word_hashes(t)
+        long_, short = passages.seeds(w), passages.short_seeds(w)
+        for x, p, n, g in (*zip(*long_), *zip(*short)):
+            want.setdefault(int(x), (i, int(p), int(n), max(int(g) & 0xFFFFFFFF, 1) if n != 4 or int(g) else 0))
+    assert dict(zip(h.tolist(), zip(doc.tolist(), pos.tolist(), size.tolist(), seg.tolist()))) == want
+    links = [passages._unblock(n, pa.scalar(r)) for n, r in got[got.kind == 1][["size", "rows"]].itertuples(index=False)]
+    doc, pos, ref, rpos, size = (np.concatenate(c).tolist() for c in zip(*links))
+    assert (doc, pos, ref, rpos, size) == ([rows[3][0]], [0], [7], [0], [400])
+    h = np.sort(rng.integers(0, 2 ** 52, 3000).astype(np.uint64))  # a bucket of a full lot
+    block = next(passages.seed_blocks(h, rng.integers(0, 9000, 3000), rng.integers(0, 700, 3000), np.full(3000, 4),
+                                      np.zeros(3000, np.uint32)))
+    assert len(block.column(3)[0].as_py()) < 11 * 3000
+    odd = [np.array(c, np.int64) for c in ([2 ** 63 - 1, -2 ** 63, 0], [], [5])]
+    assert all((x == y).all() and len(x) == len(y) for x, y in zip(passages.unpack(passages.pack(*odd)), odd))
