@@ -332,3 +332,48 @@ def test_blocks_hold_seeds_and_links(spark):
     assert len(block.column(3)[0].as_py()) < 11 * 3000
     odd = [np.array(c, np.int64) for c in ([2 ** 63 - 1, -2 ** 63, 0], [], [5])]
     assert all((x == y).all() and len(x) == len(y) for x, y in zip(passages.unpack(passages.pack(*odd)), odd))
+
+
+def test_seeds_of_many_texts_at_once(spark, monkeypatch):
+    """Texts are seeded in lots, not one by one, with the seeds that each has by itself."""
+    rng = np.random.default_rng(8)
+    sizes = [0, 3, 4, 7, 8, 9, 18, 19, 20, 21, 300, 0, 40, 1]
+    texts = [" ".join(rng.choice(["a", "B", "c\x1cd", "é"], n)) for n in sizes]
+    texts[4] = "\n " + texts[4] + "\t"
+    words, off = passages.text_words(pa.array(texts))
+    each = [t.encode().lower().split() for t in texts]
+    assert np.diff(off).tolist() == [len(w) for w in each]
+    of_word = dict(zip([w for ws in each for w in ws], words.tolist()))
+    assert words.tolist() == [of_word[w] for ws in each for w in ws] and len(set(of_word.values())) == len(of_word)
+    k, window = 8, 12
+    want = []
+    for lo, hi in zip(off[:-1], off[1:]):
+        h = passages.kmers(words[lo:hi], k).tolist()
+        tops = [range(i, i + window) for i in range(len(h) - window + 1)] or ([range(len(h))] if h else [])
+        pos = sorted({min(r, key=lambda i: (h[i], i)) for r in tops})
+        for p, q in zip(pos, [*pos[1:], int(hi - lo)]):
+            parts = passages.mix(words[lo + p:lo + q] + np.arange(q - p).astype(np.uint64) * passages.BASE)
+            want.append((h[p], int(lo) + p, q - p, int(parts.sum())))
+    got = passages.seeds(words, k, window, off)
+    assert list(zip(*(c.tolist() for c in got))) == want and len(want) > 30
+    h, pos, n, seg = passages.short_seeds(words, 4, off)
+    assert pos.tolist() == [p for lo, hi in zip(off[:-1], off[1:]) for p in range(lo, hi - 3)]
+    assert all(h[i] == passages.short_seeds(words[p:p + 4])[0][0] for i, p in enumerate(pos.tolist()))
+    lots = passages.lots(pa.RecordBatch.from_arrays([pa.array(range(3)), pa.array(["x" * (1 << 21)] * 2 + ["y"])], ["id", "text"]))
+    assert [lot.column(0).to_pylist() for lot in lots] == [[0], [1, 2]]
+
+    class Direct:  # the function that the tasks run
+        def mapInArrow(self, run, schema):
+            return run
+
+    calls = []
+    monkeypatch.setattr(passages, "kmers", lambda *a, real=passages.kmers: calls.append(1) or real(*a))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array([texts[10]] * 200)], ["id", "text"])
+    assert list(passages.seed_table(Direct(), k, window)([batch])) and len(calls) == 2
+
+
+def test_alignment_passes_over_words_of_one_side():
+    a, b = [1, 9, 2, 8, 3], [7, 1, 2, 6, 2, 3]
+    assert passages.matched(a, b) == [(0, 1), (2, 2), (4, 5)] and passages.matched([1], [2]) == []
+    rows = passages.lists(pa.array([[1, 2], [], [3]], pa.list_(pa.int32())))
+    assert list(rows) == [[1, 2], [], [3]]
