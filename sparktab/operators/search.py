@@ -4,6 +4,7 @@
   small hash sample of the fit rows; the better third goes on to a larger sample that
   holds the smaller one, and the last ones to all rows.  Trials that differ only in the
   number of rounds are one fit: the loss after every round of the longest one has them all.
+  Where rows are many and their bins few, an execution sums them by cell once and all its fits work on these (``cells``).
 * ``ridge_search``: penalties of the least-squares model by cross-validation, all trials from
   one pass.  Every fold's Gram matrix comes from one grouped aggregate; the fit without a
   fold is solved from the sum of the others, and its error on the fold follows from the fold's
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_u32, threshold
 from ..session import local_table
+from . import cells
 from .features import FeatureModel
 from .models import (ROWS_PER_PARTITION, _complete_rows, _solve, centred_design, fit_gbt, gbt_regressor, gram_by, partition_rows,
                      repacked, tree_inputs, vector_pipeline)
@@ -81,6 +83,39 @@ def _fits(trials: dict[int, dict], executions: int) -> list[tuple[dict, int, lis
     return [(p, e, group) for p, group in longest for e in range(executions)]
 
 
+def _fitter(rows: DataFrame, valid: DataFrame, est, trials: dict[int, dict], numeric: Sequence[str], by: Sequence[str],
+            target: str, encoder, executions: int, seed: int, given: set[str]):
+    """(tables held, function from parameters and execution to the losses): fits of cells where they are few, else of rows."""
+    def settings(p):
+        return {k: est.getOrDefault(k) for k in cells.CELL_PARAMS} | p
+
+    held = []
+    n = rows.count()
+    bins = {settings(p)["maxBins"] for p in trials.values()}
+    if n >= cells.MIN_CELL_ROWS and len(bins) == 1 and given.union(*trials.values()) <= cells.CELL_PARAMS:
+        rates = sorted({settings(p)["subsamplingRate"] for p in trials.values()})
+        rounds = max(settings(p)["maxIter"] for p in trials.values())
+        sizes = []
+        for e in range(executions):
+            cuts = cells.sampled_cuts(rows, n, numeric, max(bins), seed + e)
+            if e == 0 and n < cells.MIN_ROWS_PER_CELL * cells.binned(rows, cuts).select(*by).distinct().count():
+                break
+            held.append(_packed(cells.fit_cells(rows, valid, cuts, by, target, encoder, rates, rounds, seed + e)))
+            sizes.append(held[-1].count())
+    if held:
+        def fit(p, e):
+            p = settings(p)
+            return cells.boosted_losses(held[e], sizes[e], rates.index(p["subsamplingRate"]), p, seed + e)
+    else:
+        fit_v = encoder.transform(rows).select("features", target).persist()
+        val_v = encoder.transform(valid).select("features", target).persist()
+        held = [fit_v, val_v]
+
+        def fit(p, e):
+            return _losses(est.fit(fit_v, {getattr(est, k): v for k, v in p.items()} | {est.seed: seed + e}), val_v)
+    return held, fit
+
+
 def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str],
                   categorical: Sequence[str], target: str, n_trials: int = 10,
                   executions: int = 3, seed: int = 42, parallelism: int = 4, keys: Sequence[str] | None = None,
@@ -104,25 +139,27 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
     fit_in = tree_inputs(fit_df, numeric, categorical).where("_complete").withColumn(target, F.col(target).cast("double"))
     val_in = (tree_inputs(valid_df.where(F.col(target).isNotNull()), numeric, categorical).where("_complete")
               .withColumn(target, F.col(target).cast("double")))
-    enc = vector_pipeline(numeric, categorical).fit(fit_in)
-    fit_v = _packed(enc.transform(fit_in).select("features", target, "_hash"))
-    val_v = _packed(enc.transform(val_in).select("features", target))
+    by = list(dict.fromkeys([*numeric, *categorical]))
+    used = list(dict.fromkeys([*by, target]))
+    fit_rows = _packed(fit_in.select(*used, "_hash"))
+    val_rows = _packed(val_in.select(*used))
+    enc = vector_pipeline(numeric, categorical).fit(fit_rows)
     cores = spark.sparkContext.defaultParallelism
-    total = fit_v.count()
+    total = fit_rows.count()
     est = gbt_regressor(target, **(fixed or {}))
     trials = sample_params(n_trials, seed, space)
     left = dict(enumerate(trials))
     shares = [s for s in sorted(rungs) if s < 1.0 and total * s >= MIN_RUNG_ROWS] + [1.0]
     found: dict[int, tuple[float, float]] = {}
     for i, share in enumerate(shares):
-        rows = fit_v if share == 1.0 else _packed(fit_v.where(F.col("_hash") < threshold(share)))
+        rows = fit_rows if share == 1.0 else _packed(fit_rows.where(F.col("_hash") < threshold(share)))
+        held, fit = _fitter(rows, val_rows, est, left, numeric, by, target, enc, executions, seed, set(fixed or {}) - {"seed"})
         # boosting is many small jobs: on a small sample a fit takes a core or two, and more fits run at once
-        at_once = max(parallelism, cores // rows.rdd.getNumPartitions())
+        at_once = max(parallelism, cores // held[0].rdd.getNumPartitions())
 
-        def run(job, rows=rows):
+        def run(job, fit=fit):
             p, e, group = job
-            params = {getattr(est, k): v for k, v in p.items()} | {est.seed: seed + e}
-            loss = _losses(est.fit(rows, params), val_v)
+            loss = fit(p, e)
             return [(t, loss[left[t]["maxIter"] - 1]) for t in group]
 
         scores: dict[int, list[float]] = {t: [] for t in left}
@@ -130,13 +167,13 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
             for part in pool.imap_unordered(inheritable_thread_target(run), _fits(left, executions)):
                 for t, score in part:
                     scores[t].append(score)
-        if rows is not fit_v:
-            rows.unpersist()
+        for df in held + ([] if rows is fit_rows else [rows]):
+            df.unpersist()
         found |= {t: (share, float(np.mean(s))) for t, s in scores.items()}
         best = sorted(left, key=lambda t: (found[t][1], t))
         left = {t: left[t] for t in best[:max(1, round(len(best) * keep))]}
-    fit_v.unpersist()
-    val_v.unpersist()
+    fit_rows.unpersist()
+    val_rows.unpersist()
     order = sorted(found, key=lambda t: (-found[t][0], found[t][1], t))
     rows = [(t, json.dumps(trials[t], sort_keys=True), found[t][1], executions, found[t][0]) for t in order]
     table = local_table(spark, rows, "trial int, params string, val_mse double, executions int, share double")

@@ -131,3 +131,46 @@ def test_large_partitions_are_dealt_anew(spark, monkeypatch):
     assert models.partition_rows(few) == (1_500, 1_500)
     sized.unpersist()
     few.unpersist()
+
+
+def test_many_rows_of_few_cells_are_summed_before_the_fits(spark, monkeypatch):
+    """Every tree fit read all rows at each level of every round; now it reads a row per cell, with the same losses."""
+    from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+
+    from sparktab.operators import cells
+
+    rng = np.random.default_rng(3)
+    rows = [(i, float(rng.integers(12)), float(rng.integers(6)), str(rng.choice(["x", "y", "z"]))) for i in range(4_000)]
+    df = spark.createDataFrame([(*r, r[1] ** 2 - 7 * r[2] + 20 * (r[3] == "x") + float(rng.normal())) for r in rows], SCHEMA).repartition(4)
+    fit, valid = df.where("k % 4 > 0").persist(), df.where("k % 4 = 0").persist()
+    space = {"maxDepth": [2, 3], "maxIter": [3, 12], "stepSize": [0.3], "subsamplingRate": [0.6, 1.0]}
+    read = []
+    for cls in (DecisionTreeRegressor, GBTRegressor):
+        def spy(self, data, params=None, real=cls.fit):
+            read.append(data.count())
+            return real(self, data, params)
+        monkeypatch.setattr(cls, "fit", spy)
+
+    def losses():
+        read.clear()
+        table, _ = random_search(fit, valid, ["a", "b"], ["c"], "y", n_trials=5, executions=1, seed=2, keys=["k"], rungs=(1.0,),
+                                 space=space)
+        return [r.val_mse for r in table.orderBy("trial").collect()], max(read)
+
+    by_row, most = losses()
+    assert most == 3_000
+    monkeypatch.setattr(cells, "MIN_CELL_ROWS", 1_000)
+    by_cell, most = losses()
+    assert most <= 12 * 6 * 3 and by_cell == pytest.approx(by_row, rel=1e-9)
+    monkeypatch.setattr(cells, "MIN_ROWS_PER_CELL", 1_000)  # cells that are no fewer than the rows do not pay
+    assert losses() == (by_row, 3_000)
+    fit.unpersist()
+    valid.unpersist()
+
+
+def test_cut_points_are_those_of_the_trees():
+    from sparktab.operators.cells import cut_points
+
+    assert cut_points([3.0, 1.0, 1.0, 2.0], 32) == [1.5, 2.5] and cut_points([5.0, 5.0], 32) == []
+    assert cut_points([1.0] * 2 + [2.0] * 2 + [3.0] * 2 + [4.0] * 2, 2) == [2.5]
+    assert len(cut_points([float(x) for x in range(1_000)], 32)) == 31
