@@ -16,8 +16,10 @@ The cells are worth it where they are far fewer than the rows (``MIN_ROWS_PER_CE
 
 from __future__ import annotations
 
+import time
 from collections import Counter
 from collections.abc import Sequence
+from threading import Lock
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -28,6 +30,8 @@ from ..session import delete_path, scratch_path
 MIN_CELL_ROWS = 1_000_000  # fewer rows are fitted as they are: a round over cells takes more small jobs
 MIN_ROWS_PER_CELL = 8
 CELL_PARAMS = {"maxDepth", "maxIter", "stepSize", "subsamplingRate", "maxBins"}  # others may count rows of a node
+FITS_AT_ONCE = 2         # the driver plans every round of a fit, and the heap follows the number of these
+GC_SECONDS = 2.0
 LINEAGE_ROUNDS = 10      # lineage is cut as often as in Spark's boosting
 
 
@@ -108,6 +112,27 @@ def fit_cells(rows: DataFrame, valid: DataFrame, cuts: dict[str, list[float]], b
     return cells.select("features", *drawn, "_vn", "_vm", "_vss")
 
 
+_collected, _collecting = [0.0], Lock()
+
+
+def collect_garbage(spark) -> None:
+    """Every ``GC_SECONDS`` at most: the driver's heap collected in full, which gives memory back.
+
+    A round is some 20 small jobs.  What they leave behind is garbage at once, but a heap that is let grow takes all it may.
+    """
+    with _collecting:
+        if (now := time.monotonic()) - _collected[0] < GC_SECONDS:
+            return
+        _collected[0] = now
+    spark.sparkContext._jvm.System.gc()
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as written under ``path``: a scan, with nothing of the plan that made it."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def boosted_losses(cells: DataFrame, n_cells: int, rate_index: int, params: dict, seed: int) -> list[float]:
     """Mean squared validation error after each round of boosting over ``cells`` (of ``fit_cells``).
 
@@ -116,34 +141,32 @@ def boosted_losses(cells: DataFrame, n_cells: int, rate_index: int, params: dict
     """
     from pyspark.ml.regression import DecisionTreeRegressor
 
-    n, s = F.col("_n")[0], F.col("_s")[0]
-    rest = "slice({0}, 2, greatest(size({0}) - 1, 0))"
     # bins are the features here: each is a candidate threshold, none of them to be sampled or merged away
     bins = max(params["maxBins"], int(np.ceil(np.sqrt(n_cells))) + 1)
     state = cells.select("features", "_vn", "_vm", "_vss", F.col(f"_n{rate_index}").alias("_n"),
                          F.col(f"_s{rate_index}").alias("_s"), F.lit(0.0).alias("_f"),
                          F.expr("cast(array() as array<double>)").alias("_loss"))
-    older, written = None, []
+    written = []
     for m in range(params["maxIter"]):
+        n, s = F.col("_n")[m], F.col("_s")[m]
         tree = DecisionTreeRegressor(labelCol="_label", weightCol="_weight", predictionCol="_tree", seed=seed + m,
                                      maxDepth=params["maxDepth"], maxBins=bins)
         gap = s / n - F.col("_f")
-        model = tree.fit(state.where(n > 0).select("features", (gap if m == 0 else 2 * gap).alias("_label"), n.alias("_weight")))
-        if older is not None:
-            older.unpersist()  # the fit has read ``state`` in full, so it is held now
+        # ``state`` is the table read last and the trees since: held tables over held tables would each tell the plan
+        # of the one below twice, first and final, and so double the driver's memory in every round
+        drawn = state.where(n > 0).select("features", (gap if m == 0 else 2 * gap).alias("_label"), n.alias("_weight")).persist()
+        model = tree.fit(drawn)
+        drawn.unpersist()
+        collect_garbage(cells.sparkSession)
         moved = model.transform(state).withColumn("_f", F.col("_f") + F.col("_tree") * (1.0 if m == 0 else params["stepSize"]))
         loss = F.coalesce(F.col("_vss") + F.col("_vn") * F.pow(F.col("_vm") - F.col("_f"), 2), F.lit(0.0))
-        moved = moved.select("features", "_vn", "_vm", "_vss", F.expr(rest.format("_n")).alias("_n"),
-                             F.expr(rest.format("_s")).alias("_s"), "_f", F.concat("_loss", F.array(loss)).alias("_loss"))
+        state = moved.withColumn("_loss", F.concat("_loss", F.array(loss))).drop("_tree")
         if m % LINEAGE_ROUNDS == LINEAGE_ROUNDS - 1 and m + 1 < params["maxIter"]:
             written.append(scratch_path(cells.sparkSession, "cells"))
-            moved.write.parquet(written[-1])
-            moved = cells.sparkSession.read.parquet(written[-1])
-        older, state = (state if m else None), moved.persist()
+            state = stored(state, written[-1])
+            if len(written) > 1:
+                delete_path(cells.sparkSession, written[-2])
     sums = state.agg(F.sum("_vn"), *[F.sum(F.col("_loss")[m]) for m in range(params["maxIter"])]).first()
-    for df in (older, state):
-        if df is not None:
-            df.unpersist()
-    for path in written:
+    for path in written[-1:]:
         delete_path(cells.sparkSession, path)
     return [x / sums[0] if sums[0] else float("nan") for x in sums[1:]]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_u32, threshold
-from ..session import local_table
+from ..session import delete_path, local_table, scratch_path
 from . import cells
 from .features import FeatureModel
 from .models import (ROWS_PER_PARTITION, _complete_rows, _solve, centred_design, fit_gbt, gbt_regressor, gram_by, partition_rows,
@@ -85,23 +85,27 @@ def _fits(trials: dict[int, dict], executions: int) -> list[tuple[dict, int, lis
 
 def _fitter(rows: DataFrame, valid: DataFrame, est, trials: dict[int, dict], numeric: Sequence[str], by: Sequence[str],
             target: str, encoder, executions: int, seed: int, given: set[str]):
-    """(tables held, function from parameters and execution to the losses): fits of cells where they are few, else of rows."""
+    """(partitions, most fits at once or None, function from parameters and execution to the losses, function to free what is held):
+    fits of cells where they are few, else of rows."""
     def settings(p):
         return {k: est.getOrDefault(k) for k in cells.CELL_PARAMS} | p
 
-    held = []
+    held, written, sizes = [], [], []
     n = rows.count()
     bins = {settings(p)["maxBins"] for p in trials.values()}
     if n >= cells.MIN_CELL_ROWS and len(bins) == 1 and given.union(*trials.values()) <= cells.CELL_PARAMS:
         rates = sorted({settings(p)["subsamplingRate"] for p in trials.values()})
         rounds = max(settings(p)["maxIter"] for p in trials.values())
-        sizes = []
         for e in range(executions):
             cuts = cells.sampled_cuts(rows, n, numeric, max(bins), seed + e)
             if e == 0 and n < cells.MIN_ROWS_PER_CELL * cells.binned(rows, cuts).select(*by).distinct().count():
                 break
-            held.append(_packed(cells.fit_cells(rows, valid, cuts, by, target, encoder, rates, rounds, seed + e)))
-            sizes.append(held[-1].count())
+            made = _packed(cells.fit_cells(rows, valid, cuts, by, target, encoder, rates, rounds, seed + e))
+            sizes.append(made.count())
+            partitions = made.rdd.getNumPartitions()
+            written.append(scratch_path(rows.sparkSession, "cells"))
+            held.append(cells.stored(made, written[-1]))
+            made.unpersist()
     if held:
         def fit(p, e):
             p = settings(p)
@@ -110,10 +114,18 @@ def _fitter(rows: DataFrame, valid: DataFrame, est, trials: dict[int, dict], num
         fit_v = encoder.transform(rows).select("features", target).persist()
         val_v = encoder.transform(valid).select("features", target).persist()
         held = [fit_v, val_v]
+        partitions = fit_v.rdd.getNumPartitions()
 
         def fit(p, e):
             return _losses(est.fit(fit_v, {getattr(est, k): v for k, v in p.items()} | {est.seed: seed + e}), val_v)
-    return held, fit
+
+    def free():
+        for path in written:
+            delete_path(rows.sparkSession, path)
+        for df in [] if written else held:
+            df.unpersist()
+
+    return partitions, cells.FITS_AT_ONCE if written else None, fit, free
 
 
 def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str],
@@ -153,9 +165,9 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
     found: dict[int, tuple[float, float]] = {}
     for i, share in enumerate(shares):
         rows = fit_rows if share == 1.0 else _packed(fit_rows.where(F.col("_hash") < threshold(share)))
-        held, fit = _fitter(rows, val_rows, est, left, numeric, by, target, enc, executions, seed, set(fixed or {}) - {"seed"})
+        partitions, limit, fit, free = _fitter(rows, val_rows, est, left, numeric, by, target, enc, executions, seed, set(fixed or {}) - {"seed"})
         # boosting is many small jobs: on a small sample a fit takes a core or two, and more fits run at once
-        at_once = max(parallelism, cores // held[0].rdd.getNumPartitions())
+        at_once = max(parallelism, cores // partitions) if limit is None else min(parallelism, limit)
 
         def run(job, fit=fit):
             p, e, group = job
@@ -167,8 +179,9 @@ def random_search(fit_df: DataFrame, valid_df: DataFrame, numeric: Sequence[str]
             for part in pool.imap_unordered(inheritable_thread_target(run), _fits(left, executions)):
                 for t, score in part:
                     scores[t].append(score)
-        for df in held + ([] if rows is fit_rows else [rows]):
-            df.unpersist()
+        free()
+        if rows is not fit_rows:
+            rows.unpersist()
         found |= {t: (share, float(np.mean(s))) for t, s in scores.items()}
         best = sorted(left, key=lambda t: (found[t][1], t))
         left = {t: left[t] for t in best[:max(1, round(len(best) * keep))]}

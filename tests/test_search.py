@@ -168,6 +168,28 @@ def test_many_rows_of_few_cells_are_summed_before_the_fits(spark, monkeypatch):
     valid.unpersist()
 
 
+def test_plans_of_the_rounds_over_cells_do_not_double(spark, monkeypatch):
+    """Each round held a table over the one before; its plan told that one's twice, and the driver's heap ran full."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from sparktab.operators import cells
+
+    rng = np.random.default_rng(3)
+    rows = [(i, float(rng.integers(8)), float(rng.integers(4)), "x", float(rng.normal())) for i in range(2_000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    lengths = []
+
+    def spy(self, data, params=None, real=DecisionTreeRegressor.fit):
+        lengths.append(len(data._jdf.queryExecution().toString()))
+        return real(self, data, params)
+    monkeypatch.setattr(DecisionTreeRegressor, "fit", spy)
+    monkeypatch.setattr(cells, "MIN_CELL_ROWS", 100)
+    space = {"maxDepth": [2], "maxIter": [12], "stepSize": [0.3], "subsamplingRate": [1.0]}
+    random_search(df.where("k % 4 > 0"), df.where("k % 4 = 0"), ["a", "b"], ["c"], "y", n_trials=1, executions=1, seed=2, keys=["k"],
+                  rungs=(1.0,), space=space)
+    assert len(lengths) == 12 and max(lengths) < 20 * lengths[0] and lengths[11] < lengths[9]
+
+
 def test_cut_points_are_those_of_the_trees():
     from sparktab.operators.cells import cut_points
 
